@@ -41,3 +41,23 @@ def q_daily_candidates(spark, sf):
                             td.applications(spark, sf),
                             [td.device_raw_done(spark, sf, "android"), td.device_raw_done(spark, sf, "ios")],
                             td.device_dead_letter(spark, sf), device_spec())
+
+
+@query("flatten_android")
+def q_flatten_android(spark, sf):
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import ANDROID
+    return flatten_device(td.device_raw(spark, sf), td.flattened_target(spark, sf), ANDROID)
+
+
+@query("flatten_ios")
+def q_flatten_ios(spark, sf):
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import IOS
+    return flatten_device(td.device_raw(spark, sf), td.flattened_target(spark, sf), IOS)
+
+
+@query("flatten_geo")
+def q_flatten_geo(spark, sf):
+    from enrichkit.plans.flatten import flatten_geo
+    return flatten_geo(td.geo_raw(spark, sf), td.geo_target(spark, sf))

@@ -44,7 +44,7 @@ def blank_to_null(x: Column | str) -> Column:
 
 def safe_double(x: Column | str) -> Column:
     """FN-7: SAFE_CAST(x AS FLOAT64)."""
-    return F.try_cast(_c(x).cast("string"), "double")
+    return _c(x).cast("string").try_cast("double")
 
 
 def round_text(x: Column | str, digits: int = 4) -> Column:
@@ -87,7 +87,7 @@ def coords_valid(lat: Column | str, lon: Column | str, strict: bool = False) ->
 
 def severity(status: Column | str, body: Column | str) -> Column:
     """FN-17: status code -> log severity."""
-    s = F.try_cast(_c(status).cast("string"), "int")
+    s = _c(status).cast("string").try_cast("int")
     b = F.lower(F.coalesce(_c(body).cast("string"), F.lit("")))
     marker = None
     for m in WARNING_BODY_MARKERS:
@@ -116,7 +116,7 @@ def split_code_name(text: Column | str) -> tuple[Column, Column]:
     """FN-13: 'E05_name_part' -> ('E05', 'name_part'), split at the first '_'."""
     t = _c(text)
     parts = F.split(t, "_", 2)
-    return parts.getItem(0), F.element_at(parts, 2)
+    return parts.getItem(0), F.try_element_at(parts, F.lit(2))
 
 
 def count_normalise(resp: Column | str) -> Column:
@@ -130,10 +130,10 @@ def count_normalise(resp: Column | str) -> Column:
     v = _c(resp)
     items = F.filter(json_array(v, "$.insights"),
                      lambda x: json_value(x, "$.name").isin("INSIGHT_COUNT", "count"))
-    first = F.element_at(items, 1)
+    first = F.try_element_at(items, F.lit(1))
     item_val = F.coalesce(F.nullif(json_value(first, "$.count"), F.lit("")),
                           json_value(first, "$.value"))
     has_count = F.try_variant_get(v, "$.count", "variant").isNotNull()
     raw = F.when(has_count, json_value(v, "$.count")).otherwise(item_val)
-    as_int = F.try_cast(raw, "bigint")
+    as_int = raw.try_cast("bigint")
     return F.coalesce(as_int, F.lit(0)).cast("string")

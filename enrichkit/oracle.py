@@ -78,3 +78,87 @@ QUALIFY row_number() OVER (PARTITION BY m.reference_id
                            ORDER BY m.partition_date DESC, ap.serial_number ASC NULLS LAST) = 1
 ORDER BY m.reference_id, m.cuid
 LIMIT 50""")
+
+
+# ------------------------------------------------------------------ flatten
+def _flatten_device_sql(ios: bool) -> str:
+    from enrichkit.plans.mappings import ANDROID, BASE_COLUMNS, IOS
+    m = IOS if ios else ANDROID
+    tf = "CASE WHEN {c} THEN 'true' ELSE 'false' END"
+    # values the payload builder puts in, read straight from orders
+    second = "(has_ins AND pr = 4)" if ios else "FALSE"
+    known = {
+        "cuid": "CAST(o_custkey AS VARCHAR)",
+        "seriesnumber": "'S' || CAST(o_orderkey AS VARCHAR)",
+        "device_os": "'Android'",
+        "bq_updated_time": "o_orderdate",
+        "partition_date": "CASE WHEN o_orderstatus = 'F' THEN DATE '2024-01-25' ELSE DATE '2024-01-20' END",
+        "requested_date": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
+        "requester": "CASE WHEN o_orderstatus = 'F' THEN 'app-v2' ELSE 'app' END",
+        "reference_number": "CAST(o_orderkey AS VARCHAR)",
+        "device_id": f"CASE WHEN NOT has_ins THEN NULL WHEN {second} THEN 'dev2-' || CAST(o_orderkey AS VARCHAR)"
+                     " ELSE 'dev-' || CAST(o_orderkey AS VARCHAR) END",
+        "device_brand": f"CASE WHEN NOT has_ins THEN NULL WHEN {second} THEN 'second' ELSE o_orderpriority END",
+        "device_model": f"CASE WHEN NOT has_ins OR {second} OR pr = 2 THEN NULL ELSE o_orderstatus END",
+        "device_is_rooted": f"CASE WHEN NOT has_ins OR {second} THEN NULL ELSE "
+                            + tf.format(c="o_totalprice > 200000") + " END",
+        "device_ram_total_size": f"CASE WHEN NOT has_ins OR {second} THEN NULL ELSE CAST(o_custkey AS VARCHAR) END",
+        "ip": "CASE WHEN has_ins THEN '10.0.0.' || CAST(o_orderkey % 250 AS VARCHAR) END",
+        "ip_country": "CASE WHEN has_ins THEN 'VN' END",
+        "ip_privacy_vpn": "CASE WHEN has_ins THEN " + tf.format(c="o_orderstatus = 'O'") + " END",
+        "velocity_datasets_count_all_from_ip":
+            ("CASE WHEN has_ins THEN CAST(o_custkey AS VARCHAR) END" if ios else
+             "CASE WHEN has_ins AND o_orderstatus = 'O' THEN CAST(o_custkey AS VARCHAR) END"),
+        "typing_text_input_speed": "CASE WHEN has_ins THEN CAST(pr AS VARCHAR) END",
+        "expert_score": "CASE WHEN has_ins THEN CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) END",
+        "app_package_name": "CASE WHEN i IS NOT NULL THEN 'app.' || CAST(o_orderkey AS VARCHAR) || '.' || CAST(i AS VARCHAR) END",
+        "app_paid": "CASE WHEN i IS NOT NULL THEN " + tf.format(c="i % 2 = 0") + " END",
+        "app_date_installed_rank_desc": "CAST(i AS VARCHAR)",
+    }
+    cols = BASE_COLUMNS + m.feature_columns()
+    sel = ",\n  ".join(f"{known.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in cols)
+    apps = "" if ios else """
+, apps AS (SELECT o_orderkey AS ak, unnest(generate_series(1, pr)) AS i FROM o WHERE has_ins)"""
+    join = "" if ios else " LEFT JOIN apps ON apps.ak = o.o_orderkey"
+    return f"""WITH o AS (
+  SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS pr,
+         (o_orderstatus <> 'P' AND substr(o_orderpriority, 1, 1) <> '5') AS has_ins
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'){apps}
+SELECT
+  {sel}
+FROM o{join}"""
+
+
+ORACLES["flatten_android"] = _flatten_device_sql(ios=False)
+ORACLES["flatten_ios"] = _flatten_device_sql(ios=True)
+
+
+def _flatten_geo_sql() -> str:
+    from enrichkit.plans.flatten import GEO_PAD_COLUMNS
+    rnd = ("CASE WHEN try_cast({x} AS DOUBLE) IS NULL THEN NULL ELSE regexp_replace(CAST(CAST("
+           "round(try_cast({x} AS DOUBLE), 4) AS DECIMAL(38,4)) AS VARCHAR), '\\.?0+$', '') END")
+    pads = ",\n  ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in GEO_PAD_COLUMNS)
+    return f"""WITH g AS (
+  SELECT c_custkey AS cuid, c_custkey AS serial_number,
+    CASE WHEN c_mktsegment = 'FURNITURE' THEN '   ' ELSE c_name END AS contact_address,
+    c_mktsegment AS residence_address, c_name AS company_name,
+    CASE c_mktsegment WHEN 'BUILDING' THEN 'null' WHEN 'AUTOMOBILE' THEN '' WHEN 'HOUSEHOLD' THEN 'abc'
+         ELSE '106.' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') || '1' END AS lon,
+    printf('%.2f', c_acctbal) AS lat, c_custkey AS k, c_acctbal AS bal
+  FROM customer WHERE c_nationkey >= 3)
+SELECT cuid, serial_number,
+  {rnd.format(x='lon')} AS contract_longitude,
+  {rnd.format(x='lat')} AS contract_latitude,
+  CASE WHEN contact_address IS NULL OR trim(contact_address) = '' THEN NULL ELSE contact_address END AS contact_address,
+  CASE WHEN residence_address IS NULL OR trim(residence_address) = '' THEN NULL ELSE residence_address END
+    AS residence_address,
+  company_name,
+  {pads},
+  CAST(k % 7 AS VARCHAR) AS contract_poi_corporate_finance,
+  CAST(k % 11 AS VARCHAR) AS contract_poi_commercial_facility,
+  CASE WHEN bal < 0 THEN 'null' ELSE CAST(k % 5 AS VARCHAR) END AS contract_poi_residential,
+  TIMESTAMP '2024-01-30 12:00:00' AS bq_updated_time, DATE '2024-01-30' AS partition_date
+FROM g"""
+
+
+ORACLES["flatten_geo"] = _flatten_geo_sql()

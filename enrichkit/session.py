@@ -19,6 +19,7 @@ BASE_CONF = {
     # Broadcast only what AQE measures as small at run time; never by guess.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

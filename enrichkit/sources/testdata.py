@@ -232,7 +232,8 @@ def device_raw(spark, sf_dir) -> DataFrame:
             .when(pr == 5, F.concat(head, F.lit(',"insights":[]}')))
             .otherwise(F.concat(head, F.lit(',"insights":['), insights, F.lit("]}"))))
     base = o.select(F.concat(F.lit("u-"), k.cast("string")).alias("uuid"),
-                    F.col("o_custkey").alias("cuid"), k.alias("reference_id"),
+                    F.col("o_custkey").cast("string").alias("cuid"),
+                    k.cast("string").alias("reference_id"),
                     F.concat(F.lit("S"), k.cast("string")).alias("series_number"),
                     F.lit("Android").alias("device_os"), body.alias("raw_data"),
                     F.col("o_orderdate").alias("bq_updated_time"),
