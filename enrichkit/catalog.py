@@ -61,3 +61,249 @@ def q_flatten_ios(spark, sf):
 def q_flatten_geo(spark, sf):
     from enrichkit.plans.flatten import flatten_geo
     return flatten_geo(td.geo_raw(spark, sf), td.geo_target(spark, sf))
+
+
+# ------------------------------------------------------------ dedup and joins
+@query("latest_per_key")
+def q_latest_per_key(spark, sf):
+    from enrichkit.operators.dedup import latest_per_key
+    ev = td.device_events(spark, sf)
+    return latest_per_key(ev, ["cuid"], [F.col("created_timestamp").desc(), F.col("reference_id").asc()])
+
+
+@query("latest_after_join")
+def q_latest_after_join(spark, sf):
+    from enrichkit.operators.dedup import latest_per_key
+    from enrichkit.plans.candidates import latest_customers
+    c = latest_customers(td.customers(spark, sf)).select("id", "cuid")
+    a = td.applications(spark, sf)
+    j = c.join(a, c["id"] == a["customer_id"], "left")
+    return latest_per_key(j, ["id"], [F.col("created_at").desc(), F.col("serial_number").desc()]) \
+        .select("id", "cuid", "serial_number", "created_at", "status")
+
+
+@query("left_join_on_date")
+def q_left_join_on_date(spark, sf):
+    from enrichkit.operators.joins import left_join_on_key_and_day
+    j = left_join_on_key_and_day(td.device_events(spark, sf), td.applications(spark, sf),
+                                 "cuid", "customer_id", "created_timestamp", "created_at")
+    return j.select("reference_id", "cuid", "created_timestamp", "serial_number")
+
+
+@query("inner_chain")
+def q_inner_chain(spark, sf):
+    c = td.customers(spark, sf).select(F.col("id").alias("c_id"), F.col("cuid").alias("c_cuid"),
+                                       "current_detailed_address")
+    a = td.applications(spark, sf)
+    ay = td.apply_info(spark, sf)
+    j = c.join(a, F.col("c_id") == a["customer_id"]).join(ay, F.col("c_cuid") == ay["cuid"])
+    return j.select(F.col("c_cuid").alias("cuid"), F.col("serial_number").alias("serial"),
+                    F.col("created_at").alias("applied_at"),
+                    F.col("current_detailed_address").alias("address"), "tax_code",
+                    F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+
+
+@query("exclude_processed")
+def q_exclude_processed(spark, sf):
+    import datetime as dt
+    from enrichkit.operators.joins import exclude_processed
+    a = td.applications(spark, sf)
+    li = td.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("serial_number"))
+    dl_day = td.geo_dead_letter(spark, sf).filter(F.col("partition_date") == F.lit(dt.date(2024, 1, 5)))
+    out = exclude_processed(a, [(li, {"serial_number": "serial_number"}),
+                                (dl_day, {"serial_number": "series_number"})])
+    return out.select("customer_id", "serial_number", "status")
+
+
+@query("incremental")
+def q_incremental(spark, sf):
+    from enrichkit.operators.joins import incremental
+    return incremental(td.geo_raw(spark, sf), td.geo_target(spark, sf),
+                       "serial_number", "serial_number").select("serial_number", "cuid")
+
+
+@query("semi_reconcile")
+def q_semi_reconcile(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.retry import reconcile
+    out = reconcile(td.geo_dead_letter(spark, sf), td.geo_raw_landed(spark, sf),
+                    dt.date(2024, 1, 15), dt.datetime(2024, 1, 31, 0, 0))
+    return out.select("uuid", "series_number", "api_status", "bq_updated_time", "partition_date",
+                      "reconciled")
+
+
+# ------------------------------------------------------------ pipelines
+@query("range_candidates")
+def q_range_candidates(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.candidates import range_candidates
+    return range_candidates(td.device_events(spark, sf), td.customers(spark, sf),
+                            td.applications(spark, sf),
+                            [td.device_raw_done(spark, sf, "android"), td.device_raw_done(spark, sf, "ios")],
+                            device_spec(start_date=dt.date(2024, 1, 10), end_date=dt.date(2024, 1, 12)))
+
+
+@query("geo_candidates")
+def q_geo_candidates(spark, sf):
+    from enrichkit.plans.candidates import geo_candidates
+    return geo_candidates(td.customers(spark, sf), td.applications(spark, sf), td.apply_info(spark, sf),
+                          td.geo_raw_done(spark, sf), td.geo_dead_letter(spark, sf), geo_spec())
+
+
+@query("geo_range_candidates")
+def q_geo_range_candidates(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.candidates import geo_range_candidates
+    return geo_range_candidates(td.customers(spark, sf), td.applications(spark, sf),
+                                td.apply_info(spark, sf), td.geo_raw_done(spark, sf),
+                                geo_spec(start_date=dt.date(1998, 1, 1), end_date=dt.date(1998, 3, 31)))
+
+
+@query("retry_list")
+def q_retry_list(spark, sf):
+    from enrichkit.plans.retry import retry_list
+    return retry_list(td.device_dead_letter(spark, sf), device_spec(), "reference_id", bounded=False)
+
+
+@query("retry_list_geo")
+def q_retry_list_geo(spark, sf):
+    from enrichkit.plans.retry import retry_list
+    return retry_list(td.geo_dead_letter(spark, sf), geo_spec(), "series_number", bounded=True)
+
+
+@query("distinct_pairs")
+def q_distinct_pairs(spark, sf):
+    from enrichkit.operators.dedup import distinct_rows
+    return distinct_rows(td.device_events(spark, sf), ["cuid", "device_os"])
+
+
+@query("union_retry")
+def q_union_retry(spark, sf):
+    from enrichkit.plans.candidates import geo_candidates
+    from enrichkit.plans.retry import retry_list, to_candidates
+    cols = ["cuid", "serial_number", "current_detailed_address", "permanent_detailed_address",
+            "tax_code", "company_name", "longitude", "latitude"]
+    new = geo_candidates(td.customers(spark, sf), td.applications(spark, sf), td.apply_info(spark, sf),
+                         td.geo_raw_done(spark, sf), td.geo_dead_letter(spark, sf), geo_spec())
+    retry = to_candidates(retry_list(td.geo_dead_letter(spark, sf), geo_spec(), "series_number", True))
+    return (new.select(*cols).withColumn("origin", F.lit("new"))
+            .unionByName(retry.select(*cols).withColumn("origin", F.lit("retry"))))
+
+
+# ------------------------------------------------------------ enrichment
+@query("poi_counts")
+def q_poi_counts(spark, sf):
+    from enrichkit.operators.radius import poi_counts
+    from enrichkit.plans.enrich import RADIUS_M, SCENARIOS
+    a = td.apply_info(spark, sf)
+    pts = a.select("cuid", F.col("latitude").try_cast("double").alias("lat"),
+                   F.col("longitude").try_cast("double").alias("lon"))
+    return poi_counts(pts, td.pois(spark, sf), SCENARIOS, RADIUS_M, point_key="cuid")
+
+
+@query("scenario_gate")
+def q_scenario_gate(spark, sf):
+    from enrichkit.plans.enrich import geo_lookup, scenario_gate
+    per = geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), "serial_number",
+                     td.geo_failures(spark, sf))
+    return scenario_gate(per, "serial_number")
+
+
+@query("scenario_summary")
+def q_scenario_summary(spark, sf):
+    from enrichkit.plans.enrich import geo_lookup, scenario_summary
+    per = geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), "serial_number",
+                     td.geo_failures(spark, sf))
+    return scenario_summary(per, "serial_number")
+
+
+@query("geo_enrichment")
+def q_geo_enrichment(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.enrich import geo_enrich
+    raw, dead = geo_enrich(td.geo_points(spark, sf), td.pois(spark, sf), td.AS_OF,
+                           dt.datetime(2024, 1, 31, 0, 0), td.geo_failures(spark, sf))
+    r = raw.select(F.lit("raw").alias("zone"), "serial_number", "cuid", "raw_data",
+                   F.lit(None).cast("string").alias("api_status"),
+                   F.lit(None).cast("string").alias("api_payload_message"))
+    d = dead.select(F.lit("dead_letter").alias("zone"), F.col("series_number").alias("serial_number"),
+                    "cuid", F.lit(None).cast("string").alias("raw_data"), "api_status",
+                    "api_payload_message")
+    return r.unionByName(d)
+
+
+def _device_lookup(spark, sf):
+    from enrichkit.plans.enrich import lookup_join
+    return lookup_join(td.device_events(spark, sf), td.device_payloads(spark, sf), "reference_id")
+
+
+@query("device_enrichment")
+def q_device_enrichment(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.enrich import split_outcomes, to_dead_letter, to_raw
+    ok, bad = split_outcomes(_device_lookup(spark, sf))
+    now = dt.datetime(2024, 1, 31, 0, 0)
+    raw = to_raw(ok, td.AS_OF, now, ["cuid", "reference_id", "device_os"])
+    dead = to_dead_letter(bad, td.AS_OF, now, {"cuid": ["cuid"], "reference_id": ["reference_id"],
+                                               "device_os": ["device_os"]},
+                          payload_cols=["cuid", "reference_id", "device_os"])
+    r = raw.select(F.lit("raw").alias("zone"), F.col("cuid").cast("bigint").alias("cuid"),
+                   F.col("reference_id").cast("bigint").alias("reference_id"), "device_os",
+                   "raw_data", F.lit(None).cast("string").alias("api_status"))
+    d = dead.select(F.lit("dead_letter").alias("zone"), F.col("cuid").cast("bigint").alias("cuid"),
+                    F.col("reference_id").cast("bigint").alias("reference_id"), "device_os",
+                    F.lit(None).cast("string").alias("raw_data"), "api_status")
+    return r.unionByName(d)
+
+
+@query("route_by_device")
+def q_route_by_device(spark, sf):
+    from enrichkit.plans.enrich import route_by_device, split_outcomes
+    ok, _ = split_outcomes(_device_lookup(spark, sf))
+    routes = route_by_device(ok.select("cuid", "reference_id", "device_os"))
+    out = None
+    for name, df in routes.items():
+        df = df.withColumn("route", F.lit(name))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@query("dead_letter")
+def q_dead_letter(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.candidates import _device_joined
+    from enrichkit.plans.enrich import split_outcomes, to_dead_letter
+    _, bad = split_outcomes(_device_lookup(spark, sf))
+    j = _device_joined(bad, td.customers(spark, sf), td.applications(spark, sf))
+    dead = to_dead_letter(j, td.AS_OF, dt.datetime(2024, 1, 31), {
+        "cuid": ["cuid"], "reference_id": ["reference_id"],
+        "series_number": ["serial_number", "device_os"], "device_os": ["device_os"]},
+        payload_cols=["reference_id", "status"])
+    return dead.drop("uuid")
+
+
+@query("raw_rows")
+def q_raw_rows(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.enrich import split_outcomes, to_raw
+    ok, _ = split_outcomes(_device_lookup(spark, sf))
+    return to_raw(ok, td.AS_OF, dt.datetime(2024, 1, 31), ["cuid", "reference_id", "device_os"]).drop("uuid")
+
+
+@query("enrich_lookup")
+def q_enrich_lookup(spark, sf):
+    from enrichkit.plans.enrich import lookup_with_resolver
+
+    def resolver(pdf):
+        import pandas as pd
+        found = pdf["value"] >= 5
+        payload = ('{"referenceNumber":"' + pdf["event_id"].astype(str) + '","props":'
+                   + pdf["props"].astype(str) + "}")
+        return pd.DataFrame({"payload": payload.where(found, None),
+                             "status": found.map({True: "200", False: "404"}),
+                             "error": found.map({True: None, False: "not found"}),
+                             "retry": 0})
+
+    e = td.table(spark, sf, "events").select("event_id", "value", "props")
+    out = lookup_with_resolver(e, "event_id", resolver)
+    return out.select("event_id", "status", "payload")

@@ -62,8 +62,8 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
 
     # places -> (cell, place, scenario) without a shuffle: a place joins each
     # scenario whose type list overlaps its types (a place counts once).
-    pl = places.select(F.col(place_key).alias("_pk"), F.col(place_lat).cast("double").alias("_plat"),
-                       F.col(place_lon).cast("double").alias("_plon"), F.col(place_types).alias("_ty"),
+    pl = places.select(F.col(place_key).alias("_pk"), F.col(place_lat).try_cast("double").alias("_plat"),
+                       F.col(place_lon).try_cast("double").alias("_plon"), F.col(place_types).alias("_ty"),
                        *([F.col(operational).alias("_op")] if operational else []))
     if operational:
         pl = pl.filter(F.col("_op")).drop("_op")
@@ -75,8 +75,8 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
           .withColumn("cla", F.floor(F.col("_plat") / cell_deg).cast("bigint"))
           .withColumn("clo", F.floor(F.col("_plon") / cell_deg).cast("bigint")))
 
-    pts = points.select(F.col(point_key).alias("_pt"), F.col(lat).cast("double").alias("_lat"),
-                        F.col(lon).cast("double").alias("_lon"))
+    pts = points.select(F.col(point_key).alias("_pt"), F.col(lat).try_cast("double").alias("_lat"),
+                        F.col(lon).try_cast("double").alias("_lon"))
     valid = pts.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
     cells = valid.select("_pt", "_lat", "_lon",
                          F.explode(_cells_for_point(F.col("_lat"), F.col("_lon"),

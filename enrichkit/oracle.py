@@ -47,6 +47,7 @@ VIEWS = {
         '10.' || lpad(CAST(700 + o_custkey % 100 AS VARCHAR), 3, '0') AS contract_latitude,
         CAST(NULL AS VARCHAR) AS api_payload_message,
         CASE o_orderstatus WHEN 'F' THEN '200' WHEN 'O' THEN '500' ELSE '429' END AS api_status,
+        CAST(NULL AS INTEGER) AS retry_count, CAST(NULL AS TIMESTAMP) AS last_retry_time,
         o_orderdate AS bq_updated_time, make_date(2024, 1, least(day(o_orderdate), 31)) AS partition_date
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '5-LOW'""",
 }
@@ -162,3 +163,236 @@ FROM g"""
 
 
 ORACLES["flatten_geo"] = _flatten_geo_sql()
+
+
+# ------------------------------------------------------------ dedup and joins
+ORACLES["latest_per_key"] = with_views(["dev_events"], """
+SELECT * FROM dev_events
+QUALIFY row_number() OVER (PARTITION BY cuid ORDER BY created_timestamp DESC, reference_id) = 1""")
+
+ORACLES["latest_after_join"] = with_views(["cust", "app"], """
+, best AS (SELECT customer_id, arg_max(serial_number, (created_at, serial_number)) AS serial_number
+           FROM app GROUP BY customer_id)
+SELECT c.id, c.cuid, a.serial_number, a.created_at, a.status
+FROM cust c LEFT JOIN best b ON b.customer_id = c.id
+LEFT JOIN app a ON a.customer_id = b.customer_id AND a.serial_number = b.serial_number""")
+
+ORACLES["left_join_on_date"] = with_views(["dev_events", "app"], """
+SELECT m.reference_id, m.cuid, m.created_timestamp, a.serial_number
+FROM dev_events m LEFT JOIN app a
+  ON m.cuid = a.customer_id AND CAST(a.created_at AS DATE) = CAST(m.created_timestamp AS DATE)""")
+
+ORACLES["inner_chain"] = with_views(["cust", "app", "apply_info"], """
+SELECT c.cuid AS cuid, ap.serial_number AS serial, ap.created_at AS applied_at,
+       c.current_detailed_address AS address, ay.tax_code, ay.longitude AS lon, ay.latitude AS lat
+FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid""")
+
+ORACLES["exclude_processed"] = with_views(["app", "geo_dl"], """
+SELECT customer_id, serial_number, status FROM app a
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = a.serial_number)
+  AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = a.serial_number
+                  AND d.partition_date = DATE '2024-01-05')""")
+
+ORACLES["incremental"] = """
+SELECT c_custkey AS serial_number, c_custkey AS cuid FROM customer
+WHERE c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 3 AND c_custkey IS NOT NULL)"""
+
+ORACLES["semi_reconcile"] = with_views(["geo_dl"], """
+, landed AS (SELECT DISTINCT o_orderkey AS serial_number FROM orders
+             WHERE o_orderstatus = 'O' AND make_date(2024, 1, least(day(o_orderdate), 31)) = DATE '2024-01-15')
+, f AS (SELECT d.*, (d.series_number IN (SELECT serial_number FROM landed))
+                    AND NOT (d.api_status LIKE '2%' OR d.api_status = 'success') AS hit FROM geo_dl d)
+SELECT uuid, series_number,
+  CASE WHEN hit THEN '200' ELSE api_status END AS api_status,
+  CASE WHEN hit THEN TIMESTAMP '2024-01-31 00:00:00' ELSE bq_updated_time END AS bq_updated_time,
+  CASE WHEN hit THEN DATE '2024-01-15' ELSE partition_date END AS partition_date,
+  coalesce(hit, false) AS reconciled
+FROM f""")
+
+# ------------------------------------------------------------ pipelines
+ORACLES["range_candidates"] = with_views(["dev_events", "cust", "app", "done_android", "done_ios"], """
+, c AS (SELECT * FROM cust QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition_date DESC, cuid) = 1)
+, ap AS (SELECT * FROM app QUALIFY row_number() OVER (
+         PARTITION BY customer_id, serial_number ORDER BY partition_date DESC, created_at DESC) = 1)
+SELECT m.cuid, m.reference_id, m.device_os, m.created_timestamp, ap.serial_number
+FROM dev_events m
+LEFT JOIN c ON c.cuid = m.cuid
+LEFT JOIN ap ON c.id = ap.customer_id AND CAST(ap.created_at AS DATE) = CAST(m.created_timestamp AS DATE)
+WHERE CAST(m.created_timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
+  AND m.reference_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.reference_id)
+  AND NOT EXISTS (SELECT 1 FROM done_ios i WHERE i.reference_id = m.reference_id)
+ORDER BY m.created_timestamp, m.reference_id, ap.serial_number NULLS LAST
+LIMIT 50""")
+
+ORACLES["geo_candidates"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], """
+SELECT c.cuid AS cuid, ap.serial_number AS serial_number, ap.created_at AS created_at,
+  c.current_detailed_address AS current_detailed_address,
+  c.permanent_detailed_address AS permanent_detailed_address,
+  ay.tax_code AS tax_code, ay.company_name AS company_name, ay.longitude AS longitude,
+  ay.latitude AS latitude, ap.partition_date AS partition_date
+FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
+WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
+  AND ay.longitude <> 'null' AND ay.latitude <> 'null'
+  AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
+  AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
+QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
+                           ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1
+ORDER BY cuid, serial_number
+LIMIT 500""")
+
+ORACLES["geo_range_candidates"] = with_views(["cust", "app", "apply_info", "geo_done"], """
+SELECT DISTINCT cuid, serial_number, longitude, latitude FROM (
+  SELECT c.cuid AS cuid, ap.serial_number AS serial_number, ay.longitude AS longitude,
+         ay.latitude AS latitude, ap.partition_date AS pd
+  FROM cust c LEFT JOIN app ap ON c.id = ap.customer_id LEFT JOIN apply_info ay ON c.cuid = ay.cuid
+  WHERE c.cuid IS NOT NULL AND ap.partition_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'
+    AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
+  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
+                             ORDER BY ap.partition_date DESC, ay.longitude NULLS LAST) = 1)""")
+
+ORACLES["retry_list"] = with_views(["dl"], """
+, w AS (SELECT * FROM dl WHERE partition_date >= DATE '2024-01-28')
+, latest AS (SELECT reference_id, arg_max(uuid, bq_updated_time) AS uuid FROM w GROUP BY reference_id)
+SELECT w.* FROM w JOIN latest USING (reference_id, uuid)
+WHERE NOT (w.api_status LIKE '2%' OR w.api_status = 'success')""")
+
+ORACLES["retry_list_geo"] = with_views(["geo_dl"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) AS rn
+  FROM geo_dl WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30')
+WHERE rn = 1 AND NOT (api_status LIKE '2%' OR api_status = 'success')""")
+
+ORACLES["distinct_pairs"] = with_views(["dev_events"], "SELECT DISTINCT cuid, device_os FROM dev_events")
+
+ORACLES["union_retry"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], """
+, new AS (
+  SELECT c.cuid AS cuid, ap.serial_number AS serial_number,
+    c.current_detailed_address AS current_detailed_address,
+    c.permanent_detailed_address AS permanent_detailed_address,
+    ay.tax_code AS tax_code, ay.company_name AS company_name, ay.longitude AS longitude,
+    ay.latitude AS latitude
+  FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
+  WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
+    AND ay.longitude <> 'null' AND ay.latitude <> 'null'
+    AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
+    AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
+  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
+                             ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1
+  ORDER BY cuid, serial_number LIMIT 500)
+, retry AS (
+  SELECT * FROM geo_dl WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30'
+  QUALIFY row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) = 1)
+SELECT *, 'new' AS origin FROM new
+UNION ALL
+SELECT cuid, series_number, contact_address, residence_address, tax_code, company_name,
+       contract_longitude, contract_latitude, 'retry' FROM retry
+WHERE NOT (api_status LIKE '2%' OR api_status = 'success')""")
+
+# ------------------------------------------------------------ enrichment
+_HAV = ("2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin((radians(p.lat) - radians(q.lat)) / 2), 2)"
+        " + cos(radians(q.lat)) * cos(radians(p.lat)) * pow(sin((radians(p.lon) - radians(q.lon)) / 2), 2))))")
+
+_PLACES = """places AS (
+  SELECT s_suppkey AS place_id,
+    CAST('10.' || lpad(CAST(700 + s_suppkey % 100 AS VARCHAR), 3, '0') AS DOUBLE) AS lat,
+    CAST('106.' || lpad(CAST(600 + s_suppkey % 97 AS VARCHAR), 3, '0') AS DOUBLE) AS lon,
+    CASE s_suppkey % 3 WHEN 0 THEN 'corporate_finance' WHEN 1 THEN 'commercial' ELSE 'residential' END
+      AS scenario
+  FROM supplier WHERE s_acctbal >= 0),
+scen AS (SELECT * FROM (VALUES ('corporate_finance'), ('residential'), ('commercial')) t(scenario))"""
+
+ORACLES["poi_counts"] = with_views(["apply_info"], f"""
+, {_PLACES}
+, pts AS (SELECT cuid, try_cast(latitude AS DOUBLE) AS lat, try_cast(longitude AS DOUBLE) AS lon FROM apply_info)
+SELECT q.cuid, s.scenario,
+  CASE WHEN q.lat IS NULL OR q.lon IS NULL THEN NULL
+       ELSE (SELECT count(*) FROM places p WHERE p.scenario = s.scenario AND {_HAV} <= 700.0) END AS count
+FROM pts q, scen s""")
+
+_GEO_PER = f"""
+, {_PLACES}
+, rec AS (SELECT cuid AS serial_number, latitude, longitude,
+            latitude IS NOT NULL AND longitude IS NOT NULL AND lower(latitude) <> 'null'
+            AND lower(longitude) <> 'null' AS valid FROM apply_info)
+, fail AS (SELECT c_custkey AS serial_number, 'commercial' AS scenario, '503' AS status
+           FROM customer WHERE c_acctbal < 0)
+, per AS (
+  SELECT q.serial_number, s.scenario, coalesce(f.status, '200') AS status,
+    (f.status IS NULL OR f.status LIKE '2%') AS ok,
+    CASE WHEN NOT q.valid OR NOT (f.status IS NULL OR f.status LIKE '2%') THEN 'null'
+         ELSE CAST((SELECT count(*) FROM places p WHERE p.scenario = s.scenario AND
+              {_HAV.replace('q.lat', 'try_cast(q.latitude AS DOUBLE)').replace('q.lon', 'try_cast(q.longitude AS DOUBLE)')} <= 700.0)
+              AS VARCHAR) END AS count_text
+  FROM rec q CROSS JOIN scen s LEFT JOIN fail f ON f.serial_number = q.serial_number AND f.scenario = s.scenario)"""
+
+ORACLES["scenario_gate"] = with_views(["apply_info"], _GEO_PER + """
+SELECT serial_number, bool_and(ok) AS all_ok, count(*) FILTER (WHERE NOT ok) AS failed_scenarios,
+  '{"scenario_counts":{"corporate_finance":"' || max(count_text) FILTER (WHERE scenario = 'corporate_finance')
+  || '","residential":"' || max(count_text) FILTER (WHERE scenario = 'residential')
+  || '","commercial":"' || max(count_text) FILTER (WHERE scenario = 'commercial') || '"}}' AS raw_data
+FROM per GROUP BY serial_number""")
+
+ORACLES["scenario_summary"] = with_views(["apply_info"], _GEO_PER + """
+SELECT serial_number, count(*) FILTER (WHERE ok) AS successful, count(*) AS total,
+  coalesce(array_to_string(list_sort(list(scenario || ':' || status) FILTER (WHERE NOT ok)), ','), '') AS errors,
+  count(*) FILTER (WHERE ok) = 0 AS failed
+FROM per GROUP BY serial_number""")
+
+ORACLES["geo_enrichment"] = with_views(["apply_info"], _GEO_PER + """
+, gate AS (
+  SELECT serial_number, bool_and(ok) AS all_ok,
+  '{"scenario_counts":{"corporate_finance":"' || max(count_text) FILTER (WHERE scenario = 'corporate_finance')
+  || '","residential":"' || max(count_text) FILTER (WHERE scenario = 'residential')
+  || '","commercial":"' || max(count_text) FILTER (WHERE scenario = 'commercial') || '"}}' AS raw_data
+  FROM per GROUP BY serial_number)
+SELECT 'raw' AS zone, serial_number, serial_number AS cuid, raw_data,
+       CAST(NULL AS VARCHAR) AS api_status, CAST(NULL AS VARCHAR) AS api_payload_message
+FROM gate WHERE all_ok
+UNION ALL
+SELECT 'dead_letter', serial_number, serial_number, NULL, status,
+       '{"serial_number":' || CAST(serial_number AS VARCHAR) || ',"scenario":"' || scenario || '"}'
+FROM per WHERE NOT ok""")
+
+_DEV_LOOKUP = f"""lk AS (
+  SELECT user_id AS cuid, event_id AS reference_id, {DEVICE_OS} AS device_os,
+    CASE WHEN value >= 5 THEN '{{"referenceNumber":"' || CAST(event_id AS VARCHAR) || '","props":' || props || '}}' END
+      AS payload,
+    CASE WHEN value >= 5 THEN '200' ELSE '404' END AS status
+  FROM events)"""
+
+ORACLES["device_enrichment"] = f"""WITH {_DEV_LOOKUP}
+SELECT 'raw' AS zone, cuid, reference_id, device_os, payload AS raw_data, CAST(NULL AS VARCHAR) AS api_status
+FROM lk WHERE status LIKE '2%'
+UNION ALL
+SELECT 'dead_letter', cuid, reference_id, device_os, NULL, status FROM lk WHERE status NOT LIKE '2%'"""
+
+ORACLES["route_by_device"] = f"""WITH {_DEV_LOOKUP}
+SELECT cuid, reference_id, device_os,
+  CASE lower(device_os) WHEN 'android' THEN 'android' WHEN 'ios' THEN 'ios' ELSE 'unrouted' END AS route
+FROM lk WHERE status LIKE '2%'"""
+
+ORACLES["raw_rows"] = f"""WITH {_DEV_LOOKUP}
+SELECT cuid, reference_id, device_os, payload AS raw_data, TIMESTAMP '2024-01-31 00:00:00' AS bq_updated_time,
+  DATE '2024-01-31' AS partition_date
+FROM lk WHERE status LIKE '2%'"""
+
+ORACLES["dead_letter"] = with_views(["cust", "app"], f"""
+, {_DEV_LOOKUP}
+, ap AS (SELECT * FROM app QUALIFY row_number() OVER (
+         PARTITION BY customer_id, serial_number ORDER BY partition_date DESC, created_at DESC) = 1)
+SELECT CAST(m.cuid AS VARCHAR) AS cuid, CAST(m.reference_id AS VARCHAR) AS reference_id,
+  coalesce(nullif(CAST(ap.serial_number AS VARCHAR), ''), nullif(m.device_os, '')) AS series_number,
+  nullif(m.device_os, '') AS device_os,
+  '{{"reference_id":' || CAST(m.reference_id AS VARCHAR) || ',"status":"' || m.status || '"}}' AS api_payload_message,
+  m.status AS api_status, TIMESTAMP '2024-01-31 00:00:00' AS bq_updated_time, DATE '2024-01-31' AS partition_date
+FROM lk m LEFT JOIN cust c ON c.cuid = m.cuid
+LEFT JOIN ap ON c.id = ap.customer_id AND CAST(ap.created_at AS DATE) = CAST(
+  (SELECT ts FROM events e WHERE e.event_id = m.reference_id) AS DATE)
+WHERE m.status NOT LIKE '2%'""")
+
+ORACLES["enrich_lookup"] = """
+SELECT event_id, CASE WHEN value >= 5 THEN '200' ELSE '404' END AS status,
+  CASE WHEN value >= 5 THEN '{"referenceNumber":"' || CAST(event_id AS VARCHAR) || '","props":' || props || '}' END
+    AS payload
+FROM events"""

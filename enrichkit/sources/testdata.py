@@ -307,3 +307,38 @@ def flow_log(spark, sf_dir) -> DataFrame:
                     F.col("event_type").alias("task_code"), F.col("event_type").alias("task_name"),
                     status.alias("status"), F.col("props").alias("message"),
                     F.when(status == "FAILED", F.lit("ERROR")).otherwise(F.lit("Info")).alias("severity"))
+
+
+def geo_points(spark, sf_dir) -> DataFrame:
+    """Geo lookup records: every customer with its apply-info coordinates."""
+    c = customers(spark, sf_dir)
+    a = apply_info(spark, sf_dir)
+    return c.join(a, "cuid").select("cuid", F.col("cuid").alias("serial_number"),
+                                    "current_detailed_address", "permanent_detailed_address",
+                                    "tax_code", "company_name", "longitude", "latitude")
+
+
+def geo_failures(spark, sf_dir) -> DataFrame:
+    """Lookup errors the service hook reports: the 'commercial' lookup fails
+    with 503 for customers with a negative balance."""
+    c = table(spark, sf_dir, "customer")
+    return c.filter(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").alias("serial_number"), F.lit("commercial").alias("scenario"),
+        F.lit("503").alias("status"))
+
+
+def geo_raw_landed(spark, sf_dir) -> DataFrame:
+    """Serials that reached geo RAW, by day (open orders, dated into 2024-01)."""
+    o = table(spark, sf_dir, "orders")
+    return o.filter(F.col("o_orderstatus") == "O").select(
+        F.col("o_orderkey").alias("serial_number"),
+        F.make_date(F.lit(2024), F.lit(1), F.least(F.dayofmonth("o_orderdate"), F.lit(31))).alias("partition_date"))
+
+
+def device_payloads(spark, sf_dir) -> DataFrame:
+    """Lookup payloads: events with value >= 5 have one; the rest get 404."""
+    e = table(spark, sf_dir, "events")
+    return e.filter(F.col("value") >= 5).select(
+        F.col("event_id").alias("key"),
+        F.concat(F.lit('{"referenceNumber":"'), F.col("event_id").cast("string"),
+                 F.lit('","props":'), F.col("props"), F.lit("}")).alias("payload"))
