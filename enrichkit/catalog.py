@@ -307,3 +307,169 @@ def q_enrich_lookup(spark, sf):
     e = td.table(spark, sf, "events").select("event_id", "value", "props")
     out = lookup_with_resolver(e, "event_id", resolver)
     return out.select("event_id", "status", "payload")
+
+
+# ------------------------------------------------------------ functions
+@query("json_scalar")
+def q_json_scalar(spark, sf):
+    from enrichkit.functions.json import json_value, parse
+    e = td.table(spark, sf, "events")
+    v = parse("props")
+    return e.select("event_id", json_value(v, "$.k").alias("k"), json_value(v, "$").alias("whole"),
+                    json_value(v, "$.missing").alias("missing"))
+
+
+@query("json_explode")
+def q_json_explode(spark, sf):
+    from enrichkit.functions.json import json_array, json_query, json_value, parse
+    from enrichkit.plans.flatten import latest_raw
+    raw = latest_raw(td.device_raw(spark, sf), "reference_id")
+    items = raw.select("reference_id", F.posexplode(json_array(parse("raw_data"), "$.insights")).alias("pos", "i"))
+    return items.select("reference_id", "pos", json_value("i", "$.code").alias("code"),
+                        json_value("i", "$.calculatedDate").alias("calculated_date"),
+                        json_value(json_query("i", "$.value"), "$").alias("value_scalar"))
+
+
+@query("log_search")
+def q_log_search(spark, sf):
+    from enrichkit.functions.scalars import extract_or_null
+    p = td.table(spark, sf, "pages")
+    return p.filter(F.col("url").contains("/en/")).select(
+        "page_id", extract_or_null("url", r"/([0-9]+)(\?|#|$)").alias("url_id"))
+
+
+@query("severity")
+def q_severity(spark, sf):
+    from enrichkit.functions.scalars import (RETRYABLE_DEVICE, RETRYABLE_GEO, is_retryable,
+                                             severity)
+    dl = td.device_dead_letter(spark, sf)
+    return dl.select("uuid", "api_status", severity("api_status", "api_payload_message").alias("severity"),
+                     is_retryable("api_status", RETRYABLE_DEVICE).alias("retry_device"),
+                     is_retryable("api_status", RETRYABLE_GEO).alias("retry_geo"))
+
+
+@query("coords_valid")
+def q_coords_valid(spark, sf):
+    from enrichkit.functions.scalars import coords_valid
+    a = td.geo_raw(spark, sf)
+    return a.select("serial_number",
+                    coords_valid("contract_latitude", "contract_longitude").alias("valid"),
+                    coords_valid("contract_latitude", "contract_longitude", strict=True).alias("strict_valid"))
+
+
+@query("date_valid")
+def q_date_valid(spark, sf):
+    from enrichkit.functions.scalars import date_valid
+    d = td.date_texts(spark, sf)
+    return d.select("event_id", "date_text", date_valid("date_text"))
+
+
+@query("count_normalise")
+def q_count_normalise(spark, sf):
+    from enrichkit.functions.json import parse
+    from enrichkit.functions.scalars import count_normalise
+    r = td.lookup_responses(spark, sf)
+    return r.select("event_id", count_normalise(parse("response")).alias("count_text"))
+
+
+@query("ids")
+def q_ids(spark, sf):
+    from enrichkit.functions.scalars import flow_id, split_code_name
+    e = td.device_events(spark, sf)
+    code_name = F.concat(F.lit("E"), F.lpad((F.col("cuid") % 100).cast("string"), 2, "0"),
+                         F.lit("_load_"), F.lower(F.coalesce("device_os", F.lit("none"))))
+    code, name = split_code_name(code_name)
+    return e.select("reference_id",
+                    flow_id(F.lit("credit_flow"), F.col("reference_id").cast("string")).alias("flow_id"),
+                    F.concat(F.lit("credit_flow"), code).alias("task_code"),
+                    code.alias("code"), name.alias("name"),
+                    F.lower("device_os").alias("os_lower"), F.upper("device_os").alias("os_upper"),
+                    F.concat_ws("_", F.col("partition_date").cast("string"), F.lower("device_os"),
+                                F.col("reference_id").cast("string")).alias("landing_name"))
+
+
+@query("masked")
+def q_masked(spark, sf):
+    from enrichkit.functions.masking import mask_columns
+    a = td.apply_info(spark, sf)
+    return mask_columns(a, ["longitude", "latitude", "company_name"], method="sha2")
+
+
+@query("messages")
+def q_messages(spark, sf):
+    from enrichkit.streaming.messages import decode, route
+    r = route(decode(td.control_messages(spark, sf)))
+    return r.select("message_id", "message_type", "route", "batch_number", "start_date", "end_date",
+                    "valid", "subscription")
+
+
+# ------------------------------------------------------------ aggregates
+@query("flow_stats")
+def q_flow_stats(spark, sf):
+    from enrichkit.plans.opslog import flow_stats
+    return flow_stats(td.flow_log(spark, sf))
+
+
+@query("api_stats")
+def q_api_stats(spark, sf):
+    from enrichkit.plans.opslog import api_stats
+    return api_stats(td.api_log(spark, sf))
+
+
+@query("retry_stats")
+def q_retry_stats(spark, sf):
+    from enrichkit.plans.opslog import retry_stats
+    return retry_stats(td.api_log(spark, sf))
+
+
+@query("countif_stats")
+def q_countif_stats(spark, sf):
+    from enrichkit.plans.opslog import countif_stats
+    return countif_stats(td.api_log(spark, sf), by_day=True)
+
+
+@query("failed_since")
+def q_failed_since(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.opslog import failed_since
+    return failed_since(td.api_log(spark, sf), dt.date(1998, 1, 1))
+
+
+@query("quota_by_minute")
+def q_quota_by_minute(spark, sf):
+    from enrichkit.plans.opslog import quota_by_minute
+    return quota_by_minute(td.table(spark, sf, "events"), "ts", limit_per_min=2)
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf):
+    from enrichkit.operators.batching import assign_batches
+    e = td.table(spark, sf, "events").select("event_id", "ts")
+    return assign_batches(e, 500, [F.col("ts"), F.col("event_id")], label_prefix="batch-")
+
+
+@query("batch_summary")
+def q_batch_summary(spark, sf):
+    from enrichkit.operators.batching import assign_batches
+    from enrichkit.plans.opslog import batch_summary
+    lk = _device_lookup(spark, sf)
+    b = assign_batches(lk, 500, [F.col("reference_id")])
+    outcome = (F.when(F.col("device_os").isNull(), F.lit("skipped"))
+               .when(F.col("status").startswith("2"), F.lit("success")).otherwise(F.lit("error")))
+    s = batch_summary(b.withColumn("outcome", outcome), "batch_no", "reference_id")
+    return s.withColumn("processed", F.array_join("processed", ","))
+
+
+@query("next_batch")
+def q_next_batch(spark, sf):
+    from enrichkit.operators.batching import next_batch
+    from enrichkit.operators.joins import exclude_processed
+    ev = exclude_processed(td.device_events(spark, sf),
+                           [(td.device_raw_done(spark, sf, "android"), {"reference_id": "reference_id"})])
+    return next_batch(ev, ["reference_id"], 500)
+
+
+@query("latest_n")
+def q_latest_n(spark, sf):
+    from enrichkit.operators.batching import latest_n
+    return latest_n(td.table(spark, sf, "events").select("event_id", "ts", "event_type"), "ts", 10)

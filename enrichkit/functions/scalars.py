@@ -104,7 +104,7 @@ def is_retryable(status: Column | str, codes: list[str] = RETRYABLE_GEO) -> Colu
 
 
 def duration_ms(start: Column | str, end: Column | str) -> Column:
-    return F.timestampdiff("MILLISECOND", _c(start), _c(end))
+    return F.timestamp_diff("MILLISECOND", _c(start), _c(end))
 
 
 def flow_id(flow_name: Column | str, run_id: Column | str) -> Column:

@@ -66,7 +66,7 @@ def assign_batches(df: DataFrame, n: int, order_by: Sequence[Column | str],
     stop test; a full final batch is not last, the next fetch is empty).
     """
     ranked = global_rank(df, order_by, "_rank", checkpoint=checkpoint, with_total=True)
-    b = F.floor((F.col("_rank") - 1) / F.lit(n)).cast("int") + 1
+    b = F.floor((F.col("_rank") - 1) / F.lit(n)).cast("bigint") + 1
     rows_in = F.least(F.lit(n), F.col("_total") - (b - 1) * F.lit(n))
     return (ranked.withColumn("batch_no", b)
             .withColumn("batch_label", F.concat(F.lit(label_prefix), b.cast("string")))

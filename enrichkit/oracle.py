@@ -396,3 +396,143 @@ SELECT event_id, CASE WHEN value >= 5 THEN '200' ELSE '404' END AS status,
   CASE WHEN value >= 5 THEN '{"referenceNumber":"' || CAST(event_id AS VARCHAR) || '","props":' || props || '}' END
     AS payload
 FROM events"""
+
+# ------------------------------------------------------------ functions
+ORACLES["json_scalar"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS whole,
+       CAST(NULL AS VARCHAR) AS missing
+FROM events"""
+
+ORACLES["json_explode"] = """
+WITH o AS (SELECT *, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS pr FROM orders
+           WHERE o_orderstatus <> 'P' AND substr(o_orderpriority, 1, 1) <> '5'),
+codes AS (SELECT * FROM (VALUES (0, 'deviceInfo'), (1, 'ipInfo'), (2, 'velocity'), (3, 'deviceInfo'),
+                                (4, 'typing'), (5, 'expertScore'), (6, 'lastApps')) t(pos, code))
+SELECT CAST(o_orderkey AS VARCHAR) AS reference_id, pos, code,
+  CAST(CASE WHEN pos = 3 THEN CAST(o_orderdate AS DATE) + (pr - 3) ELSE CAST(o_orderdate AS DATE) END AS VARCHAR)
+    AS calculated_date,
+  CAST(NULL AS VARCHAR) AS value_scalar
+FROM o, codes"""
+
+ORACLES["log_search"] = r"""
+SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)(\?|#|$)', 1), '') AS url_id
+FROM pages WHERE url LIKE '%/en/%'"""
+
+ORACLES["severity"] = with_views(["dl"], """
+SELECT uuid, api_status,
+  CASE WHEN try_cast(api_status AS INTEGER) = 400 AND (lower(coalesce(api_payload_message, ''))
+            LIKE '%reference_number_invalid%' OR lower(coalesce(api_payload_message, '')) LIKE '%does not exist%')
+       THEN 'WARNING'
+       WHEN try_cast(api_status AS INTEGER) BETWEEN 400 AND 599 THEN 'ERROR' ELSE 'Info' END AS severity,
+  coalesce(api_status IN ('500', '502', '503', '504'), false) AS retry_device,
+  coalesce(api_status IN ('429', '500', '502', '503', '504'), false) AS retry_geo
+FROM dl""")
+
+ORACLES["coords_valid"] = """
+WITH g AS (SELECT c_custkey AS serial_number, printf('%.2f', c_acctbal) AS lat,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'null' WHEN 'AUTOMOBILE' THEN '' WHEN 'HOUSEHOLD' THEN 'abc'
+       ELSE '106.' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') || '1' END AS lon FROM customer)
+SELECT serial_number,
+  coalesce(lat IS NOT NULL AND lon IS NOT NULL AND lower(lat) <> 'null' AND lower(lon) <> 'null', false) AS valid,
+  coalesce(lat IS NOT NULL AND lon IS NOT NULL AND lower(lat) <> 'null' AND lower(lon) <> 'null'
+           AND try_cast(lat AS DOUBLE) BETWEEN -90 AND 90 AND try_cast(lon AS DOUBLE) BETWEEN -180 AND 180,
+           false) AS strict_valid
+FROM g"""
+
+ORACLES["date_valid"] = r"""
+WITH d AS (SELECT event_id, CASE event_type
+    WHEN 'click' THEN CAST(CAST(ts AS DATE) AS VARCHAR)
+    WHEN 'view' THEN replace(CAST(CAST(ts AS DATE) AS VARCHAR), '-', '/')
+    WHEN 'signup' THEN '2024-02-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0')
+    WHEN 'purchase' THEN CAST(CAST(ts AS DATE) AS VARCHAR) || 'x'
+    ELSE '2023-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') || '-01' END AS date_text FROM events)
+SELECT event_id, date_text,
+  coalesce(regexp_full_match(date_text, '\d{4}-\d{2}-\d{2}') AND try_strptime(date_text, '%Y-%m-%d') IS NOT NULL,
+           false) AS date_valid
+FROM d"""
+
+ORACLES["count_normalise"] = """
+SELECT event_id, CASE WHEN event_type IN ('purchase', 'signup') THEN '0'
+                      ELSE json_extract_string(props, '$.k') END AS count_text
+FROM events"""
+
+ORACLES["ids"] = with_views(["dev_events"], """
+SELECT reference_id, 'credit_flow_' || CAST(reference_id AS VARCHAR) AS flow_id,
+  'credit_flowE' || lpad(CAST(cuid % 100 AS VARCHAR), 2, '0') AS task_code,
+  'E' || lpad(CAST(cuid % 100 AS VARCHAR), 2, '0') AS code,
+  'load_' || lower(coalesce(device_os, 'none')) AS name,
+  lower(device_os) AS os_lower, upper(device_os) AS os_upper,
+  concat_ws('_', CAST(partition_date AS VARCHAR), lower(device_os), CAST(reference_id AS VARCHAR)) AS landing_name
+FROM dev_events""")
+
+ORACLES["masked"] = with_views(["apply_info"], """
+SELECT cuid, tax_code, sha256(company_name) AS company_name, sha256(longitude) AS longitude,
+       sha256(latitude) AS latitude FROM apply_info""")
+
+ORACLES["messages"] = """
+SELECT event_id AS message_id,
+  CASE event_type WHEN 'purchase' THEN 'daily_recall' WHEN 'click' THEN 'range_recall'
+                  WHEN 'signup' THEN 'range_recall' WHEN 'view' THEN 'reindex' END AS message_type,
+  CASE event_type WHEN 'purchase' THEN 'daily' WHEN 'click' THEN 'range' WHEN 'signup' THEN 'range'
+                  WHEN 'view' THEN 'error' ELSE 'quarantine' END AS route,
+  CASE WHEN event_type IN ('purchase', 'click', 'signup') THEN CAST(user_id % 9 + 1 AS INTEGER) END AS batch_number,
+  CASE WHEN event_type IN ('click', 'signup') THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS start_date,
+  CASE WHEN event_type = 'click' THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS end_date,
+  event_type IN ('purchase', 'click') AS valid,
+  CASE WHEN event_type = 'click' THEN 'range' ELSE 'daily' END AS subscription
+FROM events"""
+
+# ------------------------------------------------------------ aggregates
+_API_LOG = """api AS (SELECT l_returnflag AS api_type, l_linestatus AS status_code, o_orderdate AS start_time,
+  l_shipdate AS end_time, l_linenumber - 1 AS retry FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+ORACLES["flow_stats"] = """
+SELECT 'flow_' || event_type AS flow_name, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CAST(ts AS DATE) AS day, count(*) AS n
+FROM events GROUP BY ALL"""
+
+ORACLES["api_stats"] = f"""WITH {_API_LOG}
+SELECT api_type, status_code, CAST(start_time AS DATE) AS day, count(*) AS calls,
+  round(avg(date_diff('second', start_time, end_time)), 3) AS avg_duration_s, sum(retry) AS total_retries
+FROM api GROUP BY ALL"""
+
+ORACLES["retry_stats"] = f"""WITH {_API_LOG}
+SELECT api_type, retry, count(*) AS n FROM api WHERE retry > 0 GROUP BY ALL"""
+
+ORACLES["countif_stats"] = f"""WITH {_API_LOG}
+SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, count_if(status_code = 'F') AS ok_calls,
+  count_if(NOT (status_code = 'F')) AS failed_calls, max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
+FROM api GROUP BY ALL"""
+
+ORACLES["failed_since"] = f"""WITH {_API_LOG}
+SELECT count(*) AS failed FROM api WHERE start_time >= TIMESTAMP '1998-01-01' AND status_code <> 'F'"""
+
+ORACLES["quota_by_minute"] = """
+SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, round(count(*) * 100.0 / 2, 2) AS usage_pct,
+  round(count(*) * 100.0 / 2, 2) > 80.0 AS alarm
+FROM events GROUP BY ALL"""
+
+ORACLES["assign_batches"] = """
+WITH r AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS rn, count(*) OVER () AS total
+           FROM events)
+SELECT event_id, ts, rn AS row_in_order, (rn - 1) // 500 + 1 AS batch_no,
+  'batch-' || CAST((rn - 1) // 500 + 1 AS VARCHAR) AS batch_label,
+  least(500, total - ((rn - 1) // 500) * 500) AS batch_rows,
+  least(500, total - ((rn - 1) // 500) * 500) < 500 AS is_last
+FROM r"""
+
+ORACLES["batch_summary"] = f"""WITH {_DEV_LOOKUP}
+, b AS (SELECT *, (row_number() OVER (ORDER BY reference_id) - 1) // 500 + 1 AS batch_no FROM lk)
+SELECT batch_no,
+  count_if(device_os IS NOT NULL AND status LIKE '2%') AS success_count,
+  count_if(device_os IS NOT NULL AND NOT status LIKE '2%') AS error_count,
+  count_if(device_os IS NULL) AS skipped_count,
+  array_to_string(list_sort(list(CAST(reference_id AS VARCHAR))), ',') AS processed
+FROM b GROUP BY batch_no"""
+
+ORACLES["next_batch"] = with_views(["dev_events", "done_android"], """
+SELECT * FROM dev_events m
+WHERE NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.reference_id)
+ORDER BY reference_id LIMIT 500""")
+
+ORACLES["latest_n"] = "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC LIMIT 10"

@@ -20,7 +20,7 @@ def flow_stats(flow_log: DataFrame) -> DataFrame:
 
 def api_stats(api_log: DataFrame) -> DataFrame:
     """AG-2: calls, average duration (s), retries by type, status, day."""
-    secs = F.timestampdiff("SECOND", F.col("start_time"), F.col("end_time"))
+    secs = F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))
     return (api_log.groupBy("api_type", "status_code", F.to_date("start_time").alias("day"))
             .agg(F.count(F.lit(1)).alias("calls"),
                  F.round(F.avg(secs), 3).alias("avg_duration_s"),

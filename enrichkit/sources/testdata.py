@@ -342,3 +342,57 @@ def device_payloads(spark, sf_dir) -> DataFrame:
         F.col("event_id").alias("key"),
         F.concat(F.lit('{"referenceNumber":"'), F.col("event_id").cast("string"),
                  F.lit('","props":'), F.col("props"), F.lit("}")).alias("payload"))
+
+
+def control_messages(spark, sf_dir) -> DataFrame:
+    """Base64 envelopes built from events: purchase -> daily_recall, click ->
+    range_recall (dates of the event's day in processing_params), signup ->
+    range_recall with the dates only at the top level and no end date, view ->
+    unknown type, error -> a body that is not JSON."""
+    e = table(spark, sf_dir, "events")
+    day = F.to_date("ts").cast("string")
+    bn = (F.col("user_id") % 9 + 1).cast("string")
+    body = (F.when(F.col("event_type") == "purchase",
+                   F.concat(F.lit('{"message_type":"daily_recall","processing_params":{"batch_number":'),
+                            bn, F.lit(',"source":"daily_job"}}')))
+            .when(F.col("event_type") == "click",
+                  F.concat(F.lit('{"message_type":"range_recall","processing_params":{"start_date":"'), day,
+                           F.lit('","end_date":"'), day, F.lit('","batch_number":'), bn,
+                           F.lit(',"source":"get_data_range"}}')))
+            .when(F.col("event_type") == "signup",
+                  F.concat(F.lit('{"message_type":"range_recall","start_date":"'), day,
+                           F.lit('","processing_params":{"batch_number":'), bn, F.lit("}}")))
+            .when(F.col("event_type") == "view", F.lit('{"message_type":"reindex"}'))
+            .otherwise(F.concat(F.lit("not json "), F.col("event_id").cast("string"))))
+    attrs = F.when(F.col("event_type") == "click",
+                   F.create_map(F.lit("start_date"), day, F.lit("end_date"), day)) \
+        .otherwise(F.create_map(F.lit("start_date"), F.lit(""), F.lit("end_date"), F.lit("")))
+    return e.select(F.col("event_id").alias("message_id"), F.base64(body).alias("data"),
+                    attrs.alias("attributes"))
+
+
+def lookup_responses(spark, sf_dir) -> DataFrame:
+    """Area-count responses in the shapes the service returns, from events."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    resp = (F.when(F.col("event_type") == "click", F.concat(F.lit('{"count":"'), k, F.lit('"}')))
+            .when(F.col("event_type") == "view",
+                  F.concat(F.lit('{"insights":[{"name":"INSIGHT_COUNT","value":'), k, F.lit("}]}")))
+            .when(F.col("event_type") == "purchase", F.lit("{}"))
+            .when(F.col("event_type") == "signup", F.lit('{"count":"x"}'))
+            .otherwise(F.concat(F.lit('{"insights":[{"name":"other","value":3},{"name":"count","count":"'),
+                                k, F.lit('"}]}'))))
+    return e.select("event_id", resp.alias("response"))
+
+
+def date_texts(spark, sf_dir) -> DataFrame:
+    """Date strings in good and bad shapes, from event days."""
+    e = table(spark, sf_dir, "events")
+    d = F.to_date("ts").cast("string")
+    txt = (F.when(F.col("event_type") == "click", d)
+           .when(F.col("event_type") == "view", F.regexp_replace(d, "-", "/"))
+           .when(F.col("event_type") == "signup",
+                 F.concat(F.lit("2024-02-"), F.lpad(F.dayofmonth("ts").cast("string"), 2, "0")))
+           .when(F.col("event_type") == "purchase", F.concat(d, F.lit("x")))
+           .otherwise(F.concat(F.lit("2023-"), F.lpad(F.dayofmonth("ts").cast("string"), 2, "0"), F.lit("-01"))))
+    return e.select("event_id", txt.alias("date_text"))
