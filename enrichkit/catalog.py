@@ -473,3 +473,105 @@ def q_next_batch(spark, sf):
 def q_latest_n(spark, sf):
     from enrichkit.operators.batching import latest_n
     return latest_n(td.table(spark, sf, "events").select("event_id", "ts", "event_type"), "ts", 10)
+
+
+# ------------------------------------------------------------ sources / sinks
+@query("sink_roundtrip")
+def q_sink_roundtrip(spark, sf):
+    import datetime as dt
+    from enrichkit.plans.enrich import split_outcomes, to_raw
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import land_json, read_landing, read_zone, write_zone
+    ok, _ = split_outcomes(_device_lookup(spark, sf))
+    raw = to_raw(ok, td.AS_OF, dt.datetime(2024, 1, 31), ["cuid", "reference_id", "device_os"])
+    root = scratch_path(spark, "sinks")
+    write_zone(raw, f"{root}/raw")                              # SNK-1
+    land_json(raw, f"{root}/landing")                           # SNK-3
+    back_raw = read_zone(spark, root, "raw")                    # SRC-1
+    back_land = read_landing(spark, f"{root}/landing",          # SRC-4
+                             "uuid string, cuid bigint, reference_id bigint, raw_data string, "
+                             "bq_updated_time timestamp_ntz, landing_name string, "
+                             "partition_date date, device_os string")
+    cols = ["cuid", "reference_id", "device_os", "raw_data", "partition_date"]
+    return (back_raw.select(F.lit("raw").alias("zone"), *cols)
+            .unionByName(back_land.select(F.lit("landing").alias("zone"), *cols)))
+
+
+@query("sql_job")
+def q_sql_job(spark, sf):
+    from enrichkit.sources.zones import run_sql_file
+    return run_sql_file(spark, "device_failed_retry.sql", {"from_date": "2024-01-28"},
+                        views={"device_dead_letter": td.device_dead_letter(spark, sf)})
+
+
+# The reference's two literal geo test rows.
+INLINE_GEO_ROWS = [
+    ("a5c50c8b-792c-4da4-b279-966caf055d33", "141011354623dfdfdd123456",
+     "2025-10-14 11:09:43.765312", "Ngõ 24 kim đồng", "Thôn Lương Thiện Lương Sơn, Thanh Hóa",
+     None, "việt foood", "105.76631755800807", "10.039397649536806", "2025-10-20"),
+    ("b7d61e2c-8a3f-4e1a-9c4b-5f3e7a2c1d9a", "141011354623dfdfdd123456789",
+     "2025-10-14 11:15:22.432156", "Số 45 Nguyễn Huệ", "Xã Tân Bình, TP Hồ Chí Minh",
+     "0305123456", "mekong coffee solutions", "106.36492068013104", "10.252252252252251", "2025-10-20"),
+]
+
+
+@query("inline_rows")
+def q_inline_rows(spark, sf):
+    from enrichkit.operators.joins import exclude_processed
+    from enrichkit.sources.zones import inline_rows
+    lit = inline_rows(spark, INLINE_GEO_ROWS,
+                      "cuid string, serial_number string, created_at string, current_detailed_address string, "
+                      "permanent_detailed_address string, tax_code string, company_name string, "
+                      "longitude string, latitude string, partition_date string")
+    lit = (lit.withColumn("created_at", F.to_timestamp_ntz("created_at"))
+           .withColumn("partition_date", F.to_date("partition_date")))
+    c = td.customers(spark, sf)
+    a = td.applications(spark, sf)
+    ay = td.apply_info(spark, sf)
+    tab = (c.join(a, c["id"] == a["customer_id"]).join(ay, c["cuid"] == ay["cuid"])
+           .select(c["cuid"].cast("string").alias("cuid"), a["serial_number"].cast("string").alias("serial_number"),
+                   "created_at", "current_detailed_address", "permanent_detailed_address", "tax_code",
+                   "company_name", "longitude", "latitude", a["partition_date"]))
+    done = td.geo_raw_done(spark, sf).select(F.col("serial_number").cast("string").alias("serial_number"))
+    return exclude_processed(lit.unionByName(tab), [(done, {"serial_number": "serial_number"})])
+
+
+# ------------------------------------------------------------ streaming
+@query("minute_metrics")
+def q_minute_metrics(spark, sf):
+    from enrichkit.session import scratch_path
+    from enrichkit.streaming.pipeline import minute_metrics, run_to_parquet
+    schema = td.table(spark, sf, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf))
+    m = minute_metrics(stream, "ts", "2 minutes", F.col("event_type") == "purchase")
+    out, ck = scratch_path(spark, "minute_metrics"), scratch_path(spark, "minute_metrics_ck")
+    run_to_parquet(m, out, ck)
+    return spark.read.parquet(out)
+
+
+@query("stream_batches")
+def q_stream_batches(spark, sf):
+    import datetime as dt
+    from enrichkit.session import scratch_path
+    from enrichkit.streaming.pipeline import run_enrichment_stream
+    ev = td.device_events(spark, sf)
+    root = scratch_path(spark, "stream_batches")
+    src, raw, dead, ck = f"{root}/input", f"{root}/raw", f"{root}/dead", f"{root}/checkpoint"
+    payloads = td.device_payloads(spark, sf)
+    now = dt.datetime(2024, 1, 31)
+    cut = F.lit(dt.datetime(2024, 1, 16))
+    runs = [[ev.filter(F.col("created_timestamp") < cut)],
+            [ev.filter(F.col("created_timestamp") >= cut),
+             ev.filter(F.col("device_os").isNull())]]          # re-sent rows (duplicates)
+    for files in runs:                                          # two runs on one checkpoint
+        for part in files:
+            part.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", "created_timestamp",
+                              now, watermark="31 days")
+    r = spark.read.parquet(raw).select(F.lit("raw").alias("zone"), "reference_id", "cuid", "device_os",
+                                       "raw_data", F.lit(None).cast("string").alias("api_status"))
+    d = spark.read.parquet(dead).select(F.lit("dead_letter").alias("zone"), "reference_id", "cuid",
+                                        "device_os", F.lit(None).cast("string").alias("raw_data"), "api_status")
+    return r.unionByName(d)

@@ -536,3 +536,38 @@ WHERE NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.referenc
 ORDER BY reference_id LIMIT 500""")
 
 ORACLES["latest_n"] = "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC LIMIT 10"
+
+# ------------------------------------------------------------ sources / sinks / streams
+ORACLES["sink_roundtrip"] = f"""WITH {_DEV_LOOKUP}
+SELECT z.zone, cuid, reference_id, device_os, payload AS raw_data, DATE '2024-01-31' AS partition_date
+FROM lk, (VALUES ('raw'), ('landing')) z(zone) WHERE status LIKE '2%'"""
+
+ORACLES["sql_job"] = ORACLES["retry_list"]
+
+ORACLES["inline_rows"] = with_views(["cust", "app", "apply_info", "geo_done"], """
+, lit AS (SELECT * FROM (VALUES
+  ('a5c50c8b-792c-4da4-b279-966caf055d33', '141011354623dfdfdd123456', TIMESTAMP '2025-10-14 11:09:43.765312',
+   'Ngõ 24 kim đồng', 'Thôn Lương Thiện Lương Sơn, Thanh Hóa', CAST(NULL AS VARCHAR), 'việt foood',
+   '105.76631755800807', '10.039397649536806', DATE '2025-10-20'),
+  ('b7d61e2c-8a3f-4e1a-9c4b-5f3e7a2c1d9a', '141011354623dfdfdd123456789', TIMESTAMP '2025-10-14 11:15:22.432156',
+   'Số 45 Nguyễn Huệ', 'Xã Tân Bình, TP Hồ Chí Minh', '0305123456', 'mekong coffee solutions',
+   '106.36492068013104', '10.252252252252251', DATE '2025-10-20'))
+  t(cuid, serial_number, created_at, current_detailed_address, permanent_detailed_address, tax_code,
+    company_name, longitude, latitude, partition_date))
+, u AS (SELECT * FROM lit UNION ALL
+  SELECT CAST(c.cuid AS VARCHAR), CAST(a.serial_number AS VARCHAR), a.created_at, c.current_detailed_address,
+         c.permanent_detailed_address, ay.tax_code, ay.company_name, ay.longitude, ay.latitude, a.partition_date
+  FROM cust c JOIN app a ON c.id = a.customer_id JOIN apply_info ay ON c.cuid = ay.cuid)
+SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM geo_done g WHERE CAST(g.serial_number AS VARCHAR) = u.serial_number)""")
+
+ORACLES["minute_metrics"] = """
+SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, count_if(event_type = 'purchase') AS writes,
+  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS written_rows
+FROM events GROUP BY 1
+HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE"""
+
+ORACLES["stream_batches"] = f"""WITH {_DEV_LOOKUP}
+SELECT CASE WHEN status LIKE '2%' THEN 'raw' ELSE 'dead_letter' END AS zone, reference_id, cuid, device_os,
+  CASE WHEN status LIKE '2%' THEN payload END AS raw_data,
+  CASE WHEN status LIKE '2%' THEN NULL ELSE status END AS api_status
+FROM lk"""
