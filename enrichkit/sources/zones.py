@@ -39,9 +39,10 @@ def read_landing(spark: SparkSession, path: str, schema: StructType | str) -> Da
 def param_literal(value) -> Column:
     """SRC-2 type binding: date and 'YYYY-MM-DD' text -> DATE; bool is tested
     before int (the reference tests int first and sends BOOL as INT64);
-    datetime -> TIMESTAMP; None -> NULL STRING."""
+    datetime -> TIMESTAMP; int -> INT or BIGINT by size; None -> NULL (Spark
+    binds only literals, so the NULL is untyped and takes its type from use)."""
     if value is None:
-        return F.lit(None).cast("string")
+        return F.lit(None)
     if isinstance(value, bool):
         return F.lit(value)
     if isinstance(value, dt.datetime):
@@ -53,10 +54,8 @@ def param_literal(value) -> Column:
             return F.lit(dt.date.fromisoformat(value))
         except ValueError:
             return F.lit(value)
-    if isinstance(value, int):
-        return F.lit(value).cast("bigint")
-    if isinstance(value, float):
-        return F.lit(value).cast("double")
+    if isinstance(value, (int, float)):
+        return F.lit(value)
     return F.lit(str(value))
 
 
