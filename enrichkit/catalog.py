@@ -575,3 +575,49 @@ def q_stream_batches(spark, sf):
     d = spark.read.parquet(dead).select(F.lit("dead_letter").alias("zone"), "reference_id", "cuid",
                                         "device_os", F.lit(None).cast("string").alias("raw_data"), "api_status")
     return r.unionByName(d)
+
+
+@query("stream_flatten")
+def q_stream_flatten(spark, sf):
+    """SM-6: RAW arrives as files in two runs; a foreachBatch query flattens
+    (iOS) what each micro-batch adds, skipping references already flattened."""
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import IOS
+    from enrichkit.session import scratch_path
+    from enrichkit.streaming.pipeline import incremental_flatten_batch
+    raw = td.device_raw(spark, sf)
+    root = scratch_path(spark, "stream_flatten")
+    src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
+    cut = F.lit(__import__("datetime").datetime(1998, 1, 1))
+    body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS), feats, "reference_number")
+    for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut)]:
+        part.coalesce(2).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(feats).drop("batch_id")
+
+
+@query("daily_candidates_android")
+def q_daily_candidates_android(spark, sf):
+    """PL-1 with the device-type restriction (FLT-8)."""
+    from enrichkit.plans.candidates import daily_candidates
+    return daily_candidates(td.device_events(spark, sf), td.customers(spark, sf),
+                            td.applications(spark, sf),
+                            [td.device_raw_done(spark, sf, "android"), td.device_raw_done(spark, sf, "ios")],
+                            td.device_dead_letter(spark, sf), device_spec(device_type="android"))
+
+
+@query("run_all")
+def q_run_all(spark, sf):
+    """PL-11: one full geo run on fresh zones seeded with the dead letters."""
+    import datetime as dt
+    from enrichkit.plans.run import DEAD, GeoSources, run_geo
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import write_zone
+    root = scratch_path(spark, "run_all")
+    write_zone(td.geo_dead_letter(spark, sf), f"{root}/{DEAD}")
+    src = GeoSources(td.customers(spark, sf), td.applications(spark, sf), td.apply_info(spark, sf),
+                     td.pois(spark, sf), td.geo_failures(spark, sf))
+    return run_geo(spark, src, root, geo_spec(batch_uuid="run-1"), dt.datetime(2024, 1, 31))

@@ -571,3 +571,10 @@ SELECT CASE WHEN status LIKE '2%' THEN 'raw' ELSE 'dead_letter' END AS zone, ref
   CASE WHEN status LIKE '2%' THEN payload END AS raw_data,
   CASE WHEN status LIKE '2%' THEN NULL ELSE status END AS api_status
 FROM lk"""
+
+ORACLES["stream_flatten"] = _flatten_device_sql(ios=True).replace(
+    "FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'", "FROM orders")
+
+ORACLES["daily_candidates_android"] = ORACLES["daily_candidates"].replace(
+    "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL",
+    "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL AND upper(m.device_os) = 'ANDROID'")
