@@ -27,19 +27,24 @@ def exclude_processed(df: DataFrame,
 
     Each entry is ``(done_df, {left_col: right_col})``; filter ``done_df``
     first for extra right-side predicates (JN-6). Only the key columns of the
-    done side are read (column pruning reaches the scan).
+    done side are read (column pruning reaches the scan), and they are
+    de-duplicated first: the partial aggregate runs before the shuffle the
+    join needs anyway, so a key repeated in many done rows costs one row per
+    task, not one per copy.
     """
     out = df
     for right, key_map in done:
-        keys = right.select(*[F.col(rk) for rk in key_map.values()])
+        keys = right.select(*[F.col(rk) for rk in key_map.values()]).distinct()
         out = out.join(keys, _on(out, keys, key_map), "left_anti")
     return out
 
 
 def incremental(src: DataFrame, target: DataFrame, src_key: str, target_key: str) -> DataFrame:
     """JN-7: rows of ``src`` whose key is not in ``target`` yet
-    (``LEFT JOIN target ... WHERE target.key IS NULL``, NULL src keys dropped)."""
-    t = target.select(F.col(target_key).alias("_tk")).filter(F.col("_tk").isNotNull())
+    (``LEFT JOIN target ... WHERE target.key IS NULL``, NULL src keys dropped).
+    Target keys are de-duplicated first (a feature table with app fan-out
+    repeats each key once per app)."""
+    t = target.select(F.col(target_key).alias("_tk")).filter(F.col("_tk").isNotNull()).distinct()
     return (src.filter(F.col(src_key).isNotNull())
             .join(t, F.col(src_key) == F.col("_tk"), "left_anti"))
 

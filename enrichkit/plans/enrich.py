@@ -132,8 +132,9 @@ def geo_lookup(candidates: DataFrame, places: DataFrame, key: str = "serial_numb
     pts = candidates.select(F.col(key).alias("_k"), valid.alias("_valid"),
                             F.when(valid, F.col("latitude").cast("string").try_cast("double")).alias("_lat"),
                             F.when(valid, F.col("longitude").cast("string").try_cast("double")).alias("_lon"))
-    counts = poi_counts(pts, places, scenarios, radius_m, point_key="_k", lat="_lat", lon="_lon")
-    out = counts.join(pts.select("_k", "_valid"), "_k")
+    # an invalid point has NULL lat/lon, and poi_counts gives it a NULL count
+    out = (poi_counts(pts, places, scenarios, radius_m, point_key="_k", lat="_lat", lon="_lon")
+           .withColumn("_valid", F.col("count").isNotNull()))
     if failures is not None:
         f = failures.select(F.col(key).alias("_k"), "scenario", F.col("status").alias("_fs"))
         out = out.join(f, ["_k", "scenario"], "left")

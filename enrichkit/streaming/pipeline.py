@@ -79,7 +79,12 @@ def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: st
         todo = batch.drop(_ET)
         done = _existing(spark, raw_path)
         if done is not None:
-            prior = done.filter(F.col("batch_id") != F.lit(batch_id)).select(key)
+            # semi-join reduction: only RAW keys that occur in this batch
+            # (small) take part in the anti join, so RAW is scanned for one
+            # column but never shuffled whole; AQE broadcasts the small sides
+            mine = todo.select(key).distinct()
+            prior = (done.filter(F.col("batch_id") != F.lit(batch_id)).select(key)
+                     .join(mine, key, "left_semi"))
             todo = todo.join(prior, key, "left_anti")
         looked = lookup_join(todo, payloads, key)
         ok, bad = split_outcomes(looked)
