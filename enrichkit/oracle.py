@@ -493,15 +493,15 @@ FROM events GROUP BY ALL"""
 
 ORACLES["api_stats"] = f"""WITH {_API_LOG}
 SELECT api_type, status_code, CAST(start_time AS DATE) AS day, count(*) AS calls,
-  round(avg(date_diff('second', start_time, end_time)), 3) AS avg_duration_s, sum(retry) AS total_retries
+  round(avg(date_diff('second', start_time, end_time)), 3) AS avg_duration_s, CAST(sum(retry) AS BIGINT) AS total_retries
 FROM api GROUP BY ALL"""
 
 ORACLES["retry_stats"] = f"""WITH {_API_LOG}
 SELECT api_type, retry, count(*) AS n FROM api WHERE retry > 0 GROUP BY ALL"""
 
 ORACLES["countif_stats"] = f"""WITH {_API_LOG}
-SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, count_if(status_code = 'F') AS ok_calls,
-  count_if(NOT (status_code = 'F')) AS failed_calls, max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
+SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, CAST(count_if(status_code = 'F') AS BIGINT) AS ok_calls,
+  CAST(count_if(NOT (status_code = 'F')) AS BIGINT) AS failed_calls, max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
 FROM api GROUP BY ALL"""
 
 ORACLES["failed_since"] = f"""WITH {_API_LOG}
@@ -524,9 +524,9 @@ FROM r"""
 ORACLES["batch_summary"] = f"""WITH {_DEV_LOOKUP}
 , b AS (SELECT *, (row_number() OVER (ORDER BY reference_id) - 1) // 500 + 1 AS batch_no FROM lk)
 SELECT batch_no,
-  count_if(device_os IS NOT NULL AND status LIKE '2%') AS success_count,
-  count_if(device_os IS NOT NULL AND NOT status LIKE '2%') AS error_count,
-  count_if(device_os IS NULL) AS skipped_count,
+  CAST(count_if(device_os IS NOT NULL AND status LIKE '2%') AS BIGINT) AS success_count,
+  CAST(count_if(device_os IS NOT NULL AND NOT status LIKE '2%') AS BIGINT) AS error_count,
+  CAST(count_if(device_os IS NULL) AS BIGINT) AS skipped_count,
   array_to_string(list_sort(list(CAST(reference_id AS VARCHAR))), ',') AS processed
 FROM b GROUP BY batch_no"""
 
@@ -561,8 +561,8 @@ ORACLES["inline_rows"] = with_views(["cust", "app", "apply_info", "geo_done"], "
 SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM geo_done g WHERE CAST(g.serial_number AS VARCHAR) = u.serial_number)""")
 
 ORACLES["minute_metrics"] = """
-SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, count_if(event_type = 'purchase') AS writes,
-  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS written_rows
+SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, CAST(count_if(event_type = 'purchase') AS BIGINT) AS writes,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS written_rows
 FROM events GROUP BY 1
 HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE"""
 

@@ -54,7 +54,10 @@ def failed_since(api_log: DataFrame, since: dt.date) -> DataFrame:
 def quota_by_minute(calls: DataFrame, ts: str, limit_per_min: int,
                     alarm_pct: float = QUOTA_ALARM_PCT) -> DataFrame:
     """AG-11: calls per minute as a share of the limit, flagged above 80 %."""
-    return (calls.groupBy(F.date_trunc("minute", F.col(ts)).alias("minute"))
+    minute = F.date_trunc("minute", F.col(ts))
+    if dict(calls.dtypes).get(ts) == "timestamp_ntz":   # date_trunc returns TIMESTAMP
+        minute = minute.cast("timestamp_ntz")
+    return (calls.groupBy(minute.alias("minute"))
             .agg(F.count(F.lit(1)).alias("calls"))
             .withColumn("usage_pct", F.round(F.col("calls") * 100.0 / F.lit(limit_per_min), 2))
             .withColumn("alarm", F.col("usage_pct") > F.lit(alarm_pct)))

@@ -275,7 +275,7 @@ def geo_raw(spark, sf_dir) -> DataFrame:
                     F.col("c_name").alias("company_name"),
                     lon.alias("contract_longitude"), lat.alias("contract_latitude"),
                     counts.alias("raw_data"),
-                    F.lit(dt.datetime(2024, 1, 30, 12, 0)).alias("bq_updated_time"),
+                    F.lit(dt.datetime(2024, 1, 30, 12, 0)).cast("timestamp_ntz").alias("bq_updated_time"),
                     F.lit(dt.date(2024, 1, 30)).alias("partition_date"))
 
 
