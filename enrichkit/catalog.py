@@ -619,5 +619,5 @@ def q_run_all(spark, sf):
     root = scratch_path(spark, "run_all")
     write_zone(td.geo_dead_letter(spark, sf), f"{root}/{DEAD}")
     src = GeoSources(td.customers(spark, sf), td.applications(spark, sf), td.apply_info(spark, sf),
-                     td.pois(spark, sf), td.geo_failures(spark, sf))
+                     td.pois(spark, sf), td.geo_failures_by_order(spark, sf))
     return run_geo(spark, src, root, geo_spec(batch_uuid="run-1"), dt.datetime(2024, 1, 31))

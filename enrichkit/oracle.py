@@ -578,3 +578,32 @@ ORACLES["stream_flatten"] = _flatten_device_sql(ios=True).replace(
 ORACLES["daily_candidates_android"] = ORACLES["daily_candidates"].replace(
     "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL",
     "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL AND upper(m.device_os) = 'ANDROID'")
+
+ORACLES["run_all"] = with_views(["cust", "app", "apply_info", "geo_dl"], """
+, fails AS (SELECT o_orderkey AS serial_number FROM orders JOIN customer ON o_custkey = c_custkey
+            WHERE c_acctbal < 0)
+, new AS (
+  SELECT c.cuid AS cuid, ap.serial_number AS serial_number
+  FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
+  WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
+    AND ay.longitude <> 'null' AND ay.latitude <> 'null'
+    AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
+  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
+                             ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1)
+, new_b AS (SELECT serial_number,
+            'batch-' || CAST((row_number() OVER (ORDER BY cuid, serial_number) - 1) // 500 + 1 AS VARCHAR) AS batch_label
+            FROM new)
+, retry AS (
+  SELECT series_number AS serial_number FROM geo_dl
+  WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30'
+  QUALIFY row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) = 1
+      AND NOT (api_status LIKE '2%' OR api_status = 'success'))
+, retry_b AS (SELECT serial_number,
+              'retry-' || CAST((row_number() OVER (ORDER BY serial_number) - 1) // 500 + 1 AS VARCHAR) AS batch_label
+              FROM retry)
+, work AS (SELECT * FROM new_b UNION ALL SELECT * FROM retry_b)
+SELECT batch_label,
+  CAST(count_if(serial_number NOT IN (SELECT serial_number FROM fails)) AS BIGINT) AS success_count,
+  CAST(count_if(serial_number IN (SELECT serial_number FROM fails)) AS BIGINT) AS error_count,
+  count(*) AS records
+FROM work GROUP BY batch_label""")

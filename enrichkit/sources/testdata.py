@@ -396,3 +396,13 @@ def date_texts(spark, sf_dir) -> DataFrame:
            .when(F.col("event_type") == "purchase", F.concat(d, F.lit("x")))
            .otherwise(F.concat(F.lit("2023-"), F.lpad(F.dayofmonth("ts").cast("string"), 2, "0"), F.lit("-01"))))
     return e.select("event_id", txt.alias("date_text"))
+
+
+def geo_failures_by_order(spark, sf_dir) -> DataFrame:
+    """Lookup errors keyed by application serial: the 'commercial' lookup
+    fails with 503 for orders of customers with a negative balance."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey")
+    return o.join(c, o["o_custkey"] == c["c_custkey"], "left_semi").select(
+        F.col("o_orderkey").alias("serial_number"), F.lit("commercial").alias("scenario"),
+        F.lit("503").alias("status"))
