@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.sources import testdata as td
-from enrichkit.spec import RunSpec
+from enrichkit.spec import RunSpec, ntz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -560,7 +560,7 @@ def q_stream_batches(spark, sf):
     src, raw, dead, ck = f"{root}/input", f"{root}/raw", f"{root}/dead", f"{root}/checkpoint"
     payloads = td.device_payloads(spark, sf)
     now = dt.datetime(2024, 1, 31)
-    cut = F.lit(dt.datetime(2024, 1, 16))
+    cut = ntz(dt.datetime(2024, 1, 16))
     runs = [[ev.filter(F.col("created_timestamp") < cut)],
             [ev.filter(F.col("created_timestamp") >= cut),
              ev.filter(F.col("device_os").isNull())]]          # re-sent rows (duplicates)
@@ -588,7 +588,7 @@ def q_stream_flatten(spark, sf):
     raw = td.device_raw(spark, sf)
     root = scratch_path(spark, "stream_flatten")
     src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
-    cut = F.lit(__import__("datetime").datetime(1998, 1, 1))
+    cut = ntz(__import__("datetime").datetime(1998, 1, 1))
     body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS), feats, "reference_number")
     for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut)]:
         part.coalesce(2).write.mode("append").parquet(src)

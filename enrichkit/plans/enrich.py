@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from enrichkit.functions.scalars import coords_valid, is_success_code
 from enrichkit.operators.radius import poi_counts
+from enrichkit.spec import ntz
 
 # ---------------------------------------------------------------------------
 # POI scenarios and the place types each one counts, and the
@@ -92,7 +93,7 @@ def to_raw(df: DataFrame, spec_as_of: dt.date, now: dt.datetime, columns: Sequen
     """PRJ-4: RAW row = uuid, record keys, payload JSON text, update time, date."""
     return df.select(F.expr("uuid()").alias("uuid"), *columns,
                      F.col(payload_col).alias("raw_data"),
-                     F.lit(now).cast("timestamp_ntz").alias("bq_updated_time"), F.lit(spec_as_of).alias("partition_date"))
+                     ntz(now).alias("bq_updated_time"), F.lit(spec_as_of).alias("partition_date"))
 
 
 def to_dead_letter(df: DataFrame, spec_as_of: dt.date, now: dt.datetime,
@@ -109,7 +110,7 @@ def to_dead_letter(df: DataFrame, spec_as_of: dt.date, now: dt.datetime,
                      *[first_truthy(srcs).alias(out) for out, srcs in fields.items()],
                      F.to_json(F.struct(*rec)).alias("api_payload_message"),
                      F.col(status_col).cast("string").alias("api_status"),
-                     F.lit(now).cast("timestamp_ntz").alias("bq_updated_time"), F.lit(spec_as_of).alias("partition_date"))
+                     ntz(now).alias("bq_updated_time"), F.lit(spec_as_of).alias("partition_date"))
 
 
 def route_by_device(raw: DataFrame, col: str = "device_os") -> dict[str, DataFrame]:
@@ -191,7 +192,7 @@ def geo_enrich(candidates: DataFrame, places: DataFrame, as_of: dt.date, now: dt
     good = candidates.join(gate.filter("all_ok").select("serial_number", "raw_data"), "serial_number")
     raw = good.select(F.expr("uuid()").alias("uuid"),
                       *[F.col(src).alias(out) for out, src in GEO_RAW_FIELDS.items()],
-                      "raw_data", F.lit(now).cast("timestamp_ntz").alias("bq_updated_time"),
+                      "raw_data", ntz(now).alias("bq_updated_time"),
                       F.lit(as_of).alias("partition_date"))
     bad = per.filter(~F.col("ok")).join(candidates, "serial_number")
     dead = bad.select(F.expr("uuid()").alias("uuid"), "cuid",
@@ -205,5 +206,5 @@ def geo_enrich(candidates: DataFrame, places: DataFrame, as_of: dt.date, now: dt
                       F.col("status").alias("api_status"),
                       F.lit(None).cast("int").alias("retry_count"),
                       F.lit(None).cast("timestamp_ntz").alias("last_retry_time"),
-                      F.lit(now).cast("timestamp_ntz").alias("bq_updated_time"), F.lit(as_of).alias("partition_date"))
+                      ntz(now).alias("bq_updated_time"), F.lit(as_of).alias("partition_date"))
     return raw, dead

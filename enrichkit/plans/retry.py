@@ -11,7 +11,7 @@ from enrichkit.functions.scalars import is_failure
 from enrichkit.operators.batching import assign_batches
 from enrichkit.operators.dedup import latest_then_filter
 from enrichkit.operators.joins import flag_present
-from enrichkit.spec import RunSpec
+from enrichkit.spec import RunSpec, ntz
 
 
 def retry_window(dead_letter: DataFrame, spec: RunSpec, bounded: bool) -> DataFrame:
@@ -62,7 +62,7 @@ def reconcile(dead_letter: DataFrame, raw: DataFrame, day: dt.date, now: dt.date
     return (flagged
             .withColumn("_hit", F.col("_landed") & F.coalesce(is_failure("api_status"), F.lit(False)))
             .withColumn("api_status", F.when(hit, F.lit("200")).otherwise(F.col("api_status")))
-            .withColumn("bq_updated_time", F.when(hit, F.lit(now).cast("timestamp_ntz")).otherwise(F.col("bq_updated_time")))
+            .withColumn("bq_updated_time", F.when(hit, ntz(now)).otherwise(F.col("bq_updated_time")))
             .withColumn("partition_date", F.when(hit, F.lit(day)).otherwise(F.col("partition_date")))
             .withColumnRenamed("_hit", "reconciled")
             .drop("_landed"))

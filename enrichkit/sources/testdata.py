@@ -27,6 +27,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from enrichkit.spec import ntz
+
 AS_OF = dt.date(2024, 1, 31)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -250,7 +252,7 @@ def device_raw(spark, sf_dir) -> DataFrame:
 def flattened_target(spark, sf_dir) -> DataFrame:
     """Feature rows already flattened: orders dated before 1996."""
     o = table(spark, sf_dir, "orders")
-    return o.filter(F.col("o_orderdate") < F.lit(dt.datetime(1996, 1, 1))).select(
+    return o.filter(F.col("o_orderdate") < ntz(dt.datetime(1996, 1, 1))).select(
         F.col("o_orderkey").cast("string").alias("reference_number"))
 
 
@@ -275,7 +277,7 @@ def geo_raw(spark, sf_dir) -> DataFrame:
                     F.col("c_name").alias("company_name"),
                     lon.alias("contract_longitude"), lat.alias("contract_latitude"),
                     counts.alias("raw_data"),
-                    F.lit(dt.datetime(2024, 1, 30, 12, 0)).cast("timestamp_ntz").alias("bq_updated_time"),
+                    ntz(dt.datetime(2024, 1, 30, 12, 0)).alias("bq_updated_time"),
                     F.lit(dt.date(2024, 1, 30)).alias("partition_date"))
 
 

@@ -38,5 +38,12 @@ class RunSpec:
             raise ValueError("batch_size must be positive")
 
 
+def ntz(value: dt.datetime):
+    """TIMESTAMP_NTZ literal from its text: independent of the driver's and
+    the session's time zone (a Python datetime literal is not)."""
+    from pyspark.sql import functions as F
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 DEVICE_DEFAULTS = dict(batch_size=50, retry_from_days=3, retry_to_days=0)
 GEO_DEFAULTS = dict(batch_size=500, retry_from_days=20, retry_to_days=1)

@@ -24,6 +24,7 @@ from pyspark.sql.utils import AnalysisException
 
 from enrichkit.plans.enrich import lookup_join, split_outcomes
 from enrichkit.sources.zones import write_zone
+from enrichkit.spec import ntz
 
 
 _ET = "_event_time"
@@ -88,7 +89,7 @@ def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: st
             todo = todo.join(prior, key, "left_anti")
         looked = lookup_join(todo, payloads, key)
         ok, bad = split_outcomes(looked)
-        stamp = [F.lit(now).cast("timestamp_ntz").alias("bq_updated_time"), F.lit(batch_id).cast("bigint").alias("batch_id")]
+        stamp = [ntz(now).alias("bq_updated_time"), F.lit(batch_id).cast("bigint").alias("batch_id")]
         raw = ok.select(*todo.columns, F.col("payload").alias("raw_data"), *stamp)
         dead = bad.select(*todo.columns, F.col("status").alias("api_status"), *stamp)
         try:
