@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from enrichkit.operators.batching import assign_batches
 from enrichkit.plans.candidates import geo_candidates
 from enrichkit.plans.enrich import geo_enrich
-from enrichkit.plans.flatten import flatten_geo
+from enrichkit.plans.flatten import flatten_geo, geo_feature_schema
 from enrichkit.plans.retry import reconcile, retry_list, to_candidates
 from enrichkit.session import ensure_checkpoint_dir
-from enrichkit.sources.zones import flow_log_rows, read_zone, write_zone
+from enrichkit.sources.zones import conform, flow_log_rows, read_zone, write_zone
 from enrichkit.spec import RunSpec
 from enrichkit.streaming.messages import next_batch_message, outbox_frame
 
@@ -104,7 +104,7 @@ def run_geo(spark: SparkSession, src: GeoSources, root: str, spec: RunSpec,
     try:
         target = _read_or_empty(spark, root, FEATURES, spark.createDataFrame([], "serial_number bigint"))
         feats = flatten_geo(read_zone(spark, root, RAW), target.select("serial_number"))
-        write_zone(feats, f"{root}/{FEATURES}")
+        write_zone(conform(feats, geo_feature_schema()), f"{root}/{FEATURES}")   # SNK-2
         log.append(("04", "flatten", "SUCCESS", "features written"))
     except Exception as exc:  # the done message depends on this step
         flatten_ok = False
