@@ -111,3 +111,13 @@ def test_global_rank_many_partitions(spark):
     df = spark.range(0, 1000, 1, 7).withColumn("k", (F.col("id") * 7919) % 1000)
     out = global_rank(df, ["k"], "r").collect()
     assert sorted((r.k, r.r) for r in out) == [(i, i + 1) for i in range(1000)]
+
+
+def test_runspec_range_defaults():
+    import pytest
+    s = RunSpec(as_of=AS_OF).with_range_defaults()
+    assert (s.start_date, s.end_date) == (dt.date(2024, 1, 30), dt.date(2024, 1, 30))
+    s = RunSpec(as_of=AS_OF, start_date=dt.date(2024, 1, 10)).with_range_defaults()
+    assert s.end_date == dt.date(2024, 1, 10)
+    with pytest.raises(ValueError):
+        RunSpec(as_of=AS_OF, start_date=dt.date(2024, 1, 10), end_date=dt.date(2024, 1, 9)).validate()
