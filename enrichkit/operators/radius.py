@@ -2,7 +2,7 @@
 ``radius_m`` of each point.
 
 Plan: every place sits in exactly one grid cell (cell side = radius in
-latitude degrees). Each point is exploded to the cells its radius box
+latitude degrees). Each distinct point coordinate is exploded to the cells its radius box
 touches (3x3 near the equator, wider in longitude towards the poles, so the
 candidate set stays exact), equi-joined to the places on the cell key, and
 the exact great-circle distance is the residual filter. Each (point, place)
@@ -77,21 +77,29 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
 
     pts = points.select(F.col(point_key).alias("_pt"), F.col(lat).try_cast("double").alias("_lat"),
                         F.col(lon).try_cast("double").alias("_lon"))
-    valid = pts.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
-    cells = valid.select("_pt", "_lat", "_lon",
-                         F.explode(_cells_for_point(F.col("_lat"), F.col("_lon"),
-                                                    radius_m, cell_deg)).alias("_c"))
-    cells = cells.select("_pt", "_lat", "_lon", F.col("_c.cla").alias("cla"),
-                         F.col("_c.clo").alias("clo"))
+    # Copies first: many records can share one coordinate (one building may
+    # hold a third of all applications). Counts are computed once per
+    # distinct coordinate (partial aggregation collapses the copies before
+    # the shuffle) and joined back on the coordinate, an equi join whose hot
+    # key AQE splits.
+    coords = (pts.select("_lat", "_lon").filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+              .distinct())
+    cells = coords.select("_lat", "_lon",
+                          F.explode(_cells_for_point(F.col("_lat"), F.col("_lon"),
+                                                     radius_m, cell_deg)).alias("_c"))
+    cells = cells.select("_lat", "_lon", F.col("_c.cla").alias("cla"), F.col("_c.clo").alias("clo"))
     hits = (cells.join(pl, ["cla", "clo"])
             .filter(haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
                     <= F.lit(radius_m))
-            .groupBy("_pt", "scenario").agg(F.count(F.lit(1)).alias("_n")))
+            .groupBy("_lat", "_lon")
+            .agg(*[F.count_if(F.col("scenario") == F.lit(s)).alias(f"_n{i}") for i, s in enumerate(names)]))
 
-    # every point x every scenario (a generator over the fixed scenario names)
-    grid = pts.select("_pt", (F.col("_lat").isNotNull() & F.col("_lon").isNotNull()).alias("_ok"),
-                      F.explode(F.array(*[F.lit(s) for s in names])).alias("scenario"))
-    return (grid.join(hits, ["_pt", "scenario"], "left")
-            .select(F.col("_pt").alias(point_key), "scenario",
-                    F.when(F.col("_ok"), F.coalesce(F.col("_n"), F.lit(0)))
-                    .cast("bigint").alias("count")))
+    # every point x every scenario (a generator over the fixed scenario names);
+    # points with no place nearby get 0, invalid points NULL
+    per_point = pts.join(hits, ["_lat", "_lon"], "left")
+    ok = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    pairs = F.array(*[F.struct(F.lit(s).alias("scenario"),
+                               F.when(ok, F.coalesce(F.col(f"_n{i}"), F.lit(0))).cast("bigint").alias("count"))
+                      for i, s in enumerate(names)])
+    return (per_point.select(F.col("_pt").alias(point_key), F.explode(pairs).alias("_p"))
+            .select(point_key, F.col("_p.scenario").alias("scenario"), F.col("_p.count").alias("count")))
