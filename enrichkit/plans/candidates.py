@@ -28,9 +28,18 @@ def latest_applications(apps: DataFrame) -> DataFrame:
                           [F.col("partition_date").desc(), F.col("created_at").desc()])
 
 
-def _device_joined(events: DataFrame, customers: DataFrame, apps: DataFrame) -> DataFrame:
+def _device_joined(events: DataFrame, customers: DataFrame, apps: DataFrame,
+                   first_serial_only: bool = False) -> DataFrame:
+    """JN-1 + JN-2. With ``first_serial_only`` the applications are first
+    reduced to the lowest serial per (customer, day): when only that serial
+    can survive the later de-duplication, this removes the join fan-out of a
+    customer with many applications on one day before anything is shuffled."""
     c = latest_customers(customers).select(F.col("id").alias("c_id"), F.col("cuid").alias("c_cuid"))
     ap = latest_applications(apps).select("customer_id", "serial_number", "created_at")
+    if first_serial_only:
+        ap = (ap.groupBy("customer_id", F.to_date("created_at").alias("_day"))
+              .agg(F.min("serial_number").alias("serial_number"))
+              .select("customer_id", "serial_number", F.col("_day").cast("timestamp_ntz").alias("created_at")))
     # JN-1: candidate -> customer on cuid
     m = events.join(c, events["cuid"] == c["c_cuid"], "left")
     # JN-2: -> application on customer id and the calendar day
@@ -53,7 +62,8 @@ def daily_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
     done = [(d, {"reference_id": "reference_id"}) for d in done_tables]
     done.append((failed_today, {"reference_id": "reference_id"}))
     ev = exclude_processed(ev, done)                                                      # JN-5, JN-6
-    j = _device_joined(ev, customers, apps)
+    # WN-2 keeps the lowest serial of a reference: reduce before joining
+    j = _device_joined(ev, customers, apps, first_serial_only=True)
     proj = j.select("cuid", "reference_id", "device_os", "created_timestamp",
                     "serial_number", "partition_date")
     # WN-2: one row per reference after the join fan-out; tie -> lowest serial
