@@ -228,25 +228,25 @@ def device_raw(spark, sf_dir) -> DataFrame:
                            ins("velocity", velocity, d0), ins("deviceInfo", device_b, d1),
                            ins("typing", typing, d0), ins("expertScore", expert, d0),
                            ins("lastApps", apps, d0))
-    head = F.concat(F.lit('{"referenceNumber":"'), k.cast("string"),
-                    F.lit('","requester":"app","requestedDate":"'), d0.cast("string"), F.lit('"'))
+    # version 2 exists for orders in status F: newer partition and requester
+    v2 = F.col("_version") == 2
+    requester = F.when(v2, F.lit("app-v2")).otherwise(F.lit("app"))
+    head = F.concat(F.lit('{"referenceNumber":"'), k.cast("string"), F.lit('","requester":"'), requester,
+                    F.lit('","requestedDate":"'), d0.cast("string"), F.lit('"'))
     body = (F.when(F.col("o_orderstatus") == "P", F.concat(head, F.lit("}")))
             .when(pr == 5, F.concat(head, F.lit(',"insights":[]}')))
             .otherwise(F.concat(head, F.lit(',"insights":['), insights, F.lit("]}"))))
-    base = o.select(F.concat(F.lit("u-"), k.cast("string")).alias("uuid"),
-                    F.col("o_custkey").cast("string").alias("cuid"),
-                    k.cast("string").alias("reference_id"),
-                    F.concat(F.lit("S"), k.cast("string")).alias("series_number"),
-                    F.lit("Android").alias("device_os"), body.alias("raw_data"),
-                    F.col("o_orderdate").alias("bq_updated_time"),
-                    F.lit(dt.date(2024, 1, 20)).alias("partition_date"),
-                    F.col("o_orderstatus"))
-    newer = (base.filter(F.col("o_orderstatus") == "F")
-             .withColumn("uuid", F.concat(F.col("uuid"), F.lit("-v2")))
-             .withColumn("raw_data", F.regexp_replace("raw_data", '"requester":"app"',
-                                                      '"requester":"app-v2"'))
-             .withColumn("partition_date", F.lit(dt.date(2024, 1, 25))))
-    return base.unionByName(newer).drop("o_orderstatus")
+    versions = F.when(F.col("o_orderstatus") == "F", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    ov = o.select("*", F.explode(versions).alias("_version"))
+    return ov.select(F.concat(F.lit("u-"), k.cast("string"), F.when(v2, F.lit("-v2")).otherwise(F.lit("")))
+                     .alias("uuid"),
+                     F.col("o_custkey").cast("string").alias("cuid"),
+                     k.cast("string").alias("reference_id"),
+                     F.concat(F.lit("S"), k.cast("string")).alias("series_number"),
+                     F.lit("Android").alias("device_os"), body.alias("raw_data"),
+                     F.col("o_orderdate").alias("bq_updated_time"),
+                     F.when(v2, F.lit(dt.date(2024, 1, 25))).otherwise(F.lit(dt.date(2024, 1, 20)))
+                     .alias("partition_date"))
 
 
 def flattened_target(spark, sf_dir) -> DataFrame:
