@@ -54,3 +54,24 @@ def test_enrichment_stream_replay_is_idempotent(spark):
     r = [row.reference_id for row in spark.read.parquet(raw).collect()]
     d = [row.reference_id for row in spark.read.parquet(dead).collect()]
     assert sorted(r) == list(range(0, 20, 2)) and sorted(d) == list(range(1, 20, 2))
+
+
+def test_raw_write_failure_sends_batch_to_dead_letter(spark):
+    """SNK-6: a failing RAW write puts every row of the batch into the dead
+    letter with status 'INSERT RAW TABLE FAILED' and re-raises."""
+    import pytest
+    from enrichkit.streaming.pipeline import enrichment_batch
+    root = scratch_path(spark, "snk6")
+    import glob
+    blocker = f"{root}/raw"
+    spark.createDataFrame([("x",)], "a string").write.text(blocker)
+    first = sorted(glob.glob(blocker.replace("file:", "") + "/part-*"))[0]
+    bad_raw = first + "/raw"                         # a folder below a file cannot be created
+    ev = spark.createDataFrame([(1, i, "Android", dt.datetime(2024, 1, 5), dt.date(2024, 1, 5)) for i in range(4)], EV)
+    payloads = spark.createDataFrame([(i, "{}") for i in range(4)], "key bigint, payload string")
+    body = enrichment_batch(payloads, bad_raw, f"{root}/dead", "reference_id", dt.datetime(2024, 1, 31))
+    with pytest.raises(Exception):
+        body(ev, 0)
+    dead = spark.read.parquet(f"{root}/dead").collect()
+    assert sorted(r.reference_id for r in dead) == [0, 1, 2, 3]
+    assert {r.api_status for r in dead} == {"INSERT RAW TABLE FAILED"}
