@@ -47,16 +47,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _session_conf(spark)
     if not configured:
         configured = os.path.join("/tmp", "enrichkit-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _session_conf(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root, for written tables and
     stream checkpoints. Every call gets a new folder; nothing is cleared."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    root = _session_conf(spark) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
+        or ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/enrichkit/{name}-{uuid.uuid4().hex[:12]}"
