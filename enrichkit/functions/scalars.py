@@ -15,8 +15,9 @@ RETRYABLE_DEVICE = ["500", "502", "503", "504"]
 RETRYABLE_GEO = ["429", "500", "502", "503", "504"]
 # Sentinel text that means "missing" in string columns.
 NULL_WORD = "null"
-# 400 responses whose body marks a known, non-fatal case (logged as WARNING).
-WARNING_BODY_MARKERS = ["reference_number_invalid", "does not exist"]
+# 400 responses whose detail holds one of these texts are logged as WARNING.
+WARNING_BODY_MARKERS = ["reference_number_invalid",
+                        "Dataset with the specified reference number does not exist"]
 # ---------------------------------------------------------------------------
 
 
@@ -86,15 +87,17 @@ def coords_valid(lat: Column | str, lon: Column | str, strict: bool = False) ->
 
 
 def severity(status: Column | str, body: Column | str) -> Column:
-    """FN-17: status code -> log severity."""
-    s = _c(status).cast("string").try_cast("int")
-    b = F.lower(F.coalesce(_c(body).cast("string"), F.lit("")))
+    """FN-17: status '400' whose detail contains a marker text (case as
+    written) -> WARNING; any status text starting with '4' or '5' -> ERROR;
+    else Info."""
+    s = _c(status).cast("string")
+    b = F.coalesce(_c(body).cast("string"), F.lit(""))
     marker = None
     for m in WARNING_BODY_MARKERS:
         hit = b.contains(m)
         marker = hit if marker is None else (marker | hit)
-    return (F.when((s == 400) & marker, F.lit("WARNING"))
-            .when(s.between(400, 599), F.lit("ERROR"))
+    return (F.when((s == F.lit("400")) & marker, F.lit("WARNING"))
+            .when(s.startswith("4") | s.startswith("5"), F.lit("ERROR"))
             .otherwise(F.lit("Info")))
 
 
@@ -119,21 +122,56 @@ def split_code_name(text: Column | str) -> tuple[Column, Column]:
     return parts.getItem(0), F.try_element_at(parts, F.lit(2))
 
 
+def _variant_kind(node: Column) -> Column:
+    return F.schema_of_variant(node)
+
+
+def _is_numeric_kind(kind: Column) -> Column:
+    return (kind.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
+            | kind.startswith("DECIMAL"))
+
+
+def _py_truthy(node: Column) -> Column:
+    """Python truthiness of a JSON value: NULL/missing, false, 0, '', {} and
+    [] are falsy."""
+    kind = _variant_kind(node)
+    return (F.when(node.isNull() | (kind == "VOID"), F.lit(False))
+            .when(kind == "BOOLEAN", F.try_variant_get(node, "$", "boolean"))
+            .when(_is_numeric_kind(kind), F.try_variant_get(node, "$", "double") != 0)
+            .when(kind == "STRING", F.try_variant_get(node, "$", "string") != "")
+            .when(kind.startswith("OBJECT"), kind != "OBJECT<>")
+            .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(node, "$", "array<variant>")) > 0)
+            .otherwise(F.lit(True)))
+
+
+def _py_int(node: Column) -> Column:
+    """Python ``int(x)`` of a JSON value, NULL where it raises: numbers are
+    truncated, integer text is parsed (decimal text is not), booleans give
+    1 / 0, objects and arrays fail."""
+    kind = _variant_kind(node)
+    return (F.when(node.isNull() | (kind == "VOID"), F.lit(None).cast("bigint"))
+            .when(kind == "BOOLEAN", F.try_variant_get(node, "$", "boolean").cast("bigint"))
+            .when(_is_numeric_kind(kind), F.try_variant_get(node, "$", "double").try_cast("bigint"))
+            .when(kind == "STRING", F.try_variant_get(node, "$", "string").try_cast("bigint"))
+            .otherwise(F.lit(None).cast("bigint")))
+
+
 def count_normalise(resp: Column | str) -> Column:
     """FN-16: lookup response (VARIANT) -> count text.
 
-    ``count`` if present; else the first ``insights[]`` item named
-    INSIGHT_COUNT or count, its ``count`` or else ``value``; anything missing
-    or not an integer -> '0'."""
+    ``count`` when the key is present (even if null); otherwise the first
+    ``insights[]`` item named INSIGHT_COUNT or count, its ``count`` or, when
+    that is falsy, its ``value``; then ``int()`` of it, and '0' when that is
+    missing or fails."""
     from enrichkit.functions.json import json_array, json_value
 
     v = _c(resp)
     items = F.filter(json_array(v, "$.insights"),
                      lambda x: json_value(x, "$.name").isin("INSIGHT_COUNT", "count"))
     first = F.try_element_at(items, F.lit(1))
-    item_val = F.coalesce(F.nullif(json_value(first, "$.count"), F.lit("")),
-                          json_value(first, "$.value"))
-    has_count = F.try_variant_get(v, "$.count", "variant").isNotNull()
-    raw = F.when(has_count, json_value(v, "$.count")).otherwise(item_val)
-    as_int = raw.try_cast("bigint")
-    return F.coalesce(as_int, F.lit(0)).cast("string")
+    first_count = F.try_variant_get(first, "$.count", "variant")
+    item_val = F.when(_py_truthy(first_count), first_count).otherwise(
+        F.try_variant_get(first, "$.value", "variant"))
+    top = F.try_variant_get(v, "$.count", "variant")
+    raw = F.when(top.isNotNull(), top).otherwise(item_val)
+    return F.coalesce(_py_int(raw), F.lit(0)).cast("string")

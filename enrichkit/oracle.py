@@ -420,10 +420,11 @@ FROM pages WHERE url LIKE '%/en/%'"""
 
 ORACLES["severity"] = with_views(["dl"], """
 SELECT uuid, api_status,
-  CASE WHEN try_cast(api_status AS INTEGER) = 400 AND (lower(coalesce(api_payload_message, ''))
-            LIKE '%reference_number_invalid%' OR lower(coalesce(api_payload_message, '')) LIKE '%does not exist%')
+  CASE WHEN api_status = '400' AND (contains(coalesce(api_payload_message, ''), 'reference_number_invalid')
+            OR contains(coalesce(api_payload_message, ''),
+                        'Dataset with the specified reference number does not exist'))
        THEN 'WARNING'
-       WHEN try_cast(api_status AS INTEGER) BETWEEN 400 AND 599 THEN 'ERROR' ELSE 'Info' END AS severity,
+       WHEN starts_with(api_status, '4') OR starts_with(api_status, '5') THEN 'ERROR' ELSE 'Info' END AS severity,
   coalesce(api_status IN ('500', '502', '503', '504'), false) AS retry_device,
   coalesce(api_status IN ('429', '500', '502', '503', '504'), false) AS retry_geo
 FROM dl""")

@@ -84,15 +84,22 @@ def test_resolver_errors_become_rows(spark):
 
 
 def test_count_normalise_shapes(spark):
-    resp = ['{"count": "4"}', '{"insights": [{"name": "INSIGHT_COUNT", "value": 7}]}', "{}", '{"count": "x"}']
+    resp = ['{"count": "4"}', '{"insights": [{"name": "INSIGHT_COUNT", "value": 7}]}', "{}", '{"count": "x"}',
+            '{"count": 4.9}', '{"count": "4.0"}', '{"count": true}', '{"count": null, "insights": [{"name": "count"}]}',
+            '{"insights": [{"name": "count", "count": 0, "value": 5}]}',
+            '{"insights": [{"name": "other", "value": 1}, {"name": "count", "count": "3"}]}',
+            '{"insights": {"name": "count"}}']
     df = spark.createDataFrame([(r,) for r in resp], "r string")
-    assert [r.c for r in df.select(count_normalise(parse("r")).alias("c")).collect()] == ["4", "7", "0", "0"]
+    assert [r.c for r in df.select(count_normalise(parse("r")).alias("c")).collect()] == [
+        "4", "7", "0", "0", "4", "0", "1", "0", "5", "3", "0"]
 
 
 def test_severity(spark):
-    df = spark.createDataFrame([("400", "reference_number_invalid"), ("404", ""), ("200", ""), ("failed", "")],
-                               "s string, b string")
-    assert [r.v for r in df.select(severity("s", "b").alias("v")).collect()] == ["WARNING", "ERROR", "Info", "Info"]
+    df = spark.createDataFrame([("400", "reference_number_invalid"), ("404", ""), ("200", ""), ("failed", ""),
+                                ("400", "Dataset with the specified reference number does not exist"),
+                                ("400", "dataset does not exist"), ("5xx", None)], "s string, b string")
+    assert [r.v for r in df.select(severity("s", "b").alias("v")).collect()] == [
+        "WARNING", "ERROR", "Info", "Info", "WARNING", "ERROR", "ERROR"]
 
 
 def test_messages_routes(spark):
