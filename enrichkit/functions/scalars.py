@@ -67,11 +67,19 @@ def extract_or_null(text: Column | str, pattern: str, idx: int = 1) -> Column:
     return F.nullif(F.regexp_extract(_c(text), pattern, idx), F.lit(""))
 
 
+# What strptime('%Y-%m-%d') accepts for each field.
+_YMD = r"^(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])$"
+
+
 def date_valid(text: Column | str) -> Column:
-    """FN-14: strict YYYY-MM-DD that is also a real calendar date."""
+    """FN-14: the text parses as '%Y-%m-%d' the way Python's strptime does
+    (four-digit year >= 1, one- or two-digit month and day, a day may be
+    ' 5') and names a real calendar date."""
     t = _c(text)
-    return (t.rlike(r"^\d{4}-\d{2}-\d{2}$")
-            & F.try_to_date(t, "yyyy-MM-dd").isNotNull()).alias("date_valid")
+    y, m, d = (F.regexp_extract(t, _YMD, i) for i in (1, 2, 3))
+    iso = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(F.trim(d), 2, "0"))
+    ok = t.rlike(_YMD) & (y.cast("int") >= 1) & F.try_to_date(iso, "yyyy-MM-dd").isNotNull()
+    return F.coalesce(ok, F.lit(False)).alias("date_valid")
 
 
 def coords_valid(lat: Column | str, lon: Column | str, strict: bool = False) -> Column:

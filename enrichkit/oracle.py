@@ -448,7 +448,10 @@ WITH d AS (SELECT event_id, CASE event_type
     WHEN 'purchase' THEN CAST(CAST(ts AS DATE) AS VARCHAR) || 'x'
     ELSE '2023-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') || '-01' END AS date_text FROM events)
 SELECT event_id, date_text,
-  coalesce(regexp_full_match(date_text, '\d{4}-\d{2}-\d{2}') AND try_strptime(date_text, '%Y-%m-%d') IS NOT NULL,
+  coalesce(regexp_full_match(date_text, '(\d{4})-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])')
+           AND TRY_CAST(split_part(date_text, '-', 1) AS INTEGER) >= 1
+           AND try_strptime(split_part(date_text, '-', 1) || '-' || lpad(split_part(date_text, '-', 2), 2, '0')
+                            || '-' || lpad(trim(split_part(date_text, '-', 3)), 2, '0'), '%Y-%m-%d') IS NOT NULL,
            false) AS date_valid
 FROM d"""
 

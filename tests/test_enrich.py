@@ -124,3 +124,13 @@ def test_aes_masking_roundtrip(spark):
     row = m.select(unmask_aes("lat", key).alias("lat"), unmask_aes("addr", key).alias("addr")).collect()[0]
     assert (row.lat, row.addr) == ("10.5", "addr")
     assert m.collect()[0].lat != "10.5"
+
+
+def test_date_valid_like_strptime(spark):
+    from enrichkit.functions.scalars import date_valid
+    cases = [("2024-01-05", True), ("2024-1-5", True), ("2024-01- 5", True), ("2024-02-29", True),
+             ("2023-02-29", False), ("2024-13-01", False), ("2024/01/05", False), ("", False), (None, False),
+             ("0000-01-01", False), ("2024-01-05 ", False), ("24-01-05", False)]
+    df = spark.createDataFrame(cases, "t string, want boolean")
+    got = [(r.t, r.date_valid) for r in df.select("t", date_valid("t")).collect()]
+    assert got == [(t, w) for t, w in cases]
