@@ -49,10 +49,13 @@ def route(decoded: DataFrame, attributes: str = "attributes") -> DataFrame:
           .when(mtype == DAILY, F.lit("daily"))
           .when(mtype == RANGE, F.lit("range"))
           .otherwise(F.lit("error")))
-    valid = (F.when(rt == "daily", F.lit(True))
-             .when(rt == "range", F.coalesce(start_ok & end_ok & (F.try_to_date(start, "yyyy-MM-dd")
-                                                                  <= F.try_to_date(end, "yyyy-MM-dd")),
-                                             F.lit(False)))
+    # required parameters: a non-zero batch_number always; range messages
+    # also need both dates (well-formed, start not after end)
+    has_batch = F.coalesce(pp.getField("batch_number") != 0, F.lit(False))
+    valid = (F.when(rt == "daily", has_batch)
+             .when(rt == "range", has_batch & F.coalesce(
+                 start_ok & end_ok & (F.try_to_date(start, "yyyy-MM-dd") <= F.try_to_date(end, "yyyy-MM-dd")),
+                 F.lit(False)))
              .otherwise(F.lit(False)))
     sub_start = F.coalesce(F.col(attributes).getItem("start_date"), F.lit(""))
     return decoded.select(

@@ -107,13 +107,14 @@ def test_messages_routes(spark):
     bodies = [{"message_type": "daily_recall", "processing_params": {"batch_number": 2, "source": "daily_job"}},
               {"message_type": "range_recall", "processing_params": {"start_date": "2025-01-15",
                                                                      "end_date": "2025-01-15", "batch_number": 3}},
-              {"message_type": "nope"}]
+              {"message_type": "nope"},
+              {"message_type": "daily_recall", "processing_params": {"source": "daily_job"}}]
     rows = [(base64.b64encode(json.dumps(b).encode()).decode(), {"start_date": ""}) for b in bodies]
     rows.append((base64.b64encode(b"not json").decode(), {}))
     df = spark.createDataFrame(rows, "data string, attributes map<string,string>")
     out = route(decode(df)).collect()
-    assert [r.route for r in out] == ["daily", "range", "error", "quarantine"]
-    assert [r.valid for r in out] == [True, True, False, False]
+    assert [r.route for r in out] == ["daily", "range", "error", "daily", "quarantine"]
+    assert [r.valid for r in out] == [True, True, False, False, False]
     assert out[1].start_date == "2025-01-15" and out[0].batch_number == 2
 
 
