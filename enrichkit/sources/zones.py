@@ -124,8 +124,9 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("partitio
               name_prefix: str = "") -> DataFrame:
     """SNK-3: JSON landing zone, partitioned by date and device. The
     per-record logical name ``{prefix}{date}_{os}_{id}.json`` is kept as the
-    ``landing_name`` column instead of one file per record."""
-    named = df.withColumn("landing_name", F.concat(
+    ``landing_name`` column instead of one file per record. Rows without a
+    key are skipped (see ``landing_report``)."""
+    named = df.filter(F.col("reference_id").isNotNull()).withColumn("landing_name", F.concat(
         F.lit(name_prefix), F.concat_ws("_", F.col("partition_date").cast("string"),
                                         F.lower(F.coalesce(F.col("device_os"), F.lit("unknown"))),
                                         F.col("reference_id").cast("string")), F.lit(".json")))
@@ -133,6 +134,15 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("partitio
     return named
 
 
+def landing_report(named: DataFrame) -> DataFrame:
+    """SNK-3 report: total / uploaded / failed documents of a landing write.
+    A document without a key cannot be named and counts as failed (the rest
+    are written; one bad record does not stop the batch)."""
+    ok = F.col("reference_id").isNotNull()
+    return named.agg(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("uploaded"),
+                     F.count_if(~ok).alias("failed"))
+
+
 def flow_log_rows(spark: SparkSession, flow_name: str, run_id: str, entries: Sequence[tuple],
                   at: dt.datetime) -> DataFrame:
     """SNK-8: flow-log rows (task code, task name, status, message)."""

@@ -57,3 +57,16 @@ def test_flatten_shuffles_only_for_dedup(spark):
     # second exchange; no per-section join or regroup
     assert p.count("Exchange hashpartitioning") <= 2
     assert "SortMergeJoin" not in p or p.count("SortMergeJoin") == 1
+
+
+def test_landing_skips_unnamed_and_reports(spark):
+    from enrichkit.sources.zones import land_json, landing_report, read_landing
+    path = scratch_path(spark, "landing")
+    df = spark.createDataFrame([(1, "Android", "{}", dt.date(2024, 1, 5)), (None, "IOS", "{}", dt.date(2024, 1, 5))],
+                               "reference_id bigint, device_os string, raw_data string, partition_date date")
+    land_json(df, path)
+    back = read_landing(spark, path, "reference_id bigint, raw_data string, landing_name string, "
+                                     "partition_date date, device_os string").collect()
+    assert [(r.reference_id, r.landing_name) for r in back] == [(1, "2024-01-05_android_1.json")]
+    rep = landing_report(df).collect()[0]
+    assert (rep.total, rep.uploaded, rep.failed) == (2, 1, 1)
