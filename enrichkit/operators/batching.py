@@ -42,9 +42,8 @@ def global_rank(df: DataFrame, order_by: Sequence[Column | str], name: str = "ra
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
-        from enrichkit.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(indexed.sparkSession)
-        indexed = indexed.checkpoint(eager=True)
+        from enrichkit.session import cut_lineage
+        indexed = cut_lineage(indexed)
     per_part = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                            F.min("_mid").alias("_first"))
     # one row per partition: a window over it is tiny and runs on one task

@@ -25,7 +25,7 @@ from enrichkit.plans.candidates import geo_candidates
 from enrichkit.plans.enrich import geo_enrich
 from enrichkit.plans.flatten import flatten_geo, geo_feature_schema
 from enrichkit.plans.retry import reconcile, retry_list, to_candidates
-from enrichkit.session import ensure_checkpoint_dir
+from enrichkit.session import cut_lineage
 from enrichkit.sources.zones import conform, flow_log_rows, read_zone, write_zone
 from enrichkit.spec import RunSpec
 from enrichkit.streaming.messages import next_batch_message, outbox_frame
@@ -61,9 +61,8 @@ def reconcile_zone(spark: SparkSession, root: str, day: dt.date, now: dt.datetim
     old_parts = dead.join(hits.select("uuid", "series_number"), ["uuid", "series_number"], "left_semi") \
         .select("partition_date").distinct()
     touched = old_parts.union(spark.range(1).select(F.lit(day).alias("partition_date"))).distinct()
-    ensure_checkpoint_dir(spark)
-    out = (new.join(touched, "partition_date", "left_semi").drop("reconciled")
-           .select(*dead.columns).checkpoint(eager=True))
+    out = cut_lineage(new.join(touched, "partition_date", "left_semi").drop("reconciled")
+                      .select(*dead.columns))
     n = hits.count()
     if n:
         write_zone(out, f"{root}/{DEAD}", overwrite_partitions=True)

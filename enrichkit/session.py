@@ -67,3 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = _session_conf(spark) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/enrichkit/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into the shared checkpoint folder (survives lost
+    executors, unlike a local checkpoint). The frame is persisted first so
+    the checkpoint write does not compute it a second time; the cache is
+    released once the checkpoint files exist."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
