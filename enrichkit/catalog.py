@@ -428,6 +428,12 @@ def q_countif_stats(spark, sf):
     return countif_stats(td.api_log(spark, sf), by_day=True)
 
 
+@query("countif_stats_global")
+def q_countif_stats_global(spark, sf):
+    from enrichkit.plans.opslog import countif_stats
+    return countif_stats(td.api_log(spark, sf), by_day=False)
+
+
 @query("failed_since")
 def q_failed_since(spark, sf):
     import datetime as dt

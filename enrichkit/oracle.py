@@ -508,6 +508,12 @@ SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, CAST(count_if(status_
   CAST(count_if(NOT (status_code = 'F')) AS BIGINT) AS failed_calls, max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
 FROM api GROUP BY ALL"""
 
+ORACLES["countif_stats_global"] = f"""WITH {_API_LOG}
+SELECT count(*) AS calls, CAST(count_if(status_code = 'F') AS BIGINT) AS ok_calls,
+  CAST(count_if(NOT (status_code = 'F')) AS BIGINT) AS failed_calls, max(retry) AS max_retry,
+  round(avg(retry), 4) AS avg_retry
+FROM api"""
+
 ORACLES["failed_since"] = f"""WITH {_API_LOG}
 SELECT count(*) AS failed FROM api WHERE start_time >= TIMESTAMP '1998-01-01' AND status_code <> 'F'"""
 

@@ -37,17 +37,19 @@ def with_event_time(df: DataFrame, ts: str) -> DataFrame:
 
 
 def minute_metrics(events: DataFrame, ts: str = "ts", watermark: str = "2 minutes",
-                   write_when=None) -> DataFrame:
-    """SM-1: calls and writes per minute (UTC). ``write_when`` marks the rows
-    that are writes; both an operation count and a row count are given. Rows
-    later than the watermark are dropped (the reference counts them in the
-    minute they arrive)."""
+                   write_when=None, rows_written=None) -> DataFrame:
+    """SM-1: calls and writes per minute (UTC). ``write_when`` marks the
+    events that are writes; ``writes`` counts those operations and
+    ``written_rows`` sums ``rows_written`` (rows per write, 1 by default).
+    Rows later than the watermark are dropped (the reference counts them in
+    the minute they arrive)."""
     w = write_when if write_when is not None else F.lit(False)
+    n_rows = rows_written if rows_written is not None else F.lit(1)
     ntz = dict(events.dtypes).get(ts) == "timestamp_ntz"
     return (with_event_time(events, ts).withWatermark(_ET, watermark)
             .groupBy(F.window(F.col(_ET), "1 minute").alias("w"))
             .agg(F.count(F.lit(1)).alias("calls"), F.count_if(w).alias("writes"),
-                 F.sum(F.when(w, F.lit(1)).otherwise(F.lit(0))).alias("written_rows"))
+                 F.sum(F.when(w, n_rows).otherwise(F.lit(0))).cast("bigint").alias("written_rows"))
             .select((F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")).alias("minute"),
                     "calls", "writes", "written_rows"))
 
