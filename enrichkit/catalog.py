@@ -103,6 +103,21 @@ def q_inner_chain(spark, sf):
                     F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
 
 
+@query("left_made_inner")
+def q_left_made_inner(spark, sf):
+    """JN-4: customer LEFT JOIN application LEFT JOIN line items, with a WHERE
+    on the application side; Catalyst (EliminateOuterJoin) makes the first
+    join inner, the second stays outer."""
+    c = td.customers(spark, sf).select(F.col("id").alias("c_id"), F.col("cuid").alias("c_cuid"))
+    a = td.applications(spark, sf)
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    j = (c.join(a, F.col("c_id") == a["customer_id"], "left")
+         .join(li, a["serial_number"] == li["l_orderkey"], "left")
+         .filter(F.col("status") == "ACTIVE"))
+    return j.select(F.col("c_cuid").alias("cuid"), "serial_number", "l_linenumber",
+                    F.col("l_quantity").cast("bigint").alias("quantity"))
+
+
 @query("exclude_processed")
 def q_exclude_processed(spark, sf):
     import datetime as dt

@@ -187,6 +187,11 @@ SELECT c.cuid AS cuid, ap.serial_number AS serial, ap.created_at AS applied_at,
        c.current_detailed_address AS address, ay.tax_code, ay.longitude AS lon, ay.latitude AS lat
 FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid""")
 
+ORACLES["left_made_inner"] = with_views(["cust", "app"], """
+SELECT c.cuid, a.serial_number, l.l_linenumber, CAST(l.l_quantity AS BIGINT) AS quantity
+FROM cust c JOIN app a ON c.id = a.customer_id LEFT JOIN lineitem l ON a.serial_number = l.l_orderkey
+WHERE a.status = 'ACTIVE'""")
+
 ORACLES["exclude_processed"] = with_views(["app", "geo_dl"], """
 SELECT customer_id, serial_number, status FROM app a
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = a.serial_number)

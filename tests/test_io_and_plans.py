@@ -70,3 +70,9 @@ def test_landing_skips_unnamed_and_reports(spark):
     assert [(r.reference_id, r.landing_name) for r in back] == [(1, "2024-01-05_android_1.json")]
     rep = landing_report(df).collect()[0]
     assert (rep.total, rep.uploaded, rep.failed) == (2, 1, 1)
+
+
+def test_left_chain_made_inner(spark):
+    import __spark_entry__ as entry
+    plan = entry.queries()["left_made_inner"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and plan.count("LeftOuter") == 1
