@@ -76,3 +76,17 @@ def test_left_chain_made_inner(spark):
     import __spark_entry__ as entry
     plan = entry.queries()["left_made_inner"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 1 and plan.count("LeftOuter") == 1
+
+
+def test_flatten_since_prunes_raw_partitions(spark):
+    from enrichkit.plans.flatten import flatten_geo
+    from enrichkit.sources import testdata as td
+    path = scratch_path(spark, "geo_raw_zone")
+    raw = td.geo_raw(spark, SF)
+    old = raw.withColumn("partition_date", F.lit(dt.date(2024, 1, 1)))
+    write_zone(raw.unionByName(old.withColumn("serial_number", F.col("serial_number") + 100000)), path)
+    zone = read_zone(spark, path, "")
+    df = flatten_geo(zone, None, since=dt.date(2024, 1, 30))
+    assert df.count() == raw.count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_date" in plan and "2024-01-30" in plan
