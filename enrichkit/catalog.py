@@ -4,13 +4,14 @@ the analogy in ``enrichkit.sources.testdata``."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.sources import testdata as td
-from enrichkit.spec import RunSpec, ntz
+from enrichkit.spec import DEVICE_DEFAULTS, GEO_DEFAULTS, RunSpec, ntz
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,15 +24,11 @@ def query(name: str):
 
 
 def device_spec(**kw) -> RunSpec:
-    base = dict(as_of=td.AS_OF, batch_size=50, retry_from_days=3, retry_to_days=0)
-    base.update(kw)
-    return RunSpec(**base)
+    return RunSpec(**{"as_of": td.AS_OF, **DEVICE_DEFAULTS, **kw})
 
 
 def geo_spec(**kw) -> RunSpec:
-    base = dict(as_of=td.AS_OF, batch_size=500, retry_from_days=20, retry_to_days=1)
-    base.update(kw)
-    return RunSpec(**base)
+    return RunSpec(**{"as_of": td.AS_OF, **GEO_DEFAULTS, **kw})
 
 
 @query("daily_candidates")
@@ -120,7 +117,6 @@ def q_left_made_inner(spark, sf):
 
 @query("exclude_processed")
 def q_exclude_processed(spark, sf):
-    import datetime as dt
     from enrichkit.operators.joins import exclude_processed
     a = td.applications(spark, sf)
     li = td.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("serial_number"))
@@ -139,7 +135,6 @@ def q_incremental(spark, sf):
 
 @query("semi_reconcile")
 def q_semi_reconcile(spark, sf):
-    import datetime as dt
     from enrichkit.plans.retry import reconcile
     out = reconcile(td.geo_dead_letter(spark, sf), td.geo_raw_landed(spark, sf),
                     dt.date(2024, 1, 15), dt.datetime(2024, 1, 31, 0, 0))
@@ -150,7 +145,6 @@ def q_semi_reconcile(spark, sf):
 # ------------------------------------------------------------ pipelines
 @query("range_candidates")
 def q_range_candidates(spark, sf):
-    import datetime as dt
     from enrichkit.plans.candidates import range_candidates
     return range_candidates(td.device_events(spark, sf), td.customers(spark, sf),
                             td.applications(spark, sf),
@@ -167,7 +161,6 @@ def q_geo_candidates(spark, sf):
 
 @query("geo_range_candidates")
 def q_geo_range_candidates(spark, sf):
-    import datetime as dt
     from enrichkit.plans.candidates import geo_range_candidates
     return geo_range_candidates(td.customers(spark, sf), td.applications(spark, sf),
                                 td.apply_info(spark, sf), td.geo_raw_done(spark, sf),
@@ -234,7 +227,6 @@ def q_scenario_summary(spark, sf):
 
 @query("geo_enrichment")
 def q_geo_enrichment(spark, sf):
-    import datetime as dt
     from enrichkit.plans.enrich import geo_enrich
     raw, dead = geo_enrich(td.geo_points(spark, sf), td.pois(spark, sf), td.AS_OF,
                            dt.datetime(2024, 1, 31, 0, 0), td.geo_failures(spark, sf))
@@ -254,7 +246,6 @@ def _device_lookup(spark, sf):
 
 @query("device_enrichment")
 def q_device_enrichment(spark, sf):
-    import datetime as dt
     from enrichkit.plans.enrich import split_outcomes, to_dead_letter, to_raw
     ok, bad = split_outcomes(_device_lookup(spark, sf))
     now = dt.datetime(2024, 1, 31, 0, 0)
@@ -285,7 +276,6 @@ def q_route_by_device(spark, sf):
 
 @query("dead_letter")
 def q_dead_letter(spark, sf):
-    import datetime as dt
     from enrichkit.plans.candidates import _device_joined
     from enrichkit.plans.enrich import split_outcomes, to_dead_letter
     _, bad = split_outcomes(_device_lookup(spark, sf))
@@ -299,7 +289,6 @@ def q_dead_letter(spark, sf):
 
 @query("raw_rows")
 def q_raw_rows(spark, sf):
-    import datetime as dt
     from enrichkit.plans.enrich import split_outcomes, to_raw
     ok, _ = split_outcomes(_device_lookup(spark, sf))
     return to_raw(ok, td.AS_OF, dt.datetime(2024, 1, 31), ["cuid", "reference_id", "device_os"]).drop("uuid")
@@ -451,7 +440,6 @@ def q_countif_stats_global(spark, sf):
 
 @query("failed_since")
 def q_failed_since(spark, sf):
-    import datetime as dt
     from enrichkit.plans.opslog import failed_since
     return failed_since(td.api_log(spark, sf), dt.date(1998, 1, 1))
 
@@ -499,7 +487,6 @@ def q_latest_n(spark, sf):
 # ------------------------------------------------------------ sources / sinks
 @query("sink_roundtrip")
 def q_sink_roundtrip(spark, sf):
-    import datetime as dt
     from enrichkit.plans.enrich import split_outcomes, to_raw
     from enrichkit.session import scratch_path
     from enrichkit.sources.zones import land_json, read_landing, read_zone, write_zone
@@ -573,7 +560,6 @@ def q_minute_metrics(spark, sf):
 
 @query("stream_batches")
 def q_stream_batches(spark, sf):
-    import datetime as dt
     from enrichkit.session import scratch_path
     from enrichkit.streaming.pipeline import run_enrichment_stream
     ev = td.device_events(spark, sf)
@@ -609,7 +595,7 @@ def q_stream_flatten(spark, sf):
     raw = td.device_raw(spark, sf)
     root = scratch_path(spark, "stream_flatten")
     src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
-    cut = ntz(__import__("datetime").datetime(1998, 1, 1))
+    cut = ntz(dt.datetime(1998, 1, 1))
     body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS), feats, "reference_number")
     for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut)]:
         part.coalesce(2).write.mode("append").parquet(src)
@@ -633,7 +619,6 @@ def q_daily_candidates_android(spark, sf):
 @query("run_all")
 def q_run_all(spark, sf):
     """PL-11: one full geo run on fresh zones seeded with the dead letters."""
-    import datetime as dt
     from enrichkit.plans.run import DEAD, GeoSources, run_geo
     from enrichkit.session import scratch_path
     from enrichkit.sources.zones import write_zone
