@@ -37,7 +37,17 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Each arrives as one Parquet file with one row group,
+    i.e. one input split; when a table has fewer splits than the cluster has
+    task slots it is spread round-robin so per-row work (payload building,
+    JSON parsing, partial aggregates) uses every core. Inputs that already
+    come in many splits are left as they are. Filters and column pruning
+    still reach the scan (Catalyst pushes them through the repartition)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots)
+    return df
 
 
 # ---------------------------------------------------------------- device side
