@@ -88,9 +88,11 @@ def split_outcomes(looked_up: DataFrame) -> tuple[DataFrame, DataFrame]:
     return looked_up.filter(ok), looked_up.filter(~ok)
 
 
-def to_raw(df: DataFrame, spec_as_of: dt.date, now: dt.datetime, columns: Sequence[str],
+def to_raw(df: DataFrame, spec_as_of: dt.date, now: dt.datetime, columns: Sequence,
            payload_col: str = "payload") -> DataFrame:
-    """PRJ-4: RAW row = uuid, record keys, payload JSON text, update time, date."""
+    """PRJ-4: RAW row = uuid, record keys, payload JSON text, update time, date.
+    ``columns`` are names or Column expressions (e.g. a rename to the RAW
+    table's ``series_number``)."""
     return df.select(F.expr("uuid()").alias("uuid"), *columns,
                      F.col(payload_col).alias("raw_data"),
                      ntz(now).alias("bq_updated_time"), F.lit(spec_as_of).alias("partition_date"))
