@@ -63,11 +63,14 @@ def quota_by_minute(calls: DataFrame, ts: str, limit_per_min: int,
             .withColumn("alarm", F.col("usage_pct") > F.lit(alarm_pct)))
 
 
-def batch_summary(outcomes: DataFrame, batch_col: str, key: str) -> DataFrame:
-    """AG-5: success / error / skipped counts per batch. The processed-key
-    list of a batch is bounded by the batch size (it is one batch)."""
-    return (outcomes.groupBy(batch_col)
-            .agg(F.count_if(F.col("outcome") == "success").alias("success_count"),
-                 F.count_if(F.col("outcome") == "error").alias("error_count"),
-                 F.count_if(F.col("outcome") == "skipped").alias("skipped_count"),
-                 F.sort_array(F.collect_list(F.col(key).cast("string"))).alias("processed")))
+def batch_summary(outcomes: DataFrame, batch_col: str, key: str, with_keys: bool = True) -> DataFrame:
+    """AG-5: success / error / skipped counts per batch, and the sorted keys a
+    batch processed. The key list is bounded by the batch size (batches come
+    from ``assign_batches``); pass ``with_keys=False`` when grouping by
+    something that is not a bounded batch."""
+    aggs = [F.count_if(F.col("outcome") == "success").alias("success_count"),
+            F.count_if(F.col("outcome") == "error").alias("error_count"),
+            F.count_if(F.col("outcome") == "skipped").alias("skipped_count")]
+    if with_keys:
+        aggs.append(F.sort_array(F.collect_list(F.col(key).cast("string"))).alias("processed"))
+    return outcomes.groupBy(batch_col).agg(*aggs)
