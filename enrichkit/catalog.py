@@ -545,12 +545,23 @@ def q_inline_rows(spark, sf):
 
 
 # ------------------------------------------------------------ streaming
+def _stream_session(spark):
+    """A session for the test streams: same SparkContext, own SQL conf. State
+    partitions of a stream are fixed at its first start from
+    spark.sql.shuffle.partitions; these inputs are small, so they get one per
+    task slot. The caller's session is left as it is."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return s
+
+
 @query("minute_metrics")
 def q_minute_metrics(spark, sf):
     from enrichkit.session import scratch_path
     from enrichkit.streaming.pipeline import minute_metrics, run_to_parquet
     schema = td.table(spark, sf, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    ss = _stream_session(spark)
+    stream = (ss.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf))
     m = minute_metrics(stream, "ts", "2 minutes", F.col("event_type") == "purchase")
     out, ck = scratch_path(spark, "minute_metrics"), scratch_path(spark, "minute_metrics_ck")
@@ -571,10 +582,11 @@ def q_stream_batches(spark, sf):
     runs = [[ev.filter(F.col("created_timestamp") < cut)],
             [ev.filter(F.col("created_timestamp") >= cut),
              ev.filter(F.col("device_os").isNull())]]          # re-sent rows (duplicates)
+    ss = _stream_session(spark)
     for files in runs:                                          # two runs on one checkpoint
         for part in files:
             part.coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stream = ss.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
         run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", "created_timestamp",
                               now, watermark="31 days")
     r = spark.read.parquet(raw).select(F.lit("raw").alias("zone"), "reference_id", "cuid", "device_os",
@@ -597,9 +609,10 @@ def q_stream_flatten(spark, sf):
     src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
     cut = ntz(dt.datetime(1998, 1, 1))
     body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS), feats, "reference_number")
+    ss = _stream_session(spark)
     for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut)]:
         part.coalesce(2).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stream = ss.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(src)
         q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()
