@@ -1,11 +1,13 @@
 """Radius range join (JN-12, JN-11): count places of a scenario's types within
 ``radius_m`` of each point.
 
-Plan: every place sits in exactly one grid cell (cell side = radius in
-latitude degrees). Each distinct point coordinate is exploded to the cells its radius box
-touches (3x3 near the equator, wider in longitude towards the poles, so the
-candidate set stays exact), equi-joined to the places on the cell key, and
-the exact great-circle distance is the residual filter. Each (point, place)
+Plan: every place sits in exactly one grid cell (rows of the radius'
+angular size; columns of 360/N degrees that wrap at the antimeridian; one
+cell per row in the polar caps). Each distinct point coordinate is exploded
+to the cells of its exact bounding box (|dlat| <= delta, |dlon| <=
+asin(sin delta / cos lat): 3x3 near the equator, wider towards the poles,
+so the candidate set stays exact), equi-joined to the places on the cell
+key, and the great-circle distance is the residual filter. Each (point, place)
 pair meets at most once, because a place has one cell and a point lists each
 cell once. The join is a shuffle on the cell key; a hot cell is split by AQE
 skew handling, and places are reduced to the few columns needed before it.
@@ -13,13 +15,17 @@ skew handling, and places are reduced to the few columns needed before it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371000.0
-METERS_PER_DEG_LAT = 111320.0
+# Rows of grid cells poleward of this latitude are one cell each, so a point
+# near a pole never enumerates a whole circle of longitude cells.
+POLAR_LAT = 89.0
+_MARGIN = 1e-7   # relative widening of the search box against rounding
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -30,19 +36,52 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-def _cells_for_point(lat: Column, lon: Column, radius_m: float, cell_deg: float) -> Column:
-    dlat = F.lit(radius_m / METERS_PER_DEG_LAT)
-    # longitude span of the radius at this latitude (clamped near the poles)
-    coslat = F.greatest(F.cos(F.radians(lat)), F.lit(1e-6))
-    dlon = F.least(F.lit(radius_m) / (F.lit(METERS_PER_DEG_LAT) * coslat), F.lit(360.0))
-    la0 = F.floor((lat - dlat) / cell_deg).cast("bigint")
-    la1 = F.floor((lat + dlat) / cell_deg).cast("bigint")
-    lo0 = F.floor((lon - dlon) / cell_deg).cast("bigint")
-    lo1 = F.floor((lon + dlon) / cell_deg).cast("bigint")
-    return F.flatten(F.transform(
-        F.sequence(la0, la1),
-        lambda a: F.transform(F.sequence(lo0, lo1),
-                              lambda o: F.struct(a.alias("cla"), o.alias("clo")))))
+class _Grid:
+    """Cell geometry for one radius: latitude rows of the radius' angular
+    size, longitude columns of 360/N degrees (so they wrap at ±180), and one
+    cell per row in the polar caps."""
+
+    def __init__(self, radius_m: float):
+        self.delta = radius_m / EARTH_RADIUS_M                       # angular radius, radians
+        self.lat_cell = math.degrees(self.delta)
+        self.n_lon = max(1, int(360.0 // self.lat_cell))
+        self.lon_cell = 360.0 / self.n_lon
+        self.hi = math.ceil(POLAR_LAT / self.lat_cell)               # rows >= hi are polar
+        self.lo = math.floor(-POLAR_LAT / self.lat_cell) - 1         # rows <= lo are polar
+
+    def polar(self, row: Column) -> Column:
+        return (row >= F.lit(self.hi)) | (row <= F.lit(self.lo))
+
+    def row(self, lat: Column) -> Column:
+        return F.floor(lat / F.lit(self.lat_cell)).cast("bigint")
+
+    def col(self, lon: Column) -> Column:
+        return F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(self.lon_cell)).cast("bigint"),
+                      F.lit(self.n_lon).cast("bigint"))
+
+    def place_cell(self, lat: Column, lon: Column) -> tuple[Column, Column]:
+        r = self.row(lat)
+        return r, F.when(self.polar(r), F.lit(-1).cast("bigint")).otherwise(self.col(lon))
+
+    def point_cells(self, lat: Column, lon: Column) -> Column:
+        """Every cell a place within the radius can sit in (exact bounding
+        box: |dlat| <= delta, |dlon| <= asin(sin delta / cos lat))."""
+        dlat = F.lit(math.degrees(self.delta) * (1 + _MARGIN) + 1e-12)
+        sin_d = math.sin(self.delta)
+        coslat = F.cos(F.radians(lat))
+        dlon = F.when(coslat > F.lit(sin_d),
+                      F.degrees(F.asin(F.lit(sin_d) / coslat)) * F.lit(1 + _MARGIN) + F.lit(1e-12)) \
+            .otherwise(F.lit(180.0))
+        dlon = F.least(dlon, F.lit(180.0))
+        k0 = F.floor((lon - dlon + F.lit(180.0)) / F.lit(self.lon_cell)).cast("bigint")
+        k1 = F.floor((lon + dlon + F.lit(180.0)) / F.lit(self.lon_cell)).cast("bigint")
+        k1 = F.least(k1, k0 + F.lit(self.n_lon - 1))
+        cols = F.array_distinct(F.transform(F.sequence(k0, k1),
+                                            lambda k: F.pmod(k, F.lit(self.n_lon).cast("bigint"))))
+        rows = F.sequence(self.row(lat - dlat), self.row(lat + dlat))
+        return F.flatten(F.transform(rows, lambda a: F.when(
+            self.polar(a), F.array(F.struct(a.alias("cla"), F.lit(-1).cast("bigint").alias("clo"))))
+            .otherwise(F.transform(cols, lambda o: F.struct(a.alias("cla"), o.alias("clo"))))))
 
 
 def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Sequence[str]],
@@ -57,7 +96,7 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
     ``places``: place_key, lat, lon, types ARRAY<STRING>, operational BOOLEAN.
     Points with no place nearby get 0.
     """
-    cell_deg = radius_m / METERS_PER_DEG_LAT
+    grid = _Grid(radius_m)
     names = list(scenarios)
 
     # places -> (cell, place, scenario) without a shuffle: a place joins each
@@ -71,9 +110,9 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
         F.when(F.arrays_overlap(F.col("_ty"), F.array(*[F.lit(t) for t in scenarios[s]])), F.lit(s))
         for s in names]))
     pl = (pl.filter(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-          .select("_pk", "_plat", "_plon", F.explode(matched).alias("scenario"))
-          .withColumn("cla", F.floor(F.col("_plat") / cell_deg).cast("bigint"))
-          .withColumn("clo", F.floor(F.col("_plon") / cell_deg).cast("bigint")))
+          .select("_pk", "_plat", "_plon", F.explode(matched).alias("scenario"),
+                  *[c.alias(n) for c, n in zip(grid.place_cell(F.col("_plat"), F.col("_plon")),
+                                               ("cla", "clo"))]))
 
     pts = points.select(F.col(point_key).alias("_pt"), F.col(lat).try_cast("double").alias("_lat"),
                         F.col(lon).try_cast("double").alias("_lon"))
@@ -85,8 +124,7 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
     coords = (pts.select("_lat", "_lon").filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
               .distinct())
     cells = coords.select("_lat", "_lon",
-                          F.explode(_cells_for_point(F.col("_lat"), F.col("_lon"),
-                                                     radius_m, cell_deg)).alias("_c"))
+                          F.explode(grid.point_cells(F.col("_lat"), F.col("_lon"))).alias("_c"))
     cells = cells.select("_lat", "_lon", F.col("_c.cla").alias("cla"), F.col("_c.clo").alias("clo"))
     hits = (cells.join(pl, ["cla", "clo"])
             .filter(haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
