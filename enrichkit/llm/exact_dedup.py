@@ -21,10 +21,12 @@ from enrichkit.llm.common import empty_text, left_lookup, materialize
 
 
 def _names(keys: DataFrame, cols: list[str], name: str) -> DataFrame:
-    """Integer names in sorted order of the distinct keys. The ids grow with
+    """Integer names in sorted order of the distinct keys, by a hash and then
+    the key itself (the hash only spreads the sort evenly). The ids grow with
     the order and are written once, so a lost executor cannot rename."""
-    return materialize(keys.select(*cols).distinct().orderBy(*cols)
-                       .withColumn("name", F.monotonically_increasing_id()), name)
+    ordered = (keys.select(*cols).distinct().withColumn("_h", F.xxhash64(*cols))
+               .repartitionByRange("_h").sortWithinPartitions("_h", *cols))
+    return materialize(ordered.withColumn("name", F.monotonically_increasing_id()).drop("_h"), name)
 
 
 def block_identity(texts: DataFrame, keys: list[str], bytes_col: str, block_bytes: int) -> DataFrame:
@@ -76,7 +78,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.substring("_b", 1, probe_bytes).alias("head"),
         F.expr(f"substring(_b, -{probe_bytes}, {probe_bytes})").alias("tail")), "dedup-base")
     probe = ["n_bytes", "head", "tail"]
-    shared = base.groupBy(*probe).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written first: a plain right side lets adaptive execution split a hot class
+    shared = materialize(base.groupBy(*probe).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "dedup-shared")
     flagged = materialize(base.join(shared, probe, "left")
                           .select(*keys, "n_bytes", F.col("n").isNotNull().alias("multi")), "dedup-flag")
     cand = flagged.filter("multi").groupBy(*keys, "n_bytes").agg(F.count(F.lit(1)).alias("copies"))
@@ -86,8 +89,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = materialize(left_lookup(cand, roots, keys)
                         .withColumn("root", F.coalesce("root", F.lit(-1))), "dedup-roots")
     ident = ["n_bytes", "root"]
-    groups = named.groupBy(*ident).agg(F.max("doc_id").alias("keep_id"),
-                                       F.sum("copies").alias("group_size"))
+    groups = materialize(named.groupBy(*ident).agg(F.max("doc_id").alias("keep_id"),
+                                                   F.sum("copies").alias("group_size")), "dedup-groups")
     dup = (named.join(groups, ident)
            .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
            .select("doc_id", "keep_id", "group_size",

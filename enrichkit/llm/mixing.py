@@ -6,8 +6,8 @@ the ones closest to 1 in relative entropy that meet the targets with no rate
 above ``cap``: the solution of the convex dual is an exponential tilt,
 ``rate = min(cap, exp(lambda_source * size / mean_size))``, and lambda is found
 by safeguarded Newton steps, each one distributed aggregate over (source, size)
-counts. Rates are rounded into copies so that each source's tokens stay within
-about one long document of its target.
+counts. Rates are rounded into copies so that each source's tokens end close to
+its target.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +95,21 @@ def solve_tilts(groups: DataFrame, src: DataFrame, cap: float, tolerance: float
     return state.select("sid", "lam")
 
 
+def _carry_extras(groups: pd.DataFrame, cap: float) -> pd.DataFrame:
+    """Extra copies of each size of one source, error carried to the next
+    shorter size. The rows are a source's distinct sizes, so their number is
+    bounded by the longest document, not by the corpus."""
+    g = groups.sort_values("size", ascending=False)
+    out, carry = [], 0.0
+    for size, n, whole, part in zip(g["size"], g["n"], g["whole"], g["part"], strict=True):
+        most = n if size > 0 and whole + 1 <= cap else 0
+        want = n * part + (carry / size if size > 0 else 0.0)
+        extra = min(max(round(want), 0), most)
+        carry = (want - extra) * size
+        out.append(extra)
+    return pd.DataFrame({"sid": g["sid"], "size": g["size"], "extras": out})
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0, id_col: str = "doc_id",
         source_col: str = "source", size: Column | None = None, carry: dict[str, Column] | None = None
         ) -> DataFrame:
@@ -130,27 +146,26 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0,
         .withColumn("whole", F.floor(F.col("rate") + 1e-9))
         .withColumn("part", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
         .drop("lam", "scale"), "mix-rated")
-    # Rounding. A (source, size) group of n documents is dealt into about
-    # sqrt(n) cells by a hash of the id; the fractional parts are summed along
-    # (size, cell) and a cell gets as many extra copies as whole numbers it
-    # passes, so no group is ever sorted in one piece.
+    # Rounding. Along a source's sizes, longest first, each (source, size) group
+    # gets a whole number of extra copies and hands what it misses on, so a
+    # source ends within about its shortest document of the target. A group's n
+    # documents are dealt into about sqrt(n) cells by a hash of the id, each with
+    # its exact share of the extras, so no group is ever sorted in one piece.
+    extras = materialize(rated.groupBy("sid").applyInPandas(
+        lambda g: _carry_extras(g, cap), "sid long, size long, extras long"), "mix-extras")
+    rated = materialize(rated.join(extras, ["sid", "size"]), "mix-rounded")
     h = F.xxhash64("doc_id", F.lit("cell"))
     dealt = materialize(left_lookup(rows, rated, ["source", "size"])
                         .withColumn("cell", F.pmod(h, F.ceil(F.sqrt("n")).cast("long"))), "mix-dealt")
-    cells = (dealt.groupBy("sid", "size", "cell").agg(F.count(F.lit(1)).alias("m"), F.first("part").alias("part"))
-             .withColumn("mass", F.col("m") * F.col("part")).withColumn("block", F.floor(F.col("size") / 64)))
-    cells = materialize(cells, "mix-cells")
-    upto = Window.partitionBy("sid", "block").orderBy("size", "cell").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("sid").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (cells.groupBy("sid", "block").agg(F.sum("mass").alias("mass"))
-              .select("sid", "block", F.coalesce(F.sum("mass").over(before), F.lit(0.0)).alias("ahead")))
-    end = F.col("ahead") + F.col("run") + 0.5
-    extras = (cells.withColumn("run", F.sum("mass").over(upto)).join(blocks, ["sid", "block"])
-              .select("sid", "size", "cell",
-                      (F.floor(end + 1e-9) - F.floor(end - F.col("mass") + 1e-9)).alias("extra")))
+    upto = Window.partitionBy("sid", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum("m").over(upto)
+    cells = (dealt.groupBy("sid", "size", "cell").agg(
+        F.count(F.lit(1)).alias("m"), F.first("n").alias("n"), F.first("extras").alias("extras"))
+        .withColumn("end", end)
+        .selectExpr("sid", "size", "cell", "(end * extras) div n - ((end - m) * extras) div n AS extra"))
     order = Window.partitionBy("sid", "size", "cell").orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id")
-    copies = (F.col("whole") + F.when((F.col("part") > 0) & (F.col("nth") <= F.col("extra")), 1).otherwise(0))
-    return (dealt.join(extras, ["sid", "size", "cell"]).withColumn("nth", F.row_number().over(order))
+    copies = F.col("whole") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)
+    return (dealt.join(cells, ["sid", "size", "cell"]).withColumn("nth", F.row_number().over(order))
             .withColumn("copies", copies.cast("long"))
             .select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
                     (F.col("copies") * F.col("size")).alias("taken"),

@@ -7,8 +7,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from enrichkit.llm import exact_dedup, mixing, packing, simhash
+from enrichkit.llm import (exact_dedup, mixing, packing, quality, secrets, simhash, substring_dedup,
+                           suffix_dedup)
 from enrichkit.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,17 +35,42 @@ def q_packing(spark, sf):
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op3_suffix_dedup")
+def q_suffix_dedup(spark, sf):
+    out = suffix_dedup.suffix_dedup(table(spark, sf, "documents"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_simhash")
 def q_simhash(spark, sf):
     return simhash.simhash_near_dedup(table(spark, sf, "documents"), shingle=3, radius=3)
 
 
+@query("op5_substring_dedup")
+def q_substring_dedup(spark, sf):
+    out = substring_dedup.substring_dedup(table(spark, sf, "documents"), length=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_secrets")
+def q_secrets(spark, sf):
+    return secrets.digest(secrets.scan_secrets(table(spark, sf, "documents")))
+
+
 @query("op8_mixing")
 def q_mixing(spark, sf):
     out = mixing.mix(table(spark, sf, "documents"), weights=(1, 2, 3), cap=3.0)
     return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+@query("op9_quality")
+def q_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    return quality.score_quality(docs, model, threshold=0.7)
+
+
 @query("op10_exact_dedup", exact_dedup.ORACLE_SQL)
 def q_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))

@@ -264,7 +264,8 @@ def link_fingerprints(fps: DataFrame, radius: int, bucket_rows: int = 2048) -> D
     depth = 0
     while True:
         rows = materialize(rows, f"gph-rows{depth}")
-        sizes = rows.groupBy("sig", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        sizes = materialize(rows.groupBy("sig", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"),
+                            f"gph-sizes{depth}")
         sized = materialize(rows.join(sizes, ["sig", "key"]), f"gph-sized{depth}")
         full = (F.col("c") > bucket_rows) & (F.bit_count("fixed") < 64)
         found = _verify(sized.filter(~full), radius)
