@@ -169,3 +169,28 @@ def ship(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parents[2]
     target = Path(tempfile.mkdtemp(prefix="enrichkit-code-")) / "enrichkit"
     spark.sparkContext.addPyFile(shutil.make_archive(str(target), "zip", root, "enrichkit"))
+
+
+def whole_groups(batches, key: int = 0):
+    """From Arrow batches sorted by column ``key``: ``(table, starts, ends)``
+    with whole groups only; the group a batch breaks off in is carried on."""
+    import pyarrow as pa
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t])
+        k = t.column(key).to_numpy()
+        other = np.flatnonzero(k != k[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        held = t.slice(cut)
+        if cut:
+            yield _grouped(t.slice(0, cut), k[:cut])
+    if held is not None:
+        yield _grouped(held, held.column(key).to_numpy())
+
+
+def _grouped(t, k: np.ndarray):
+    starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    return t.combine_chunks(), starts, np.r_[starts[1:], len(k)]

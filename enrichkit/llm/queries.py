@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichkit.llm import (exact_dedup, mixing, packing, quality, secrets, simhash, substring_dedup,
+from enrichkit.llm import (exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, substring_dedup,
                            suffix_dedup)
 from enrichkit.llm.common import ship, table
 
@@ -53,6 +53,11 @@ def q_substring_dedup(spark, sf):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op6_nn_descent")
+def q_nn_descent(spark, sf):
+    return nn_descent.embedding_near_dedup(table(spark, sf, "embeddings"), threshold=0.9)
+
+
 @query("op7_secrets")
 def q_secrets(spark, sf):
     return secrets.digest(secrets.scan_secrets(table(spark, sf, "documents")))
