@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrichkit.llm.common import dense_rank_global
+from enrichkit.llm.common import materialize
 
 #: Words whose ids do not depend on anything but their letters: basic and
 #: accented Latin letters, then ASCII punctuation without the apostrophe.
@@ -93,8 +94,9 @@ def default_tokenizer_file() -> str:
 
 def cut_documents(docs: DataFrame, id_col: str, text_col: str, longest: int, end_id: int,
                   tokenizer_file: str | None) -> DataFrame:
-    """Pieces of every document: ``doc_id, doc_tokens, start, length, ids``
-    (binary, little-endian unsigned 32-bit token ids)."""
+    """Pieces of every document: ``doc_id, doc_tokens, start, length, nth, ids``
+    (binary, little-endian unsigned 32-bit token ids); ``nth`` counts the
+    pieces of one length within a task."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest piece must be a power of two")
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -103,14 +105,15 @@ def cut_documents(docs: DataFrame, id_col: str, text_col: str, longest: int, end
     end = end_id.to_bytes(4, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids(file).__getitem__
+        ids_of, seen = word_ids(file).__getitem__, Counter()
         for batch in batches:
             rows, held = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = b"".join(map(ids_of, (text.as_py() or b"").split())) + end
                 n, at = len(ids) // 4, 0
                 for length in cut_lengths(n, longest):
-                    rows.append((doc, n, at, length, ids[4 * at:4 * (at + length)]))
+                    rows.append((doc, n, at, length, seen[length], ids[4 * at:4 * (at + length)]))
+                    seen[length] += 1
                     at += length
                 held += len(ids)
                 if held > 8 << 20:
@@ -118,14 +121,15 @@ def cut_documents(docs: DataFrame, id_col: str, text_col: str, longest: int, end
                     rows, held = [], 0
             yield _batch(rows, batch.schema.field(0).type)
 
-    return src.mapInArrow(pieces, f"doc_id {id_type}, doc_tokens long, start long, length long, ids binary")
+    return src.mapInArrow(
+        pieces, f"doc_id {id_type}, doc_tokens long, start long, length long, nth long, ids binary")
 
 
 def _batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * 5
-    types = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    cols = list(zip(*rows, strict=True)) or [()] * 6
+    types = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                           names=["doc_id", "doc_tokens", "start", "length", "ids"])
+                           names=["doc_id", "doc_tokens", "start", "length", "nth", "ids"])
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = 4096,
@@ -136,9 +140,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longes
     Returns one row per piece: ``doc_id, start, length, doc_tokens,
     sequence_id, offset`` and the ``payload`` columns, expressions over a piece
     with its ``ids`` (default: the ids themselves, little-endian uint32).
-    ``sequence_id`` counts from 0 by length, longest first, then document and
-    start: each length's bucket is one gapless range of ids, and reruns agree.
-    ``offset`` is 0, as a sequence holds exactly one piece.
+    ``sequence_id`` counts from 0 by length, longest first: each length's bucket
+    is one gapless range of ids. ``offset`` is 0, as a sequence holds exactly one
+    piece. The pieces are written once with their place in their task, and a
+    bucket's ids start where the tasks before end, so token ids never shuffle.
 
     Defined cases: a null or empty text is the end token alone (one piece of
     length 1). A null id is an id like any other. Repeated rows each give their
@@ -146,11 +151,19 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longes
     columns are ignored. Texts of any length are cut whole.
     """
     payload = {"ids": F.col("ids")} if payload is None else payload
-    parts = cut_documents(docs, id_col, text_col, longest, end_id, tokenizer_file).select(
-        "doc_id", "start", "length", "doc_tokens", *[c.alias(k) for k, c in payload.items()])
-    ranked = dense_rank_global(parts, [F.col("length").desc(), "doc_id", "start", *payload],
-                               "sequence_id", "pack")
-    return ranked.withColumn("offset", F.lit(0).cast("long"))
+    cut = materialize(cut_documents(docs, id_col, text_col, longest, end_id, tokenizer_file).select(
+        "doc_id", "start", "length", "doc_tokens", "nth", F.spark_partition_id().alias("task"),
+        *[c.alias(k) for k, c in payload.items()]), "pack-pieces")
+    per = materialize(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    longer = Window.orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bucket = per.groupBy("length").agg(F.sum("n").alias("n")).select(  # one row per piece length
+        "length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("base"))
+    first = per.join(bucket, "length").select(
+        "length", "task", (F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("first"))
+    return (cut.join(materialize(first, "pack-first"), ["length", "task"])
+            .withColumn("sequence_id", F.col("first") + F.col("nth"))
+            .withColumn("offset", F.lit(0).cast("long")).drop("first", "nth", "task"))
 
 
 def digest_payload() -> dict[str, Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from enrichkit.llm import (exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, substring_dedup,
-                           suffix_dedup)
+                           suffix_dedup, warc_fixity)
 from enrichkit.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_merkle_fixity", warc_fixity.ORACLE_SQL)
+def q_merkle_fixity(spark, sf):
+    records = warc_fixity.warc_records(table(spark, sf, "pages"))
+    return warc_fixity.fixity_audit(records, warc_fixity.damaged(records))
+
+
 @query("op2_packing")
 def q_packing(spark, sf):
     out = packing.pack(table(spark, sf, "documents"), payload=packing.digest_payload())
@@ -44,7 +50,8 @@ def q_suffix_dedup(spark, sf):
 
 @query("op4_simhash")
 def q_simhash(spark, sf):
-    return simhash.simhash_near_dedup(table(spark, sf, "documents"), shingle=3, radius=3)
+    out = simhash.simhash_near_dedup(table(spark, sf, "documents"), shingle=3, radius=3)
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 @query("op5_substring_dedup")

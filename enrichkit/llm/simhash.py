@@ -46,15 +46,17 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) of every row."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    """``doc_id, th, fp`` (signed 64-bit) of every row; ``th`` is a text hash."""
+    raw = F.col(text_col).cast("binary")
+    src = docs.select(F.col(id_col).alias("doc_id"), raw.alias("text"), F.xxhash64(raw).alias("th"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py() or b"", shingle) for t in b.column(1)], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), b.column(2), pa.array(fps.view(np.int64))],
+                                  names=["doc_id", "th", "fp"])
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, th long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -283,8 +285,9 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """SimHash fingerprint and near-duplicate component of every document.
 
     Returns one row per input row: ``doc_id, fingerprint`` (16 lower-case hex
-    digits) and ``component_id``, the smallest id reachable over links of at
-    most ``radius`` differing bits, the row itself included.
+    digits), ``component_id``, the smallest id reachable over links of at most
+    ``radius`` differing bits, the row itself included, ``th`` (64-bit hash of
+    the text) and ``label`` (the same for all rows of a component).
 
     Defined cases: a null or word-less text has fingerprint zero and links like
     any other; fewer words than a shingle are one shingle. Null ids take part
@@ -298,6 +301,6 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("label", F.coalesce("label", "fp"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of = materialize(named.join(least, "label").select("fp", "component_id"), "simhash-of")
+    of = materialize(named.join(least, "label").select("fp", "component_id", "label"), "simhash-of")
     return left_lookup(sigs, of, ["fp"]).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "th", "label")
