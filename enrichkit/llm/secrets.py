@@ -64,14 +64,14 @@ def entropy_windows(s: str, width: int, bits: float) -> list[tuple[int, int]]:
     count: dict[str, int] = {}
     total, out = 0.0, []
     for i, ch in enumerate(s):
-        c = count.get(ch, 0)
-        count[ch] = c + 1
-        total += term[c + 1] - term[c]
         if i >= width:
             old = s[i - width]
             c = count[old]
             count[old] = c - 1
             total += term[c - 1] - term[c]
+        c = count.get(ch, 0)
+        count[ch] = c + 1
+        total += term[c + 1] - term[c]
         if i >= width - 1 and total <= most:
             start = i - width + 1
             if out and start <= out[-1][1]:
