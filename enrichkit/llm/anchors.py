@@ -8,8 +8,11 @@ when their segments share the anchor. Segments of an anchor that occurs once
 are done; equal segments are collapsed to one with a count (all of their
 passages repeat); only different segments of one anchor have to be compared,
 and that is what the operators do, each by its own method, in groups of bounded
-size. Anchors with more different segments than the bound are compared by
-passage fingerprints that Spark groups, so no group ever has to fit a task.
+size. Anchors with more different segments than the bound are split: starts are
+cut into slices by their distance to the anchor, all passages of a slice hold
+one core of bytes or words at a fixed place, and only segments that agree on the
+core can have equal passages there. The slices are groups of their own, and are
+split again, down to single passages, while they are too many.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 
 from enrichkit.llm.common import left_lookup, materialize, mix64, window_hash, window_min
 
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: Base of the polynomial k-gram hash.
+BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 20) - 1)
 KEYS = ["doc_id", "th"]
 
@@ -62,7 +66,7 @@ def segments(units: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.nda
     if n <= 0:
         none = np.empty(0, np.int64)
         return none, none, none.astype(np.uint64)
-    grams = mix64(window_hash(units.astype(np.uint64) + np.uint64(1), k, BASES[0]))
+    grams = mix64(window_hash(units.astype(np.uint64) + np.uint64(1), k, BASE))
     w = length - k + 1
     where = np.empty(n, np.int64)
     for at in range(0, n, 1 << 19):  # places fit the low bits of the compared value
@@ -79,7 +83,7 @@ def anchor_places(anchor: np.ndarray, segs: list[np.ndarray], length: int, k: in
     size = np.array([len(s) for s in segs])
     n = size - length + 1
     first = np.cumsum(size) - size
-    grams = mix64(window_hash(np.concatenate(segs).astype(np.uint64) + np.uint64(1), k, BASES[0]))
+    grams = mix64(window_hash(np.concatenate(segs).astype(np.uint64) + np.uint64(1), k, BASE))
     owner = np.repeat(np.arange(len(segs)), size)[:len(grams)]
     place = np.arange(len(grams)) - first[owner]
     hit = np.flatnonzero((grams == anchor.view(np.uint64)[owner]) & (place >= n[owner] - 1)
@@ -127,9 +131,14 @@ def occurrences(texts: DataFrame, unit: str, length: int, k: int) -> DataFrame:
         run, f"doc_id {id_type}, th long, anchor long, seg long, start long, n int")
 
 
-def contents(texts: DataFrame, wanted: DataFrame, unit: str, length: int) -> DataFrame:
-    """``anchor, seg, cnt, n, units, kinds`` for the wanted segments, read from the one
-    text that represents each (a text carries all of its wanted segments)."""
+#: A segment to compare: its key, copies, number of starts, the anchor's place in
+#: it, its units, and how many different segments share the anchor.
+CONTENT = "anchor long, seg long, cnt long, n int, at int, units binary, kinds long"
+
+
+def contents(texts: DataFrame, wanted: DataFrame, unit: str, length: int, k: int) -> DataFrame:
+    """``CONTENT`` rows of the wanted segments, read from the one text that
+    represents each (a text carries all of its wanted segments)."""
     units = UNITS[unit]
     per_text = wanted.groupBy(*KEYS).agg(F.collect_list(F.struct("anchor", "seg", "cnt", "kinds", "start", "n")).alias("want"))
     joined = left_lookup(texts, per_text, KEYS, "inner").select(*KEYS, "text", "want")
@@ -144,36 +153,39 @@ def contents(texts: DataFrame, wanted: DataFrame, unit: str, length: int) -> Dat
                     continue
                 seen = {key}
                 u = units(b.column(2)[i].as_py())
-                for w in b.column(3)[i].as_py():
-                    part = u[w["start"]:w["start"] + w["n"] + length - 1]
-                    out.append((w["anchor"], w["seg"], w["cnt"], w["n"], part.tobytes(), w["kinds"]))
+                want = b.column(3)[i].as_py()
+                parts = [u[w["start"]:w["start"] + w["n"] + length - 1] for w in want]
+                at = anchor_places(np.array([w["anchor"] for w in want]), parts, length, k)
+                for w, part, place in zip(want, parts, at.tolist(), strict=True):
+                    out.append((w["anchor"], w["seg"], w["cnt"], w["n"], place, part.tobytes(), w["kinds"]))
                     held += part.nbytes
                 if held > 4 << 20:
                     yield _content_batch(out)
                     out, held = [], 0
             yield _content_batch(out)
 
-    return joined.mapInArrow(run, "anchor long, seg long, cnt long, n int, units binary, kinds long")
+    return joined.mapInArrow(run, CONTENT)
 
 
 def _content_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * 6
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
+    cols = list(zip(*rows, strict=True)) or [()] * 7
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                           names=["anchor", "seg", "cnt", "n", "units", "kinds"])
+                           names=["anchor", "seg", "cnt", "n", "at", "units", "kinds"])
 
 
-Compare = Callable[[np.ndarray, np.ndarray, list[np.ndarray]], list[np.ndarray]]
+Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]], list[np.ndarray]]
 
 
 def compare_groups(content: DataFrame, unit: str, compare: Compare, batch_bytes: int) -> DataFrame:
-    """Apply ``compare(anchor, cnt, segments) -> marked starts of each`` to whole
-    anchor groups, several per call; returns runs ``anchor, seg, lo, hi``."""
+    """Apply ``compare(anchor, cnt, anchor place, segments) -> marked starts of
+    each`` to whole anchor groups, several per call; returns runs ``anchor, seg,
+    lo, hi`` of starts."""
     dtype = np.uint8 if unit == "bytes" else np.uint64
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        marks = compare(np.array([r[0] for r in rows]), np.array([r[2] for r in rows]),
-                        [np.frombuffer(r[4], dtype) for r in rows])
+        marks = compare(*(np.array([r[i] for r in rows]) for i in (0, 2, 4)),
+                        [np.frombuffer(r[5], dtype) for r in rows])
         out: list[tuple] = []
         for r, hit in zip(rows, marks, strict=True):
             edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
@@ -191,7 +203,7 @@ def compare_groups(content: DataFrame, unit: str, compare: Compare, batch_bytes:
                     yield flush(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
                 last = row[0]
         if held:
             yield flush(held)
@@ -200,34 +212,65 @@ def compare_groups(content: DataFrame, unit: str, compare: Compare, batch_bytes:
     return ordered.mapInArrow(run, "anchor long, seg long, lo int, hi int")
 
 
-def fingerprint_groups(content: DataFrame, unit: str, length: int) -> DataFrame:
-    """The exact way for anchors with too many different segments: every passage
-    start as a 128-bit fingerprint, counted by a partial aggregate."""
+def slices(content: DataFrame, unit: str, length: int, width: int) -> DataFrame:
+    """Every segment cut into slices of ``width`` starts by their distance to
+    the anchor; a slice's new anchor is its core, which all its passages hold."""
     dtype = np.uint8 if unit == "bytes" else np.uint64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
-            for a, s, c, n, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                u = np.frombuffer(raw, dtype).astype(np.uint64) + np.uint64(1)
-                hs = [mix64(window_hash(u, length, base)) for base in BASES[1:]]
-                for out, col in zip(cols, (np.full(n, a), np.full(n, s), np.full(n, c), np.arange(n),
-                                           hs[0].view(np.int64), hs[1].view(np.int64)), strict=True):
-                    out.append(col)
-            if cols[0]:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols],
-                                      names=["anchor", "seg", "cnt", "lo", "h1", "h2"])
-
-    rows = materialize(content.mapInArrow(run, "anchor long, seg long, cnt long, lo long, h1 long, h2 long"),
-                       "anchor-windows")
-    twice = materialize(rows.groupBy("h1", "h2").agg(F.sum("cnt").alias("all")).filter("all > 1")
-                        .select("h1", "h2"), "anchor-equal")
-    return rows.join(twice, ["h1", "h2"], "left_semi").select(
-        "anchor", "seg", F.col("lo").cast("int").alias("lo"), (F.col("lo") + 1).cast("int").alias("hi"))
+            out = []
+            for a, s, c, n, at, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                u = np.frombuffer(raw, dtype)
+                for q in range((at - n + 1) // width, at // width + 1):
+                    low, high = at - q * width - width + 1, at - q * width  # starts of the whole slice
+                    lo, hi = max(low, 0), min(high, n - 1)
+                    core = xxhash.xxh64(u[high:low + length].tobytes())
+                    core.update(b"%d:%d" % (a, q))
+                    part = u[lo:hi + length].tobytes()
+                    out.append((a, s, lo, core.intdigest(), xxhash.xxh64_intdigest(part), c, hi - lo + 1, at - lo, part))
+            cols = list(zip(*out, strict=True)) or [()] * 9
+            signed = [np.array(cols[i], np.uint64).view(np.int64) for i in (3, 4)]
+            yield pa.record_batch(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+                 pa.array(signed[0]), pa.array(signed[1]), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int32()),
+                 pa.array(cols[7], pa.int32()), pa.array(cols[8], pa.binary())],
+                names=["of_anchor", "of_seg", "start", "anchor", "seg", "cnt", "n", "at", "units"])
+
+    return content.mapInArrow(run, "of_anchor long, of_seg long, start int, anchor long, seg long, cnt long, n int, "
+                                   "at int, units binary")
+
+
+def repeated_runs(content: DataFrame, unit: str, length: int, compare: Compare, group_rows: int,
+                  batch_bytes: int, width: int = 16) -> DataFrame:
+    """Runs ``anchor, seg, lo, hi`` of repeated starts of ``CONTENT`` rows; anchors
+    with more than ``group_rows`` segments by slices of ``width`` starts."""
+    cols = ["anchor", "seg", "cnt", "n", "at", "units"]
+    runs = compare_groups(content.filter(F.col("kinds") <= group_rows).select(*cols), unit, compare, batch_bytes)
+    many = content.filter(F.col("kinds") > group_rows)
+    if many.isEmpty():
+        return runs
+    cut = materialize(slices(many.select(*cols), unit, length, width), f"anchor-slices{width}")
+    segs = materialize(cut.groupBy("anchor", "seg").agg(
+        F.sum("cnt").alias("cnt"), F.first("n").alias("n"), F.first("at").alias("at"),
+        F.first("units").alias("units")), f"anchor-cores{width}")
+    kinds = materialize(segs.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"),
+                        f"anchor-kinds{width}")
+    # slices of one start are whole passages: equal ones are one segment by now
+    inner = repeated_runs(segs.join(kinds, "anchor"), unit, length, compare, group_rows, batch_bytes,
+                          max(width // 4, 1)) if width > 1 else None
+    marks = segs.filter("cnt > 1").select("anchor", "seg", F.lit(0).alias("lo"), F.col("n").alias("hi"))
+    if inner is not None:
+        marks = marks.unionByName(inner.join(segs.filter("cnt = 1").select("anchor", "seg"), ["anchor", "seg"]))
+    marks = materialize(marks, f"anchor-found{width}")
+    back = cut.select("of_anchor", "of_seg", "start", "anchor", "seg").join(marks, ["anchor", "seg"]).select(
+        F.col("of_anchor").alias("anchor"), F.col("of_seg").alias("seg"),
+        (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    return runs.unionByName(back)
 
 
 def repeated_spans(texts: DataFrame, unit: str, length: int, k: int, compare: Compare,
-                   group_rows: int = 2048, batch_bytes: int = 1 << 18) -> DataFrame:
+                   group_rows: int = 1024, batch_bytes: int = 1 << 18) -> DataFrame:
     """``doc_id, th, spans``: of every text with repeats, the unit ranges
     (start, end) covered by a passage of ``length`` units that starts somewhere
     else too. Ranges may touch or overlap."""
@@ -241,12 +284,8 @@ def repeated_spans(texts: DataFrame, unit: str, length: int, k: int, compare: Co
     segs = materialize(segs, "anchor-segs")
     kinds = segs.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     wanted = segs.join(kinds, "anchor").select("anchor", "seg", "cnt", "kinds", "rep.*")
-    content = materialize(contents(texts, wanted, unit, length), "anchor-content")
-    cols = ["anchor", "seg", "cnt", "n", "units"]
-    many = content.filter(F.col("kinds") > group_rows).select(*cols)
-    runs = compare_groups(content.filter(F.col("kinds") <= group_rows).select(*cols), unit, compare, batch_bytes)
-    if not many.isEmpty():
-        runs = runs.unionByName(fingerprint_groups(many, unit, length))
+    content = materialize(contents(texts, wanted, unit, length, k), "anchor-content")
+    runs = repeated_runs(content, unit, length, compare, group_rows, batch_bytes)
     part = runs.groupBy("anchor", "seg").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("rep.n").alias("hi")))
     full = segs.filter("cnt > 1").select("anchor", "seg", whole.alias("runs"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.llm.anchors import KEYS, anchor_places, covered, keyed, maximal_runs, repeated_spans
+from enrichkit.llm.anchors import KEYS, covered, keyed, maximal_runs, repeated_spans
 from enrichkit.llm.common import left_lookup, mix64
 
 
@@ -25,11 +25,10 @@ def extend_matches(length: int, k: int):
     """``compare`` of the anchored frame: classes by left and right extension."""
     reach = length - k
 
-    def compare(anchor: np.ndarray, cnt: np.ndarray, segs: list[np.ndarray]) -> list[np.ndarray]:
+    def compare(anchor: np.ndarray, cnt: np.ndarray, at: np.ndarray, segs: list[np.ndarray]) -> list[np.ndarray]:
         m = len(segs)
         ctx = np.zeros((m, 2 * reach + k), np.uint64)  # words around the anchor
         n = np.array([len(s) - length + 1 for s in segs])
-        at = anchor_places(anchor, segs, length, k)
         for i, s in enumerate(segs):
             ctx[i, reach - at[i]:reach - at[i] + len(s)] = s
         group = mix64(anchor.view(np.uint64))

@@ -8,10 +8,9 @@ each neighbour is one more than the least common prefix between what follows
 their first symbols. Each round reads the round before from front to back and
 writes the next, no suffix is ever compared as a string.
 
-A symbol is a block of bytes that divides the passage length (8 for 400), a text
-is entered once per block phase, and blocks compare like the bytes they hold; so
-a passage of 400 bytes is 50 equal symbols and a collection needs an eighth of
-the rounds. Collections are the groups of ``anchors``: segments of bounded length
+A symbol is a block of bytes that divides the passage length (40 for 400), named
+in byte order; a text is entered once per block phase. So a passage of 400 bytes
+is 10 equal symbols and a collection needs a fortieth of the rounds. Collections are the groups of ``anchors``: segments of bounded length
 (under two passages) that share an anchor, written as one table in the shared
 folder and read group after group, so rounds and memory stay bounded at any
 corpus size.
@@ -26,15 +25,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.llm.anchors import KEYS, anchor_places, covered, keyed, maximal_runs, repeated_spans
+from enrichkit.llm.anchors import KEYS, covered, keyed, maximal_runs, repeated_spans
 from enrichkit.llm.common import left_lookup
 
 _TILE = 64
 
 
-def block_size(length: int) -> int:
-    """The widest block of at most 8 bytes that divides the passage length."""
-    return max(g for g in range(1, 9) if length % g == 0)
+def block_size(length: int) -> tuple[int, int]:
+    """(bytes in a base block, base blocks in a symbol): a base block has up to
+    8 bytes, a symbol up to 5 base blocks, and symbols divide the length."""
+    g = max(x for x in range(1, 9) if length % x == 0)
+    return g, max(m for m in range(1, 6) if length // g % m == 0)
+
+
+def symbol_names(value: np.ndarray, g: int, m: int, room: np.ndarray) -> np.ndarray:
+    """Integer names, in byte order, of the ``m`` base blocks that start at each
+    place: names of halves are sorted as pairs. Places without room get -1."""
+    have: dict[int, np.ndarray] = {}
+
+    def name(blocks: int) -> np.ndarray:
+        if blocks not in have:
+            fits = np.flatnonzero(room >= blocks * g)
+            if blocks == 1:
+                key = value[fits]
+            else:
+                half = 1 << (blocks - 1).bit_length() - 1
+                left, right = name(half), name(blocks - half)
+                key = left[fits] * np.int64(len(value) + 1) + right[fits + half * g]
+            out = np.full(len(value), -1, np.int32)
+            out[fits] = np.unique(key, return_inverse=True)[1]
+            have[blocks] = out
+        return have[blocks]
+
+    return name(m)
 
 
 def range_minima(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -92,10 +115,10 @@ def collection_bwt(symbol: np.ndarray, after: np.ndarray, rounds: np.ndarray, mo
         if not len(new):
             continue
         old_n = len(first)
-        key = symbol[new] * np.int64(old_n + 2) + where + 1
+        key = symbol[new].astype(np.int64) * (old_n + 2) + where + 1
         by = np.argsort(key, kind="stable")
         new, where, key = new[by], where[by], key[by]
-        at = np.searchsorted(first * np.int64(old_n + 2) + (rest + np.int32(1)), key) + np.arange(len(new))
+        at = np.searchsorted(first.astype(np.int64) * (old_n + 2) + (rest + 1), key) + np.arange(len(new))
         n = old_n + len(new)
         fresh = np.zeros(n, bool)
         fresh[at] = True
@@ -129,29 +152,30 @@ def collection_bwt(symbol: np.ndarray, after: np.ndarray, rounds: np.ndarray, mo
     return names, lcp
 
 
-def repeated_starts(anchor: np.ndarray, cnt: np.ndarray, segs: list[np.ndarray], length: int, k: int
+def repeated_starts(anchor: np.ndarray, cnt: np.ndarray, at: np.ndarray, segs: list[np.ndarray], length: int
                     ) -> list[np.ndarray]:
     """Which starts of each segment have a passage that some other start (or a
     copy of the segment) has too. Rounds count from the right of the anchor, so
     equal passages are inserted in the same rounds."""
-    g = block_size(length)
+    base, m = block_size(length)
+    g = base * m
     size = np.array([len(s) for s in segs])
     first = np.cumsum(size) - size
-    flat = np.concatenate(segs).astype(np.uint64)
+    flat = np.concatenate(segs)
     value = np.zeros(len(flat), np.uint64)
-    for i in range(g):
-        value[:len(flat) - i] |= flat[i:] << np.uint64(8 * (g - 1 - i))
-    owner = np.repeat(np.arange(len(segs)), size)
-    inside = np.arange(len(flat)) - first[owner]
-    ahead_of_anchor = inside - anchor_places(anchor, segs, length, k)[owner]
+    for i in range(base):
+        value[:len(flat) - i] |= flat[i:].astype(np.uint64) << np.uint64(8 * (base - 1 - i))
+    owner = np.repeat(np.arange(len(segs), dtype=np.int32), size)
+    inside = np.arange(len(flat), dtype=np.int32) - first[owner].astype(np.int32)
+    ahead_of_anchor = inside - at[owner]
     room = size[owner] - inside                       # bytes from here to the segment's end
     suffix = np.flatnonzero(room >= g)
-    _, symbol = np.unique(value[suffix], return_inverse=True)
+    symbol = symbol_names(value, base, m, room)[suffix]
     number = np.full(len(flat) + g, -1, np.int64)
     number[suffix] = np.arange(len(suffix))
     after = np.where(room[suffix] >= 2 * g, number[suffix + g], -1)
     rounds = (length - ahead_of_anchor[suffix]) // g
-    names, lcp = collection_bwt(symbol.astype(np.int64), after, rounds - rounds.min(), length // g,
+    names, lcp = collection_bwt(symbol, after, rounds - rounds.min(), length // g,
                                 inside[suffix] // g)
     same = lcp >= length // g
     hit = np.zeros(len(flat), bool)
@@ -179,7 +203,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("k must lie between 1 and the string length")
     texts = keyed(docs, id_col, text_col)
     spans = repeated_spans(texts, "bytes", length, k,
-                           lambda anchor, cnt, segs: repeated_starts(anchor, cnt, segs, length, k))
+                           lambda anchor, cnt, at, segs: repeated_starts(anchor, cnt, at, segs, length))
     joined = left_lookup(texts, spans, KEYS).select("doc_id", "text", "spans")
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])

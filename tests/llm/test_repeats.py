@@ -47,7 +47,7 @@ def test_substring_dedup(hard, length, k):
                   for r in got) == want
 
 
-def test_full_groups_take_the_fingerprint_way(spark):
+def test_full_groups_are_split(spark):
     """A hot anchor (one passage in many contexts) beyond the group bound."""
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
@@ -57,7 +57,7 @@ def test_full_groups_take_the_fingerprint_way(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for unit, length, k, compare, plain in (
             ("words", 12, 4, substring_dedup.extend_matches(12, 4), substring_dedup.plain_removed),
-            ("bytes", 64, 16, lambda a, c, s: suffix_dedup.repeated_starts(a, c, s, 64, 16),
+            ("bytes", 64, 16, lambda a, c, p, s: suffix_dedup.repeated_starts(a, c, p, s, 64),
              lambda t, n: suffix_dedup.plain_removed([x.encode() for x in t], n))):
         keyed = anchors.keyed(df, "doc_id", "text")
         want = {i: maximal_runs(h) for i, h in enumerate(plain(texts, length)) if h.any()}
