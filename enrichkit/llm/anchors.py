@@ -159,7 +159,7 @@ def contents(texts: DataFrame, wanted: DataFrame, unit: str, length: int, k: int
                 for w, part, place in zip(want, parts, at.tolist(), strict=True):
                     out.append((w["anchor"], w["seg"], w["cnt"], w["n"], place, part.tobytes(), w["kinds"]))
                     held += part.nbytes
-                if held > 4 << 20:
+                if held > 2 << 20:
                     yield _content_batch(out)
                     out, held = [], 0
             yield _content_batch(out)
@@ -219,8 +219,9 @@ def slices(content: DataFrame, unit: str, length: int, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for a, s, c, n, at, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out, held = [], 0
+            for row in zip(*b.columns, strict=True):
+                a, s, c, n, at, raw = (v.as_py() for v in row)
                 u = np.frombuffer(raw, dtype)
                 for q in range((at - n + 1) // width, at // width + 1):
                     low, high = at - q * width - width + 1, at - q * width  # starts of the whole slice
@@ -229,18 +230,27 @@ def slices(content: DataFrame, unit: str, length: int, width: int) -> DataFrame:
                     core.update(b"%d:%d" % (a, q))
                     part = u[lo:hi + length].tobytes()
                     out.append((a, s, lo, core.intdigest(), xxhash.xxh64_intdigest(part), c, hi - lo + 1, at - lo, part))
-            cols = list(zip(*out, strict=True)) or [()] * 9
-            signed = [np.array(cols[i], np.uint64).view(np.int64) for i in (3, 4)]
-            yield pa.record_batch(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
-                 pa.array(signed[0]), pa.array(signed[1]), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int32()),
-                 pa.array(cols[7], pa.int32()), pa.array(cols[8], pa.binary())],
-                names=["of_anchor", "of_seg", "start", "anchor", "seg", "cnt", "n", "at", "units"])
+                    held += len(part)
+                if held > 2 << 20:
+                    yield _slice_batch(out)
+                    out, held = [], 0
+            if out:
+                yield _slice_batch(out)
 
     return content.mapInArrow(run, "of_anchor long, of_seg long, start int, anchor long, seg long, cnt long, n int, "
                                    "at int, units binary")
 
 
+def _slice_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True))
+    signed = [np.array(cols[i], np.uint64).view(np.int64) for i in (3, 4)]
+    return pa.record_batch(
+        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+         pa.array(signed[0]), pa.array(signed[1]), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int32()),
+         pa.array(cols[7], pa.int32()), pa.array(cols[8], pa.binary())],
+        names=["of_anchor", "of_seg", "start", "anchor", "seg", "cnt", "n", "at", "units"])
+
+
 def repeated_runs(content: DataFrame, unit: str, length: int, compare: Compare, group_rows: int,
                   batch_bytes: int, width: int = 16) -> DataFrame:
     """Runs ``anchor, seg, lo, hi`` of repeated starts of ``CONTENT`` rows; anchors

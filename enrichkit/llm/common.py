@@ -157,11 +157,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors (once per application), so
-    Python tasks can import it wherever the driver was started."""
+    """Make a session ready for the operators: Arrow batches of at most 4 MB,
+    so that long texts cannot fill a task's memory, and this package's code sent
+    to the executors (once per application), so that Python tasks can import it
+    wherever the driver was started."""
     import shutil
     import tempfile
     from pathlib import Path
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

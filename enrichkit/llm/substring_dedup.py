@@ -71,7 +71,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 1 <= k <= length:
         raise ValueError("k must lie between 1 and the window length")
     texts = keyed(docs, id_col, text_col)
-    spans = repeated_spans(texts, "words", length, k, extend_matches(length, k))
+    # a group is compared in a few words' hashes a segment: 16,384 of them take 20 MB
+    spans = repeated_spans(texts, "words", length, k, extend_matches(length, k), group_rows=1 << 14,
+                           batch_bytes=1 << 20)
     joined = left_lookup(texts, spans, KEYS).select("doc_id", "text", "spans")
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
