@@ -212,17 +212,13 @@ def q_poi_counts(spark, sf):
 @query("scenario_gate")
 def q_scenario_gate(spark, sf):
     from enrichkit.plans.enrich import geo_lookup, scenario_gate
-    per = geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), "serial_number",
-                     td.geo_failures(spark, sf))
-    return scenario_gate(per, "serial_number")
+    return scenario_gate(geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), td.geo_failures(spark, sf)))
 
 
 @query("scenario_summary")
 def q_scenario_summary(spark, sf):
     from enrichkit.plans.enrich import geo_lookup, scenario_summary
-    per = geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), "serial_number",
-                     td.geo_failures(spark, sf))
-    return scenario_summary(per, "serial_number")
+    return scenario_summary(geo_lookup(td.geo_points(spark, sf), td.pois(spark, sf), td.geo_failures(spark, sf)))
 
 
 @query("geo_enrichment")
@@ -266,12 +262,7 @@ def q_device_enrichment(spark, sf):
 def q_route_by_device(spark, sf):
     from enrichkit.plans.enrich import route_by_device, split_outcomes
     ok, _ = split_outcomes(_device_lookup(spark, sf))
-    routes = route_by_device(ok.select("cuid", "reference_id", "device_os"))
-    out = None
-    for name, df in routes.items():
-        df = df.withColumn("route", F.lit(name))
-        out = df if out is None else out.unionByName(df)
-    return out
+    return route_by_device(ok.select("cuid", "reference_id", "device_os"))
 
 
 @query("dead_letter")
@@ -441,7 +432,7 @@ def q_countif_stats_global(spark, sf):
 @query("failed_since")
 def q_failed_since(spark, sf):
     from enrichkit.plans.opslog import failed_since
-    return failed_since(td.api_log(spark, sf), dt.date(1998, 1, 1))
+    return failed_since(td.device_dead_letter(spark, sf), dt.date(2024, 1, 15))
 
 
 @query("quota_by_minute")
@@ -465,7 +456,7 @@ def q_batch_summary(spark, sf):
     b = assign_batches(lk, 500, [F.col("reference_id")])
     outcome = (F.when(F.col("device_os").isNull(), F.lit("skipped"))
                .when(F.col("status").startswith("2"), F.lit("success")).otherwise(F.lit("error")))
-    s = batch_summary(b.withColumn("outcome", outcome), "batch_no", "reference_id")
+    s = batch_summary(b.withColumn("outcome", outcome), "batch_no", "reference_id", with_keys=True)
     return s.withColumn("processed", F.array_join("processed", ","))
 
 
@@ -512,14 +503,12 @@ def q_sql_job(spark, sf):
                         views={"device_dead_letter": td.device_dead_letter(spark, sf)})
 
 
-# The reference's two literal geo test rows.
+# Two invented rows.
 INLINE_GEO_ROWS = [
-    ("a5c50c8b-792c-4da4-b279-966caf055d33", "141011354623dfdfdd123456",
-     "2025-10-14 11:09:43.765312", "Ngõ 24 kim đồng", "Thôn Lương Thiện Lương Sơn, Thanh Hóa",
-     None, "việt foood", "105.76631755800807", "10.039397649536806", "2025-10-20"),
-    ("b7d61e2c-8a3f-4e1a-9c4b-5f3e7a2c1d9a", "141011354623dfdfdd123456789",
-     "2025-10-14 11:15:22.432156", "Số 45 Nguyễn Huệ", "Xã Tân Bình, TP Hồ Chí Minh",
-     "0305123456", "mekong coffee solutions", "106.36492068013104", "10.252252252252251", "2025-10-20"),
+    ("sample-1", "S-0001", "2024-02-01 08:30:00.5", "1 Harbour Street", "Flat 2, Mill Lane",
+     None, "Example Foods", "106.70000000000001", "10.75", "2024-02-01"),
+    ("sample-2", "S-0002", "2024-02-01 09:00:00", "22 Station Road", "Old Farm, Hill Village",
+     "000111", "Example Coffee", "106.6789", "10.8000123", "2024-02-01"),
 ]
 
 
@@ -558,48 +547,71 @@ def _stream_session(spark):
 @query("minute_metrics")
 def q_minute_metrics(spark, sf):
     from enrichkit.session import scratch_path
-    from enrichkit.streaming.pipeline import minute_metrics, run_to_parquet
+    from enrichkit.streaming.pipeline import minute_metrics, read_minute_metrics, run_minute_metrics
     schema = td.table(spark, sf, "events").schema
     ss = _stream_session(spark)
     stream = (ss.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf))
     m = minute_metrics(stream, "ts", "2 minutes", F.col("event_type") == "purchase")
     out, ck = scratch_path(spark, "minute_metrics"), scratch_path(spark, "minute_metrics_ck")
-    run_to_parquet(m, out, ck)
-    return spark.read.parquet(out)
+    run_minute_metrics(m, out, ck)
+    return read_minute_metrics(spark, out)
 
 
 @query("stream_batches")
 def q_stream_batches(spark, sf):
+    """SM-2, SM-5, SNK-6: two runs on one checkpoint. The second run's files
+    hold re-sent rows and events weeks older than those of the first; the very
+    first RAW write fails and its batch is retried."""
+    from pyspark.errors import StreamingQueryException
+
+    from enrichkit.functions.scalars import is_failure
     from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import write_zone
     from enrichkit.streaming.pipeline import run_enrichment_stream
     ev = td.device_events(spark, sf)
     root = scratch_path(spark, "stream_batches")
     src, raw, dead, ck = f"{root}/input", f"{root}/raw", f"{root}/dead", f"{root}/checkpoint"
     payloads = td.device_payloads(spark, sf)
-    now = dt.datetime(2024, 1, 31)
     cut = ntz(dt.datetime(2024, 1, 16))
-    runs = [[ev.filter(F.col("created_timestamp") < cut)],
-            [ev.filter(F.col("created_timestamp") >= cut),
-             ev.filter(F.col("device_os").isNull())]]          # re-sent rows (duplicates)
+    tries = []
+
+    def flaky(df, path, parts, overwrite_partitions):
+        if path == raw:
+            tries.append(path)
+            if len(tries) == 1:
+                raise OSError("the RAW zone does not answer")
+        write_zone(df, path, parts, overwrite_partitions=overwrite_partitions)
+
+    runs = [[ev.filter(F.col("created_timestamp") >= cut)],
+            [ev.filter(F.col("created_timestamp") < cut), ev.filter(F.col("device_os").isNull())]]
     ss = _stream_session(spark)
-    for files in runs:                                          # two runs on one checkpoint
+    for files in runs:
         for part in files:
-            part.coalesce(1).write.mode("append").parquet(src)
-        stream = ss.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-        run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", "created_timestamp",
-                              now, watermark="31 days")
-    r = spark.read.parquet(raw).select(F.lit("raw").alias("zone"), "reference_id", "cuid", "device_os",
+            part.write.mode("append").parquet(src)
+        for _ in range(2):
+            stream = ss.readStream.schema(ev.schema).option("maxFilesPerTrigger", 4).parquet(src)
+            try:
+                run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", dt.datetime(2024, 1, 31), flaky)
+                break
+            except StreamingQueryException:
+                if len(tries) > 1:
+                    raise
+    text = lambda c: F.col(c).cast("bigint").alias(c)
+    r = spark.read.parquet(raw).select(F.lit("raw").alias("zone"), text("reference_id"), text("cuid"), "device_os",
                                        "raw_data", F.lit(None).cast("string").alias("api_status"))
-    d = spark.read.parquet(dead).select(F.lit("dead_letter").alias("zone"), "reference_id", "cuid",
-                                        "device_os", F.lit(None).cast("string").alias("raw_data"), "api_status")
+    d = spark.read.parquet(dead).filter(is_failure("api_status")).select(
+        F.lit("dead_letter").alias("zone"), text("reference_id"), text("cuid"), "device_os",
+        F.lit(None).cast("string").alias("raw_data"), "api_status")
     return r.unionByName(d)
 
 
 @query("stream_flatten")
 def q_stream_flatten(spark, sf):
     """SM-6: RAW arrives as files in two runs; a foreachBatch query flattens
-    (iOS) what each micro-batch adds, skipping references already flattened."""
+    (iOS) what each micro-batch adds, skipping RAW references already
+    flattened, whatever number their payload names. The whole input is sent
+    once more at the end and must add nothing."""
     from enrichkit.plans.flatten import flatten_device
     from enrichkit.plans.mappings import IOS
     from enrichkit.session import scratch_path
@@ -608,15 +620,15 @@ def q_stream_flatten(spark, sf):
     root = scratch_path(spark, "stream_flatten")
     src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
     cut = ntz(dt.datetime(1998, 1, 1))
-    body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS), feats, "reference_number")
+    body = incremental_flatten_batch(lambda b, t: flatten_device(b, t, IOS, with_key=True), feats, "raw_reference_id")
     ss = _stream_session(spark)
-    for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut)]:
-        part.coalesce(2).write.mode("append").parquet(src)
-        stream = ss.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for part in [raw.filter(F.col("bq_updated_time") < cut), raw.filter(F.col("bq_updated_time") >= cut), raw]:
+        part.write.mode("append").parquet(src)
+        stream = ss.readStream.schema(raw.schema).parquet(src)
         q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    return spark.read.parquet(feats).drop("batch_id")
+    return spark.read.parquet(feats).drop("batch_id", "raw_reference_id")
 
 
 @query("daily_candidates_android")
@@ -629,14 +641,112 @@ def q_daily_candidates_android(spark, sf):
                             td.device_dead_letter(spark, sf), device_spec(device_type="android"))
 
 
-@query("run_all")
-def q_run_all(spark, sf):
-    """PL-11: one full geo run on fresh zones seeded with the dead letters."""
-    from enrichkit.plans.run import DEAD, GeoSources, run_geo
+def _geo_run(spark, sf):
+    """A full geo run on fresh zones: dead letters from the table, RAW seeded
+    with what landed (so reconcile has work and candidates are excluded)."""
+    from enrichkit.plans.run import DEAD, RAW, GeoSources, run_geo
     from enrichkit.session import scratch_path
     from enrichkit.sources.zones import write_zone
     root = scratch_path(spark, "run_all")
     write_zone(td.geo_dead_letter(spark, sf), f"{root}/{DEAD}")
+    write_zone(td.geo_raw_seed(spark, sf), f"{root}/{RAW}")
     src = GeoSources(td.customers(spark, sf), td.applications(spark, sf), td.apply_info(spark, sf),
                      td.pois(spark, sf), td.geo_failures_by_order(spark, sf))
-    return run_geo(spark, src, root, geo_spec(batch_uuid="run-1"), dt.datetime(2024, 1, 31))
+    return root, run_geo(spark, src, root, geo_spec(batch_uuid="run-1"), dt.datetime(2024, 1, 31))
+
+
+@query("run_all")
+def q_run_all(spark, sf):
+    """PL-11: the batch summary of one full geo run."""
+    return _geo_run(spark, sf)[1]
+
+
+@query("run_all_zones")
+def q_run_all_zones(spark, sf):
+    """PL-11: the records in every zone after one full geo run."""
+    from enrichkit.plans.retry import latest_versions
+    from enrichkit.plans.run import APILOG, DEAD, FEATURES, FLOWLOG, LANDING, OUTBOX, RAW
+    from enrichkit.sources.zones import read_zone
+    root, _ = _geo_run(spark, sf)
+    none = F.lit(None).cast("string")
+    key = lambda c: F.col(c).cast("string").alias("key")
+    rows = [read_zone(spark, root, RAW).select(F.lit(RAW).alias("zone"), key("serial_number"),
+                                               F.col("raw_data").alias("detail")),
+            latest_versions(read_zone(spark, root, DEAD)).select(F.lit(DEAD).alias("zone"), key("series_number"),
+                                                                 F.col("api_status").alias("detail")),
+            read_zone(spark, root, FEATURES).select(F.lit(FEATURES).alias("zone"), key("serial_number"),
+                                                    F.col("contract_poi_residential").alias("detail")),
+            spark.read.schema("serial_number bigint").json(f"{root}/{LANDING}").select(
+                F.lit(LANDING).alias("zone"), key("serial_number"), none.alias("detail")),
+            read_zone(spark, root, APILOG).groupBy("status_code").agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(APILOG).alias("zone"), key("status_code"), F.col("n").cast("string").alias("detail")),
+            read_zone(spark, root, FLOWLOG).select(F.lit(FLOWLOG).alias("zone"), key("task_name"),
+                                                   F.col("status").alias("detail")),
+            read_zone(spark, root, OUTBOX).select(F.lit(OUTBOX).alias("zone"), key("topic"),
+                                                  F.col("message").alias("detail"))]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query("reconcile_zone")
+def q_reconcile_zone(spark, sf):
+    """PL-8 on a zone: the current version of the whole dead letter after the
+    reconcile, every touched partition's old rows included."""
+    from enrichkit.plans.retry import latest_versions
+    from enrichkit.plans.run import DEAD, RAW, reconcile_zone
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import read_zone, write_zone
+    root = scratch_path(spark, "reconcile_zone")
+    write_zone(td.geo_dead_letter(spark, sf), f"{root}/{DEAD}")
+    write_zone(td.geo_raw_landed(spark, sf), f"{root}/{RAW}")
+    reconcile_zone(spark, root, dt.date(2024, 1, 15), dt.datetime(2024, 1, 31))
+    return latest_versions(read_zone(spark, root, DEAD)).select(
+        "uuid", "series_number", "api_status", "bq_updated_time", "partition_date")
+
+
+@query("run_device")
+def q_run_device(spark, sf):
+    """PL-10, PL-11: a full device run, run twice; the records in every zone
+    (the second run adds nothing but its logs)."""
+    from enrichkit.plans.run import (APILOG, DEVICE_DEAD, DEVICE_FEATURES, DEVICE_LANDING, DEVICE_RAW, FLOWLOG,
+                                     OUTBOX, DeviceSources, run_device)
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import read_zone
+    root = scratch_path(spark, "run_device")
+    src = DeviceSources(td.device_events(spark, sf), td.customers(spark, sf), td.applications(spark, sf),
+                        td.device_payloads(spark, sf))
+    for name in ("run-1", "run-2"):
+        run_device(spark, src, root, device_spec(batch_uuid=name), dt.datetime(2024, 1, 31))
+    key = lambda c: F.col(c).cast("string").alias("key")
+    none = F.lit(None).cast("string").alias("detail")
+    raw = read_zone(spark, root, DEVICE_RAW)
+    rows = [raw.select(F.concat(F.lit("raw_"), "route").alias("zone"), key("reference_id"), F.col("raw_data").alias("detail")),
+            read_zone(spark, root, DEVICE_DEAD).select(F.lit(DEVICE_DEAD).alias("zone"), key("reference_id"),
+                                                       F.col("api_status").alias("detail")),
+            spark.read.schema("reference_id bigint").json(f"{root}/{DEVICE_LANDING}").select(
+                F.lit(DEVICE_LANDING).alias("zone"), key("reference_id"), none),
+            read_zone(spark, root, APILOG).groupBy("status_code", "severity").agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(APILOG).alias("zone"), F.concat_ws("/", "status_code", "severity").alias("key"),
+                F.col("n").cast("string").alias("detail")),
+            read_zone(spark, root, FLOWLOG).groupBy("task_name", "status").agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(FLOWLOG).alias("zone"), F.concat_ws("/", "task_name", "status").alias("key"),
+                F.col("n").cast("string").alias("detail")),
+            read_zone(spark, root, OUTBOX).select(F.lit(OUTBOX).alias("zone"), key("topic"), F.col("message").alias("detail"))]
+    rows += [read_zone(spark, root, zone).select(F.lit(zone).alias("zone"), key("raw_reference_id"), none)
+             for zone in DEVICE_FEATURES.values()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query("api_log")
+def q_api_log(spark, sf):
+    """SNK-8: API-log rows of the device lookups, skipped ones included."""
+    from enrichkit.sources.zones import api_log_rows
+    e = td.table(spark, sf, "events").select(F.col("event_id").alias("reference_id"), F.col("ts").alias("t0"))
+    lk = _device_lookup(spark, sf).join(e, "reference_id")
+    lk = lk.withColumn("status", F.when(F.col("device_os").isNotNull(), F.col("status")))
+    return api_log_rows(lk, "device", "insights", "reference_id", F.col("t0"), F.col("t0") + F.expr("INTERVAL 1500 MILLISECOND"))

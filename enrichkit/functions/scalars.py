@@ -51,15 +51,18 @@ def safe_double(x: Column | str) -> Column:
 def round_text(x: Column | str, digits: int = 4) -> Column:
     """FN-8: CAST(ROUND(x, digits) AS STRING) with whole numbers printed
     without a fraction ('10.5', '105.7663', '73'). Goes through a decimal so
-    Spark never prints exponent notation."""
-    d = F.round(_c(x), digits).cast(f"decimal(38,{digits})").cast("string")
+    Spark never prints exponent notation; NULL where the decimal cannot hold
+    the number (or it is not finite)."""
+    d = F.round(_c(x), digits).try_cast(f"decimal(38,{digits})").cast("string")
     return F.regexp_replace(d, r"\.?0+$", "")
 
 
 def coord_text(x: Column | str, digits: int = 4) -> Column:
-    """PL-6 coordinate rule: NULL unless the text parses as a number."""
+    """PL-6 coordinate rule: NULL unless the text parses as a number of at
+    most 180 degrees either way."""
     v = safe_double(x)
-    return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(round_text(v, digits))
+    ok = F.coalesce(F.abs(v) <= F.lit(180.0), F.lit(False))
+    return F.when(ok, round_text(v, digits)).otherwise(F.lit(None).cast("string"))
 
 
 def extract_or_null(text: Column | str, pattern: str, idx: int = 1) -> Column:

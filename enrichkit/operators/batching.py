@@ -25,8 +25,8 @@ def next_batch(df: DataFrame, order_by: Sequence[Column | str], n: int) -> DataF
 
 
 def latest_n(df: DataFrame, ts: str, n: int) -> DataFrame:
-    """SL-3: ORDER BY ts DESC LIMIT n."""
-    return df.orderBy(F.col(ts).desc()).limit(n)
+    """SL-3: ORDER BY ts DESC LIMIT n; ties go by every column in order."""
+    return df.orderBy(F.col(ts).desc(), *[F.col(c).asc_nulls_last() for c in df.columns]).limit(n)
 
 
 def global_rank(df: DataFrame, order_by: Sequence[Column | str], name: str = "rank",

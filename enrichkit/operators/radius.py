@@ -84,6 +84,63 @@ class _Grid:
             .otherwise(F.transform(cols, lambda o: F.struct(a.alias("cla"), o.alias("clo"))))))
 
 
+#: Place coordinates of one grid cell that one join row group may hold.
+CELL_PLACES = 4096
+
+
+def poi_counts_wide(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Sequence[str]],
+                    radius_m: float = 700.0, lat: str = "lat", lon: str = "lon",
+                    place_key: str = "place_id", place_lat: str = "lat", place_lon: str = "lon",
+                    place_types: str = "types", operational: str | None = "operational") -> DataFrame:
+    """The rows of ``points`` with one count column ``_n0, _n1, ...`` per scenario:
+    distinct operational places within ``radius_m`` whose types overlap the
+    scenario's; NULL for a point without coordinates, 0 with nothing near.
+
+    A place id listed more than once is one place (its smallest row). Places
+    of one coordinate are counted before the join, and a cell with more than
+    ``CELL_PLACES`` coordinates is dealt into parts by a hash, so neither side
+    of a dense cell has to meet in one task."""
+    grid = _Grid(radius_m)
+    names = list(scenarios)
+    kinds = [F.arrays_overlap(F.col("_ty"), F.array(*[F.lit(t) for t in scenarios[s]])) for s in names]
+    pl = places.filter(F.col(operational)) if operational else places
+    one = (pl.groupBy(F.col(place_key).alias("_pk"))
+           .agg(F.min(F.struct(F.col(place_lat).try_cast("double").alias("_plat"),
+                               F.col(place_lon).try_cast("double").alias("_plon"),
+                               F.col(place_types).alias("_ty"))).alias("_p"))
+           .select("_p.*").filter(F.col("_plat").isNotNull() & F.col("_plon").isNotNull()))
+    spots = one.groupBy("_plat", "_plon").agg(
+        *[F.count_if(F.coalesce(k, F.lit(False))).alias(f"_c{i}") for i, k in enumerate(kinds)])
+    spots = spots.filter(" OR ".join(f"_c{i} > 0" for i in range(len(names)))) \
+        .select("*", *[c.alias(n) for c, n in zip(grid.place_cell(F.col("_plat"), F.col("_plon")), ("cla", "clo"))])
+    parts = (spots.groupBy("cla", "clo")
+             .agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL_PLACES)).cast("int").alias("parts")))
+    spots = spots.join(parts, ["cla", "clo"]).withColumn(
+        "part", F.pmod(F.xxhash64("_plat", "_plon"), F.col("parts")).cast("int")).drop("parts")
+
+    pts = points.withColumn("_lat", F.col(lat).try_cast("double")).withColumn("_lon", F.col(lon).try_cast("double"))
+    # Copies first: many records can share one coordinate (one building may
+    # hold a third of all applications). Counts are computed once per
+    # distinct coordinate and joined back on it, an equi join whose hot key
+    # adaptive execution splits.
+    coords = (pts.select("_lat", "_lon").filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+              .distinct())
+    cells = coords.select("_lat", "_lon",
+                          F.explode(grid.point_cells(F.col("_lat"), F.col("_lon"))).alias("_c"))
+    cells = (cells.select("_lat", "_lon", F.col("_c.cla").alias("cla"), F.col("_c.clo").alias("clo"))
+             .join(parts, ["cla", "clo"])
+             .select("_lat", "_lon", "cla", "clo", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    hits = (cells.join(spots, ["cla", "clo", "part"])
+            .filter(haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
+                    <= F.lit(radius_m))
+            .groupBy("_lat", "_lon").agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(names))]))
+    ok = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    return pts.join(hits, ["_lat", "_lon"], "left").select(
+        *[F.col(f"`{c}`") for c in points.columns],
+        *[F.when(ok, F.coalesce(F.col(f"_n{i}"), F.lit(0))).cast("bigint").alias(f"_n{i}")
+          for i in range(len(names))])
+
+
 def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Sequence[str]],
                radius_m: float = 700.0, point_key: str = "point_id",
                lat: str = "lat", lon: str = "lon",
@@ -96,48 +153,10 @@ def poi_counts(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Seq
     ``places``: place_key, lat, lon, types ARRAY<STRING>, operational BOOLEAN.
     Points with no place nearby get 0.
     """
-    grid = _Grid(radius_m)
-    names = list(scenarios)
-
-    # places -> (cell, place, scenario) without a shuffle: a place joins each
-    # scenario whose type list overlaps its types (a place counts once).
-    pl = places.select(F.col(place_key).alias("_pk"), F.col(place_lat).try_cast("double").alias("_plat"),
-                       F.col(place_lon).try_cast("double").alias("_plon"), F.col(place_types).alias("_ty"),
-                       *([F.col(operational).alias("_op")] if operational else []))
-    if operational:
-        pl = pl.filter(F.col("_op")).drop("_op")
-    matched = F.array_compact(F.array(*[
-        F.when(F.arrays_overlap(F.col("_ty"), F.array(*[F.lit(t) for t in scenarios[s]])), F.lit(s))
-        for s in names]))
-    pl = (pl.filter(F.col("_plat").isNotNull() & F.col("_plon").isNotNull())
-          .select("_pk", "_plat", "_plon", F.explode(matched).alias("scenario"),
-                  *[c.alias(n) for c, n in zip(grid.place_cell(F.col("_plat"), F.col("_plon")),
-                                               ("cla", "clo"))]))
-
-    pts = points.select(F.col(point_key).alias("_pt"), F.col(lat).try_cast("double").alias("_lat"),
-                        F.col(lon).try_cast("double").alias("_lon"))
-    # Copies first: many records can share one coordinate (one building may
-    # hold a third of all applications). Counts are computed once per
-    # distinct coordinate (partial aggregation collapses the copies before
-    # the shuffle) and joined back on the coordinate, an equi join whose hot
-    # key AQE splits.
-    coords = (pts.select("_lat", "_lon").filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
-              .distinct())
-    cells = coords.select("_lat", "_lon",
-                          F.explode(grid.point_cells(F.col("_lat"), F.col("_lon"))).alias("_c"))
-    cells = cells.select("_lat", "_lon", F.col("_c.cla").alias("cla"), F.col("_c.clo").alias("clo"))
-    hits = (cells.join(pl, ["cla", "clo"])
-            .filter(haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
-                    <= F.lit(radius_m))
-            .groupBy("_lat", "_lon")
-            .agg(*[F.count_if(F.col("scenario") == F.lit(s)).alias(f"_n{i}") for i, s in enumerate(names)]))
-
-    # every point x every scenario (a generator over the fixed scenario names);
-    # points with no place nearby get 0, invalid points NULL
-    per_point = pts.join(hits, ["_lat", "_lon"], "left")
-    ok = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
-    pairs = F.array(*[F.struct(F.lit(s).alias("scenario"),
-                               F.when(ok, F.coalesce(F.col(f"_n{i}"), F.lit(0))).cast("bigint").alias("count"))
-                      for i, s in enumerate(names)])
-    return (per_point.select(F.col("_pt").alias(point_key), F.explode(pairs).alias("_p"))
+    wide = poi_counts_wide(points.select(F.col(point_key).alias("_pt"), F.col(lat).alias("_a"), F.col(lon).alias("_o")),
+                           places, scenarios, radius_m, "_a", "_o", place_key, place_lat, place_lon,
+                           place_types, operational)
+    pairs = F.array(*[F.struct(F.lit(s).alias("scenario"), F.col(f"_n{i}").alias("count"))
+                      for i, s in enumerate(scenarios)])
+    return (wide.select(F.col("_pt").alias(point_key), F.explode(pairs).alias("_p"))
             .select(point_key, F.col("_p.scenario").alias("scenario"), F.col("_p.count").alias("count")))

@@ -60,25 +60,31 @@ def with_views(names: list[str], body: str) -> str:
 
 ORACLES: dict[str, str] = {}
 
-ORACLES["daily_candidates"] = with_views(
-    ["dev_events", "cust", "app", "dl", "done_android", "done_ios"], f"""
-, c AS (SELECT * FROM cust QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition_date DESC, cuid) = 1)
-, ap AS (SELECT * FROM app QUALIFY row_number() OVER (
-         PARTITION BY customer_id, serial_number ORDER BY partition_date DESC, created_at DESC) = 1)
-SELECT DISTINCT m.cuid AS cuid, m.reference_id AS reference_id, m.device_os AS device_os,
-       m.created_timestamp AS created_timestamp, ap.serial_number AS serial_number,
-       m.partition_date AS partition_date
-FROM dev_events m
-LEFT JOIN c ON c.cuid = m.cuid
-LEFT JOIN ap ON c.id = ap.customer_id AND CAST(ap.created_at AS DATE) = CAST(m.created_timestamp AS DATE)
-WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.reference_id)
-  AND NOT EXISTS (SELECT 1 FROM done_ios i WHERE i.reference_id = m.reference_id)
-  AND NOT EXISTS (SELECT 1 FROM dl fr WHERE fr.reference_id = m.reference_id AND fr.partition_date = {AS_OF})
-QUALIFY row_number() OVER (PARTITION BY m.reference_id
-                           ORDER BY m.partition_date DESC, ap.serial_number ASC NULLS LAST) = 1
-ORDER BY m.reference_id, m.cuid
-LIMIT 50""")
+# Candidates, by set algebra: the keys still open are a difference of key sets,
+# the lowest serial of a customer's day is an aggregate, and each key's columns
+# are looked up afterwards.
+_DAY_SERIAL = """
+, day_serial AS (SELECT customer_id, CAST(created_at AS DATE) AS made_on, min(serial_number) AS lowest
+                 FROM app GROUP BY 1, 2)
+, holder AS (SELECT id, max(cuid) AS owner FROM cust GROUP BY id)"""
+
+
+def _daily_sql(os_filter: str = "") -> str:
+    return with_views(["dev_events", "cust", "app", "dl", "done_android", "done_ios"], f"""{_DAY_SERIAL}
+, open_keys AS (
+  SELECT reference_id FROM dev_events WHERE cuid IS NOT NULL{os_filter}
+  EXCEPT SELECT reference_id FROM done_android
+  EXCEPT SELECT reference_id FROM done_ios
+  EXCEPT SELECT reference_id FROM dl WHERE partition_date = {AS_OF})
+, batch AS (SELECT reference_id FROM open_keys WHERE reference_id IS NOT NULL ORDER BY 1 LIMIT 50)
+SELECT e.cuid, e.reference_id, e.device_os, e.created_timestamp,
+       (SELECT min(lowest) FROM day_serial s JOIN holder h ON s.customer_id = h.id
+        WHERE h.owner = e.cuid AND s.made_on = CAST(e.created_timestamp AS DATE)) AS serial_number,
+       e.partition_date
+FROM batch SEMI JOIN dev_events USING (reference_id) JOIN dev_events e USING (reference_id)""")
+
+
+ORACLES["daily_candidates"] = _daily_sql()
 
 
 # ------------------------------------------------------------------ flatten
@@ -96,7 +102,8 @@ def _flatten_device_sql(ios: bool) -> str:
         "partition_date": "CASE WHEN o_orderstatus = 'F' THEN DATE '2024-01-25' ELSE DATE '2024-01-20' END",
         "requested_date": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
         "requester": "CASE WHEN o_orderstatus = 'F' THEN 'app-v2' ELSE 'app' END",
-        "reference_number": "CAST(o_orderkey AS VARCHAR)",
+        "reference_number": "CASE o_orderkey % 50 WHEN 0 THEN NULL WHEN 1 THEN 'X' || CAST(o_orderkey AS VARCHAR)"
+                            " ELSE CAST(o_orderkey AS VARCHAR) END",
         "device_id": f"CASE WHEN NOT has_ins THEN NULL WHEN {second} THEN 'dev2-' || CAST(o_orderkey AS VARCHAR)"
                      " ELSE 'dev-' || CAST(o_orderkey AS VARCHAR) END",
         "device_brand": f"CASE WHEN NOT has_ins THEN NULL WHEN {second} THEN 'second' ELSE o_orderpriority END",
@@ -136,7 +143,7 @@ ORACLES["flatten_ios"] = _flatten_device_sql(ios=True)
 
 def _flatten_geo_sql() -> str:
     from enrichkit.plans.flatten import GEO_PAD_COLUMNS
-    rnd = ("CASE WHEN try_cast({x} AS DOUBLE) IS NULL THEN NULL ELSE regexp_replace(CAST(CAST("
+    rnd = ("CASE WHEN abs(try_cast({x} AS DOUBLE)) <= 180 THEN regexp_replace(CAST(CAST("
            "round(try_cast({x} AS DOUBLE), 4) AS DECIMAL(38,4)) AS VARCHAR), '\\.?0+$', '') END")
     pads = ",\n  ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in GEO_PAD_COLUMNS)
     return f"""WITH g AS (
@@ -216,45 +223,35 @@ FROM f""")
 
 # ------------------------------------------------------------ pipelines
 ORACLES["range_candidates"] = with_views(["dev_events", "cust", "app", "done_android", "done_ios"], """
-, c AS (SELECT * FROM cust QUALIFY row_number() OVER (PARTITION BY id ORDER BY partition_date DESC, cuid) = 1)
-, ap AS (SELECT * FROM app QUALIFY row_number() OVER (
-         PARTITION BY customer_id, serial_number ORDER BY partition_date DESC, created_at DESC) = 1)
-SELECT m.cuid, m.reference_id, m.device_os, m.created_timestamp, ap.serial_number
-FROM dev_events m
-LEFT JOIN c ON c.cuid = m.cuid
-LEFT JOIN ap ON c.id = ap.customer_id AND CAST(ap.created_at AS DATE) = CAST(m.created_timestamp AS DATE)
-WHERE CAST(m.created_timestamp AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'
-  AND m.reference_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.reference_id)
-  AND NOT EXISTS (SELECT 1 FROM done_ios i WHERE i.reference_id = m.reference_id)
-ORDER BY m.created_timestamp, m.reference_id, ap.serial_number NULLS LAST
+, finished AS (SELECT reference_id FROM done_android UNION SELECT reference_id FROM done_ios)
+, window_events AS (
+  SELECT * FROM dev_events ANTI JOIN finished USING (reference_id)
+  WHERE created_timestamp >= TIMESTAMP '2024-01-10' AND created_timestamp < TIMESTAMP '2024-01-13')
+, made AS (SELECT k.cuid, CAST(a.created_at AS DATE) AS made_on, a.serial_number
+           FROM app a, cust k WHERE k.id = a.customer_id GROUP BY ALL)
+SELECT w.cuid, reference_id, device_os, created_timestamp, serial_number
+FROM window_events w LEFT JOIN made ON made.cuid = w.cuid AND made_on = CAST(created_timestamp AS DATE)
+ORDER BY created_timestamp, reference_id, serial_number NULLS LAST
 LIMIT 50""")
 
-ORACLES["geo_candidates"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], """
-SELECT c.cuid AS cuid, ap.serial_number AS serial_number, ap.created_at AS created_at,
-  c.current_detailed_address AS current_detailed_address,
-  c.permanent_detailed_address AS permanent_detailed_address,
-  ay.tax_code AS tax_code, ay.company_name AS company_name, ay.longitude AS longitude,
-  ay.latitude AS latitude, ap.partition_date AS partition_date
-FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
-WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
-  AND ay.longitude <> 'null' AND ay.latitude <> 'null'
-  AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
-  AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
-QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
-                           ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1
-ORDER BY cuid, serial_number
-LIMIT 500""")
+_OPEN_SERIALS = """
+, taken AS (SELECT serial_number FROM geo_done UNION SELECT series_number FROM geo_dl)
+, open_serials AS (SELECT serial_number FROM app WHERE status = 'ACTIVE' EXCEPT SELECT serial_number FROM taken)
+, located AS (SELECT * FROM apply_info WHERE 'null' NOT IN (longitude, latitude))
+, pending AS (
+  SELECT k.cuid, serial_number, created_at, current_detailed_address, permanent_detailed_address,
+         tax_code, company_name, longitude, latitude, app.partition_date
+  FROM located JOIN cust k USING (cuid), app SEMI JOIN open_serials USING (serial_number)
+  WHERE app.customer_id = k.id)"""
+
+ORACLES["geo_candidates"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], _OPEN_SERIALS + """
+SELECT * FROM pending ORDER BY cuid, serial_number LIMIT 500""")
 
 ORACLES["geo_range_candidates"] = with_views(["cust", "app", "apply_info", "geo_done"], """
-SELECT DISTINCT cuid, serial_number, longitude, latitude FROM (
-  SELECT c.cuid AS cuid, ap.serial_number AS serial_number, ay.longitude AS longitude,
-         ay.latitude AS latitude, ap.partition_date AS pd
-  FROM cust c LEFT JOIN app ap ON c.id = ap.customer_id LEFT JOIN apply_info ay ON c.cuid = ay.cuid
-  WHERE c.cuid IS NOT NULL AND ap.partition_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'
-    AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
-  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
-                             ORDER BY ap.partition_date DESC, ay.longitude NULLS LAST) = 1)""")
+, quarter AS (SELECT customer_id, serial_number FROM app ANTI JOIN geo_done USING (serial_number)
+              WHERE date_trunc('quarter', partition_date) = DATE '1998-01-01')
+, owner AS (SELECT q.serial_number, k.cuid FROM quarter q, cust k WHERE q.customer_id = k.id)
+SELECT owner.cuid, serial_number, longitude, latitude FROM owner LEFT JOIN apply_info USING (cuid)""")
 
 ORACLES["retry_list"] = with_views(["dl"], """
 , w AS (SELECT * FROM dl WHERE partition_date >= DATE '2024-01-28')
@@ -270,29 +267,20 @@ WHERE rn = 1 AND NOT (api_status LIKE '2%' OR api_status = 'success')""")
 
 ORACLES["distinct_pairs"] = with_views(["dev_events"], "SELECT DISTINCT cuid, device_os FROM dev_events")
 
-ORACLES["union_retry"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], """
-, new AS (
-  SELECT c.cuid AS cuid, ap.serial_number AS serial_number,
-    c.current_detailed_address AS current_detailed_address,
-    c.permanent_detailed_address AS permanent_detailed_address,
-    ay.tax_code AS tax_code, ay.company_name AS company_name, ay.longitude AS longitude,
-    ay.latitude AS latitude
-  FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
-  WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
-    AND ay.longitude <> 'null' AND ay.latitude <> 'null'
-    AND NOT EXISTS (SELECT 1 FROM geo_done g WHERE g.serial_number = ap.serial_number)
-    AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
-  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
-                             ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1
-  ORDER BY cuid, serial_number LIMIT 500)
-, retry AS (
-  SELECT * FROM geo_dl WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30'
-  QUALIFY row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) = 1)
-SELECT *, 'new' AS origin FROM new
+_GEO_RETRY = """
+, recent AS (SELECT series_number, max(struct_pack(t := bq_updated_time, u := uuid)) AS newest
+             FROM geo_dl WHERE partition_date > DATE '2024-01-10' AND partition_date < DATE '2024-01-31'
+             GROUP BY series_number)
+, retry AS (SELECT d.* FROM geo_dl d JOIN recent r ON d.series_number = r.series_number AND d.uuid = r.newest.u
+            WHERE d.api_status <> 'success' AND left(d.api_status, 1) <> '2')"""
+
+ORACLES["union_retry"] = with_views(["cust", "app", "apply_info", "geo_done", "geo_dl"], _OPEN_SERIALS + _GEO_RETRY + """
+, batch AS (SELECT * FROM pending ORDER BY cuid, serial_number LIMIT 500)
+SELECT cuid, serial_number, current_detailed_address, permanent_detailed_address, tax_code, company_name,
+       longitude, latitude, 'new' AS origin FROM batch
 UNION ALL
 SELECT cuid, series_number, contact_address, residence_address, tax_code, company_name,
-       contract_longitude, contract_latitude, 'retry' FROM retry
-WHERE NOT (api_status LIKE '2%' OR api_status = 'success')""")
+       contract_longitude, contract_latitude, 'retry' FROM retry""")
 
 # ------------------------------------------------------------ enrichment
 _HAV = ("2 * 6371000.0 * asin(least(1.0, sqrt(pow(sin((radians(p.lat) - radians(q.lat)) / 2), 2)"
@@ -317,47 +305,49 @@ FROM pts q, scen s""")
 
 _GEO_PER = f"""
 , {_PLACES}
-, rec AS (SELECT cuid AS serial_number, latitude, longitude,
+, rec AS (SELECT cuid, cuid - cuid % 2 AS serial_number, latitude, longitude,
             latitude IS NOT NULL AND longitude IS NOT NULL AND lower(latitude) <> 'null'
             AND lower(longitude) <> 'null' AS valid FROM apply_info)
-, fail AS (SELECT c_custkey AS serial_number, 'commercial' AS scenario, '503' AS status
+, fail AS (SELECT c_custkey AS cuid, 'commercial' AS scenario, '503' AS status
            FROM customer WHERE c_acctbal < 0)
 , per AS (
-  SELECT q.serial_number, s.scenario, coalesce(f.status, '200') AS status,
+  SELECT q.cuid, q.serial_number, s.scenario, coalesce(f.status, '200') AS status,
     (f.status IS NULL OR f.status LIKE '2%') AS ok,
     CASE WHEN NOT q.valid OR NOT (f.status IS NULL OR f.status LIKE '2%') THEN 'null'
          ELSE CAST((SELECT count(*) FROM places p WHERE p.scenario = s.scenario AND
               {_HAV.replace('q.lat', 'try_cast(q.latitude AS DOUBLE)').replace('q.lon', 'try_cast(q.longitude AS DOUBLE)')} <= 700.0)
               AS VARCHAR) END AS count_text
-  FROM rec q CROSS JOIN scen s LEFT JOIN fail f ON f.serial_number = q.serial_number AND f.scenario = s.scenario)"""
+  FROM rec q CROSS JOIN scen s LEFT JOIN fail f ON f.cuid = q.cuid AND f.scenario = s.scenario)"""
 
 ORACLES["scenario_gate"] = with_views(["apply_info"], _GEO_PER + """
-SELECT serial_number, bool_and(ok) AS all_ok, count(*) FILTER (WHERE NOT ok) AS failed_scenarios,
+SELECT cuid, serial_number, bool_and(ok) AS all_ok, count(*) FILTER (WHERE NOT ok) AS failed_scenarios,
   '{"scenario_counts":{"corporate_finance":"' || max(count_text) FILTER (WHERE scenario = 'corporate_finance')
   || '","residential":"' || max(count_text) FILTER (WHERE scenario = 'residential')
   || '","commercial":"' || max(count_text) FILTER (WHERE scenario = 'commercial') || '"}}' AS raw_data
-FROM per GROUP BY serial_number""")
+FROM per GROUP BY cuid, serial_number""")
 
 ORACLES["scenario_summary"] = with_views(["apply_info"], _GEO_PER + """
-SELECT serial_number, count(*) FILTER (WHERE ok) AS successful, count(*) AS total,
+SELECT cuid, serial_number, count(*) FILTER (WHERE ok) AS successful, count(*) AS total,
   coalesce(array_to_string(list_sort(list(scenario || ':' || status) FILTER (WHERE NOT ok)), ','), '') AS errors,
   count(*) FILTER (WHERE ok) = 0 AS failed
-FROM per GROUP BY serial_number""")
+FROM per GROUP BY cuid, serial_number""")
 
 ORACLES["geo_enrichment"] = with_views(["apply_info"], _GEO_PER + """
 , gate AS (
-  SELECT serial_number, bool_and(ok) AS all_ok,
+  SELECT cuid, serial_number, bool_and(ok) AS all_ok,
   '{"scenario_counts":{"corporate_finance":"' || max(count_text) FILTER (WHERE scenario = 'corporate_finance')
   || '","residential":"' || max(count_text) FILTER (WHERE scenario = 'residential')
   || '","commercial":"' || max(count_text) FILTER (WHERE scenario = 'commercial') || '"}}' AS raw_data
-  FROM per GROUP BY serial_number)
-SELECT 'raw' AS zone, serial_number, serial_number AS cuid, raw_data,
+  FROM per GROUP BY cuid, serial_number)
+SELECT 'raw' AS zone, serial_number, cuid, raw_data,
        CAST(NULL AS VARCHAR) AS api_status, CAST(NULL AS VARCHAR) AS api_payload_message
 FROM gate WHERE all_ok
 UNION ALL
-SELECT 'dead_letter', serial_number, serial_number, NULL, status,
-       '{"serial_number":' || CAST(serial_number AS VARCHAR) || ',"scenario":"' || scenario || '"}'
-FROM per WHERE NOT ok""")
+SELECT 'dead_letter', p.serial_number, p.cuid, NULL, status,
+       CAST(to_json({'cuid': p.cuid, 'serial_number': p.serial_number, 'current_detailed_address': c_name,
+         'permanent_detailed_address': c_mktsegment, 'tax_code': CAST(c_nationkey AS VARCHAR), 'company_name': c_name,
+         'longitude': longitude, 'latitude': latitude, 'scenario': scenario}) AS VARCHAR)
+FROM per p JOIN apply_info USING (cuid) JOIN customer ON c_custkey = p.cuid WHERE NOT ok""")
 
 _DEV_LOOKUP = f"""lk AS (
   SELECT user_id AS cuid, event_id AS reference_id, {DEVICE_OS} AS device_os,
@@ -492,7 +482,7 @@ SELECT event_id AS message_id,
 FROM events"""
 
 # ------------------------------------------------------------ aggregates
-_API_LOG = """api AS (SELECT l_returnflag AS api_type, l_linestatus AS status_code, o_orderdate AS start_time,
+_API_LOG = """api AS (SELECT l_returnflag AS api_type, CASE l_linestatus WHEN 'F' THEN '200' ELSE '503' END AS status_code, o_orderdate AS start_time,
   l_shipdate AS end_time, l_linenumber - 1 AS retry FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 ORACLES["flow_stats"] = """
@@ -509,18 +499,20 @@ ORACLES["retry_stats"] = f"""WITH {_API_LOG}
 SELECT api_type, retry, count(*) AS n FROM api WHERE retry > 0 GROUP BY ALL"""
 
 ORACLES["countif_stats"] = f"""WITH {_API_LOG}
-SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, CAST(count_if(status_code = 'F') AS BIGINT) AS ok_calls,
-  CAST(count_if(NOT (status_code = 'F')) AS BIGINT) AS failed_calls, max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
+SELECT CAST(start_time AS DATE) AS day, count(*) AS calls, CAST(count_if(status_code = '200') AS BIGINT) AS ok_calls,
+  CAST(count_if(status_code = '503') AS BIGINT) AS failed_calls, max(start_time) AS last_call,
+  max(retry) AS max_retry, round(avg(retry), 4) AS avg_retry
 FROM api GROUP BY ALL"""
 
 ORACLES["countif_stats_global"] = f"""WITH {_API_LOG}
-SELECT count(*) AS calls, CAST(count_if(status_code = 'F') AS BIGINT) AS ok_calls,
-  CAST(count_if(NOT (status_code = 'F')) AS BIGINT) AS failed_calls, max(retry) AS max_retry,
+SELECT count(*) AS calls, CAST(count_if(status_code = '200') AS BIGINT) AS ok_calls,
+  CAST(count_if(status_code = '503') AS BIGINT) AS failed_calls, max(start_time) AS last_call, max(retry) AS max_retry,
   round(avg(retry), 4) AS avg_retry
 FROM api"""
 
-ORACLES["failed_since"] = f"""WITH {_API_LOG}
-SELECT count(*) AS failed FROM api WHERE start_time >= TIMESTAMP '1998-01-01' AND status_code <> 'F'"""
+ORACLES["failed_since"] = with_views(["dl"], """
+SELECT count(*) AS failed FROM dl
+WHERE partition_date >= DATE '2024-01-15' AND api_status <> 'success' AND left(api_status, 1) <> '2'""")
 
 ORACLES["quota_by_minute"] = """
 SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, round(count(*) * 100.0 / 2, 2) AS usage_pct,
@@ -550,7 +542,7 @@ SELECT * FROM dev_events m
 WHERE NOT EXISTS (SELECT 1 FROM done_android a WHERE a.reference_id = m.reference_id)
 ORDER BY reference_id LIMIT 500""")
 
-ORACLES["latest_n"] = "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC LIMIT 10"
+ORACLES["latest_n"] = "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id, event_type LIMIT 10"
 
 # ------------------------------------------------------------ sources / sinks / streams
 ORACLES["sink_roundtrip"] = f"""WITH {_DEV_LOOKUP}
@@ -561,12 +553,10 @@ ORACLES["sql_job"] = ORACLES["retry_list"]
 
 ORACLES["inline_rows"] = with_views(["cust", "app", "apply_info", "geo_done"], """
 , lit AS (SELECT * FROM (VALUES
-  ('a5c50c8b-792c-4da4-b279-966caf055d33', '141011354623dfdfdd123456', TIMESTAMP '2025-10-14 11:09:43.765312',
-   'Ngõ 24 kim đồng', 'Thôn Lương Thiện Lương Sơn, Thanh Hóa', CAST(NULL AS VARCHAR), 'việt foood',
-   '105.76631755800807', '10.039397649536806', DATE '2025-10-20'),
-  ('b7d61e2c-8a3f-4e1a-9c4b-5f3e7a2c1d9a', '141011354623dfdfdd123456789', TIMESTAMP '2025-10-14 11:15:22.432156',
-   'Số 45 Nguyễn Huệ', 'Xã Tân Bình, TP Hồ Chí Minh', '0305123456', 'mekong coffee solutions',
-   '106.36492068013104', '10.252252252252251', DATE '2025-10-20'))
+  ('sample-1', 'S-0001', TIMESTAMP '2024-02-01 08:30:00.5', '1 Harbour Street', 'Flat 2, Mill Lane',
+   CAST(NULL AS VARCHAR), 'Example Foods', '106.70000000000001', '10.75', DATE '2024-02-01'),
+  ('sample-2', 'S-0002', TIMESTAMP '2024-02-01 09:00:00', '22 Station Road', 'Old Farm, Hill Village',
+   '000111', 'Example Coffee', '106.6789', '10.8000123', DATE '2024-02-01'))
   t(cuid, serial_number, created_at, current_detailed_address, permanent_detailed_address, tax_code,
     company_name, longitude, latitude, partition_date))
 , u AS (SELECT * FROM lit UNION ALL
@@ -578,8 +568,7 @@ SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM geo_done g WHERE CAST(g.serial_n
 ORACLES["minute_metrics"] = """
 SELECT date_trunc('minute', ts) AS minute, count(*) AS calls, CAST(count_if(event_type = 'purchase') AS BIGINT) AS writes,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS written_rows
-FROM events GROUP BY 1
-HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE"""
+FROM events GROUP BY 1"""
 
 ORACLES["stream_batches"] = f"""WITH {_DEV_LOOKUP}
 SELECT CASE WHEN status LIKE '2%' THEN 'raw' ELSE 'dead_letter' END AS zone, reference_id, cuid, device_os,
@@ -590,35 +579,83 @@ FROM lk"""
 ORACLES["stream_flatten"] = _flatten_device_sql(ios=True).replace(
     "FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'", "FROM orders")
 
-ORACLES["daily_candidates_android"] = ORACLES["daily_candidates"].replace(
-    "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL",
-    "WHERE m.cuid IS NOT NULL AND m.reference_id IS NOT NULL AND upper(m.device_os) = 'ANDROID'")
-
-ORACLES["run_all"] = with_views(["cust", "app", "apply_info", "geo_dl"], """
-, fails AS (SELECT o_orderkey AS serial_number FROM orders JOIN customer ON o_custkey = c_custkey
-            WHERE c_acctbal < 0)
-, new AS (
-  SELECT c.cuid AS cuid, ap.serial_number AS serial_number
-  FROM cust c JOIN app ap ON c.id = ap.customer_id JOIN apply_info ay ON c.cuid = ay.cuid
-  WHERE c.cuid IS NOT NULL AND ap.serial_number IS NOT NULL AND ap.status = 'ACTIVE'
-    AND ay.longitude <> 'null' AND ay.latitude <> 'null'
-    AND NOT EXISTS (SELECT 1 FROM geo_dl d WHERE d.series_number = ap.serial_number)
-  QUALIFY row_number() OVER (PARTITION BY c.cuid, ap.serial_number
-                             ORDER BY ap.bq_updated_time DESC, ap.partition_date DESC) = 1)
-, new_b AS (SELECT serial_number,
-            'batch-' || CAST((row_number() OVER (ORDER BY cuid, serial_number) - 1) // 500 + 1 AS VARCHAR) AS batch_label
-            FROM new)
-, retry AS (
-  SELECT series_number AS serial_number FROM geo_dl
-  WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30'
-  QUALIFY row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) = 1
-      AND NOT (api_status LIKE '2%' OR api_status = 'success'))
-, retry_b AS (SELECT serial_number,
-              'retry-' || CAST((row_number() OVER (ORDER BY serial_number) - 1) // 500 + 1 AS VARCHAR) AS batch_label
-              FROM retry)
-, work AS (SELECT * FROM new_b UNION ALL SELECT * FROM retry_b)
-SELECT batch_label,
-  CAST(count_if(serial_number NOT IN (SELECT serial_number FROM fails)) AS BIGINT) AS success_count,
-  CAST(count_if(serial_number IN (SELECT serial_number FROM fails)) AS BIGINT) AS error_count,
-  count(*) AS records
+ORACLES["daily_candidates_android"] = _daily_sql(" AND lower(device_os) = 'android'")
+
+# One geo run on zones seeded with the dead letters and the RAW rows of orders
+# under 50000. Resolved: unresolved dead letters whose order landed on the day
+# before the run.
+_RUN = """
+, seed AS (SELECT o_orderkey AS serial_number, make_date(2024, 1, least(day(o_orderdate), 31)) AS landed
+           FROM orders WHERE o_totalprice < 50000)
+, resolved AS (SELECT uuid FROM geo_dl JOIN seed ON series_number = serial_number
+               WHERE landed = DATE '2024-01-30' AND api_status <> 'success' AND left(api_status, 1) <> '2')
+, bad_owner AS (SELECT c_custkey AS cuid FROM customer WHERE c_acctbal < 0)
+, new_b AS (SELECT cuid, serial_number, longitude, latitude, 'batch-' || CAST(
+              (row_number() OVER (ORDER BY cuid, serial_number) - 1) // 500 + 1 AS VARCHAR) AS batch_label
+            FROM pending)
+, again AS (SELECT * FROM retry ANTI JOIN resolved USING (uuid))
+, retry_b AS (SELECT cuid, series_number AS serial_number, contract_longitude AS longitude,
+                contract_latitude AS latitude, 'retry-' || CAST(
+              (row_number() OVER (ORDER BY bq_updated_time, uuid) - 1) // 500 + 1 AS VARCHAR) AS batch_label
+              FROM again)
+, work AS (SELECT *, cuid NOT IN (SELECT cuid FROM bad_owner) AS good
+           FROM (SELECT * FROM new_b UNION ALL SELECT * FROM retry_b))"""
+
+_RUN_VIEWS = ["cust", "app", "apply_info", "geo_done", "geo_dl"]
+
+ORACLES["run_all"] = with_views(_RUN_VIEWS, _OPEN_SERIALS + _GEO_RETRY + _RUN + """
+SELECT batch_label, CAST(count_if(good) AS BIGINT) AS success_count,
+  CAST(count_if(NOT good) AS BIGINT) AS error_count, count(*) AS records
 FROM work GROUP BY batch_label""")
+
+ORACLES["run_all_zones"] = with_views(_RUN_VIEWS, _OPEN_SERIALS + _GEO_RETRY + _RUN + f"""
+, {_PLACES}
+, per AS (SELECT q.cuid, q.serial_number, good, s.scenario,
+            (SELECT count(*) FROM places p WHERE p.scenario = s.scenario AND
+             {_HAV.replace('q.lat', 'CAST(q.latitude AS DOUBLE)').replace('q.lon', 'CAST(q.longitude AS DOUBLE)')} <= 700.0) AS n
+          FROM work q, scen s)
+, landed AS (SELECT serial_number,
+               max(n) FILTER (WHERE scenario = 'corporate_finance') AS a,
+               max(n) FILTER (WHERE scenario = 'residential') AS b,
+               max(n) FILTER (WHERE scenario = 'commercial') AS c
+             FROM per WHERE good GROUP BY cuid, serial_number)
+SELECT 'geo_raw' AS zone, CAST(serial_number AS VARCHAR) AS key, '{{"scenario_counts":{{"corporate_finance":"' || a
+  || '","residential":"' || b || '","commercial":"' || c || '"}}}}' AS detail FROM landed
+UNION ALL SELECT 'geo_raw', CAST(serial_number AS VARCHAR), '{{"scenario_counts":{{"residential":"1"}}}}' FROM seed
+UNION ALL SELECT 'geo_landing', CAST(serial_number AS VARCHAR), NULL FROM landed
+UNION ALL SELECT 'geo_features', CAST(serial_number AS VARCHAR), CAST(b AS VARCHAR) FROM landed
+UNION ALL SELECT 'geo_features', CAST(serial_number AS VARCHAR), '1' FROM seed
+  WHERE serial_number NOT IN (SELECT serial_number FROM landed)
+UNION ALL SELECT 'geo_dead_letter', CAST(series_number AS VARCHAR),
+  CASE WHEN uuid IN (SELECT uuid FROM resolved) THEN '200' ELSE api_status END FROM geo_dl
+UNION ALL SELECT 'geo_dead_letter', CAST(serial_number AS VARCHAR), '503' FROM work WHERE NOT good
+UNION ALL SELECT 'api_log', '200', CAST(count(*) FILTER (WHERE good OR scenario <> 'commercial') AS VARCHAR) FROM per
+UNION ALL SELECT 'api_log', '503', CAST(n AS VARCHAR) FROM (SELECT count(*) AS n FROM work WHERE NOT good) WHERE n > 0
+UNION ALL SELECT 'flow_log', unnest(['reconcile', 'enrich', 'retry', 'flatten']), 'SUCCESS'
+UNION ALL SELECT 'outbox', 'anonymization', '{{"file_list": ["geo_features"]}}'""")
+
+ORACLES["reconcile_zone"] = ORACLES["semi_reconcile"].replace("  coalesce(hit, false) AS reconciled\n", "") \
+    .replace("END AS partition_date,", "END AS partition_date")
+
+ORACLES["run_device"] = with_views(["dev_events", "dl"], f"""
+, {_DEV_LOOKUP}
+, work AS (SELECT lk.*, CASE lower(device_os) WHEN 'android' THEN 'android' WHEN 'ios' THEN 'ios' ELSE 'unrouted' END AS os
+           FROM lk WHERE cuid IS NOT NULL)
+, ok AS (SELECT * FROM work WHERE status = '200')
+SELECT 'raw_' || os AS zone, CAST(reference_id AS VARCHAR) AS key, payload AS detail FROM ok
+UNION ALL SELECT 'device_dead_letter', CAST(reference_id AS VARCHAR), '404' FROM work WHERE status = '404'
+UNION ALL SELECT 'device_landing', CAST(reference_id AS VARCHAR), NULL FROM ok
+UNION ALL SELECT 'device_features_' || os, CAST(reference_id AS VARCHAR), NULL FROM ok WHERE os <> 'unrouted'
+UNION ALL SELECT 'api_log', status || CASE status WHEN '200' THEN '/Info' ELSE '/ERROR' END, CAST(count(*) AS VARCHAR)
+  FROM work GROUP BY status
+UNION ALL SELECT 'flow_log', unnest(['enrich/SUCCESS', 'flatten_android/SUCCESS', 'flatten_ios/SUCCESS']), '2'
+UNION ALL SELECT 'outbox', 'anonymization', '{{"file_list": ["device_features_android", "device_features_ios"]}}'
+  FROM range(2)""")
+
+ORACLES["api_log"] = f"""WITH {_DEV_LOOKUP}
+SELECT 'insights-' || CAST(lk.reference_id AS VARCHAR) AS uuid_request, 'device' AS api_type, 'insights' AS api_name,
+  ts AS start_time, ts + INTERVAL 1500 MILLISECOND AS end_time, CAST(1500 AS BIGINT) AS duration_ms,
+  CASE WHEN device_os IS NULL THEN 'skipped' ELSE status END AS status_code,
+  CASE status WHEN '404' THEN 'not found' END AS status_detail,
+  CASE WHEN device_os IS NOT NULL AND status = '404' THEN 'ERROR' ELSE 'Info' END AS severity, 0 AS retry
+FROM lk JOIN events ON event_id = lk.reference_id"""

@@ -8,24 +8,30 @@ left-anti joins; AQE picks broadcast or shuffled joins from measured sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrichkit.operators.batching import next_batch
 from enrichkit.operators.dedup import latest_per_key
 from enrichkit.operators.joins import exclude_processed, left_join_on_key_and_day
+from enrichkit.session import cut_lineage
 from enrichkit.spec import RunSpec
 
 
+def _total(df: DataFrame, order: list[Column]) -> list[Column]:
+    """``order`` and then every column, so that rows that tie are equal."""
+    return [*order, *[F.col(c).asc_nulls_last() for c in df.columns]]
+
+
 def latest_customers(customers: DataFrame) -> DataFrame:
     """WN-1: newest CUSTOMER row per id (tie: cuid, addresses for a total order)."""
-    return latest_per_key(customers, ["id"], [F.col("partition_date").desc(), F.col("cuid").asc()])
+    return latest_per_key(customers, ["id"], _total(customers, [F.col("partition_date").desc()]))
 
 
 def latest_applications(apps: DataFrame) -> DataFrame:
     """WN-1 on a compound key (customer_id, serial_number)."""
     return latest_per_key(apps, ["customer_id", "serial_number"],
-                          [F.col("partition_date").desc(), F.col("created_at").desc()])
+                          _total(apps, [F.col("partition_date").desc(), F.col("created_at").desc()]))
 
 
 def _device_joined(events: DataFrame, customers: DataFrame, apps: DataFrame,
@@ -48,8 +54,13 @@ def _device_joined(events: DataFrame, customers: DataFrame, apps: DataFrame,
 
 def daily_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
                      done_tables: list[DataFrame], dead_letter: DataFrame,
-                     spec: RunSpec) -> DataFrame:
-    """PL-1: next batch of device references to look up.
+                     spec: RunSpec, limit: bool = True) -> DataFrame:
+    """PL-1: next batch of device references to look up, or everything pending
+    without ``limit``.
+
+    With ``limit`` the batch is cut before any join: the left joins and the
+    latest row per reference keep exactly one row for each, so the batch is
+    the smallest pending references, and only their rows are joined.
 
     ``done_tables``: frames with ``reference_id`` already in RAW (Android, iOS).
     ``dead_letter``: failed-retry rows; only those written on ``spec.as_of``
@@ -61,15 +72,24 @@ def daily_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
     failed_today = dead_letter.filter(F.col("partition_date") == F.lit(spec.as_of))
     done = [(d, {"reference_id": "reference_id"}) for d in done_tables]
     done.append((failed_today, {"reference_id": "reference_id"}))
-    ev = exclude_processed(ev, done)                                                      # JN-5, JN-6
+    pending = exclude_processed(ev, done)                                                 # JN-5, JN-6
+    if limit:                                                                             # SL-2
+        first = cut_lineage(next_batch(pending.select("reference_id").distinct(), ["reference_id"],
+                                       spec.batch_size))
+        pending = ev.join(F.broadcast(first), "reference_id", "left_semi")                # at most batch_size keys
+        own = pending.select(F.col("cuid").alias("c_cuid")).distinct()
+        ids = customers.join(own, customers["cuid"] == own["c_cuid"], "left_semi").select("id").distinct()
+        customers = customers.join(ids, "id", "left_semi")
+        apps = apps.join(ids.withColumnRenamed("id", "customer_id"), "customer_id", "left_semi")
     # WN-2 keeps the lowest serial of a reference: reduce before joining
-    j = _device_joined(ev, customers, apps, first_serial_only=True)
+    j = _device_joined(pending, customers, apps, first_serial_only=True)
     proj = j.select("cuid", "reference_id", "device_os", "created_timestamp",
                     "serial_number", "partition_date")
     # WN-2: one row per reference after the join fan-out; tie -> lowest serial
     latest = latest_per_key(proj, ["reference_id"],
-                            [F.col("partition_date").desc(), F.col("serial_number").asc_nulls_last()])
-    return next_batch(latest.distinct(), ["reference_id", "cuid"], spec.batch_size)     # AG-9, SL-2
+                            _total(proj, [F.col("partition_date").desc(), F.col("serial_number").asc_nulls_last()]))
+    rows = latest.distinct()                                                              # AG-9
+    return rows.orderBy("reference_id", "cuid") if limit else rows
 
 
 def range_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
@@ -84,14 +104,16 @@ def range_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
     j = _device_joined(ev, customers, apps)
     proj = j.select("cuid", "reference_id", "device_os", "created_timestamp", "serial_number")
     return next_batch(proj, [F.col("created_timestamp"), F.col("reference_id"),
-                             F.col("serial_number").asc_nulls_last()], s.batch_size)
+                             F.col("serial_number").asc_nulls_last(), F.col("cuid").asc_nulls_last(),
+                             F.col("device_os").asc_nulls_last()], s.batch_size)
 
 
 def geo_candidates(customers: DataFrame, apps: DataFrame, apply_info: DataFrame,
                    geo_raw_done: DataFrame, geo_dead_letter: DataFrame,
-                   spec: RunSpec) -> DataFrame:
+                   spec: RunSpec, limit: bool = True) -> DataFrame:
     """PL-3 (daily): customer x application x apply-info, active applications
-    with coordinates, not yet in RAW or in the failed-retry list."""
+    with coordinates, not yet in RAW or in the failed-retry list: the next
+    batch, or everything pending without ``limit``."""
     c = customers.select(F.col("id").alias("c_id"), F.col("cuid").alias("c_cuid"),
                          "current_detailed_address", "permanent_detailed_address")
     ap = apps.filter((F.col("status") == "ACTIVE") & F.col("serial_number").isNotNull())  # FLT-2
@@ -106,16 +128,19 @@ def geo_candidates(customers: DataFrame, apps: DataFrame, apply_info: DataFrame,
                     "current_detailed_address", "permanent_detailed_address", "tax_code",
                     "company_name", "longitude", "latitude", "partition_date", "bq_updated_time")
     latest = latest_per_key(proj, ["cuid", "serial_number"],
-                            [F.col("bq_updated_time").desc(), F.col("partition_date").desc()])
-    return next_batch(latest.drop("bq_updated_time"), ["cuid", "serial_number"], spec.batch_size)
+                            _total(proj, [F.col("bq_updated_time").desc(), F.col("partition_date").desc()])) \
+        .drop("bq_updated_time")
+    return next_batch(latest, ["cuid", "serial_number"], spec.batch_size) if limit else latest
 
 
 def geo_range_candidates(customers: DataFrame, apps: DataFrame, apply_info: DataFrame,
                          geo_raw_done: DataFrame, spec: RunSpec) -> DataFrame:
     """PL-3 (range): LEFT joins made inner by the date predicate (JN-4),
     distinct 4 columns. Unlike the source, done serials are excluded so a
-    paging caller terminates; the caller pages with ``next_batch``."""
+    paging caller terminates; the caller pages with ``next_batch`` (the rows
+    come in the key order of the source)."""
     s = spec.with_range_defaults()
+    s.validate()
     c = customers.select(F.col("id").alias("c_id"), F.col("cuid").alias("c_cuid"))
     j = (c.join(apps, F.col("c_id") == apps["customer_id"], "left")
          .join(apply_info, F.col("c_cuid") == apply_info["cuid"], "left")
@@ -125,5 +150,5 @@ def geo_range_candidates(customers: DataFrame, apps: DataFrame, apply_info: Data
     proj = j.select(F.col("c_cuid").alias("cuid"), "serial_number", "longitude", "latitude",
                     "partition_date")
     latest = latest_per_key(proj, ["cuid", "serial_number"],
-                            [F.col("partition_date").desc(), F.col("longitude").asc_nulls_last()])
-    return latest.drop("partition_date").distinct()
+                            _total(proj, [F.col("partition_date").desc()]))
+    return latest.drop("partition_date").distinct().orderBy("cuid", "serial_number")

@@ -9,6 +9,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from enrichkit.functions.scalars import is_failure, is_success_code
+
 QUOTA_ALARM_PCT = 80.0
 
 
@@ -33,21 +35,28 @@ def retry_stats(api_log: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def countif_stats(api_log: DataFrame, by_day: bool = True) -> DataFrame:
-    """AG-4: conditional counts with max / avg, globally or by day."""
-    ok = F.col("status_code") == F.lit("F")
+def countif_stats(api_log: DataFrame, by_day: bool = True, api_type: str | None = None) -> DataFrame:
+    """AG-4: conditional counts with max / avg and the last call's time,
+    globally or by day, of all calls or one type. A call succeeds by the status
+    rule of the lookups (2xx, or no status)."""
+    if api_type is not None:
+        api_log = api_log.filter(F.col("api_type") == F.lit(api_type))
+    ok = is_success_code("status_code")
     keys = [F.to_date("start_time").alias("day")] if by_day else []
     g = api_log.groupBy(*keys) if keys else api_log.groupBy()
     return g.agg(F.count(F.lit(1)).alias("calls"),
                  F.count_if(ok).alias("ok_calls"),
                  F.count_if(~ok).alias("failed_calls"),
+                 F.max("start_time").alias("last_call"),
                  F.max("retry").alias("max_retry"),
                  F.round(F.avg("retry"), 4).alias("avg_retry"))
 
 
-def failed_since(api_log: DataFrame, since: dt.date) -> DataFrame:
-    """AG-10: failed calls since a date."""
-    return (api_log.filter((F.col("start_time") >= F.lit(since)) & (F.col("status_code") != "F"))
+def failed_since(dead_letter: DataFrame, since: dt.date) -> DataFrame:
+    """AG-10: unresolved dead letters written since a date (a bare compare on
+    the partition column, so old folders are not read)."""
+    return (dead_letter.filter((F.col("partition_date") >= F.lit(since))
+                               & F.coalesce(is_failure("api_status"), F.lit(False)))
             .agg(F.count(F.lit(1)).alias("failed")))
 
 
@@ -63,11 +72,10 @@ def quota_by_minute(calls: DataFrame, ts: str, limit_per_min: int,
             .withColumn("alarm", F.col("usage_pct") > F.lit(alarm_pct)))
 
 
-def batch_summary(outcomes: DataFrame, batch_col: str, key: str, with_keys: bool = True) -> DataFrame:
-    """AG-5: success / error / skipped counts per batch, and the sorted keys a
-    batch processed. The key list is bounded by the batch size (batches come
-    from ``assign_batches``); pass ``with_keys=False`` when grouping by
-    something that is not a bounded batch."""
+def batch_summary(outcomes: DataFrame, batch_col: str, key: str, with_keys: bool = False) -> DataFrame:
+    """AG-5: success / error / skipped counts per batch and, with
+    ``with_keys``, the sorted keys a batch processed. Ask for the keys only
+    when the batches are bounded (``assign_batches``)."""
     aggs = [F.count_if(F.col("outcome") == "success").alias("success_count"),
             F.count_if(F.col("outcome") == "error").alias("error_count"),
             F.count_if(F.col("outcome") == "skipped").alias("skipped_count")]

@@ -16,8 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast only what AQE measures as small at run time; never by guess.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only what adaptive execution has measured as small: the static
+    # planner's guess from file sizes is off.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -40,8 +42,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins. Only when it is unset (local
-    tests) do we pick a folder of our own.
+    The cluster's ``spark.checkpoint.dir`` wins. Only a local master without
+    it (tests) gets a folder of our own; on a cluster a machine-local folder
+    would be another one on every node, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or _session_conf(spark)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         configured = os.path.join("/tmp", "enrichkit-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -37,17 +37,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Each arrives as one Parquet file with one row group,
-    i.e. one input split; when a table has fewer splits than the cluster has
-    task slots it is spread round-robin so per-row work (payload building,
-    JSON parsing, partial aggregates) uses every core. Inputs that already
-    come in many splits are left as they are. Filters and column pruning
-    still reach the scan (Catalyst pushes them through the repartition)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    """A driver table, as Spark splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- device side
@@ -241,7 +232,10 @@ def device_raw(spark, sf_dir) -> DataFrame:
     # version 2 exists for orders in status F: newer partition and requester
     v2 = F.col("_version") == 2
     requester = F.when(v2, F.lit("app-v2")).otherwise(F.lit("app"))
-    head = F.concat(F.lit('{"referenceNumber":"'), k.cast("string"), F.lit('","requester":"'), requester,
+    # some payloads name another record, some none
+    number = (F.when(k % 50 == 0, F.lit("")).when(k % 50 == 1, F.concat(F.lit('"referenceNumber":"X'), k.cast("string"), F.lit('",')))
+              .otherwise(F.concat(F.lit('"referenceNumber":"'), k.cast("string"), F.lit('",'))))
+    head = F.concat(F.lit("{"), number, F.lit('"requester":"'), requester,
                     F.lit('","requestedDate":"'), d0.cast("string"), F.lit('"'))
     body = (F.when(F.col("o_orderstatus") == "P", F.concat(head, F.lit("}")))
             .when(pr == 5, F.concat(head, F.lit(',"insights":[]}')))
@@ -305,7 +299,7 @@ def api_log(spark, sf_dir) -> DataFrame:
                     F.col("l_returnflag").alias("api_type"),
                     F.concat(F.lit("insights-"), F.col("l_returnflag")).alias("api_name"),
                     F.col("o_orderdate").alias("start_time"), F.col("l_shipdate").alias("end_time"),
-                    F.col("l_linestatus").alias("status_code"),
+                    F.when(F.col("l_linestatus") == "F", F.lit("200")).otherwise(F.lit("503")).alias("status_code"),
                     F.col("l_linestatus").alias("status_detail"),
                     (F.col("l_linenumber") - 1).alias("retry"))
 
@@ -321,11 +315,16 @@ def flow_log(spark, sf_dir) -> DataFrame:
                     F.when(status == "FAILED", F.lit("ERROR")).otherwise(F.lit("Info")).alias("severity"))
 
 
+def _shared_serial(cuid):
+    """Two customers share one serial, so a record is (cuid, serial)."""
+    return cuid - cuid % 2
+
+
 def geo_points(spark, sf_dir) -> DataFrame:
     """Geo lookup records: every customer with its apply-info coordinates."""
     c = customers(spark, sf_dir)
     a = apply_info(spark, sf_dir)
-    return c.join(a, "cuid").select("cuid", F.col("cuid").alias("serial_number"),
+    return c.join(a, "cuid").select("cuid", _shared_serial(F.col("cuid")).alias("serial_number"),
                                     "current_detailed_address", "permanent_detailed_address",
                                     "tax_code", "company_name", "longitude", "latitude")
 
@@ -335,8 +334,8 @@ def geo_failures(spark, sf_dir) -> DataFrame:
     with 503 for customers with a negative balance."""
     c = table(spark, sf_dir, "customer")
     return c.filter(F.col("c_acctbal") < 0).select(
-        F.col("c_custkey").alias("serial_number"), F.lit("commercial").alias("scenario"),
-        F.lit("503").alias("status"))
+        F.col("c_custkey").alias("cuid"), _shared_serial(F.col("c_custkey")).alias("serial_number"),
+        F.lit("commercial").alias("scenario"), F.lit("503").alias("status"))
 
 
 def geo_raw_landed(spark, sf_dir) -> DataFrame:
@@ -376,10 +375,13 @@ def control_messages(spark, sf_dir) -> DataFrame:
                            F.lit('","processing_params":{"batch_number":'), bn, F.lit("}}")))
             .when(F.col("event_type") == "view", F.lit('{"message_type":"reindex"}'))
             .otherwise(F.concat(F.lit("not json "), F.col("event_id").cast("string"))))
+    # a third of the bad bodies are not base64 either
+    data = F.when((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0), F.lit("not base64!")) \
+        .otherwise(F.base64(body))
     attrs = F.when(F.col("event_type") == "click",
                    F.create_map(F.lit("start_date"), day, F.lit("end_date"), day)) \
         .otherwise(F.create_map(F.lit("start_date"), F.lit(""), F.lit("end_date"), F.lit("")))
-    return e.select(F.col("event_id").alias("message_id"), F.base64(body).alias("data"),
+    return e.select(F.col("event_id").alias("message_id"), data.alias("data"),
                     attrs.alias("attributes"))
 
 
@@ -416,5 +418,20 @@ def geo_failures_by_order(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select("c_custkey")
     return o.join(c, o["o_custkey"] == c["c_custkey"], "left_semi").select(
-        F.col("o_orderkey").alias("serial_number"), F.lit("commercial").alias("scenario"),
+        F.col("o_custkey").alias("cuid"), F.col("o_orderkey").alias("serial_number"),
+        F.lit("commercial").alias("scenario"),
         F.lit("503").alias("status"))
+
+
+def geo_raw_seed(spark, sf_dir) -> DataFrame:
+    """RAW rows that earlier runs wrote: orders under 50000, dated into 2024-01."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") < 50000)
+    none = F.lit(None).cast("string")
+    return o.select(F.concat(F.lit("seed-"), F.col("o_orderkey").cast("string")).alias("uuid"),
+                    F.col("o_custkey").alias("cuid"), F.col("o_orderkey").alias("serial_number"),
+                    none.alias("contact_address"), none.alias("residence_address"), none.alias("company_name"),
+                    none.alias("contract_longitude"), none.alias("contract_latitude"),
+                    F.lit('{"scenario_counts":{"residential":"1"}}').alias("raw_data"),
+                    F.col("o_orderdate").alias("bq_updated_time"),
+                    F.make_date(F.lit(2024), F.lit(1), F.least(F.dayofmonth("o_orderdate"), F.lit(31)))
+                    .alias("partition_date"))

@@ -17,6 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
+
+from enrichkit.functions.scalars import duration_ms, severity
 
 _DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
@@ -31,6 +34,17 @@ def read_zone(spark: SparkSession, root: str, name: str, schema: StructType | No
     return r.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def read_zone_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A zone that may not exist yet: None when its folder is missing or holds
+    no file. Every other error (access, broken files) rises."""
+    try:
+        return read_zone(spark, root, name)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def read_landing(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """SRC-4: landed JSON documents with a declared schema (no inference)."""
     return spark.read.schema(schema).json(path)
@@ -39,14 +53,15 @@ def read_landing(spark: SparkSession, path: str, schema: StructType | str) -> Da
 def param_literal(value) -> Column:
     """SRC-2 type binding: date and 'YYYY-MM-DD' text -> DATE; bool is tested
     before int (the reference tests int first and sends BOOL as INT64);
-    datetime -> TIMESTAMP; int -> INT or BIGINT by size; None -> NULL (Spark
-    binds only literals, so the NULL is untyped and takes its type from use)."""
+    datetime -> TIMESTAMP_NTZ (no time zone takes part); int -> INT or BIGINT by
+    size; None -> NULL (Spark binds only literals, and its NULL literal is
+    untyped and takes its type from use)."""
     if value is None:
         return F.lit(None)
     if isinstance(value, bool):
         return F.lit(value)
     if isinstance(value, dt.datetime):
-        return F.lit(value)
+        return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")   # parsed to a literal
     if isinstance(value, dt.date):
         return F.lit(value)
     if isinstance(value, str) and _DATE_RE.match(value):
@@ -121,24 +136,25 @@ def write_zone(df: DataFrame, path: str, partition_by: Sequence[str] = ("partiti
 
 
 def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = ("partition_date", "device_os"),
-              name_prefix: str = "") -> DataFrame:
-    """SNK-3: JSON landing zone, partitioned by date and device. The
-    per-record logical name ``{prefix}{date}_{os}_{id}.json`` is kept as the
-    ``landing_name`` column instead of one file per record. Rows without a
-    key are skipped (see ``landing_report``)."""
-    named = df.filter(F.col("reference_id").isNotNull()).withColumn("landing_name", F.concat(
-        F.lit(name_prefix), F.concat_ws("_", F.col("partition_date").cast("string"),
-                                        F.lower(F.coalesce(F.col("device_os"), F.lit("unknown"))),
-                                        F.col("reference_id").cast("string")), F.lit(".json")))
+              name_prefix: str = "", key: str = "reference_id", kind: str | None = "device_os"
+              ) -> tuple[DataFrame, DataFrame]:
+    """SNK-3: JSON landing zone, partitioned by date (and device). The
+    per-record logical name ``{prefix}{date}_{kind}_{key}.json`` is kept as the
+    ``landing_name`` column instead of one file per record. Returns the landed
+    rows and the rows without a key, which cannot be named."""
+    part = [F.lower(F.coalesce(F.col(kind), F.lit("unknown")))] if kind else []
+    name = F.concat(F.lit(name_prefix), F.concat_ws("_", F.col("partition_date").cast("string"), *part,
+                                                    F.col(key).cast("string")), F.lit(".json"))
+    named = df.filter(F.col(key).isNotNull()).withColumn("landing_name", name)
     named.write.mode("append").partitionBy(*partition_by).json(path)
-    return named
+    return named, df.filter(F.col(key).isNull())
 
 
-def landing_report(named: DataFrame) -> DataFrame:
+def landing_report(named: DataFrame, key: str = "reference_id") -> DataFrame:
     """SNK-3 report: total / uploaded / failed documents of a landing write.
     A document without a key cannot be named and counts as failed (the rest
     are written; one bad record does not stop the batch)."""
-    ok = F.col("reference_id").isNotNull()
+    ok = F.col(key).isNotNull()
     return named.agg(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("uploaded"),
                      F.count_if(~ok).alias("failed"))
 
@@ -151,3 +167,17 @@ def flow_log_rows(spark: SparkSession, flow_name: str, run_id: str, entries: Seq
     return spark.createDataFrame(rows, "flow_id string, datetime timestamp_ntz, flow_name string, "
                                        "task_code string, task_name string, status string, "
                                        "message string, severity string")
+
+
+def api_log_rows(looked_up: DataFrame, api_type: str, api_name: str, key: str, started: Column, ended: Column
+                 ) -> DataFrame:
+    """SNK-8: one API-log row per lookup, skipped ones (no status) included:
+    request id, type, name, times, duration, status, severity, retries."""
+    status = F.col("status").cast("string")
+    return looked_up.select(
+        F.concat_ws("-", F.lit(api_name), F.col(key).cast("string")).alias("uuid_request"),
+        F.lit(api_type).alias("api_type"), F.lit(api_name).alias("api_name"),
+        started.alias("start_time"), ended.alias("end_time"),
+        duration_ms(started, ended).alias("duration_ms"),
+        F.coalesce(status, F.lit("skipped")).alias("status_code"), F.col("error").alias("status_detail"),
+        severity("status", "error").alias("severity"), F.coalesce(F.col("retry"), F.lit(0)).alias("retry"))

@@ -2,13 +2,15 @@
 
 Works on a batch or a streaming DataFrame with ``data`` (base64 text of a
 JSON envelope) and ``attributes`` (MAP<STRING,STRING>). Decoding is
-``unbase64`` + ``from_json`` with a fixed schema: no inference, malformed
-bodies become a quarantine route instead of failing the query.
+``try_to_binary`` + ``from_json`` with a fixed schema: no inference, bodies
+that are not base64 or not JSON become a quarantine route instead of failing
+the query.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ RANGE = "range_recall"
 def decode(messages: DataFrame, data: str = "data") -> DataFrame:
     """SRC-6: base64 JSON envelope -> ``msg`` struct; ``malformed`` when the
     body is not base64 JSON."""
-    body = F.unbase64(F.col(data)).cast("string")
+    body = F.try_to_binary(F.col(data), F.lit("base64")).cast("string")
     parsed = F.from_json(body, ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
     ok = F.try_parse_json(body).isNotNull()
     return messages.withColumn("msg", F.when(ok, parsed)).withColumn("malformed", ~F.coalesce(ok, F.lit(False)))
@@ -77,6 +79,14 @@ def next_batch_message(batch_number: int, start: dt.date | None, end: dt.date |
     return {"topic": topic, "message": json.dumps(body), "attributes": attrs}
 
 
+def done_message(file_list: Sequence[str], topic: str = "anonymization") -> dict:
+    """SNK-7: the done message as an outbox row: the feature zones a run
+    filled, for the consumer to read. It has no run type, so no run starts
+    from it."""
+    import json
+    return {"topic": topic, "message": json.dumps({"file_list": list(file_list)}), "attributes": {}}
+
+
 def outbox_frame(spark, rows: list[dict]) -> DataFrame:
     """Control messages as rows to append to an outbox table."""
     return spark.createDataFrame(rows, "topic string, message string, attributes map<string,string>")

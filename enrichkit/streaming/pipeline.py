@@ -1,13 +1,14 @@
 """Structured Streaming jobs (SM-1, SM-2, SM-5, SM-6, SNK-1, SNK-6).
 
-- ``minute_metrics``: per-minute tumbling counters with a watermark, append
-  mode (a minute is emitted once it can no longer change).
+- ``minute_metrics``: per-minute tumbling counters with a watermark, in update
+  mode: every micro-batch writes the minutes it changed, and the newest state
+  of a minute is its result, the closing minutes of a run included.
 - ``run_enrichment_stream``: file stream of candidates, micro-batches of
   ``max_files`` files, ``trigger(availableNow)``; the checkpoint replaces the
-  reference's batch_number chain. Each micro-batch is de-duplicated within
-  the watermark, anti-joined against keys already in RAW, looked up, and
-  written with dynamic partition overwrite keyed by ``batch_id`` - a replay
-  of the same batch after a failure rewrites its own partition instead of
+  reference's batch_number chain. Each micro-batch is de-duplicated, anti-joined
+  against keys already in RAW (so nothing arrives too late), looked up once,
+  and written with dynamic partition overwrite keyed by ``batch_id``: a replay
+  of the same batch after a failure rewrites its own partitions instead of
   appending twice.
 - ``incremental_flatten_batch``: SM-6, flatten of what RAW gained, in the
   same ``foreachBatch`` style.
@@ -18,13 +19,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from enrichkit.plans.enrich import lookup_join, split_outcomes
+from enrichkit.operators.dedup import latest_per_key
+from enrichkit.plans.enrich import lookup_join, split_outcomes, to_dead_letter, to_raw
+from enrichkit.session import cut_lineage
 from enrichkit.sources.zones import write_zone
-from enrichkit.spec import ntz
+
+RAW_FAILED = "INSERT RAW TABLE FAILED"
 
 
 _ET = "_event_time"
@@ -62,56 +67,96 @@ def run_to_parquet(stream_df: DataFrame, out: str, checkpoint: str, mode: str =
     q.awaitTermination()
 
 
+def run_minute_metrics(metrics: DataFrame, out: str, checkpoint: str) -> None:
+    """Run ``minute_metrics`` over everything available: each micro-batch
+    writes the minutes it changed under its ``batch_id``."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        write_zone(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), out, ["batch_id"],
+                   overwrite_partitions=True)
+
+    q = (metrics.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+         .outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def read_minute_metrics(spark: SparkSession, out: str) -> DataFrame:
+    """The newest state of every minute."""
+    rows = spark.read.parquet(out)
+    names = [c for c in rows.columns if c not in ("minute", "batch_id")]
+    return (rows.groupBy("minute").agg(F.max_by(F.struct(*names), "batch_id").alias("_m"))
+            .select("minute", "_m.*"))
+
+
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written folder, or None where there is none yet; other errors rise."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: str,
-                     now: dt.datetime) -> Callable[[DataFrame, int], None]:
+def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: str, now: dt.datetime,
+                     writer: Callable = write_zone) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: exclude done keys (JN-5/SM-5), look up
-    (UD-1), split (UD-2), write RAW and dead letter keyed by batch_id. If the
-    RAW write fails, every row of the batch goes to the dead letter with
-    status 'INSERT RAW TABLE FAILED' (SNK-6), and the error is re-raised so
-    the batch is retried from the checkpoint."""
+    (UD-1), split (UD-2), write RAW and dead-letter rows (PRJ-4, PRJ-5) by run
+    date and ``batch_id``. If the RAW write fails, every row of the batch goes
+    to the dead letter with status 'INSERT RAW TABLE FAILED' (SNK-6) and the
+    error is raised again, so the batch is retried from the checkpoint; the
+    retry that succeeds rewrites those rows as resolved (status 200)."""
+    parts = ["partition_date", "batch_id"]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        todo = batch.drop(_ET)
+        cols = [c for c in batch.columns if c not in parts]
+        # re-sent rows: one row per key, the same one in every replay
+        todo = latest_per_key(batch, [key], [F.col(c).asc_nulls_last() for c in batch.columns]).select(*cols)
+        mine = F.lit(batch_id).cast("bigint")
         done = _existing(spark, raw_path)
         if done is not None:
-            # semi-join reduction: only RAW keys that occur in this batch
-            # (small) take part in the anti join, so RAW is scanned for one
-            # column but never shuffled whole; AQE broadcasts the small sides
-            mine = todo.select(key).distinct()
-            prior = (done.filter(F.col("batch_id") != F.lit(batch_id)).select(key)
-                     .join(mine, key, "left_semi"))
+            # only RAW keys that occur in this batch take part in the anti
+            # join, so RAW is scanned for one column but never shuffled whole
+            prior = (done.filter(F.col("batch_id") != mine).select(key)
+                     .join(todo.select(key).distinct(), key, "left_semi"))
             todo = todo.join(prior, key, "left_anti")
-        looked = lookup_join(todo, payloads, key)
-        ok, bad = split_outcomes(looked)
-        stamp = [ntz(now).alias("bq_updated_time"), F.lit(batch_id).cast("bigint").alias("batch_id")]
-        raw = ok.select(*todo.columns, F.col("payload").alias("raw_data"), *stamp)
-        dead = bad.select(*todo.columns, F.col("status").alias("api_status"), *stamp)
+        before = _existing(spark, dead_path)
+        if before is not None:      # JN-6: what failed on this date already is not tried again on it
+            tried = before.filter((F.col("partition_date") == F.lit(now.date())) & (F.col("batch_id") != mine))
+            tried = tried.select(F.col(key).alias("_tried")).distinct()
+            todo = todo.join(tried, F.col(key).cast("string") == F.col("_tried"), "left_anti")
+        looked = lookup_join(todo, payloads, key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_zone(raw, raw_path, ["batch_id"], overwrite_partitions=True)
-        except Exception:
-            failed = todo.select(*todo.columns, F.lit("INSERT RAW TABLE FAILED").alias("api_status"), *stamp)
-            write_zone(failed, dead_path, ["batch_id"], overwrite_partitions=True)
-            raise
-        write_zone(dead, dead_path, ["batch_id"], overwrite_partitions=True)
+            ok, bad = split_outcomes(looked)
+            fields = {c: [c] for c in cols}
+            letter = lambda df: to_dead_letter(df, now.date(), now, fields, payload_cols=cols) \
+                .withColumn("batch_id", mine)
+            raw = to_raw(ok, now.date(), now, cols).withColumn("batch_id", mine)
+            try:
+                writer(raw, raw_path, parts, overwrite_partitions=True)
+            except Exception:
+                writer(letter(looked.withColumn("status", F.lit(RAW_FAILED))), dead_path, parts,
+                       overwrite_partitions=True)
+                raise
+            dead = letter(bad)
+            if before is not None:
+                failed = before.filter((F.col("batch_id") == mine) & (F.col("api_status") == RAW_FAILED))
+                landed = ok.select(F.col(key).cast("string").alias(key)).distinct()
+                resolved = failed.join(landed, key, "left_semi").withColumn("api_status", F.lit("200"))
+                dead = cut_lineage(dead.unionByName(resolved.select(*dead.columns)))
+            writer(dead, dead_path, parts, overwrite_partitions=True)
+        finally:
+            looked.unpersist()
 
     return process
 
 
 def run_enrichment_stream(candidates_stream: DataFrame, payloads: DataFrame, raw_path: str,
-                          dead_path: str, checkpoint: str, key: str, event_time: str,
-                          now: dt.datetime, watermark: str = "1 day") -> None:
+                          dead_path: str, checkpoint: str, key: str, now: dt.datetime,
+                          writer: Callable = write_zone) -> None:
     """SM-2 + SM-5: one availableNow run of the enrichment stream."""
-    deduped = (with_event_time(candidates_stream, event_time).withWatermark(_ET, watermark)
-               .dropDuplicatesWithinWatermark([key]))
-    q = (deduped.writeStream.foreachBatch(enrichment_batch(payloads, raw_path, dead_path, key, now))
+    q = (candidates_stream.writeStream
+         .foreachBatch(enrichment_batch(payloads, raw_path, dead_path, key, now, writer))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -119,12 +164,16 @@ def run_enrichment_stream(candidates_stream: DataFrame, payloads: DataFrame, raw
 def incremental_flatten_batch(flatten: Callable[[DataFrame, DataFrame | None], DataFrame],
                               target_path: str, target_key: str) -> Callable[[DataFrame, int], None]:
     """SM-6: ``foreachBatch`` body that flattens new RAW rows not yet in the
-    feature table (JN-7 against what is already written)."""
+    feature table (JN-7 against what is already written). ``target_key`` names
+    the column with the RAW row's own key."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = _existing(spark, target_path)
-        feats = flatten(batch, target.select(target_key) if target is not None else None)
+        if target is not None:      # a replay writes its own rows again
+            target = target.filter(F.col("batch_id") != F.lit(batch_id)).select(
+                F.col(target_key).alias("reference_number"))
+        feats = flatten(batch, target)
         write_zone(feats.withColumn("batch_id", F.lit(batch_id).cast("bigint")), target_path,
                    ["batch_id"], overwrite_partitions=True)
 

@@ -51,7 +51,8 @@ def test_gate_and_dead_letters(spark):
     cand = spark.createDataFrame([("c1", "s1", "a", "b", None, "co", "106.0", "10.0"),
                                   ("c2", "s2", "a", "b", "t", "co", "106.0", "10.0"),
                                   ("c3", "s3", "a", "b", "t", "co", "null", "10.0")], CAND)
-    fails = spark.createDataFrame([("s2", "commercial", "503")], "serial_number string, scenario string, status string")
+    fails = spark.createDataFrame([("c2", "s2", "commercial", "503")],
+                                  "cuid string, serial_number string, scenario string, status string")
     raw, dead = geo_enrich(cand, _places(spark), dt.date(2024, 1, 31), NOW, fails)
     raw_rows = {r.serial_number: json.loads(r.raw_data) for r in raw.collect()}
     assert set(raw_rows) == {"s1", "s3"}                  # s2 failed one scenario -> no RAW row
@@ -61,16 +62,16 @@ def test_gate_and_dead_letters(spark):
     d = dead.collect()
     assert [(r.series_number, r.api_status) for r in d] == [("s2", "503")]
     summ = {r.serial_number: r for r in scenario_summary(
-        geo_lookup(cand, _places(spark), "serial_number", fails), "serial_number").collect()}
+        geo_lookup(cand, _places(spark), fails, ["serial_number"]), ["serial_number"]).collect()}
     assert summ["s2"].successful == 2 and summ["s2"].errors == "commercial:503" and not summ["s2"].failed
 
 
 def test_route_by_device(spark):
     df = spark.createDataFrame([("Android",), ("IOS",), ("windows",), (None,)], "device_os string")
     routes = route_by_device(df)
-    assert [r.device_os for r in routes["android"].collect()] == ["Android"]
-    assert [r.device_os for r in routes["ios"].collect()] == ["IOS"]
-    assert sorted(str(r.device_os) for r in routes["unrouted"].collect()) == ["None", "windows"]
+    assert sorted((r.route, str(r.device_os)) for r in routes.collect()) == [
+        ("android", "Android"), ("ios", "IOS"), ("unrouted", "None"), ("unrouted", "windows")]
+    assert routes._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1   # one pass
 
 
 def test_resolver_errors_become_rows(spark):

@@ -15,7 +15,11 @@ def test_param_binding_types(spark):
     row = run_sql(spark, "SELECT :a AS a, :b AS b, :c AS c, :d AS d, :e AS e",
                   {"a": True, "b": 3, "c": "2024-01-05", "d": None, "e": "x"}).collect()[0]
     assert row.a is True and row.b == 3 and row.c == dt.date(2024, 1, 5) and row.d is None and row.e == "x"
-    assert dict(spark.range(1).select(param_literal(True).alias("t")).dtypes)["t"] == "boolean"
+    types = dict(spark.range(1).select(param_literal(True).alias("t"),
+                                       param_literal(dt.datetime(2024, 1, 5, 7)).alias("d")).dtypes)
+    assert types == {"t": "boolean", "d": "timestamp_ntz"}
+    at = run_sql(spark, "SELECT CAST(:d AS string) AS d", {"d": dt.datetime(2024, 1, 5, 7)}).collect()[0]
+    assert at.d == "2024-01-05 07:00:00"
 
 
 def test_conform(spark):
@@ -43,11 +47,18 @@ def _plan(df):
 
 def test_daily_candidates_plan_uses_anti_joins_and_pruning(spark):
     import __spark_entry__ as entry
-    p = _plan(entry.queries()["daily_candidates"](spark, SF))
+    from enrichkit.catalog import device_spec
+    from enrichkit.plans.candidates import daily_candidates
+    from enrichkit.sources import testdata as td
+    p = _plan(daily_candidates(td.device_events(spark, SF), td.customers(spark, SF), td.applications(spark, SF),
+                               [td.device_raw_done(spark, SF, "android"), td.device_raw_done(spark, SF, "ios")],
+                               td.device_dead_letter(spark, SF), device_spec(), limit=False))
     assert p.count("LeftAnti") == 3
-    assert "TakeOrderedAndProject" in p
     assert "WindowGroupLimit" in p                      # latest-per-key limited before the shuffle
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in p
+    # a batch: its keys were cut before any join, and the joins see only theirs
+    p = _plan(entry.queries()["daily_candidates"](spark, SF))
+    assert "LeftAnti" not in p and p.count("LeftSemi") >= 3
 
 
 def test_flatten_shuffles_only_for_dedup(spark):
@@ -64,7 +75,8 @@ def test_landing_skips_unnamed_and_reports(spark):
     path = scratch_path(spark, "landing")
     df = spark.createDataFrame([(1, "Android", "{}", dt.date(2024, 1, 5)), (None, "IOS", "{}", dt.date(2024, 1, 5))],
                                "reference_id bigint, device_os string, raw_data string, partition_date date")
-    land_json(df, path)
+    landed, unnamed = land_json(df, path)
+    assert landed.count() == 1 and [r.device_os for r in unnamed.collect()] == ["IOS"]
     back = read_landing(spark, path, "reference_id bigint, raw_data string, landing_name string, "
                                      "partition_date date, device_os string").collect()
     assert [(r.reference_id, r.landing_name) for r in back] == [(1, "2024-01-05_android_1.json")]

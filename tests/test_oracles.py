@@ -48,10 +48,10 @@ def con():
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and "reference_id" in df.columns
+    assert df.count() > 0 and "reference_id" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - set(entry.LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
     got = _rows(entry.queries()[name](spark, SF).toPandas())
     want = _rows(con.sql(entry.oracle_sql()[name]).df())

@@ -45,15 +45,22 @@ def test_enrichment_stream_replay_is_idempotent(spark):
     ev.write.parquet(src)
     for _ in range(2):                                   # second run: nothing new, nothing repeated
         stream = spark.readStream.schema(ev.schema).parquet(src)
-        run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", "created_timestamp",
-                              dt.datetime(2024, 1, 31))
+        run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", dt.datetime(2024, 1, 31))
     ev.filter(F.col("reference_id") < 5).write.mode("append").parquet(src)   # re-delivered rows
     stream = spark.readStream.schema(ev.schema).parquet(src)
-    run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", "created_timestamp",
-                          dt.datetime(2024, 1, 31), watermark="30 days")
-    r = [row.reference_id for row in spark.read.parquet(raw).collect()]
-    d = [row.reference_id for row in spark.read.parquet(dead).collect()]
-    assert sorted(r) == list(range(0, 20, 2)) and sorted(d) == list(range(1, 20, 2))
+    run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", dt.datetime(2024, 1, 31))
+    late = spark.createDataFrame([(1, 100, "Android", ts - dt.timedelta(days=20), dt.date(2023, 12, 16))], EV)
+    late.write.mode("append").parquet(src)               # weeks older than anything before
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    run_enrichment_stream(stream, payloads, raw, dead, ck, "reference_id", dt.datetime(2024, 1, 31))
+    rows = spark.read.parquet(raw)
+    r = [row.reference_id for row in rows.collect()]
+    d = [int(row.reference_id) for row in spark.read.parquet(dead).collect()]
+    assert sorted(r) == list(range(0, 20, 2)) and sorted(d) == [*range(1, 20, 2), 100]
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import IOS
+    features = rows.withColumn("series_number", F.lit(None).cast("string"))
+    assert flatten_device(features, None, IOS).count() == len(r)      # stream RAW has the columns of RAW
 
 
 def test_raw_write_failure_sends_batch_to_dead_letter(spark):
@@ -73,5 +80,9 @@ def test_raw_write_failure_sends_batch_to_dead_letter(spark):
     with pytest.raises(Exception):
         body(ev, 0)
     dead = spark.read.parquet(f"{root}/dead").collect()
-    assert sorted(r.reference_id for r in dead) == [0, 1, 2, 3]
+    assert sorted(int(r.reference_id) for r in dead) == [0, 1, 2, 3]
     assert {r.api_status for r in dead} == {"INSERT RAW TABLE FAILED"}
+    # the retry that succeeds leaves no record both in RAW and unresolved
+    enrichment_batch(payloads, f"{root}/good", f"{root}/dead", "reference_id", dt.datetime(2024, 1, 31))(ev, 0)
+    assert spark.read.parquet(f"{root}/good").count() == 4
+    assert {r.api_status for r in spark.read.parquet(f"{root}/dead").collect()} == {"200"}
