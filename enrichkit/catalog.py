@@ -503,6 +503,14 @@ def q_sql_job(spark, sf):
                         views={"device_dead_letter": td.device_dead_letter(spark, sf)})
 
 
+@query("sql_flow_stats")
+def q_sql_flow_stats(spark, sf):
+    """SRC-3: a packaged job whose date parameter defaults to the run's."""
+    from enrichkit.sources.zones import run_sql_file
+    return run_sql_file(spark, "flow_statistics.sql", views={"flow_log": td.flow_log(spark, sf)},
+                        as_of=dt.date(2024, 1, 15))
+
+
 # Two invented rows.
 INLINE_GEO_ROWS = [
     ("sample-1", "S-0001", "2024-02-01 08:30:00.5", "1 Harbour Street", "Flat 2, Mill Lane",

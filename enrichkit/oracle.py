@@ -490,6 +490,8 @@ SELECT 'flow_' || event_type AS flow_name, CASE WHEN event_type = 'error' THEN '
   CAST(ts AS DATE) AS day, count(*) AS n
 FROM events GROUP BY ALL"""
 
+ORACLES["sql_flow_stats"] = ORACLES["flow_stats"].replace("FROM events", "FROM events WHERE ts < TIMESTAMP '2024-01-16'")
+
 ORACLES["api_stats"] = f"""WITH {_API_LOG}
 SELECT api_type, status_code, CAST(start_time AS DATE) AS day, count(*) AS calls,
   round(avg(date_diff('second', start_time, end_time)), 3) AS avg_duration_s, CAST(sum(retry) AS BIGINT) AS total_retries

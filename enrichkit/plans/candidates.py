@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from enrichkit.operators.batching import next_batch
 from enrichkit.operators.dedup import latest_per_key
-from enrichkit.operators.joins import exclude_processed, left_join_on_key_and_day
+from enrichkit.operators.joins import exclude_processed, keep_present, left_join_on_key_and_day
 from enrichkit.session import cut_lineage
 from enrichkit.spec import RunSpec
 
@@ -79,8 +79,8 @@ def daily_candidates(events: DataFrame, customers: DataFrame, apps: DataFrame,
         pending = ev.join(F.broadcast(first), "reference_id", "left_semi")                # at most batch_size keys
         own = pending.select(F.col("cuid").alias("c_cuid")).distinct()
         ids = customers.join(own, customers["cuid"] == own["c_cuid"], "left_semi").select("id").distinct()
-        customers = customers.join(ids, "id", "left_semi")
-        apps = apps.join(ids.withColumnRenamed("id", "customer_id"), "customer_id", "left_semi")
+        customers = keep_present(customers, ids, {"id": "id"})                            # JN-10
+        apps = keep_present(apps, ids.withColumnRenamed("id", "owner"), {"customer_id": "owner"})
     # WN-2 keeps the lowest serial of a reference: reduce before joining
     j = _device_joined(pending, customers, apps, first_serial_only=True)
     proj = j.select("cuid", "reference_id", "device_os", "created_timestamp",
