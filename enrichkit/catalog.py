@@ -51,7 +51,7 @@ def q_flatten_android(spark, sf):
 def q_flatten_ios(spark, sf):
     from enrichkit.plans.flatten import flatten_device
     from enrichkit.plans.mappings import IOS
-    return flatten_device(td.device_raw(spark, sf), td.flattened_target(spark, sf), IOS)
+    return flatten_device(td.device_raw(spark, sf, "IOS"), td.flattened_target(spark, sf), IOS)
 
 
 @query("flatten_geo")
@@ -136,7 +136,7 @@ def q_incremental(spark, sf):
 @query("semi_reconcile")
 def q_semi_reconcile(spark, sf):
     from enrichkit.plans.retry import reconcile
-    out = reconcile(td.geo_dead_letter(spark, sf), td.geo_raw_landed(spark, sf),
+    out = reconcile(td.geo_dead_letter(spark, sf, whole=True), td.geo_raw_landed(spark, sf),
                     dt.date(2024, 1, 15), dt.datetime(2024, 1, 31, 0, 0))
     return out.select("uuid", "series_number", "api_status", "bq_updated_time", "partition_date",
                       "reconciled")
@@ -176,7 +176,7 @@ def q_retry_list(spark, sf):
 @query("retry_list_geo")
 def q_retry_list_geo(spark, sf):
     from enrichkit.plans.retry import retry_list
-    return retry_list(td.geo_dead_letter(spark, sf), geo_spec(), "series_number", bounded=True)
+    return retry_list(td.geo_dead_letter(spark, sf, whole=True), geo_spec(), "series_number", bounded=True)
 
 
 @query("distinct_pairs")
@@ -624,7 +624,7 @@ def q_stream_flatten(spark, sf):
     from enrichkit.plans.mappings import IOS
     from enrichkit.session import scratch_path
     from enrichkit.streaming.pipeline import incremental_flatten_batch
-    raw = td.device_raw(spark, sf)
+    raw = td.device_raw(spark, sf, "IOS")
     root = scratch_path(spark, "stream_flatten")
     src, feats, ck = f"{root}/raw", f"{root}/features", f"{root}/checkpoint"
     cut = ntz(dt.datetime(1998, 1, 1))
@@ -707,7 +707,7 @@ def q_reconcile_zone(spark, sf):
     from enrichkit.session import scratch_path
     from enrichkit.sources.zones import read_zone, write_zone
     root = scratch_path(spark, "reconcile_zone")
-    write_zone(td.geo_dead_letter(spark, sf), f"{root}/{DEAD}")
+    write_zone(td.geo_dead_letter(spark, sf, whole=True), f"{root}/{DEAD}")
     write_zone(td.geo_raw_landed(spark, sf), f"{root}/{RAW}")
     reconcile_zone(spark, root, dt.date(2024, 1, 15), dt.datetime(2024, 1, 31))
     return latest_versions(read_zone(spark, root, DEAD)).select(

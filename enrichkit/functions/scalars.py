@@ -97,16 +97,15 @@ def coords_valid(lat: Column | str, lon: Column | str, strict: bool = False) ->
     return F.coalesce(ok, F.lit(False))
 
 
-def severity(status: Column | str, body: Column | str) -> Column:
+def severity(status: Column | str, body: Column | str, markers: list[str] | None = None) -> Column:
     """FN-17: status '400' whose detail contains a marker text (case as
     written) -> WARNING; any status text starting with '4' or '5' -> ERROR;
-    else Info."""
+    else Info. The device rule by default; the geo rule has no markers (``[]``)."""
     s = _c(status).cast("string")
     b = F.coalesce(_c(body).cast("string"), F.lit(""))
-    marker = None
-    for m in WARNING_BODY_MARKERS:
-        hit = b.contains(m)
-        marker = hit if marker is None else (marker | hit)
+    marker = F.lit(False)
+    for m in WARNING_BODY_MARKERS if markers is None else markers:
+        marker = marker | b.contains(m)
     return (F.when((s == F.lit("400")) & marker, F.lit("WARNING"))
             .when(s.startswith("4") | s.startswith("5"), F.lit("ERROR"))
             .otherwise(F.lit("Info")))

@@ -53,6 +53,9 @@ VIEWS = {
 }
 
 
+VIEWS["geo_dl_all"] = VIEWS["geo_dl"].replace(" WHERE o_orderpriority = '5-LOW'", "")
+
+
 def with_views(names: list[str], body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     return f"WITH {ctes}\n{body}"
@@ -97,7 +100,7 @@ def _flatten_device_sql(ios: bool) -> str:
     known = {
         "cuid": "CAST(o_custkey AS VARCHAR)",
         "seriesnumber": "'S' || CAST(o_orderkey AS VARCHAR)",
-        "device_os": "'Android'",
+        "device_os": "'IOS'" if ios else "'Android'",
         "bq_updated_time": "o_orderdate",
         "partition_date": "CASE WHEN o_orderstatus = 'F' THEN DATE '2024-01-25' ELSE DATE '2024-01-20' END",
         "requested_date": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
@@ -209,11 +212,11 @@ ORACLES["incremental"] = """
 SELECT c_custkey AS serial_number, c_custkey AS cuid FROM customer
 WHERE c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 3 AND c_custkey IS NOT NULL)"""
 
-ORACLES["semi_reconcile"] = with_views(["geo_dl"], """
+ORACLES["semi_reconcile"] = with_views(["geo_dl_all"], """
 , landed AS (SELECT DISTINCT o_orderkey AS serial_number FROM orders
              WHERE o_orderstatus = 'O' AND make_date(2024, 1, least(day(o_orderdate), 31)) = DATE '2024-01-15')
 , f AS (SELECT d.*, (d.series_number IN (SELECT serial_number FROM landed))
-                    AND NOT (d.api_status LIKE '2%' OR d.api_status = 'success') AS hit FROM geo_dl d)
+                    AND NOT (d.api_status LIKE '2%' OR d.api_status = 'success') AS hit FROM geo_dl_all d)
 SELECT uuid, series_number,
   CASE WHEN hit THEN '200' ELSE api_status END AS api_status,
   CASE WHEN hit THEN TIMESTAMP '2024-01-31 00:00:00' ELSE bq_updated_time END AS bq_updated_time,
@@ -259,10 +262,10 @@ ORACLES["retry_list"] = with_views(["dl"], """
 SELECT w.* FROM w JOIN latest USING (reference_id, uuid)
 WHERE NOT (w.api_status LIKE '2%' OR w.api_status = 'success')""")
 
-ORACLES["retry_list_geo"] = with_views(["geo_dl"], """
+ORACLES["retry_list_geo"] = with_views(["geo_dl_all"], """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY series_number ORDER BY bq_updated_time DESC, uuid) AS rn
-  FROM geo_dl WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30')
+  FROM geo_dl_all WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-30')
 WHERE rn = 1 AND NOT (api_status LIKE '2%' OR api_status = 'success')""")
 
 ORACLES["distinct_pairs"] = with_views(["dev_events"], "SELECT DISTINCT cuid, device_os FROM dev_events")

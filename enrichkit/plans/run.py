@@ -111,7 +111,7 @@ def _geo_pass(spark: SparkSession, root: str, work: DataFrame, src: GeoSources,
         # a record without coordinates is logged as a skipped call
         F.when(F.col("_o.ok") & (F.col("_o.count_text") == "null"), F.lit(None)).otherwise(F.col("_o.status"))
         .alias("status"), F.lit(None).cast("string").alias("error"), F.lit(0).alias("retry"))
-    write_zone(api_log_rows(calls, "geo", "area_insights", "call", ntz(now), ntz(now))
+    write_zone(api_log_rows(calls, "geo", "area_insights", "call", ntz(now), ntz(now), markers=[])
                .withColumn("partition_date", F.lit(spec.as_of)), f"{root}/{APILOG}")
     ok = F.forall("outcomes", lambda o: o["ok"])
     return out.select(*GEO_KEYS, "batch_label", F.when(ok, F.lit("success")).otherwise(F.lit("error")).alias("outcome"))

@@ -136,16 +136,17 @@ def geo_raw_done(spark, sf_dir) -> DataFrame:
     return o.filter(F.col("o_totalprice") < 50000).select(F.col("o_orderkey").alias("serial_number"))
 
 
-def geo_dead_letter(spark, sf_dir) -> DataFrame:
-    """Geo failed-retry list: orders of low priority, written on the order's
-    day moved into 2024 (so D-20 .. D-1 windows select some)."""
+def geo_dead_letter(spark, sf_dir, whole: bool = False) -> DataFrame:
+    """Geo failed-retry list, written on the order's day moved into 2024 (so
+    D-20 .. D-1 windows select some): the orders of low priority, as candidates
+    need some serials outside it, or with ``whole`` all orders."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     day = F.make_date(F.lit(2024), F.lit(1), F.least(F.dayofmonth("o_orderdate"), F.lit(31)))
     status = (F.when(F.col("o_orderstatus") == "F", F.lit("200"))
               .when(F.col("o_orderstatus") == "O", F.lit("500"))
               .otherwise(F.lit("429")))
-    lo = o.filter(F.col("o_orderpriority") == "5-LOW")
+    lo = o if whole else o.filter(F.col("o_orderpriority") == "5-LOW")
     j = lo.join(c, lo["o_custkey"] == c["c_custkey"], "left")
     return j.select(F.col("o_orderkey").cast("string").alias("uuid"),
                     F.col("o_custkey").alias("cuid"), F.col("o_orderkey").alias("series_number"),
@@ -179,7 +180,7 @@ def pois(spark, sf_dir) -> DataFrame:
 
 # ---------------------------------------------------------------- payloads
 
-def device_raw(spark, sf_dir) -> DataFrame:
+def device_raw(spark, sf_dir, device_os: str = "Android") -> DataFrame:
     """Device RAW rows with a JSON payload built from each order.
 
     One row per order, plus a second, newer version for orders in status F
@@ -247,7 +248,7 @@ def device_raw(spark, sf_dir) -> DataFrame:
                      F.col("o_custkey").cast("string").alias("cuid"),
                      k.cast("string").alias("reference_id"),
                      F.concat(F.lit("S"), k.cast("string")).alias("series_number"),
-                     F.lit("Android").alias("device_os"), body.alias("raw_data"),
+                     F.lit(device_os).alias("device_os"), body.alias("raw_data"),
                      F.col("o_orderdate").alias("bq_updated_time"),
                      F.when(v2, F.lit(dt.date(2024, 1, 25))).otherwise(F.lit(dt.date(2024, 1, 20)))
                      .alias("partition_date"))

@@ -169,8 +169,8 @@ def flow_log_rows(spark: SparkSession, flow_name: str, run_id: str, entries: Seq
                                        "message string, severity string")
 
 
-def api_log_rows(looked_up: DataFrame, api_type: str, api_name: str, key: str, started: Column, ended: Column
-                 ) -> DataFrame:
+def api_log_rows(looked_up: DataFrame, api_type: str, api_name: str, key: str, started: Column, ended: Column,
+                 markers: list[str] | None = None) -> DataFrame:
     """SNK-8: one API-log row per lookup, skipped ones (no status) included:
     request id, type, name, times, duration, status, severity, retries."""
     status = F.col("status").cast("string")
@@ -180,4 +180,4 @@ def api_log_rows(looked_up: DataFrame, api_type: str, api_name: str, key: str, s
         started.alias("start_time"), ended.alias("end_time"),
         duration_ms(started, ended).alias("duration_ms"),
         F.coalesce(status, F.lit("skipped")).alias("status_code"), F.col("error").alias("status_detail"),
-        severity("status", "error").alias("severity"), F.coalesce(F.col("retry"), F.lit(0)).alias("retry"))
+        severity("status", "error", markers).alias("severity"), F.coalesce(F.col("retry"), F.lit(0)).alias("retry"))
