@@ -32,67 +32,62 @@ def rows(df):
     return [tuple(r) for r in df.select(*cp.COLUMNS).collect()]
 
 
-def test_quality_keeps_what_the_model_accepts(spark, docs):
+def size(r):
+    return len((r[1] or "").encode().split())
+
+
+def test_stages_against_brute_force(spark, docs):
+    """The stages in order, each written and read again, each judged on its
+    own input."""
     from enrichkit.llm import quality
+    from enrichkit.llm.common import materialize
     root, df = docs
-    kept = cp.quality_stage(spark, df, root)
-    assert kept.columns == cp.COLUMNS
+    stage = dict(cp.STAGES)
+    assert list(stage) == ["quality", "exact_dedup", "simhash", "mixing", "packing"]
+
+    # quality: exactly the rows whose text the model accepts
+    kept = materialize(stage["quality"](spark, df, root), "t-quality")
     model = quality.train(df, spark.read.parquet(f"{root}/labels.parquet"))
     want = Counter(r for r in rows(df) if quality.score_texts([(r[1] or "").encode()], model)[0] >= 0.7)
-    assert Counter(rows(kept)) == want and want
-
+    assert kept.columns == cp.COLUMNS and Counter(rows(kept)) == want and want
 
-def test_exact_dedup_keeps_one_row_a_text(spark, docs):
-    root, df = docs
-    kept = rows(cp.exact_dedup_stage(spark, df, root))
+    # exact dedup, on all rows: one row a text, the one with the largest id
+    before = rows(df)
+    unique = materialize(stage["exact_dedup"](spark, df, root), "t-exact")
     texts = defaultdict(list)
-    for r in rows(df):
+    for r in before:
         texts[r[1] or ""].append(r[0])
-    assert len(kept) == len(texts) == len({r[1] or "" for r in kept})
-    for r in kept:
+    out = rows(unique)
+    assert unique.columns == cp.COLUMNS and len(out) == len(texts) == len({r[1] or "" for r in out})
+    for r in out:
         assert r[0] == max((i for i in texts[r[1] or ""] if i is not None), default=None)
 
-
-def test_simhash_keeps_one_row_a_component(spark, docs):
-    root, df = docs
-    before = rows(df)
-    kept = rows(cp.simhash_stage(spark, df, root))
-    ids = list(range(len(before)))
-    comp = plain_components([plain_fingerprint(r[1]) for r in before], ids, 3)
-    least = {}
+    # SimHash, on all rows again: one row a component, the one with the smallest id
+    near = materialize(stage["simhash"](spark, df, root), "t-near")
+    comp = plain_components([plain_fingerprint(r[1]) for r in before], list(range(len(before))), 3)
+    groups = defaultdict(list)
     for c, r in zip(comp, before, strict=True):
-        least.setdefault(c, []).append(r[0])
-    assert len(kept) == len(least) and not Counter(kept) - Counter(before)
-    first = Counter(min((i for i in v if i is not None), default=None) for v in least.values())
-    assert Counter(r[0] for r in kept) == first
-
-
-def test_mixing_repeats_rows(spark, docs):
-    root, df = docs
-    df = df.dropDuplicates(["doc_id", "text"])
-    out = rows(cp.mixing_stage(spark, df, root))
-    size = lambda r: len((r[1] or "").encode().split())
-    total, taken = defaultdict(int), defaultdict(int)
-    for r in rows(df):
+        groups[c].append(r[0])
+    out = rows(near)
+    assert near.columns == cp.COLUMNS and len(out) == len(groups) and not Counter(out) - Counter(before)
+    assert Counter(r[0] for r in out) == Counter(
+        min((i for i in v if i is not None), default=None) for v in groups.values())
+
+    # mixing: rows as often as taken, near each source's target
+    mixed = materialize(stage["mixing"](spark, unique, root), "t-mix")
+    out, total, taken = rows(mixed), defaultdict(int), defaultdict(int)
+    for r in rows(unique):
         total[r[3]] += size(r)
     for r in out:
         taken[r[3]] += size(r)
-    assert set(out) <= set(rows(df)) and max(Counter(out).values()) <= 3
-    for s, want in plain_targets(dict(total), (1, 2, 3), 3.0).items():
-        assert abs(taken[s] - want) <= max(5, 0.05 * want)
-
-
-def test_packing_and_run(spark, docs):
-    root, _ = docs
-    out = cp.run(spark, root).collect()
-    assert out and sorted(r.sequence_id for r in out) == list(range(len(out)))
-    kept = {i: t for i, t, *_ in rows(spark.read.parquet(f"{root}/documents.parquet"))}
-    lengths = defaultdict(int)
-    for r in out:
-        lengths[r.doc_id] += r.length
-    for i in list(lengths)[:20]:
-        if i is not None and i >= 1000:
-            assert lengths[i] % len(encoded(kept[i])) == 0
+    assert mixed.columns == cp.COLUMNS and set(out) <= set(rows(unique)) and max(Counter(out).values()) <= 3
+    for s, target in plain_targets(dict(total), (1, 2, 3), 3.0).items():
+        assert abs(taken[s] - target) <= max(5, 0.05 * target)
+
+    # packing: every copy whole, one sequence a piece
+    packed = stage["packing"](spark, mixed, root).collect()
+    assert sorted(r.sequence_id for r in packed) == list(range(len(packed)))
+    assert sum(r.length for r in packed) == sum(len(encoded(r[1])) for r in out)
 
 
 def test_empty_documents(spark, docs):
