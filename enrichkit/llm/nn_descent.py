@@ -3,9 +3,12 @@
 A neighbour graph over the distinct vectors is started from random-hyperplane
 blocks and refined by neighbours-of-neighbours joins: everything that a node
 lists, or that lists it, is compared with each other, and better neighbours
-enter the lists, until few do. Lists whose places are all links are saturated;
-their nodes' components are then compared whole, in blocks, so no link is lost
-to the list length. A brute-force audit of a bounded query sample measures
+enter the lists, until few do. Lists whose places are all links are saturated
+and enlarged: their nodes' components are settled by comparing them whole, in
+blocks, so members of one's own component need no places, and the list gets
+``k`` places for nodes outside it. Blocks and rounds are run again for these
+until no list is filled by links only, so dense groups that touch are joined.
+A brute-force audit of a bounded query sample measures
 recall; below the target, further blocks and rounds are run. Pairs at or above
 the cosine threshold are the links.
 """
@@ -44,12 +47,21 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
                                   F.size("vec").alias("dim"), "vec"), "nn-nodes")
 
 
-def _top_pairs(ids: np.ndarray, x: np.ndarray, k: int, floor: np.ndarray, threshold: float
+def with_homes(nodes: DataFrame, dense: DataFrame | None) -> DataFrame:
+    """``v, dim, vec, home``: nodes of a component compared whole share a home,
+    all others are their own."""
+    if dense is None:
+        return nodes.select("v", "dim", "vec", F.col("v").alias("home"))
+    return (nodes.select("v", "dim", "vec").join(dense.select("v", "label"), "v", "left")
+            .select("v", "dim", "vec", F.coalesce("label", "v").alias("home")))
+
+
+def _top_pairs(ids: np.ndarray, x: np.ndarray, home: np.ndarray, k: int, floor: np.ndarray, threshold: float
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of one group, each member's best ``k`` others above its floor, and all
-    others at or above the threshold when the group is no larger than a block."""
+    """Of one group, each member's best ``k`` of other homes above its floor, and
+    all of other homes at or above the threshold."""
     sim = x @ x.T
-    sim[ids[:, None] == ids[None, :]] = -2.0
+    sim[home[:, None] == home[None, :]] = -2.0
     if len(ids) > k + 1:
         edge = np.partition(sim, len(ids) - k, axis=1)[:, len(ids) - k]
     else:
@@ -63,7 +75,7 @@ def _pair_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c) for c in cols], names=["v", "u", "sim"])
 
 
-def start_blocks(nodes: DataFrame, n: int, trees: range, k: int, threshold: float) -> DataFrame:
+def start_blocks(homes: DataFrame, n: int, trees: range, k: int, threshold: float) -> DataFrame:
     """Pairs within blocks of vectors on the same side of random hyperplanes,
     several sets of planes at once. A block that is still too large is dealt
     into parts by a hash."""
@@ -79,24 +91,25 @@ def start_blocks(nodes: DataFrame, n: int, trees: range, k: int, threshold: floa
                 for dim, (at, x) in unit.items():
                     planes = np.random.default_rng([tree, dim]).standard_normal((dim, bits))
                     side[at] = (x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64))
-                yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(side),
-                                       pa.array(np.full(len(dims), tree))], names=["v", "dim", "vec", "side", "tree"])
+                yield pa.record_batch([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(side),
+                                       pa.array(np.full(len(dims), tree))],
+                                      names=["v", "dim", "vec", "home", "side", "tree"])
 
-    vec_type = nodes.schema["vec"].dataType.simpleString()
-    sided = materialize(nodes.select("v", "dim", "vec").mapInArrow(
-        keys, f"v long, dim int, vec {vec_type}, side long, tree long"), "nn-sides")
+    vec_type = homes.schema["vec"].dataType.simpleString()
+    sided = materialize(homes.select("v", "dim", "vec", "home").mapInArrow(
+        keys, f"v long, dim int, vec {vec_type}, home long, side long, tree long"), "nn-sides")
     where = ["tree", "dim", "side"]
     size = materialize(sided.groupBy(*where).agg(F.count(F.lit(1)).alias("c")), "nn-sizes")
     parts = F.pmod(F.xxhash64("v", "tree"), F.ceil(F.col("c") / (4 * LEAF)).cast("long"))
-    dealt = sided.join(size, where).select(F.xxhash64(*where, parts).alias("block"), "dim", "v", "vec")
+    dealt = sided.join(size, where).select(F.xxhash64(*where, parts).alias("block"), "dim", "v", "vec", "home")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts, ends in whole_groups(batches):
-            ids, dims = t.column(2).to_numpy(), t.column(1).to_numpy()
+            ids, dims, home = (t.column(i).to_numpy() for i in (2, 1, 4))
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                 if e - s > 1 and dims[s] == dims[e - 1]:
-                    got = _top_pairs(ids[s:e], _matrix(t.column(3).slice(s, e - s)), k, np.full(e - s, -1.0),
-                                     threshold)
+                    got = _top_pairs(ids[s:e], _matrix(t.column(3).slice(s, e - s)), home[s:e], k,
+                                     np.full(e - s, -1.0), threshold)
                     if len(got[0]):
                         yield _pair_batch([got])
 
@@ -104,23 +117,33 @@ def start_blocks(nodes: DataFrame, n: int, trees: range, k: int, threshold: floa
     return ordered.mapInArrow(run, "v long, u long, sim double")
 
 
-def merge_lists(lists: DataFrame | None, found: DataFrame, k: int, threshold: float, name: str) -> DataFrame:
+def merge_lists(lists: DataFrame | None, found: DataFrame, dense: DataFrame | None, k: int, threshold: float,
+                name: str) -> DataFrame:
     """Each node's best ``k`` neighbours and all links among those found;
-    ``fresh`` marks what was not listed before, ``place`` is the rank."""
+    ``fresh`` marks what was not listed before, ``place`` is the rank. A node of
+    a ``dense`` component has a longer list (``wide``): neighbours in the
+    component (``inner``) and others are ranked apart, with ``k`` places each."""
     new = found.select("v", "u", "sim", F.lit(1).alias("fresh"))
     rows = new if lists is None else new.unionByName(lists.select("v", "u", "sim", F.lit(0).alias("fresh")))
     one = rows.groupBy("v", "u").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    place = F.row_number().over(Window.partitionBy("v").orderBy(F.col("sim").desc(), "u"))
+    if dense is None:
+        one = one.withColumn("wide", F.lit(False)).withColumn("inner", F.lit(False))
+    else:
+        one = (one.join(dense.select("v", F.col("label").alias("lv")), "v", "left")
+               .join(dense.select(F.col("v").alias("u"), F.col("label").alias("lu")), "u", "left")
+               .select("v", "u", "sim", "fresh", F.col("lv").isNotNull().alias("wide"),
+                       F.coalesce(F.col("lv") == F.col("lu"), F.lit(False)).alias("inner")))
+    place = F.row_number().over(Window.partitionBy("v", "inner").orderBy(F.col("sim").desc(), "u"))
     return materialize(one.withColumn("place", place).filter(
         (F.col("place") <= k) | (F.col("sim") >= threshold)), name)
 
 
-def refine(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: int) -> DataFrame:
+def refine(homes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: int) -> DataFrame:
     """Neighbours-of-neighbours join: compares what lists ``w`` and what ``w``
     lists, for all ``w`` with something new. Long reverse lists are dealt into
-    parts, each compared with the node's own list."""
+    parts, each compared with the node's own list. Pairs of one home are left out."""
     near = lists.filter(F.col("place") <= k)
-    floor = near.filter(F.col("place") == k).select(F.col("v").alias("u"), F.col("sim").alias("floor"))
+    floor = near.filter((F.col("place") == k) & ~F.col("inner")).select(F.col("v").alias("u"), F.col("sim").alias("floor"))
     out = near.select(F.col("v").alias("w"), "u", "fresh")
     back = near.select(F.col("u").alias("w"), F.col("v").alias("u"), "fresh")
     fans = back.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / F.lit(PART)).cast("long").alias("parts"))
@@ -132,17 +155,18 @@ def refine(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: i
     members = (out.join(hubs, "w").select("w", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
                                           .alias("part"), "u")
                .union(back.join(hubs, "w").select("w", part.alias("part"), "u")).distinct())
-    joined = (members.join(nodes.select(F.col("v").alias("u"), "vec"), "u").join(floor, "u", "left")
+    joined = (members.join(homes.select(F.col("v").alias("u"), "vec", "home"), "u").join(floor, "u", "left")
               .select(F.xxhash64("w", "part").alias("g"), "u", "vec", F.coalesce("floor", F.lit(-1.0)).alias("floor"),
-                      F.size("vec").alias("dim")))
+                      F.size("vec").alias("dim"), "home"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, starts, ends in whole_groups(batches):
-            ids, floors, dims = (t.column(i).to_numpy() for i in (1, 3, 4))
+            ids, floors, dims, home = (t.column(i).to_numpy() for i in (1, 3, 4, 5))
             found = []
             for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                 if e - s > 1 and dims[s] == dims[e - 1]:
-                    got = _top_pairs(ids[s:e], _matrix(t.column(2).slice(s, e - s)), k, floors[s:e], threshold)
+                    got = _top_pairs(ids[s:e], _matrix(t.column(2).slice(s, e - s)), home[s:e], k, floors[s:e],
+                                     threshold)
                     keep = got[2] > np.minimum(floors[s:e][np.searchsorted(ids[s:e], got[0])], threshold - 1e-12)
                     if keep.any():
                         found.append(tuple(c[keep] for c in got))
@@ -222,6 +246,24 @@ def _count_batch(ids: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(ids), pa.array(links.astype(np.int64))], names=["v", "links"])
 
 
+def saturated(links: DataFrame, homes: DataFrame, k: int, name: str) -> DataFrame:
+    """Nodes with links in all ``k`` places for nodes of other homes."""
+    home = homes.select("v", "home")
+    other = (links.join(home, "v").join(home.select(F.col("v").alias("u"), F.col("home").alias("there")), "u")
+             .filter(F.col("home") != F.col("there")))
+    return materialize(other.groupBy("v").agg(F.count(F.lit(1)).alias("degree"))
+                       .filter(F.col("degree") >= k).select("v"), name)
+
+
+def dense_components(nodes: DataFrame, labels: DataFrame, full: DataFrame, before: DataFrame | None, name: str
+                     ) -> DataFrame:
+    """``v, label, weight`` of the components that hold a node that is, or was
+    ``before``, saturated."""
+    ever = full if before is None else full.union(before.select("v"))
+    held = labels.join(ever.distinct(), "v").select("label").distinct()
+    return materialize(labels.join(held, "label").join(nodes.select("v", "weight"), "v"), name)
+
+
 def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                          threshold: float = 0.9, k: int = 10, trees: int = 4, rounds: int = 4,
                          settled: float = 0.01, audit_queries: int = 1000, recall_target: float = 0.98,
@@ -243,30 +285,30 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
     base = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
     nodes = distinct_vectors(base)
     n = nodes.count()
-    lists, recall, links = None, 1.0, None
-    for attempt in range(passes):
-        if n < 2:
-            break
-        found = start_blocks(nodes, n, range(attempt * trees, (attempt + 1) * trees), k, threshold)
-        lists = merge_lists(lists, found, k, threshold, f"nn-start{attempt}")
+    lists, recall, links, dense, attempt = None, 1.0, None, None, 0
+    while n > 1:
+        homes = with_homes(nodes, dense)
+        found = start_blocks(homes, n, range(attempt * trees, (attempt + 1) * trees), k, threshold)
+        lists = merge_lists(lists, found, dense, k, threshold, f"nn-start{attempt}")
+        wide_n = 0 if dense is None else dense.count()
         for r in range(rounds):
-            got = refine(nodes, lists, k, threshold, attempt * rounds + r)
-            lists = merge_lists(lists, got, k, threshold, f"nn-lists{attempt}-{r}")
-            if lists.filter((F.col("fresh") == 1) & (F.col("place") <= k)).count() <= settled * n * k:
+            got = refine(homes, lists, k, threshold, attempt * rounds + r)
+            lists = merge_lists(lists, got, dense, k, threshold, f"nn-lists{attempt}-{r}")
+            new = lists.filter((F.col("fresh") == 1) & (F.col("place") <= k) & ~F.col("inner")).agg(
+                F.count(F.lit(1)).alias("n"), F.count_if("wide").alias("wide")).first()
+            if new["n"] <= settled * n * k and new["wide"] <= settled * wide_n * k:
                 break
         hit = lists.filter(F.col("sim") >= threshold).select("v", "u")
         links = materialize(hit.union(hit.select(F.col("u").alias("v"), F.col("v").alias("u"))).distinct(),
                             f"nn-links{attempt}")
-        labels = components(links, "v", "u")
-        # saturated: all k places of a list are links; their components whole
-        degree = links.groupBy("v").agg(F.count(F.lit(1)).alias("degree"))
-        full = (degree.filter(F.col("degree") >= k).join(labels.withColumnRenamed("node", "v"), "v")
-                .select("label").distinct())
-        dense = materialize(labels.withColumnRenamed("node", "v").join(full, "label")
-                            .join(nodes.select("v", "weight"), "v"), f"nn-dense{attempt}")
+        labels = components(links, "v", "u").withColumnRenamed("node", "v")
+        full = saturated(links, homes, k, f"nn-full{attempt}")
+        dense = dense_components(nodes, labels, full, dense, f"nn-dense{attempt}")
+        grown = not full.isEmpty()
         found_n, there_n = _audit_dense(nodes, links, dense, threshold, audit_queries)
         recall = found_n / there_n if there_n else 1.0
-        if recall >= recall_target:
+        attempt += 1
+        if not grown and (recall >= recall_target or attempt >= passes):
             break
     if links is None:
         counted = nodes.select("v", "rep", F.col("weight"), F.lit(0).cast("long").alias("n_links"),
@@ -277,7 +319,7 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
                   .groupBy("v").agg(F.sum("weight").alias("n_links")))
         both = materialize(sparse.unionByName(whole_components(nodes, dense, threshold)), "nn-counts")
         counted = (nodes.select("v", "rep", "weight").join(both, "v", "left")
-                   .join(labels.withColumnRenamed("node", "v"), "v", "left")
+                   .join(labels, "v", "left")
                    .withColumn("label", F.coalesce("label", "v")).withColumn("n_links", F.coalesce("n_links", F.lit(0))))
     least = counted.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = materialize(counted.join(least, "label").join(nodes.select("v", "vec"), "v").select(

@@ -57,3 +57,32 @@ def test_empty_and_single(spark):
     assert embedding_near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     one = embedding_near_dedup(spark.createDataFrame([(4, [1.0, 0.0], 0, "", "", "")], SCHEMA)).collect()
     assert [(r.vec_id, r.n_links, r.component_id, r.kept) for r in one] == [(4, 0, 4, True)]
+
+
+def near(rng, centre, noise, n):
+    d = len(centre)
+    return [(centre + noise * rng.standard_normal(d) / np.sqrt(d)).astype(np.float32).tolist() for _ in range(n)]
+
+
+def turned(rng, centre, cos):
+    """A unit vector at the cosine from a unit vector."""
+    other = rng.standard_normal(len(centre))
+    other -= (other @ centre) * centre
+    return cos * centre + np.sqrt(1 - cos ** 2) * other / np.linalg.norm(other)
+
+
+def test_links_between_dense_groups(spark):
+    """Lists full of their own group are enlarged until they see the other one."""
+    rng = np.random.default_rng(8)
+    vecs = [v.tolist() for v in rng.standard_normal((600, 16)).astype(np.float32)]
+    for _ in range(8):
+        a = rng.standard_normal(16)
+        a /= np.linalg.norm(a)
+        vecs += near(rng, a, 0.08, 20) + near(rng, turned(rng, a, 0.92), 0.08, 20)
+    rows = list(enumerate(vecs))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = embedding_near_dedup(df, k=6, trees=1, rounds=2, recall_target=0.0).collect()
+    want = plain(rows, 0.9)
+    assert len({c for _, _, c in want[600:]}) == 8
+    assert sorted((r.vec_id, r.component_id) for r in got if r.vec_id >= 600) == [(a, c) for a, _, c in want[600:]]
+    assert sorted((r.vec_id, r.n_links) for r in got if r.vec_id >= 600) == [(a, b) for a, b, _ in want[600:]]
