@@ -9,7 +9,8 @@ blocks, so members of one's own component need no places, and the list gets
 ``k`` places for nodes outside it. Blocks and rounds are run again for these
 until no list is filled by links only, so dense groups that touch are joined.
 A brute-force audit of a bounded query sample measures
-recall; below the target, further blocks and rounds are run. Pairs at or above
+recall of the links that are not inside a component compared whole; below the
+target, further blocks and rounds are run. Pairs at or above
 the cosine threshold are the links.
 """
 
@@ -177,36 +178,50 @@ def refine(homes: DataFrame, lists: DataFrame, k: int, threshold: float, salt: i
     return ordered.mapInArrow(run, "v long, u long, sim double").distinct()
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> tuple[int, int]:
-    """(links found, links there are) of at most ``queries`` nodes, by brute
-    force against all nodes, block by block. Only the queries are broadcast."""
-    some = nodes.orderBy(F.xxhash64("v", F.lit("audit")), "v").limit(queries).select("v", "dim", "vec").collect()
-    if not some:
-        return 0, 0
-    by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def audit(homes: DataFrame, threshold: float, queries: int, block: int) -> DataFrame:
+    """``v, u``: all links to other homes of the ``block``-th ``queries`` nodes
+    of a sample, by brute force. Only the queries are broadcast."""
+    some = (homes.orderBy(F.xxhash64("v", F.lit("audit")), "v").offset(block * queries).limit(queries)
+            .select("v", "dim", "vec", "home").collect())
+    by_dim: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for dim in {r["dim"] for r in some}:
         own = [r for r in some if r["dim"] == dim]
         x = np.array([r["vec"] for r in own], np.float64)
-        by_dim[dim] = (np.array([r["v"] for r in own]), x / np.linalg.norm(x, axis=1, keepdims=True))
+        by_dim[dim] = (np.array([r["v"] for r in own]), np.array([r["home"] for r in own]),
+                       x / np.linalg.norm(x, axis=1, keepdims=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, dims = b.column(0).to_numpy(), b.column(1).to_numpy()
+            ids, dims, home = (b.column(i).to_numpy() for i in (0, 1, 3))
             for dim in np.unique(dims):
                 if int(dim) not in by_dim:
                     continue
                 at = np.flatnonzero(dims == dim)
-                qid, q = by_dim[int(dim)]
+                qid, qhome, q = by_dim[int(dim)]
                 for lo in range(0, len(at), 4096):
                     some_at = at[lo:lo + 4096]
                     i, j = np.nonzero(q @ _matrix(b.column(2).take(pa.array(some_at))).T >= threshold)
-                    a, c = qid[i], ids[some_at][j]
-                    yield pa.record_batch([pa.array(a[a != c]), pa.array(c[a != c])], names=["v", "u"])
+                    other = qhome[i] != home[some_at][j]
+                    yield pa.record_batch([pa.array(qid[i][other]), pa.array(ids[some_at][j][other])],
+                                          names=["v", "u"])
 
-    truth = materialize(nodes.select("v", "dim", "vec").mapInArrow(run, "v long, u long"), "nn-audit")
-    there = truth.count()
-    found = truth.join(links.select("v", "u"), ["v", "u"], "left_semi").count()
-    return found, there
+    return materialize(homes.select("v", "dim", "vec", "home").mapInArrow(run, "v long, u long"),
+                       f"nn-audit{block}")
+
+
+def audit_shares(truth: DataFrame, links: DataFrame, dense: DataFrame) -> tuple[float | None, int, int]:
+    """(recall, audited nodes, links missed) of the true links that are not
+    inside one dense component. Recall is the mean of the audited nodes' shares,
+    so a node with many links counts as one; None when there are no such links."""
+    lab = dense.select("v", F.col("label").alias("lv"))
+    apart = (truth.join(lab, "v", "left").join(lab.withColumnsRenamed({"v": "u", "lv": "lu"}), "u", "left")
+             .filter(~F.coalesce(F.col("lv") == F.col("lu"), F.lit(False))).select("v", "u"))
+    found = links.select("v", "u", F.lit(1).alias("hit"))
+    each = apart.join(found, ["v", "u"], "left").groupBy("v").agg(
+        F.count("hit").alias("found"), F.count(F.lit(1)).alias("there"))
+    row = each.agg(F.avg(F.col("found") / F.col("there")).alias("recall"), F.count(F.lit(1)).alias("n"),
+                   F.coalesce(F.sum(F.col("there") - F.col("found")), F.lit(0)).alias("missed")).first()
+    return row["recall"], row["n"], row["missed"]
 
 
 def whole_components(nodes: DataFrame, members: DataFrame, threshold: float, block: int = 512) -> DataFrame:
@@ -267,12 +282,15 @@ def dense_components(nodes: DataFrame, labels: DataFrame, full: DataFrame, befor
 def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                          threshold: float = 0.9, k: int = 10, trees: int = 4, rounds: int = 4,
                          settled: float = 0.01, audit_queries: int = 1000, recall_target: float = 0.98,
-                         passes: int = 3) -> DataFrame:
+                         passes: int = 3, audit_blocks: int = 8, audit_enough: int = 100) -> DataFrame:
     """Links of cosine at least ``threshold`` and their components.
 
     Returns one row per input row: ``vec_id, n_links`` (other rows linked
     directly), ``component_id`` (smallest id reachable), ``kept`` (the row is its
-    component's smallest) and ``audited_recall`` of the last audit.
+    component's smallest) and ``audited_recall`` of the last audit. The audit
+    leaves out links inside components compared whole, and draws up to
+    ``audit_blocks`` blocks of ``audit_queries`` nodes until ``audit_enough`` of
+    them have other links; ``audited_recall`` is null (not measured) if none has.
 
     Defined cases: vectors that are null, empty, zero or hold null or non-finite
     components link with nothing and are components of their own. Vectors of
@@ -285,7 +303,7 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
     base = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
     nodes = distinct_vectors(base)
     n = nodes.count()
-    lists, recall, links, dense, attempt = None, 1.0, None, None, 0
+    lists, recall, links, dense, attempt, truth, blocks = None, None, None, None, 0, None, 0
     while n > 1:
         homes = with_homes(nodes, dense)
         found = start_blocks(homes, n, range(attempt * trees, (attempt + 1) * trees), k, threshold)
@@ -305,10 +323,15 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
         full = saturated(links, homes, k, f"nn-full{attempt}")
         dense = dense_components(nodes, labels, full, dense, f"nn-dense{attempt}")
         grown = not full.isEmpty()
-        found_n, there_n = _audit_dense(nodes, links, dense, threshold, audit_queries)
-        recall = found_n / there_n if there_n else 1.0
+        seen = 0
+        if truth is not None:
+            recall, seen, _ = audit_shares(truth, links, dense)
+        while seen < audit_enough and blocks < audit_blocks and blocks * audit_queries < n:
+            more = audit(with_homes(nodes, dense), threshold, audit_queries, blocks)
+            truth, blocks = more if truth is None else truth.unionByName(more), blocks + 1
+            recall, seen, _ = audit_shares(truth, links, dense)
         attempt += 1
-        if not grown and (recall >= recall_target or attempt >= passes):
+        if not grown and (recall is None or recall >= recall_target or attempt >= passes):
             break
     if links is None:
         counted = nodes.select("v", "rep", F.col("weight"), F.lit(0).cast("long").alias("n_links"),
@@ -328,16 +351,4 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
     out = left_lookup(base, known, ["vec"])
     comp = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"),
-                      F.col("vec_id").eqNullSafe(comp).alias("kept"), F.lit(float(recall)).alias("audited_recall"))
-
-
-def _audit_dense(nodes: DataFrame, links: DataFrame, dense: DataFrame, threshold: float, queries: int
-                 ) -> tuple[int, int]:
-    """The audit; a pair within a saturated component counts as found, because
-    these are compared whole."""
-    some = nodes.orderBy(F.xxhash64("v", F.lit("audit")), "v").limit(queries).select("v")
-    lab = dense.select("v", "label")
-    own = some.join(lab, "v")
-    # links inside dense components of the audited nodes are bounded by their true links
-    inner = own.join(lab.withColumnRenamed("v", "u"), "label").filter("u <> v").select("v", "u")
-    return audit(nodes, links.unionByName(inner).distinct(), threshold, queries)
+                      F.col("vec_id").eqNullSafe(comp).alias("kept"), F.lit(recall).cast("double").alias("audited_recall"))

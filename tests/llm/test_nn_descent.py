@@ -1,4 +1,5 @@
 import numpy as np
+from enrichkit.llm import nn_descent
 from enrichkit.llm.nn_descent import embedding_near_dedup
 
 SCHEMA = "vec_id long, embedding array<float>, label int, vec string, v string, sim string"
@@ -86,3 +87,35 @@ def test_links_between_dense_groups(spark):
     assert len({c for _, _, c in want[600:]}) == 8
     assert sorted((r.vec_id, r.component_id) for r in got if r.vec_id >= 600) == [(a, c) for a, _, c in want[600:]]
     assert sorted((r.vec_id, r.n_links) for r in got if r.vec_id >= 600) == [(a, b) for a, b, _ in want[600:]]
+
+
+def planted(rng, n, pairs, group, dim=24):
+    """Random vectors, some with one partner at cosine 0.93, and one dense group."""
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vecs = [*x, *(turned(rng, x[i], 0.93) for i in range(pairs))]
+    return [np.asarray(v, np.float32).tolist() for v in vecs] + near(rng, x[-1], 0.1, group)
+
+
+def test_audit_sees_lost_sparse_links(spark):
+    """No link of a pair is found, all of a dense group are: recall is 0, not near 1."""
+    rng = np.random.default_rng(4)
+    vecs = planted(rng, 200, 20, 80)
+    df = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, vec array<float>")
+    nodes = nn_descent.distinct_vectors(df)
+    ids = {r.rep: r.v for r in nodes.collect()}
+    group = [ids[i] for i in [199, *range(220, 300)]]
+    dense = spark.createDataFrame([(v, group[0], 1) for v in group], "v long, label long, weight long")
+    links = spark.createDataFrame([(a, b) for a in group for b in group if a != b], "v long, u long")
+    truth = nn_descent.audit(nn_descent.with_homes(nodes, None), 0.9, 1000, 0)
+    assert nn_descent.audit_shares(truth, links, dense) == (0.0, 40, 40)
+    half = links.union(spark.createDataFrame([(ids[i], ids[200 + i]) for i in range(20)], "v long, u long"))
+    assert nn_descent.audit_shares(truth, half, dense) == (0.5, 40, 20)
+    apart = nn_descent.audit(nn_descent.with_homes(nodes, dense), 0.9, 1000, 0)
+    assert apart.count() == 40 and nn_descent.audit(nn_descent.with_homes(nodes, dense), 0.9, 300, 1).count() == 0
+
+
+def test_recall_of_no_links_is_not_measured(spark):
+    rows = list(enumerate(np.eye(12).tolist()))
+    got = embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert len(got) == 12 and {r.audited_recall for r in got} == {None}
