@@ -76,11 +76,25 @@ def _pair_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c) for c in cols], names=["v", "u", "sim"])
 
 
+def start_bits(n: int) -> int:
+    """Hyperplanes a tree: one more for every doubling of the nodes."""
+    return max(0, math.ceil(math.log2(max(n, 1) / (LEAF / 2))))
+
+
+def effort(n: int, threshold: float, trees: int, rounds: int, start_recall: float = 0.6) -> tuple[int, int]:
+    """Trees and rounds of a pass over ``n`` nodes, at least those given. Trees
+    grow so that a pair at the threshold meets in one of a pass's start blocks
+    with probability ``start_recall`` at any size; rounds with the logarithm."""
+    meet = (1 - math.acos(min(max(threshold, 0.5), 1.0)) / math.pi) ** start_bits(n)
+    need = math.ceil(math.log(1 - start_recall) / math.log(1 - meet)) if meet < 1 else 1
+    return max(trees, need), max(rounds, math.ceil(math.log2(max(n, 2)) / 3))
+
+
 def start_blocks(homes: DataFrame, n: int, trees: range, k: int, threshold: float) -> DataFrame:
     """Pairs within blocks of vectors on the same side of random hyperplanes,
     several sets of planes at once. A block that is still too large is dealt
     into parts by a hash."""
-    bits = max(0, math.ceil(math.log2(max(n, 1) / (LEAF / 2))))
+    bits = start_bits(n)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -291,6 +305,8 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
     leaves out links inside components compared whole, and draws up to
     ``audit_blocks`` blocks of ``audit_queries`` nodes until ``audit_enough`` of
     them have other links; ``audited_recall`` is null (not measured) if none has.
+    Passes go on until recall is ``recall_target``; ``passes`` in a row that
+    find no audited link more raise an error.
 
     Defined cases: vectors that are null, empty, zero or hold null or non-finite
     components link with nothing and are components of their own. Vectors of
@@ -303,7 +319,9 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
     base = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
     nodes = distinct_vectors(base)
     n = nodes.count()
+    trees, rounds = effort(n, threshold, trees, rounds)
     lists, recall, links, dense, attempt, truth, blocks = None, None, None, None, 0, None, 0
+    least_missed, stale = None, 0
     while n > 1:
         homes = with_homes(nodes, dense)
         found = start_blocks(homes, n, range(attempt * trees, (attempt + 1) * trees), k, threshold)
@@ -325,14 +343,21 @@ def embedding_near_dedup(rows: DataFrame, id_col: str = "vec_id", vec_col: str =
         grown = not full.isEmpty()
         seen = 0
         if truth is not None:
-            recall, seen, _ = audit_shares(truth, links, dense)
+            recall, seen, missed = audit_shares(truth, links, dense)
         while seen < audit_enough and blocks < audit_blocks and blocks * audit_queries < n:
             more = audit(with_homes(nodes, dense), threshold, audit_queries, blocks)
             truth, blocks = more if truth is None else truth.unionByName(more), blocks + 1
-            recall, seen, _ = audit_shares(truth, links, dense)
+            recall, seen, missed = audit_shares(truth, links, dense)
+            least_missed = None
         attempt += 1
-        if not grown and (recall is None or recall >= recall_target or attempt >= passes):
+        if not grown and (recall is None or recall >= recall_target):
             break
+        # links only grow, so with a settled sample fewer are missed or none was gained
+        gained = grown or least_missed is None or missed < least_missed
+        least_missed, stale = missed, 0 if gained else stale + 1
+        if stale >= passes:
+            raise RuntimeError(f"recall {recall:.4f} is below {recall_target} after {attempt} passes, the last "
+                               f"{stale} of which found no audited link")
     if links is None:
         counted = nodes.select("v", "rep", F.col("weight"), F.lit(0).cast("long").alias("n_links"),
                                F.col("v").alias("label"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from enrichkit.llm import nn_descent
 from enrichkit.llm.nn_descent import embedding_near_dedup
 
@@ -119,3 +120,29 @@ def test_recall_of_no_links_is_not_measured(spark):
     rows = list(enumerate(np.eye(12).tolist()))
     got = embedding_near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert len(got) == 12 and {r.audited_recall for r in got} == {None}
+
+
+def test_effort_grows_with_size():
+    sizes = [50_000, 500_000, 5_000_000, 50_000_000]
+    got = [nn_descent.effort(n, 0.9, 4, 4) for n in sizes]
+    for (trees, _), n in zip(got, sizes, strict=True):
+        meet = (1 - np.arccos(0.9) / np.pi) ** nn_descent.start_bits(n)
+        assert 1 - (1 - meet) ** trees >= 0.6
+    assert got == sorted(got) and got[0] == (4, 6) and got[-1][0] > 12
+    assert nn_descent.effort(1, 0.9, 4, 4) == (4, 4) and nn_descent.effort(10 ** 6, 1.0, 4, 4)[0] == 4
+
+
+def test_passes_until_the_target(spark, monkeypatch):
+    """Passes go on while links are found, and a target never met is an error."""
+    vecs = planted(np.random.default_rng(6), 60, 30, 1)
+    df = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, embedding array<float>")
+    real = nn_descent.start_blocks
+    late = lambda homes, n, trees, *a: (real(homes, n, trees, *a) if trees.start >= 2
+                                        else real(homes, n, trees, *a).filter("sim < 0.9"))
+    monkeypatch.setattr(nn_descent, "refine", lambda homes, *a: real(homes, 1, range(1), 1, 2.0).filter("false"))
+    monkeypatch.setattr(nn_descent, "start_blocks", late)
+    got = embedding_near_dedup(df, trees=1, rounds=1, passes=2).collect()
+    assert {r.audited_recall for r in got} == {1.0} and sum(r.n_links for r in got) >= 60
+    monkeypatch.setattr(nn_descent, "start_blocks", lambda *a: real(*a).filter("sim < 0.9"))
+    with pytest.raises(RuntimeError, match="below 0.98 after 3 passes"):
+        embedding_near_dedup(df, trees=1, rounds=1, passes=2)
