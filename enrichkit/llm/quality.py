@@ -9,7 +9,8 @@ into a probability.
 Line labels are learnt from document labels: lines start with their document's
 label, and lines of bad documents that the field is sure are good are relabelled
 before it is fitted again. The fit uses a bounded sample (``sample`` documents a
-class, the smallest id hashes); scoring covers every document.
+class, the smallest id hashes), with both classes weighted by their true share;
+scoring covers every document.
 """
 
 from __future__ import annotations
@@ -99,9 +100,10 @@ def with_neighbours(x: np.ndarray, lines: np.ndarray) -> np.ndarray:
                       first[:, None], last[:, None], np.ones((n, 1))])
 
 
-def forward_backward(em: np.ndarray, lines: np.ndarray, trans: np.ndarray
+def forward_backward(em: np.ndarray, lines: np.ndarray, trans: np.ndarray, weight: np.ndarray | None = None
                      ) -> tuple[np.ndarray, np.ndarray]:
-    """(P(good) a line, expected transitions 2 x 2 summed over all texts).
+    """(P(good) a line, expected transitions 2 x 2 summed over all texts, each
+    line pair with its line's ``weight``).
 
     ``em`` is the score of good over bad. All texts advance together, so a step
     is one vector operation."""
@@ -129,22 +131,25 @@ def forward_backward(em: np.ndarray, lines: np.ndarray, trans: np.ndarray
     pair = np.zeros((2, 2))
     for a in (0, 1):
         for b in (0, 1):
-            pair[a, b] = np.exp(fwd[j - 1, a] + trans[a, b] + score[j, b] + bwd[j, b] - z[j]).sum()
+            each = np.exp(fwd[j - 1, a] + trans[a, b] + score[j, b] + bwd[j, b] - z[j])
+            pair[a, b] = each.sum() if weight is None else (each * weight[j]).sum()
     return np.exp(both[:, 1] - z), pair
 
 
-def _fit_field(x: np.ndarray, lines: np.ndarray, y: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions by Adam on the penalised log-likelihood."""
+def _fit_field(x: np.ndarray, lines: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions by Adam on the penalised log-likelihood, in which
+    each line has its text's ``weight``."""
     theta = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     inner = np.ones(len(y), bool)
     inner[(np.cumsum(lines) - lines)[lines > 0]] = False
     j = np.flatnonzero(inner)
-    seen = np.array([[np.sum((y[j - 1] == a) & (y[j] == b)) for b in (0, 1)] for a in (0, 1)], float)
+    seen = np.array([[np.sum(weight[j] * ((y[j - 1] == a) & (y[j] == b))) for b in (0, 1)] for a in (0, 1)], float)
     for step in range(1, steps + 1):
         w, trans = theta[:-4], theta[-4:].reshape(2, 2)
-        p, pair = forward_backward(x @ w, lines, trans)
-        grad = np.r_[x.T @ (y - p), (seen - pair).ravel()] / len(y) - 1e-4 * theta
+        p, pair = forward_backward(x @ w, lines, trans, weight)
+        grad = np.r_[x.T @ (weight * (y - p)), (seen - pair).ravel()] / weight.sum() - 1e-4 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta = theta + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     return theta[:-4], theta[-4:].reshape(2, 2)
@@ -164,8 +169,10 @@ def _logit(q: np.ndarray) -> np.ndarray:
     return np.log(q / (1 - q))
 
 
-def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 150, rounds: int = 2) -> dict:
-    """Model from per-text (line features, line lengths) and 0/1 labels."""
+def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 150, rounds: int = 2,
+        share: tuple[float, float] = (1.0, 1.0)) -> dict:
+    """Model from per-text (line features, line lengths) and 0/1 labels; a text
+    of class ``y`` stands for ``share[y]`` labelled texts."""
     keep = [i for i, (f, _) in enumerate(texts) if len(f)]
     if len({int(labels[i]) for i in keep}) < 2:
         return {}
@@ -173,12 +180,15 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: i
     length = np.concatenate([texts[i][1] for i in keep])
     lines = np.array([len(texts[i][1]) for i in keep])
     doc_y = labels[keep].astype(float)
-    mean, scale = x.mean(0), x.std(0) + 1e-3
+    doc_w = np.asarray(share, float)[labels[keep].astype(int)]
+    weight = np.repeat(doc_w, lines)
+    mean = np.average(x, axis=0, weights=weight)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)) + 1e-3
     feats = with_neighbours((x - mean) / scale, lines)
     start = np.repeat(doc_y, lines)
     y = start.copy()
     for r in range(rounds):
-        w, trans = _fit_field(feats, lines, y, steps)
+        w, trans = _fit_field(feats, lines, y, weight, steps)
         p, _ = forward_backward(feats @ w, lines, trans)
         if r + 1 < rounds:
             y = np.where(start == 1, 1.0, (p > 0.9).astype(float))
@@ -188,8 +198,9 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: i
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps of a lightly penalised logistic curve
         q = 1 / (1 + np.exp(-np.clip(a * s + b, -30, 30)))
-        g = np.array([((doc_y - q) * s).sum() - 0.1 * (a - 1), (doc_y - q).sum() - 0.1 * b])
-        r = q * (1 - q)
+        e = doc_w * (doc_y - q)
+        g = np.array([(e * s).sum() - 0.1 * (a - 1), e.sum() - 0.1 * b])
+        r = doc_w * q * (1 - q)
         h = np.array([[(r * s * s).sum() + 0.1, (r * s).sum()], [(r * s).sum(), r.sum() + 0.1]])
         move = np.clip(np.linalg.solve(h, g), -1, 1)
         a, b = max(a + move[0], 0.05), b + move[1]
@@ -227,7 +238,8 @@ def held_out(id_col) -> "F.Column":
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample: int = 3000) -> dict:
-    """Fit on at most ``sample`` labelled documents a class, none held out.
+    """Fit on at most ``sample`` labelled documents a class, none held out; each
+    stands for the usable labels of its class per sampled one.
     Only their line features reach the driver. Rows with a null id or label,
     and ids with both labels, are not used."""
     ids = (labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("y"))
@@ -254,7 +266,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  key=lambda r: (r["y"], bytes(r["n"]), bytes(r["x"])))
     pairs = [(np.frombuffer(r["x"], np.float32).reshape(-1, len(FEATURES)).astype(float),
               np.frombuffer(r["n"], np.float32).astype(float)) for r in got]
-    return fit(pairs, np.array([r["y"] for r in got])) if got else {}
+    if not got:
+        return {}
+    there = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
+    share = tuple(max(there.get(y, 0) / sample, 1.0) for y in (0, 1))
+    return fit(pairs, np.array([r["y"] for r in got]), share=share)
 
 
 def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",

@@ -89,3 +89,23 @@ def test_hard_rows(spark, hard, nothing):
     assert none == {} and {r.score for r in quality.score_quality(hard, none).collect()} == {0.0, 0.5}
     assert quality.score_quality(nothing, model).count() == 0 and quality.keep_good(nothing, model).count() == 0
     assert quality.train(nothing, labels) == {}
+
+
+def test_sample_bound_leaves_scores(spark):
+    """A bound that evens out a 6:1 class ratio must not move the scores: texts
+    between the classes would fall below the threshold on large tables only."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(2, 9)))
+    docs, labels = [], []
+    for i in range(1400):
+        y = int(rng.random() < 6 / 7)
+        mark = lambda: "!!" if rng.random() < (0.25 if y else 0.5) else ""  # noqa: E731, B023
+        docs.append((i, "\n".join(" ".join(word() + mark() for _ in range(8)) for _ in range(2))))
+        labels.append((i, y))
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    score = lambda sample: np.array([r.score for r in quality.score_quality(
+        docs, quality.train(docs, labels, sample=sample)).orderBy("doc_id").collect()])
+    whole, bounded = score(3000), score(120)
+    assert abs(whole.mean() - bounded.mean()) < 0.05
+    assert abs((whole >= 0.7).mean() - (bounded >= 0.7).mean()) < 0.08
