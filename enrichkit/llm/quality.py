@@ -296,7 +296,10 @@ def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores at least the threshold."""
+    """The rows of ``docs``, all columns, whose text scores at least the threshold.
+    An empty model rejects nothing: all rows stay."""
+    if not model:
+        return docs
     cols, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,3 +109,12 @@ def test_sample_bound_leaves_scores(spark):
     whole, bounded = score(3000), score(120)
     assert abs(whole.mean() - bounded.mean()) < 0.05
     assert abs((whole >= 0.7).mean() - (bounded >= 0.7).mean()) < 0.08
+
+
+def test_one_class_rejects_nothing(spark, hard):
+    docs, labels = make(spark, 60)
+    for y in (0, 1):
+        model = quality.train(docs, labels.filter(f"quality = {y}"))
+        assert model == {} and quality.keep_good(docs, model).count() == 60
+        kept = quality.keep_good(hard, model)
+        assert kept.columns == hard.columns and kept.count() == hard.count()
