@@ -25,20 +25,26 @@ ASSIGN = re.compile(
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]+")
 LONG_HEX = re.compile("[0-9a-f]{16,}")
-KINDS = ("assign", "access", "hex", "entropy_base64", "entropy_hex")
+KINDS = ("assign", "access", "hex", "entropy_base64", "entropy_hex", "entropy_lower", "entropy_upper")
 
 #: Character classes of candidate strings: pattern, window width, bits a character.
 CLASSES = {
     "entropy_base64": (re.compile("[A-Za-z0-9+/_=-]{24,}"), 24, 4.0),
     "entropy_hex": (re.compile("[0-9A-Fa-f]{24,}"), 24, 3.0),
+    "entropy_lower": (re.compile("(?<![A-Za-z0-9])[a-z0-9]{16,}(?![A-Za-z0-9])"), 16, 3.5),
+    "entropy_upper": (re.compile("(?<![A-Za-z0-9])[A-Z0-9]{16,}(?![A-Za-z0-9])"), 16, 3.5),
 }
+#: Classes whose spans are added only where no other entropy span covers them.
+NARROW = ("entropy_lower", "entropy_upper")
+#: Path segments that say they are no secrets; only they are left out of a run.
+SEGMENT = re.compile("[^/=]*(?i:example|placeholder|changeme|your[_-]?key)[^/=]*")
 
 #: Strings that look random to a window but are no secrets (whole matches).
 ALLOW = (
     "[A-Z]?[a-z]+", "[A-Z]+", "[0-9]+",                       # one word, one number
     "(?:[A-Z]?[a-z]{2,}|[A-Z]+)(?:[-_/=+](?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[-_/=+]*",  # joined words
     "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",   # UUID
-    "(?i:.*(?:example|placeholder|changeme|your[_-]?key).*)",
+    "(?i:[^/=]*(?:example|placeholder|changeme|your[_-]?key)[^/=]*)",
     "(?:0123456789|abcdefghijklmnopqrstuvwxyz|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[+/_=-])+",
 )
 
@@ -90,15 +96,28 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _pieces(run: str, allow: re.Pattern) -> Iterator[tuple[int, str]]:
+    """What a run holds between its allowed placeholder segments."""
+    at = 0
+    for m in SEGMENT.finditer(run):
+        if allow.fullmatch(m[0]):
+            yield at, run[at:m.start()]
+            at = m.end()
+    yield at, run[at:]
+
+
 def entropy_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
     out = []
     for kind, (pattern, width, bits) in CLASSES.items():
+        wide = [s for s in out if s[0] not in NARROW] if kind in NARROW else []
         for m in pattern.finditer(text):
             if allow.fullmatch(m[0]):
                 continue
-            at = m.start()
-            out.extend((kind, at + a, at + b) for a, b in entropy_windows(m[0], width, bits)
-                       if not allow.fullmatch(text, at + a, at + b))
+            for skip, piece in _pieces(m[0], allow):
+                at = m.start() + skip
+                out.extend((kind, at + a, at + b) for a, b in entropy_windows(piece, width, bits)
+                           if not allow.fullmatch(text, at + a, at + b)
+                           and not any(w[1] <= at + a and at + b <= w[2] for w in wide))
     return out
 
 
@@ -106,7 +125,7 @@ def scan(raw: bytes, allow: re.Pattern) -> list[tuple[str, int, int]]:
     """All spans of a text, by start and then kind. Byte tests that every match
     needs come first; most texts are never decoded."""
     assign = any(w in low for low in (raw.lower(),) for w in _WORDS)
-    runs = b"c" * 24 in raw.translate(_RUN_MASK)
+    runs = b"c" * 16 in raw.translate(_RUN_MASK)
     if not (assign or runs or b"AKIA" in raw or b"c" * 16 in raw.translate(_HEX_MASK)):
         return []
     text = raw.decode("utf-8", "replace")

@@ -62,3 +62,18 @@ def test_frame(spark, hard, nothing):
         assert sorted(r.base_sha256 for r in got) == sorted(
             secrets.plain_digest(r.text or "") for r in df.select("text").collect())
     assert secrets.scan_secrets(nothing).count() == 0
+
+
+def test_narrow_alphabets_and_paths():
+    """Random strings of one letter case with digits, and behind a placeholder segment."""
+    rng = random.Random(2)
+    hit = lambda s: any(k.startswith("entropy") for k, _, _ in secrets.scan(f"see {s} here".encode(), ALLOW))
+    lower, base32 = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    for alphabet in (lower, base32):
+        for n in (20, 24, 32):
+            found = [hit("".join(rng.choice(alphabet) for _ in range(n))) for _ in range(300)]
+            assert sum(found) >= 0.85 * len(found), (alphabet, n, sum(found))
+    mixed = "".join(rng.choice(lower + lower.upper()) for _ in range(40))
+    assert hit(f"example/path/{mixed}") and hit(mixed)
+    for clean in ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "internationalization", "your-key-placeholder-0123456789abc"):
+        assert not hit(clean), clean
