@@ -134,6 +134,8 @@ def choose_plan(fps: DataFrame, radius: int) -> list[tuple[list[int], int]]:
     """Parts of bits with their thresholds, by least estimated cost."""
     n, p, corr = bit_statistics(fps)
     options = {m: group_bits(corr, list(range(64)), m) for m in range(1, radius + 2)}
+    if not n:  # nothing to estimate from
+        return [(part, 0) for part in options[radius + 1]]
     keys = F.array(*[F.struct(F.lit(100 * m + i).alias("part"), _project("fp", part).alias("key"))
                      for m, parts in options.items() for i, part in enumerate(parts)])
     pair = F.col("c") * (F.col("c") - 1) / 2

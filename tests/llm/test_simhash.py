@@ -42,7 +42,7 @@ def test_matches_brute_force(hard):
         (str(r.doc_id), f"{f:016x}", c) for r, f, c in zip(rows, fps, comp, strict=True))
 
 
-@pytest.mark.parametrize("radius,bucket", [(3, 2048), (3, 2), (1, 2048), (5, 3), (0, 10)])
+@pytest.mark.parametrize("radius,bucket", [(3, 2048), (3, 48), (1, 2048), (5, 64), (0, 10)])
 def test_links_are_complete(spark, radius, bucket):
     rng = random.Random(radius)
     centres = [rng.getrandbits(64) & ~0xFFFF for _ in range(30)]  # sixteen bits equal in all: full buckets
