@@ -9,6 +9,7 @@ into spans. Strings on the allow-list are suppressed.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -36,8 +37,10 @@ CLASSES = {
 }
 #: Classes whose spans are added only where no other entropy span covers them.
 NARROW = ("entropy_lower", "entropy_upper")
-#: Path segments that say they are no secrets; only they are left out of a run.
-SEGMENT = re.compile("[^/=]*(?i:example|placeholder|changeme|your[_-]?key)[^/=]*")
+#: Words of path segments that say they are no secrets; only the segments between
+#: ``/`` and ``=`` that hold one are left out of a run.
+PLACEHOLDER = re.compile("(?i:example|placeholder|changeme|your[_-]?key)")
+SEPARATOR = re.compile("[/=]")
 
 #: Strings that look random to a window but are no secrets (whole matches).
 ALLOW = (
@@ -97,19 +100,46 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _pieces(run: str, allow: re.Pattern) -> Iterator[tuple[int, str]]:
-    """What a run holds between its allowed placeholder segments."""
-    at = 0
-    for m in SEGMENT.finditer(run):
-        if allow.fullmatch(m[0]):
-            yield at, run[at:m.start()]
-            at = m.end()
+    """What a run holds between its allowed placeholder segments; every
+    character is looked at a fixed number of times."""
+    at = seen = 0
+    for m in PLACEHOLDER.finditer(run):
+        if m.start() < seen:
+            continue
+        first = max(run.rfind("/", seen, m.start()), run.rfind("=", seen, m.start())) + 1 or seen
+        stop = SEPARATOR.search(run, m.end())
+        seen = stop.start() if stop else len(run)
+        if allow.fullmatch(run, first, seen):
+            yield at, run[at:first]
+            at = seen
     yield at, run[at:]
 
 
+class Cover:
+    """Spans of each kind are sorted and apart: one look a kind tells whether a
+    range lies within one of them."""
+
+    def __init__(self, spans: Sequence[tuple[str, int, int]]):
+        self.kinds: dict[str, tuple[list[int], list[int]]] = {}
+        for kind, start, end in spans:
+            starts, ends = self.kinds.setdefault(kind, ([], []))
+            starts.append(start)
+            ends.append(end)
+
+    def holds(self, start: int, end: int) -> bool:
+        for starts, ends in self.kinds.values():
+            i = bisect.bisect_right(starts, start) - 1
+            if i >= 0 and end <= ends[i]:
+                return True
+        return False
+
+
 def entropy_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
     out = []
+    wide = None
     for kind, (pattern, width, bits) in CLASSES.items():
-        wide = [s for s in out if s[0] not in NARROW] if kind in NARROW else []
+        if kind in NARROW and wide is None:
+            wide = Cover(out)
         for m in pattern.finditer(text):
             if allow.fullmatch(m[0]):
                 continue
@@ -117,7 +147,7 @@ def entropy_spans(text: str, allow: re.Pattern) -> list[tuple[str, int, int]]:
                 at = m.start() + skip
                 out.extend((kind, at + a, at + b) for a, b in entropy_windows(piece, width, bits)
                            if not allow.fullmatch(text, at + a, at + b)
-                           and not any(w[1] <= at + a and at + b <= w[2] for w in wide))
+                           and not (wide is not None and wide.holds(at + a, at + b)))
     return out
 
 
@@ -131,9 +161,8 @@ def scan(raw: bytes, allow: re.Pattern) -> list[tuple[str, int, int]]:
     text = raw.decode("utf-8", "replace")
     spans = base_spans(text)
     if runs:
-        base = list(spans)
-        spans += [s for s in entropy_spans(text, allow)
-                  if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)]
+        base = Cover(spans)
+        spans += [s for s in entropy_spans(text, allow) if not base.holds(s[1], s[2])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
