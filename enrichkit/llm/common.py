@@ -153,6 +153,17 @@ def window_min(x: np.ndarray, w: int) -> np.ndarray:
     return m
 
 
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: the Arrow pool and
+    the C heap keep what one long text took for the worker's whole life else."""
+    import ctypes
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _SHIPPED: set[str] = set()
 
 

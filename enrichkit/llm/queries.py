@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichkit.llm import (exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, substring_dedup,
-                           suffix_dedup, warc_fixity)
+from enrichkit.llm import (exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, spelling, substring_dedup,
+                           suffix_dedup, url_filter, warc_fixity)
 from enrichkit.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,14 @@ def q_quality(spark, sf):
 @query("op10_exact_dedup", exact_dedup.ORACLE_SQL)
 def q_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
+
+
+@query("op13_url_filter", url_filter.oracle_sql())
+def q_url_filter(spark, sf):
+    rules = url_filter.rules_frame(spark, url_filter.RULES)
+    return url_filter.url_filter(table(spark, sf, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_spelling", spelling.ORACLE_SQL)
+def q_spelling(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"), min_length=5, min_count=3, ratio=2, modulus=97)
