@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrichkit.llm import (exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, spelling, substring_dedup,
+from enrichkit.llm import (conversation_trie, exact_dedup, mixing, nn_descent, packing, quality, secrets, simhash, spelling, substring_dedup,
                            suffix_dedup, url_filter, warc_fixity)
 from enrichkit.llm.common import ship, table
 
@@ -97,3 +97,8 @@ def q_url_filter(spark, sf):
 @query("op11_spelling", spelling.ORACLE_SQL)
 def q_spelling(spark, sf):
     return spelling.spelling_variants(table(spark, sf, "documents"), min_length=5, min_count=3, ratio=2, modulus=97)
+
+
+@query("op12_conversation_trie", conversation_trie.ORACLE_SQL)
+def q_conversation_trie(spark, sf):
+    return conversation_trie.conversation_trie(table(spark, sf, "conversations"), rebuild=True)
