@@ -25,12 +25,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.llm.common import left_lookup, materialize, mix64, window_hash, window_min
+from enrichkit.llm.common import give_back, left_lookup, materialize, mix64, window_hash, window_min
 
 #: Base of the polynomial k-gram hash.
 BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 20) - 1)
 KEYS = ["doc_id", "th"]
+#: Units, bytes or characters that one numpy step looks at: temporaries take some
+#: 60 bytes each, whatever the length of the text.
+BLOCK = 1 << 18
+LONG_WORD = 4096
 
 
 def byte_units(text: bytes) -> np.ndarray:
@@ -39,22 +43,43 @@ def byte_units(text: bytes) -> np.ndarray:
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs without ASCII white space)."""
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.flatnonzero(np.diff(np.r_[False, solid, False].astype(np.int8)))
+    edges, last = [], False
+    for at in range(0, len(data), BLOCK):
+        some = data[at:at + BLOCK]
+        solid = np.empty(len(some) + 1, np.int8)
+        solid[0] = last
+        solid[1:] = ~((some == 32) | ((some >= 9) & (some <= 13)))
+        edges.append(np.flatnonzero(solid[1:] != solid[:-1]) + at)
+        last = bool(solid[-1])
+    if last:
+        edges.append(np.array([len(data)]))
+    edge = np.concatenate(edges) if edges else np.empty(0, np.int64)
     return edge[::2], edge[1::2]
 
 
 def word_units(text: bytes) -> np.ndarray:
-    """A 64-bit hash of every word."""
+    """A 64-bit hash of every word, over blocks of words of bounded size; a word
+    beyond ``LONG_WORD`` bytes is hashed by itself."""
     data = np.frombuffer(text, np.uint8)
     start, end = word_bounds(data)
-    if not len(start):
-        return np.empty(0, np.uint64)
     size = end - start
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(first, size)
-    chars = data[np.repeat(start, size) + place].astype(np.uint64) + np.uint64(1)
-    return mix64(np.add.reduceat(mix64(chars | (place.astype(np.uint64) << np.uint64(9))), first))
+    out = np.empty(len(start), np.uint64)
+    short = np.flatnonzero(size <= LONG_WORD)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i]:end[i]])
+    total = np.cumsum(size[short])
+    cuts = np.searchsorted(total, np.arange(0, int(total[-1]) + BLOCK, BLOCK), side="right") if len(short) else []
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True) if len(short) else ():
+        pick = short[lo:hi]
+        if not len(pick):
+            continue
+        first = np.cumsum(size[pick]) - size[pick]
+        place = np.arange(int(size[pick].sum()), dtype=np.int64) - np.repeat(first, size[pick])
+        chars = data[np.repeat(start[pick], size[pick]) + place].astype(np.uint64)
+        chars += np.uint64(1)
+        chars |= place.view(np.uint64) << np.uint64(9)
+        out[pick] = mix64(np.add.reduceat(mix64(chars), first))
+    return out
 
 
 UNITS: dict[str, Callable[[bytes], np.ndarray]] = {"bytes": byte_units, "words": word_units}
@@ -66,15 +91,20 @@ def segments(units: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.nda
     if n <= 0:
         none = np.empty(0, np.int64)
         return none, none, none.astype(np.uint64)
-    grams = mix64(window_hash(units.astype(np.uint64) + np.uint64(1), k, BASE))
     w = length - k + 1
-    where = np.empty(n, np.int64)
-    for at in range(0, n, 1 << 19):  # places fit the low bits of the compared value
-        some = grams[at:min(at + (1 << 19), n) + w - 1]
-        least = window_min((some & ~_LOW) | np.arange(len(some), dtype=np.uint64), w)
-        where[at:at + len(least)] = (least & _LOW).astype(np.int64) + at
-    start = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
-    return start, np.diff(np.r_[start, n]), grams[where[start]]
+    starts, anchors, last = [], [], -1
+    for at in range(0, n, BLOCK):  # places fit the low bits of the compared value
+        some = units[at:min(at + BLOCK, n) + length - 1].astype(np.uint64)
+        some += np.uint64(1)
+        grams = mix64(window_hash(some, k, BASE))
+        least = window_min((grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), w)
+        where = (least & _LOW).astype(np.int64)
+        new = np.flatnonzero(np.r_[where[0] + at != last, where[1:] != where[:-1]])
+        starts.append(new + at)
+        anchors.append(grams[where[new]])
+        last = int(where[-1]) + at
+    start = np.concatenate(starts)
+    return start, np.diff(np.r_[start, n]), np.concatenate(anchors)
 
 
 def anchor_places(anchor: np.ndarray, segs: list[np.ndarray], length: int, k: int) -> np.ndarray:
@@ -120,12 +150,13 @@ def occurrences(texts: DataFrame, unit: str, length: int, k: int) -> DataFrame:
                                         strict=True):
                         out.append(col)
                     held += len(start)
-                if held > 200_000 or (held and i == b.num_rows - 1):
+                if held > 50_000 or (held and i == b.num_rows - 1):
                     at, anchor, seg, start, n = (np.concatenate(c) for c in rows)
                     yield pa.record_batch([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)),
                                            pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)),
                                            pa.array(start), pa.array(n.astype(np.int32))], names=names)
                     rows, held = [[] for _ in range(5)], 0
+            give_back()
 
     return texts.mapInArrow(
         run, f"doc_id {id_type}, th long, anchor long, seg long, start long, n int")
@@ -144,25 +175,32 @@ def contents(texts: DataFrame, wanted: DataFrame, unit: str, length: int, k: int
     joined = left_lookup(texts, per_text, KEYS, "inner").select(*KEYS, "text", "want")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()  # repeated rows give a segment once a task
+        last = None  # rows that repeat come one after the other
         for b in batches:
             out, held = [], 0
             for i in range(b.num_rows):
                 key = (b.column(0)[i].as_py(), b.column(1)[i].as_py())
-                if key in seen:
+                if key == last:
                     continue
-                seen = {key}
+                last = key
                 u = units(b.column(2)[i].as_py())
-                want = b.column(3)[i].as_py()
-                parts = [u[w["start"]:w["start"] + w["n"] + length - 1] for w in want]
-                at = anchor_places(np.array([w["anchor"] for w in want]), parts, length, k)
-                for w, part, place in zip(want, parts, at.tolist(), strict=True):
-                    out.append((w["anchor"], w["seg"], w["cnt"], w["n"], place, part.tobytes(), w["kinds"]))
-                    held += part.nbytes
-                if held > 2 << 20:
-                    yield _content_batch(out)
-                    out, held = [], 0
+                want = b.column(3)[i].values
+                anchor, seg, cnt, kinds, start, n = (want.field(c).to_numpy(zero_copy_only=False)
+                                                     for c in ("anchor", "seg", "cnt", "kinds", "start", "n"))
+                size = n + length - 1
+                step = np.cumsum(size) // BLOCK
+                for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(step)) + 1):
+                    parts = [u[start[j]:start[j] + size[j]] for j in some.tolist()]
+                    at = anchor_places(anchor[some], parts, length, k)
+                    for j, part, place in zip(some.tolist(), parts, at.tolist(), strict=True):
+                        out.append((int(anchor[j]), int(seg[j]), int(cnt[j]), int(n[j]), place, part.tobytes(),
+                                    int(kinds[j])))
+                        held += part.nbytes
+                    if held > 2 << 20:
+                        yield _content_batch(out)
+                        out, held = [], 0
             yield _content_batch(out)
+            give_back()
 
     return joined.mapInArrow(run, CONTENT)
 
@@ -202,6 +240,7 @@ def compare_groups(content: DataFrame, unit: str, compare: Compare, batch_bytes:
                 if row[0] != last and size >= batch_bytes:
                     yield flush(held)
                     held, size = [], 0
+                    give_back()
                 held.append(row)
                 size += len(row[5])
                 last = row[0]
@@ -301,22 +340,41 @@ def repeated_spans(texts: DataFrame, unit: str, length: int, k: int, compare: Co
     full = segs.filter("cnt > 1").select("anchor", "seg", whole.alias("runs"))
     once = segs.filter("cnt = 1").select("anchor", "seg")
     marks = materialize(full.unionByName(once.join(part, ["anchor", "seg"])), "anchor-marks")
+    # a row that is repeated has its segments several times: one of each is enough
     span = F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("start"),
                                                   (F.col("start") + r["hi"] + F.lit(length - 1)).alias("end")))
     return (occ.join(marks, ["anchor", "seg"]).select(*KEYS, span.alias("spans"))
-            .groupBy(*KEYS).agg(F.flatten(F.collect_list("spans")).alias("spans")))
+            .groupBy(*KEYS).agg(F.flatten(F.collect_set("spans")).alias("spans")))
+
+
+def merged(spans: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal ranges that spans (start, end) cover."""
+    if not spans.is_valid or not len(spans.values):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    start, end = (spans.values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "end"))
+    by = np.argsort(start, kind="stable")
+    start, reach = start[by], np.maximum.accumulate(end[by])
+    new = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+    return start[new], np.r_[reach[new[1:] - 1], reach[-1]]
+
+
+def span_lists(runs: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """Merged runs of several texts as one Arrow column of (start, end) lists."""
+    ends = np.cumsum([0, *(len(r[0]) for r in runs)])
+    flat = [np.concatenate([r[i] for r in runs]) if runs else np.empty(0, np.int64) for i in (0, 1)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                    pa.StructArray.from_arrays([pa.array(f, pa.int64()) for f in flat], ["start", "end"]))
 
 
 def covered(spans: list[dict] | None, n: int) -> np.ndarray:
-    """Boolean cover of ``n`` units by spans."""
-    if not spans:
-        return np.zeros(n, bool)
-    delta = np.zeros(n + 1, np.int64)
-    np.add.at(delta, [s["start"] for s in spans], 1)
-    np.add.at(delta, [s["end"] for s in spans], -1)
-    return np.cumsum(delta[:n]) > 0
+    """Boolean cover of ``n`` units by spans, for tests."""
+    hit = np.zeros(n, bool)
+    for s in spans or ():
+        hit[s["start"]:s["end"]] = True
+    return hit
 
 
 def maximal_runs(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of a boolean cover, for tests."""
     edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))

@@ -10,6 +10,7 @@ left and to the right together; overlapping repeats merge into maximal ones.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.llm.anchors import KEYS, covered, keyed, maximal_runs, repeated_spans
-from enrichkit.llm.common import left_lookup, mix64
+from enrichkit.llm.anchors import KEYS, keyed, merged, repeated_spans, span_lists, word_bounds
+from enrichkit.llm.common import give_back, left_lookup, mix64
+
+SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
 
 def extend_matches(length: int, k: int):
@@ -76,22 +79,24 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                            batch_bytes=1 << 20)
     joined = left_lookup(texts, spans, KEYS).select("doc_id", "text", "spans")
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total, gone, runs, kept = [], [], [], []
-            for t, s in zip(b.column(1), b.column(2).to_pylist(), strict=True):
-                words = t.as_py().split()
-                hit = covered(s, len(words))
-                total.append(len(words))
-                gone.append(int(hit.sum()))
-                runs.append([{"start": a, "end": z} for a, z in maximal_runs(hit)])
-                kept.append(b" ".join(w for w, h in zip(words, hit.tolist(), strict=True) if not h)
-                            if gone[-1] else b" ".join(words))
+            for t, s in zip(b.column(1), b.column(2), strict=True):
+                raw = t.as_py()
+                start, end = merged(s)
+                first, last = word_bounds(np.frombuffer(raw, np.uint8))
+                total.append(len(first))
+                gone.append(int((end - start).sum()))
+                runs.append((start, end))
+                # what stands between the removed ranges, its white space as one space
+                stay = zip(np.r_[0, end].tolist(), np.r_[start, len(first)].tolist(), strict=True)
+                kept.append(b" ".join([SPACE.sub(b" ", raw[first[a]:last[z - 1]]) for a, z in stay if z > a]))
             yield pa.record_batch([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                   pa.array(runs, pa.list_(span)), pa.array(kept, pa.binary())],
+                                   span_lists(runs), pa.array(kept, pa.binary())],
                                   names=["doc_id", "n_words", "n_removed", "spans", "kept"])
+            give_back()
 
     out = joined.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, "
                                  "spans array<struct<start:long,end:long>>, kept binary")

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichkit.llm.anchors import KEYS, covered, keyed, maximal_runs, repeated_spans
-from enrichkit.llm.common import left_lookup
+from enrichkit.llm.anchors import KEYS, keyed, merged, repeated_spans, span_lists
+from enrichkit.llm.common import give_back, left_lookup
 
 _TILE = 64
 
@@ -206,21 +206,22 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            lambda anchor, cnt, at, segs: repeated_starts(anchor, cnt, at, segs, length))
     joined = left_lookup(texts, spans, KEYS).select("doc_id", "text", "spans")
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total, gone, runs, kept = [], [], [], []
-            for t, s in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+            for t, s in zip(b.column(1), b.column(2), strict=True):
                 raw = t.as_py()
-                hit = covered(s, len(raw)) if s else None
+                start, end = merged(s)
                 total.append(len(raw))
-                gone.append(0 if hit is None else int(hit.sum()))
-                runs.append([] if hit is None else [{"start": a, "end": z} for a, z in maximal_runs(hit)])
-                kept.append(raw if hit is None else np.frombuffer(raw, np.uint8)[~hit].tobytes())
+                gone.append(int((end - start).sum()))
+                runs.append((start, end))
+                stay = zip(np.r_[0, end].tolist(), np.r_[start, len(raw)].tolist(), strict=True)
+                kept.append(b"".join([raw[a:z] for a, z in stay]) if len(start) else raw)
             yield pa.record_batch([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                   pa.array(runs, pa.list_(span)), pa.array(kept, pa.binary())],
+                                   span_lists(runs), pa.array(kept, pa.binary())],
                                   names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            give_back()
 
     return joined.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_removed long, "
                                   "spans array<struct<start:long,end:long>>, kept binary")
