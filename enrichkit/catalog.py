@@ -554,23 +554,53 @@ def _stream_session(spark):
 
 @query("minute_metrics")
 def q_minute_metrics(spark, sf):
+    """SM-1 over files that arrive newest first: the days of the second half of
+    the month, those of the first, and then a file with some events of each."""
     from enrichkit.session import scratch_path
-    from enrichkit.streaming.pipeline import minute_metrics, read_minute_metrics, run_minute_metrics
-    schema = td.table(spark, sf, "events").schema
+    from enrichkit.streaming.pipeline import read_minute_counts, run_minute_counts
+    ev = td.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    root = scratch_path(spark, "minute_metrics")
     ss = _stream_session(spark)
-    stream = (ss.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf))
-    m = minute_metrics(stream, "ts", "2 minutes", F.col("event_type") == "purchase")
-    out, ck = scratch_path(spark, "minute_metrics"), scratch_path(spark, "minute_metrics_ck")
-    run_minute_metrics(m, out, ck)
-    return read_minute_metrics(spark, out)
+    late, early = F.col("event_id") % 10 == 7, F.dayofmonth("ts") < 16
+    for part in (ev.filter(~late & ~early), ev.filter(~late & early), ev.filter(late)):
+        part.write.mode("append").parquet(f"{root}/events")
+        stream = ss.readStream.schema(ev.schema).parquet(f"{root}/events")
+        run_minute_counts(stream, f"{root}/minutes", f"{root}/checkpoint", "ts", F.col("event_type") == "purchase")
+    return read_minute_counts(spark, f"{root}/minutes").drop("batches")
+
+
+@query("message_stream")
+def q_message_stream(spark, sf):
+    """SRC-6, SM-3, SM-4, SNK-7 on a stream: envelopes are published to an
+    outbox in two commits, read in micro-batches bounded by records, decoded and
+    routed. The first consumer stops after two micro-batches; the second goes on
+    behind it, with the second commit there."""
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.outbox import append, consume, outbox_size
+    from enrichkit.sources.zones import write_zone
+    from enrichkit.streaming.messages import decode, route
+    root = scratch_path(spark, "message_stream")
+    sent = td.control_messages(spark, sf)
+    append(sent.filter("message_id % 3 > 0"), f"{root}/outbox")
+    step = outbox_size(f"{root}/outbox") // 3 + 1
+
+    def work(batch, batch_id):
+        write_zone(route(decode(batch)).withColumn("batch_id", F.lit(batch_id)).drop("msg", "data"), f"{root}/routed",
+                   ["batch_id"], overwrite_partitions=True)
+
+    consume(spark, f"{root}/outbox", work, f"{root}/state", step, max_batches=2)
+    append(sent.filter("message_id % 3 = 0"), f"{root}/outbox")
+    consume(spark, f"{root}/outbox", work, f"{root}/state", step)
+    return spark.read.parquet(f"{root}/routed").select(
+        "message_id", "message_type", "route", "batch_number", "start_date", "end_date", "valid", "subscription")
 
 
 @query("stream_batches")
 def q_stream_batches(spark, sf):
     """SM-2, SM-5, SNK-6: two runs on one checkpoint. The second run's files
     hold re-sent rows and events weeks older than those of the first; the very
-    first RAW write fails and its batch is retried."""
+    first RAW write fails and its batch is retried. Some rows have no reference:
+    each is a dead letter of its own."""
     from pyspark.errors import StreamingQueryException
 
     from enrichkit.functions.scalars import is_failure
@@ -591,7 +621,8 @@ def q_stream_batches(spark, sf):
                 raise OSError("the RAW zone does not answer")
         write_zone(df, path, parts, overwrite_partitions=overwrite_partitions)
 
-    runs = [[ev.filter(F.col("created_timestamp") >= cut)],
+    lost = ev.filter(F.col("cuid") % 20 == 0).withColumn("reference_id", F.lit(None).cast("bigint"))
+    runs = [[ev.filter(F.col("created_timestamp") >= cut).unionByName(lost)],
             [ev.filter(F.col("created_timestamp") < cut), ev.filter(F.col("device_os").isNull())]]
     ss = _stream_session(spark)
     for files in runs:

@@ -579,7 +579,11 @@ ORACLES["stream_batches"] = f"""WITH {_DEV_LOOKUP}
 SELECT CASE WHEN status LIKE '2%' THEN 'raw' ELSE 'dead_letter' END AS zone, reference_id, cuid, device_os,
   CASE WHEN status LIKE '2%' THEN payload END AS raw_data,
   CASE WHEN status LIKE '2%' THEN NULL ELSE status END AS api_status
-FROM lk"""
+FROM lk
+UNION ALL
+SELECT 'dead_letter', NULL, cuid, device_os, NULL, '400' FROM lk WHERE cuid % 20 = 0"""
+
+ORACLES["message_stream"] = ORACLES["messages"]
 
 ORACLES["stream_flatten"] = _flatten_device_sql(ios=True).replace(
     "FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'", "FROM orders")

@@ -1,15 +1,18 @@
 """Structured Streaming jobs (SM-1, SM-2, SM-5, SM-6, SNK-1, SNK-6).
 
-- ``minute_metrics``: per-minute tumbling counters with a watermark, in update
-  mode: every micro-batch writes the minutes it changed, and the newest state
-  of a minute is its result, the closing minutes of a run included.
+- ``run_minute_counts``: calls and writes a minute, whatever the order in which
+  events arrive. Every micro-batch writes its own share of each minute it holds,
+  and a minute is the sum of its shares, so an event that comes days later is
+  still counted in its minute and no state is kept in memory.
+  ``minute_metrics`` is the windowed form with a watermark for a live display.
 - ``run_enrichment_stream``: file stream of candidates, micro-batches of
   ``max_files`` files, ``trigger(availableNow)``; the checkpoint replaces the
   reference's batch_number chain. Each micro-batch is de-duplicated, anti-joined
-  against keys already in RAW (so nothing arrives too late), looked up once,
+  against the keys already in RAW (so nothing arrives too late), looked up once,
   and written with dynamic partition overwrite keyed by ``batch_id``: a replay
   of the same batch after a failure rewrites its own partitions instead of
-  appending twice.
+  appending twice. What RAW holds is told by an index of its keys in hash
+  buckets, of which a micro-batch reads the buckets of its own keys.
 - ``incremental_flatten_batch``: SM-6, flatten of what RAW gained, in the
   same ``foreachBatch`` style.
 """
@@ -20,7 +23,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -43,48 +46,62 @@ def with_event_time(df: DataFrame, ts: str) -> DataFrame:
 
 def minute_metrics(events: DataFrame, ts: str = "ts", watermark: str = "2 minutes",
                    write_when=None, rows_written=None) -> DataFrame:
-    """SM-1: calls and writes per minute (UTC). ``write_when`` marks the
-    events that are writes; ``writes`` counts those operations and
-    ``written_rows`` sums ``rows_written`` (rows per write, 1 by default).
-    Rows later than the watermark are dropped (the reference counts them in
-    the minute they arrive)."""
-    w = write_when if write_when is not None else F.lit(False)
-    n_rows = rows_written if rows_written is not None else F.lit(1)
+    """SM-1, live form: calls and writes per minute (UTC) in windows that close
+    behind a watermark; rows later than that are dropped here and counted by
+    ``run_minute_counts``. ``write_when`` marks the events that are writes;
+    ``writes`` counts those operations and ``written_rows`` sums
+    ``rows_written`` (rows per write, 1 by default)."""
     ntz = dict(events.dtypes).get(ts) == "timestamp_ntz"
     return (with_event_time(events, ts).withWatermark(_ET, watermark)
             .groupBy(F.window(F.col(_ET), "1 minute").alias("w"))
-            .agg(F.count(F.lit(1)).alias("calls"), F.count_if(w).alias("writes"),
-                 F.sum(F.when(w, n_rows).otherwise(F.lit(0))).cast("bigint").alias("written_rows"))
+            .agg(*_figures(write_when, rows_written))
             .select((F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")).alias("minute"),
                     "calls", "writes", "written_rows"))
 
 
-def run_to_parquet(stream_df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
-    """Run a streaming frame over everything available, into Parquet."""
-    q = (stream_df.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).outputMode(mode)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def _figures(write_when=None, rows_written=None) -> list:
+    w = write_when if write_when is not None else F.lit(False)
+    n_rows = rows_written if rows_written is not None else F.lit(1)
+    return [F.count(F.lit(1)).alias("calls"), F.count_if(w).alias("writes"),
+            F.sum(F.when(w, n_rows).otherwise(F.lit(0))).cast("bigint").alias("written_rows")]
 
 
-def run_minute_metrics(metrics: DataFrame, out: str, checkpoint: str) -> None:
-    """Run ``minute_metrics`` over everything available: each micro-batch
-    writes the minutes it changed under its ``batch_id``."""
+def run_minute_counts(events: DataFrame, out: str, checkpoint: str, ts: str = "ts", write_when=None,
+                      rows_written=None) -> None:
+    """SM-1 over a stream of events in any order: each micro-batch writes its
+    counts by minute under the minute's ``day`` and its own ``batch_id``. A
+    replayed micro-batch overwrites its shares; an event without a time belongs
+    to the null minute. Only counts are written, at most one row a minute and
+    micro-batch."""
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_zone(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), out, ["batch_id"],
-                   overwrite_partitions=True)
+        share = (batch.groupBy(F.date_trunc("minute", F.col(ts)).cast(batch.schema[ts].dataType).alias("minute"))
+                 .agg(*_figures(write_when, rows_written))
+                 .withColumn("day", F.to_date("minute")).withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        write_zone(share.repartition("day"), out, ["day", "batch_id"], overwrite_partitions=True)  # a file a day
 
-    q = (metrics.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
-         .outputMode("update").trigger(availableNow=True).start())
+    q = (events.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def read_minute_metrics(spark: SparkSession, out: str) -> DataFrame:
-    """The newest state of every minute."""
+def read_minute_counts(spark: SparkSession, out: str, days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """``minute, calls, writes, written_rows, batches``: every minute as the sum
+    of its shares; ``batches`` tells in how many micro-batches its events came
+    (more than one: the first figure was corrected later). ``days`` (first, last)
+    reads only those days' folders."""
     rows = spark.read.parquet(out)
-    names = [c for c in rows.columns if c not in ("minute", "batch_id")]
-    return (rows.groupBy("minute").agg(F.max_by(F.struct(*names), "batch_id").alias("_m"))
-            .select("minute", "_m.*"))
+    if days is not None:
+        rows = rows.filter(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
+    return rows.groupBy("minute").agg(*[F.sum(c).alias(c) for c in ("calls", "writes", "written_rows")],
+                                      F.count_distinct("batch_id").alias("batches"))
+
+
+def run_to_parquet(stream_df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
+    """Run a streaming frame over everything available, into Parquet."""
+    q = (stream_df.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint).outputMode(mode)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -97,34 +114,75 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+#: Hash buckets of the key index of a RAW zone.
+KEY_BUCKETS = 64
+
+
+def key_bucket(key: Column, buckets: int = KEY_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def index_path(raw_path: str) -> str:
+    return f"{raw_path.rstrip('/')}_keys"
+
+
+def write_key_index(rows: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS) -> None:
+    """Add the keys of RAW rows (with their ``batch_id``) to the index: a folder a
+    bucket, one file a bucket and micro-batch, rewritten by a replay."""
+    keys = rows.select(F.col(key).cast("string").alias("key"), key_bucket(F.col(key), buckets).alias("bucket"), "batch_id")
+    write_zone(keys.distinct().repartition("bucket"), path, ["bucket", "batch_id"], overwrite_partitions=True)
+
+
+def landed_keys(spark: SparkSession, raw_path: str, keys: DataFrame, key: str, batch_id: int,
+                buckets: int = KEY_BUCKETS) -> DataFrame | None:
+    """SM-5: which of ``keys`` RAW holds from other micro-batches, or None for a
+    RAW zone that holds nothing. Only the index folders of the keys' own buckets
+    are read (their numbers, ``buckets`` at most, are what the driver learns). A
+    RAW zone without an index gets one first."""
+    path = index_path(raw_path)
+    index = _existing(spark, path)
+    if index is None:
+        raw = _existing(spark, raw_path)
+        if raw is None:
+            return None
+        write_key_index(raw, path, key, buckets)
+        index = spark.read.parquet(path)
+    mine = keys.select(F.col(key).cast("string").alias("key"), key_bucket(F.col(key), buckets).alias("bucket"))
+    some = [r.bucket for r in mine.select("bucket").distinct().collect() if r.bucket is not None]
+    old = index.filter(F.col("bucket").isin(some) & (F.col("batch_id") != F.lit(batch_id)))
+    return old.select("key", "bucket").join(mine.distinct(), ["key", "bucket"], "left_semi").select("key").distinct()
+
+
 def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: str, now: dt.datetime,
-                     writer: Callable = write_zone) -> Callable[[DataFrame, int], None]:
+                     writer: Callable = write_zone, buckets: int = KEY_BUCKETS) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: exclude done keys (JN-5/SM-5), look up
     (UD-1), split (UD-2), write RAW and dead-letter rows (PRJ-4, PRJ-5) by run
     date and ``batch_id``. If the RAW write fails, every row of the batch goes
     to the dead letter with status 'INSERT RAW TABLE FAILED' (SNK-6) and the
     error is raised again, so the batch is retried from the checkpoint; the
-    retry that succeeds rewrites those rows as resolved (status 200)."""
+    retry that succeeds rewrites those rows as resolved (status 200).
+
+    Re-sent rows are one row per key. A row without a key is no copy of another
+    one: each becomes a dead letter of its own. The key index is written after
+    RAW; a failure between the two replays the batch, which writes both again."""
     parts = ["partition_date", "batch_id"]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = [c for c in batch.columns if c not in parts]
-        # re-sent rows: one row per key, the same one in every replay
-        todo = latest_per_key(batch, [key], [F.col(c).asc_nulls_last() for c in batch.columns]).select(*cols)
         mine = F.lit(batch_id).cast("bigint")
-        done = _existing(spark, raw_path)
-        if done is not None:
-            # only RAW keys that occur in this batch take part in the anti
-            # join, so RAW is scanned for one column but never shuffled whole
-            prior = (done.filter(F.col("batch_id") != mine).select(key)
-                     .join(todo.select(key).distinct(), key, "left_semi"))
-            todo = todo.join(prior, key, "left_anti")
+        # re-sent rows: one row per key, the same one in every replay
+        keyed = batch.filter(F.col(key).isNotNull())
+        todo = latest_per_key(keyed, [key], [F.col(c).asc_nulls_last() for c in batch.columns]).select(*cols)
+        prior = landed_keys(spark, raw_path, todo, key, batch_id, buckets)
+        if prior is not None:
+            todo = todo.join(prior, F.col(key).cast("string") == F.col("key"), "left_anti")
         before = _existing(spark, dead_path)
         if before is not None:      # JN-6: what failed on this date already is not tried again on it
             tried = before.filter((F.col("partition_date") == F.lit(now.date())) & (F.col("batch_id") != mine))
             tried = tried.select(F.col(key).alias("_tried")).distinct()
             todo = todo.join(tried, F.col(key).cast("string") == F.col("_tried"), "left_anti")
+        todo = todo.unionByName(batch.filter(F.col(key).isNull()).select(*cols))
         looked = lookup_join(todo, payloads, key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ok, bad = split_outcomes(looked)
@@ -138,6 +196,7 @@ def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: st
                 writer(letter(looked.withColumn("status", F.lit(RAW_FAILED))), dead_path, parts,
                        overwrite_partitions=True)
                 raise
+            write_key_index(raw, index_path(raw_path), key, buckets)
             dead = letter(bad)
             if before is not None:
                 failed = before.filter((F.col("batch_id") == mine) & (F.col("api_status") == RAW_FAILED))
@@ -153,10 +212,10 @@ def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: st
 
 def run_enrichment_stream(candidates_stream: DataFrame, payloads: DataFrame, raw_path: str,
                           dead_path: str, checkpoint: str, key: str, now: dt.datetime,
-                          writer: Callable = write_zone) -> None:
+                          writer: Callable = write_zone, buckets: int = KEY_BUCKETS) -> None:
     """SM-2 + SM-5: one availableNow run of the enrichment stream."""
     q = (candidates_stream.writeStream
-         .foreachBatch(enrichment_batch(payloads, raw_path, dead_path, key, now, writer))
+         .foreachBatch(enrichment_batch(payloads, raw_path, dead_path, key, now, writer, buckets))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 

@@ -86,3 +86,78 @@ def test_raw_write_failure_sends_batch_to_dead_letter(spark):
     enrichment_batch(payloads, f"{root}/good", f"{root}/dead", "reference_id", dt.datetime(2024, 1, 31))(ev, 0)
     assert spark.read.parquet(f"{root}/good").count() == 4
     assert {r.api_status for r in spark.read.parquet(f"{root}/dead").collect()} == {"200"}
+
+
+def _minutes(spark, files, ts_type="timestamp_ntz"):
+    from enrichkit.streaming.pipeline import read_minute_counts, run_minute_counts
+    root = scratch_path(spark, "minutes")
+    for rows in files:
+        spark.createDataFrame(rows, f"ts {ts_type}, kind string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(f"ts {ts_type}, kind string").parquet(f"{root}/in")
+        run_minute_counts(stream, f"{root}/out", f"{root}/ck", write_when=F.col("kind") == "w")
+    return root, read_minute_counts(spark, f"{root}/out")
+
+
+def test_late_events_are_counted_in_their_minute(spark):
+    """Files in reverse time order, hours beyond any watermark, give the minutes
+    that one file with all events gives."""
+    t = dt.datetime(2024, 1, 5, 23, 58)
+    rows = [(t + dt.timedelta(seconds=17 * i), "w" if i % 4 == 0 else "r") for i in range(400)] + [(None, "w")]
+    old, new = rows[:150], rows[150:]
+    root, late = _minutes(spark, [new, old[::2], old[1::2]])
+    _, whole = _minutes(spark, [rows])
+    figures = ["minute", "calls", "writes", "written_rows"]
+    key = lambda r: str(r)
+    got = sorted(late.select(*figures).collect(), key=key)
+    assert got == sorted(whole.select(*figures).collect(), key=key) and sum(r.calls for r in got) == len(rows)
+    assert {r.batches for r in late.collect()} >= {1, 2}
+    from enrichkit.streaming.pipeline import read_minute_counts
+    day = read_minute_counts(spark, f"{root}/out", (dt.date(2024, 1, 5), dt.date(2024, 1, 5)))
+    assert sorted(r.minute for r in day.collect()) == [t, t + dt.timedelta(minutes=1)]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_replayed_micro_batch_does_not_count_twice(spark):
+    from enrichkit.streaming.pipeline import _figures, read_minute_counts
+    from enrichkit.sources.zones import write_zone
+    root, _ = _minutes(spark, [[(dt.datetime(2024, 1, 5), "w")] * 5])
+    share = spark.read.parquet(f"{root}/out")
+    assert [c for c in share.columns if c not in ("minute", "day", "batch_id")] == ["calls", "writes", "written_rows"]
+    write_zone(spark.createDataFrame(share.collect(), share.schema), f"{root}/out", ["day", "batch_id"],
+               overwrite_partitions=True)                               # what a replay writes
+    assert [r.calls for r in read_minute_counts(spark, f"{root}/out").collect()] == [5] and len(_figures()) == 3
+
+
+def test_every_row_without_a_key_is_a_dead_letter(spark):
+    from enrichkit.streaming.pipeline import enrichment_batch
+    root = scratch_path(spark, "nullkeys")
+    ts = dt.datetime(2024, 1, 5)
+    ev = spark.createDataFrame([(i, None if i < 3 else 7, "Android", ts, ts.date()) for i in range(5)], EV)
+    payloads = spark.createDataFrame([(7, "{}")], "key bigint, payload string")
+    for batch_id in (0, 0, 1):                       # a replay, then the same rows sent again
+        enrichment_batch(payloads, f"{root}/raw", f"{root}/dead", "reference_id", dt.datetime(2024, 1, 31))(ev, batch_id)
+        dead = spark.read.parquet(f"{root}/dead").collect()
+        assert sorted(d.cuid for d in dead if d.batch_id == 0) == ["0", "1", "2"]
+        assert {(d.api_status, d.reference_id) for d in dead} == {("400", None)}
+        assert [r.reference_id for r in spark.read.parquet(f"{root}/raw").collect()] == [7]
+
+
+def test_key_index_reads_the_buckets_of_the_batch(spark):
+    from enrichkit.sources.zones import write_zone
+    from enrichkit.streaming.pipeline import index_path, key_bucket, landed_keys
+    root = scratch_path(spark, "keyindex")
+    raw = spark.range(500).select(F.col("id").alias("reference_id"), F.current_date().alias("partition_date"),
+                                  (F.col("id") % 2).alias("batch_id"))
+    assert landed_keys(spark, f"{root}/raw", raw, "reference_id", 9) is None
+    write_zone(raw, f"{root}/raw", ["partition_date", "batch_id"])
+    asked = spark.createDataFrame([(3,), (8,), (1000,), (None,)], "reference_id bigint")
+    found = landed_keys(spark, f"{root}/raw", asked, "reference_id", 9, buckets=16)     # the index is made from RAW
+    assert sorted(r.key for r in found.collect()) == ["3", "8"]
+    again = landed_keys(spark, f"{root}/raw", asked, "reference_id", 1, buckets=16)     # not from its own batch
+    assert [r.key for r in again.collect()] == ["8"]
+    assert spark.read.parquet(index_path(f"{root}/raw")).count() == 500
+    plan = found._jdf.queryExecution().optimizedPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters")[1][:300]
+    buckets = {r.bucket for r in asked.select(key_bucket(F.col("reference_id"), 16).alias("bucket")).collect()} - {None}
+    assert all(f"{b}" in plan.split("PartitionFilters")[1][:300] for b in buckets) and len(buckets) <= 3
