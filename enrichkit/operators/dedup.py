@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from enrichkit.session import cut_lineage
+
 _RN = "_rn"
 
 
@@ -38,6 +40,64 @@ def latest_then_filter(df: DataFrame, keys: Sequence[str | Column],
     return latest_per_key(df, keys, order_by).filter(predicate)
 
 
+#: Bytes of keys and order columns that one broadcast side may hold.
+BROADCAST_BYTES = 32 << 20
+
+
+def latest_unseen(df: DataFrame, key: str, order_by: Sequence[tuple[str, bool]], seen: DataFrame | None = None,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """WN-1 and JN-7 with late materialisation: the first row per ``key`` (null
+    keys dropped) under ``order_by`` (column, descending), of keys that ``seen``
+    (one column) does not hold. Equal to ``incremental`` and ``latest_per_key``,
+    but wide columns stay where they are read.
+
+    A narrow pass over key and order columns alone finds the rows that stay (a
+    partial limit cuts a hot key before it moves); they are checkpointed and
+    measured. Where they fit ``broadcast_bytes``, the wide rows are filtered in
+    place by a broadcast of them, else by one of the rows that go, if those fit;
+    where neither does, the wide rows are ranked by a shuffle. Rows that agree in
+    key and all order columns are ranked by a shuffle too, these alone."""
+    order = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order_by]
+    names = [key, *[c for c, _ in order_by]]
+    rows = df.filter(F.col(key).isNotNull())
+    old = None
+    if seen is not None:
+        old = seen.select(F.col(seen.columns[0]).alias("_old")).filter(F.col("_old").isNotNull()).distinct()
+    fresh = lambda frame: frame if old is None else frame.join(old, F.col(key) == F.col("_old"), "left_anti")
+    narrow = rows.select(*names)
+    first = fresh(narrow).withColumn(_RN, F.rank().over(Window.partitionBy(key).orderBy(*order))).filter(F.col(_RN) == 1)
+    stays = cut_lineage(first.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")))
+    side, how = stays, "left_semi"
+    if _size(stays, names)["bytes"] > broadcast_bytes:
+        side, how = cut_lineage(narrow.distinct().join(_renamed(stays, names), _same(names), "left_anti")), "left_anti"
+        if _size(side, names)["bytes"] > broadcast_bytes:
+            return latest_per_key(fresh(rows), [key], order)
+    left = rows.join(F.broadcast(_renamed(side, names)), _same(names), how)
+    tied = stays.filter("_copies > 1").select(F.col(key).alias("_tied"))
+    if tied.isEmpty():
+        return left
+    on = F.col(key) == F.col("_tied")
+    return left.join(tied, on, "left_anti").unionByName(latest_per_key(left.join(tied, on, "left_semi"), [key], order))
+
+
+def _size(rows: DataFrame, names: Sequence[str]):
+    """Row with ``bytes``, an upper estimate of a broadcast of the columns."""
+    size = sum([F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 32 for c in names], F.lit(0))
+    return rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+
+
+def _renamed(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"_r_{i}") for i, c in enumerate(names)])
+
+
+def _same(names: Sequence[str]) -> Column:
+    """A plain equality on the key, null-safe ones on the order columns."""
+    cond = F.col(names[0]) == F.col("_r_0")
+    for i, c in enumerate(names[1:], 1):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{i}"))
+    return cond
+
+
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """AG-9 (SELECT DISTINCT); partial aggregation de-duplicates map-side."""
     return (df.select(*cols) if cols else df).distinct()
