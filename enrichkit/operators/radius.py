@@ -11,6 +11,13 @@ key, and the great-circle distance is the residual filter. Each (point, place)
 pair meets at most once, because a place has one cell and a point lists each
 cell once. The join is a shuffle on the cell key; a hot cell is split by AQE
 skew handling, and places are reduced to the few columns needed before it.
+
+A cell with many places has a second level: a finer grid of its own, as fine as
+its places are dense, whose cells have prepared counts and the box of their
+places. A fine cell wholly inside a point's radius adds its count, one wholly
+outside is left out, and only the places of the cells on the border are met one
+by one. So a point in a dense city looks at the cells and at a ring of places
+whose number grows with the square root of the density, not with it.
 """
 
 from __future__ import annotations
@@ -84,8 +91,51 @@ class _Grid:
             .otherwise(F.transform(cols, lambda o: F.struct(a.alias("cla"), o.alias("clo"))))))
 
 
-#: Place coordinates of one grid cell that one join row group may hold.
+#: Fine cells, or place coordinates, of one grid cell that one join row group may hold.
 CELL_PLACES = 4096
+#: A grid cell with more place coordinates gets a fine grid, of this many places a fine cell.
+DENSE_PLACES = 512
+FINE_PLACES = 32
+_SURE_M = 1e-3   # a box this near to the border counts as on it
+
+
+def _box_reach(half_lat: Column, half_lon: Column, lat_min: Column, lat_max: Column) -> Column:
+    """Metres within which all of a latitude-longitude box lies around its
+    centre: sin x <= x, and the widest parallel of the box."""
+    widest = F.when((lat_min <= 0) & (lat_max >= 0), F.lit(1.0)).otherwise(
+        F.greatest(F.cos(F.radians(lat_min)), F.cos(F.radians(lat_max))))
+    a = F.pow(F.radians(half_lat) / 2, 2) + F.pow(widest * F.radians(half_lon) / 2, 2)
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+
+
+def fine_cells(spots: DataFrame, grid: _Grid, n: int) -> tuple[DataFrame, DataFrame]:
+    """(the spots with their fine cell ``fi, fj``, the fine cells) of spots that
+    have ``m``, the number of fine rows and columns of their grid cell. A fine
+    cell has its counts, the centre and reach of the box of its places, and the
+    ``part`` it is dealt to."""
+    lon = F.when(F.col("_plon") >= 180, F.col("_plon") - 360).otherwise(F.col("_plon"))
+    up = F.col("_plat") / grid.lat_cell - F.col("cla")
+    across = F.when(F.col("clo") < 0, (lon + 180) / 360).otherwise((lon + 180) / grid.lon_cell - F.col("clo"))
+    place = lambda share: F.least(F.greatest(F.floor(share * F.col("m")), F.lit(0)), F.col("m") - 1).cast("int")
+    placed = spots.withColumn("_flon", lon).withColumn("fi", place(up)).withColumn("fj", place(across))
+    box = placed.groupBy("cla", "clo", "fi", "fj").agg(
+        *[F.sum(f"_c{i}").alias(f"_f{i}") for i in range(n)], F.min("_plat").alias("_s"), F.max("_plat").alias("_t"),
+        F.min("_flon").alias("_u"), F.max("_flon").alias("_v"), F.first("parts").alias("parts"))
+    reach = _box_reach((F.col("_t") - F.col("_s")) / 2, (F.col("_v") - F.col("_u")) / 2, F.col("_s"), F.col("_t"))
+    cells = box.select("cla", "clo", "fi", "fj", *[f"_f{i}" for i in range(n)],
+                       ((F.col("_s") + F.col("_t")) / 2).alias("_mlat"), ((F.col("_u") + F.col("_v")) / 2).alias("_mlon"),
+                       reach.alias("_reach"), F.pmod(F.xxhash64("fi", "fj"), F.col("parts")).cast("int").alias("part"))
+    return placed.drop("_flon", "m", "parts"), cells
+
+
+def near_fine_cells(cells: DataFrame, fine: DataFrame, radius_m: float) -> DataFrame:
+    """Points with the fine cells that may hold places within the radius;
+    ``covered`` where all of a cell's places do."""
+    d = haversine_m(F.col("_lat"), F.col("_lon"), F.col("_mlat"), F.col("_mlon"))
+    near = cells.join(fine, ["cla", "clo", "part"]).withColumn("_d", d)
+    return (near.filter(F.col("_d") - F.col("_reach") <= radius_m + _SURE_M)
+            .withColumn("covered", F.col("_d") + F.col("_reach") <= radius_m - _SURE_M)
+            .drop("part", "_d", "_reach", "_mlat", "_mlon"))
 
 
 def poi_counts_wide(points: DataFrame, places: DataFrame, scenarios: Mapping[str, Sequence[str]],
@@ -97,9 +147,10 @@ def poi_counts_wide(points: DataFrame, places: DataFrame, scenarios: Mapping[str
     scenario's; NULL for a point without coordinates, 0 with nothing near.
 
     A place id listed more than once is one place (its smallest row). Places
-    of one coordinate are counted before the join, and a cell with more than
-    ``CELL_PLACES`` coordinates is dealt into parts by a hash, so neither side
-    of a dense cell has to meet in one task."""
+    of one coordinate are counted before the join. A cell with more than
+    ``DENSE_PLACES`` coordinates is met through its fine cells (dealt into parts
+    by a hash), so neither side of a dense cell has to meet in one task, nor
+    every pair at all."""
     grid = _Grid(radius_m)
     names = list(scenarios)
     kinds = [F.arrays_overlap(F.col("_ty"), F.array(*[F.lit(t) for t in scenarios[s]])) for s in names]
@@ -113,10 +164,13 @@ def poi_counts_wide(points: DataFrame, places: DataFrame, scenarios: Mapping[str
         *[F.count_if(F.coalesce(k, F.lit(False))).alias(f"_c{i}") for i, k in enumerate(kinds)])
     spots = spots.filter(" OR ".join(f"_c{i} > 0" for i in range(len(names)))) \
         .select("*", *[c.alias(n) for c, n in zip(grid.place_cell(F.col("_plat"), F.col("_plon")), ("cla", "clo"))])
-    parts = (spots.groupBy("cla", "clo")
-             .agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL_PLACES)).cast("int").alias("parts")))
-    spots = spots.join(parts, ["cla", "clo"]).withColumn(
-        "part", F.pmod(F.xxhash64("_plat", "_plon"), F.col("parts")).cast("int")).drop("parts")
+    count = F.count(F.lit(1))
+    side = F.when(count > DENSE_PLACES, F.ceil(F.sqrt(count / FINE_PLACES))).otherwise(0).cast("int")
+    dens = spots.groupBy("cla", "clo").agg(side.alias("m")).withColumn(
+        "parts", F.ceil(F.greatest(F.col("m") * F.col("m"), F.lit(1)) / F.lit(CELL_PLACES)).cast("int"))
+    spots = spots.join(dens, ["cla", "clo"])
+    sparse = spots.filter("m = 0").drop("m", "parts")
+    placed, fine = fine_cells(spots.filter("m > 0"), grid, len(names))
 
     pts = points.withColumn("_lat", F.col(lat).try_cast("double")).withColumn("_lon", F.col(lon).try_cast("double"))
     # Copies first: many records can share one coordinate (one building may
@@ -128,12 +182,19 @@ def poi_counts_wide(points: DataFrame, places: DataFrame, scenarios: Mapping[str
     cells = coords.select("_lat", "_lon",
                           F.explode(grid.point_cells(F.col("_lat"), F.col("_lon"))).alias("_c"))
     cells = (cells.select("_lat", "_lon", F.col("_c.cla").alias("cla"), F.col("_c.clo").alias("clo"))
-             .join(parts, ["cla", "clo"])
-             .select("_lat", "_lon", "cla", "clo", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    hits = (cells.join(spots, ["cla", "clo", "part"])
-            .filter(haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
-                    <= F.lit(radius_m))
-            .groupBy("_lat", "_lon").agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(names))]))
+             .join(dens, ["cla", "clo"]))
+    dist = haversine_m(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon"))
+    single = (cells.filter("m = 0").drop("m", "parts").join(sparse, ["cla", "clo"]).filter(dist <= F.lit(radius_m))
+              .select("_lat", "_lon", *[f"_c{i}" for i in range(len(names))]))
+    near = near_fine_cells(cells.filter("m > 0").select(
+        "_lat", "_lon", "cla", "clo", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), fine, radius_m)
+    # a covered cell meets no place: its own counts stand for them
+    met = near.join(placed.withColumn("_border", F.lit(False)),
+                    [near[k] == placed[k] for k in ("cla", "clo", "fi", "fj")] + [near["covered"] == F.col("_border")], "left")
+    many = met.select("_lat", "_lon", *[
+        F.when(F.col("covered"), F.col(f"_f{i}")).when(dist <= F.lit(radius_m), F.col(f"_c{i}")).otherwise(0).alias(f"_c{i}")
+        for i in range(len(names))])
+    hits = single.unionByName(many).groupBy("_lat", "_lon").agg(*[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(len(names))])
     ok = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
     return pts.join(hits, ["_lat", "_lon"], "left").select(
         *[F.col(f"`{c}`") for c in points.columns],
