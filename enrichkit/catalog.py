@@ -54,6 +54,22 @@ def q_flatten_ios(spark, sf):
     return flatten_device(td.device_raw(spark, sf, "IOS"), td.flattened_target(spark, sf), IOS)
 
 
+@query("flatten_android_full")
+def q_flatten_android_full(spark, sf):
+    """PL-4 with payloads that fill all 222 columns."""
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import ANDROID
+    return flatten_device(td.full_device_raw(spark, sf, ANDROID, "Android"), None, ANDROID)
+
+
+@query("flatten_ios_full")
+def q_flatten_ios_full(spark, sf):
+    """PL-5 with payloads that fill all 92 columns, sections in reverse order."""
+    from enrichkit.plans.flatten import flatten_device
+    from enrichkit.plans.mappings import IOS
+    return flatten_device(td.full_device_raw(spark, sf, IOS, "IOS"), None, IOS)
+
+
 @query("flatten_geo")
 def q_flatten_geo(spark, sf):
     from enrichkit.plans.flatten import flatten_geo
@@ -781,6 +797,25 @@ def q_run_device(spark, sf):
     return out
 
 
+@query("call_plan")
+def q_call_plan(spark, sf):
+    """UD-1, FN-18, AG-11: every try of every device lookup under a limit of 30
+    calls a minute, three tries; some records have no reference."""
+    from enrichkit.plans.calls import run_calls
+    ev = td.device_events(spark, sf).select("cuid", "reference_id", "created_timestamp")
+    lost = ev.filter("cuid % 20 = 0").withColumn("reference_id", F.lit(None).cast("bigint"))
+    tries = run_calls(ev.unionByName(lost), td.flaky_lookup(spark, sf), "reference_id",
+                      ["created_timestamp", "reference_id"], per_minute=30)
+    return tries.select("cuid", "reference_id", "try", "minute", "status", "payload", "error", "final")
+
+
+@query("call_minutes")
+def q_call_minutes(spark, sf):
+    """AG-11 on the plan: calls and failures a minute; none is above the limit."""
+    tries = QUERIES["call_plan"](spark, sf).filter("minute is not null")
+    return tries.groupBy("minute").agg(F.count(F.lit(1)).alias("calls"), F.count_if(F.col("status") == "503").alias("failed"))
+
+
 @query("api_log")
 def q_api_log(spark, sf):
     """SNK-8: API-log rows of the device lookups, skipped ones included."""

@@ -144,6 +144,52 @@ ORACLES["flatten_android"] = _flatten_device_sql(ios=False)
 ORACLES["flatten_ios"] = _flatten_device_sql(ios=True)
 
 
+#: Column prefixes of the sections, and names off the rule.
+_SECTION_PREFIX = {"ipInfo": "ip", "permissions": "permission", "riskyApps": "risky", "fraudAlerts": "fraud",
+                   "velocity": "velocity", "typing": "typing",
+                   "uiInteractions": "ui", "fingerGestures": "finger", "touchActions": "touch", "anomaly": "anomaly",
+                   "expertScore": "expert"}
+_OFF_RULE = {"deviceIsJailBroken": "device_is_jailbroken"}
+
+
+def _column_of(code: str, key: str) -> str:
+    """Column of a payload field: its words joined by underscores behind the
+    section's prefix. A word is capitals, a capitalised word, or a number that
+    another word follows; a number at the end belongs to the word before it."""
+    import re
+    if key in _OFF_RULE:
+        return _OFF_RULE[key]
+    if key.startswith("NS"):
+        key = key.removeprefix("NS").removesuffix("Description")
+    words = re.findall(r"[A-Z]+(?![a-z])\d*$|[A-Z]+(?![a-z])|[A-Z]?[a-z]+\d+$|[A-Z]?[a-z]+|\d+", key.replace("+", "Plus"))
+    name = "_".join(words).lower()
+    prefix = _SECTION_PREFIX.get(code, "")
+    return name if not prefix or name == prefix or name.startswith(prefix + "_") else f"{prefix}_{name}"
+
+
+def _flatten_full_sql(ios: bool) -> str:
+    """Rows of payloads that fill every field: values by their place, straight
+    from the order; column names by ``_column_of``."""
+    from enrichkit.plans.mappings import ANDROID, IOS
+    from enrichkit.sources.testdata import payload_sections
+    cols = ["CAST(o_custkey AS VARCHAR) AS cuid", "'S' || CAST(o_orderkey AS VARCHAR) AS seriesnumber",
+            f"'{'IOS' if ios else 'Android'}' AS device_os", "o_orderdate AS bq_updated_time",
+            "DATE '2024-01-20' AS partition_date", "'2024-01-02' AS requested_date", "'full' AS requester",
+            "CAST(o_orderkey AS VARCHAR) AS reference_number"]
+    number = "CAST(o_orderkey % 97 AS VARCHAR)"
+    for code, keys, many in payload_sections(IOS if ios else ANDROID):
+        for i, alts in enumerate(keys):
+            text = f"'{alts[0]} ' || {'app || chr(32) || ' if many else ''}{number}"
+            value = (text, number, "'true'")[i % 3]
+            cols.append(f"{value} AS {_column_of(code, alts[0])}")
+    apps = "" if ios else ", (VALUES ('1'), ('2')) AS apps(app)"
+    return "SELECT " + ",\n  ".join(cols) + f"\nFROM orders{apps}"
+
+
+ORACLES["flatten_android_full"] = _flatten_full_sql(ios=False)
+ORACLES["flatten_ios_full"] = _flatten_full_sql(ios=True)
+
+
 def _flatten_geo_sql() -> str:
     from enrichkit.plans.flatten import GEO_PAD_COLUMNS
     rnd = ("CASE WHEN abs(try_cast({x} AS DOUBLE)) <= 180 THEN regexp_replace(CAST(CAST("
@@ -585,6 +631,33 @@ SELECT 'dead_letter', NULL, cuid, device_os, NULL, '400' FROM lk WHERE cuid % 20
 
 ORACLES["message_stream"] = ORACLES["messages"]
 
+# Rounds of tries under 30 calls a minute: the first holds all calls, the next
+# what answered '503', behind a wait of 1 and 2 minutes.
+_CALLS = """ev AS (SELECT user_id AS cuid, event_id AS reference_id, ts, CASE WHEN value >= 5 THEN '200' ELSE '404' END AS answer,
+    CASE WHEN value >= 5 THEN '{"referenceNumber":"' || CAST(event_id AS VARCHAR) || '","props":' || props || '}' END AS payload
+  FROM events)
+, t1 AS (SELECT *, 1 AS try, (row_number() OVER (ORDER BY ts, reference_id) - 1) // 30 AS minute,
+                reference_id % 13 = 0 OR reference_id % 7 = 0 AS down FROM ev)
+, t2 AS (SELECT cuid, reference_id, ts, answer, payload, 2 AS try,
+                (SELECT max(minute) FROM t1) + 2 + (row_number() OVER (ORDER BY ts, reference_id) - 1) // 30 AS minute,
+                reference_id % 13 = 0 OR reference_id % 77 = 0 AS down FROM t1 WHERE down)
+, t3 AS (SELECT cuid, reference_id, ts, answer, payload, 3 AS try,
+                (SELECT max(minute) FROM t2) + 3 + (row_number() OVER (ORDER BY ts, reference_id) - 1) // 30 AS minute,
+                reference_id % 13 = 0 AS down FROM t2 WHERE down)
+, tries AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)"""
+
+ORACLES["call_plan"] = f"""WITH {_CALLS}
+SELECT cuid, reference_id, CAST(try AS INTEGER) AS try, minute, CASE WHEN down THEN '503' ELSE answer END AS status,
+  CASE WHEN NOT down THEN payload END AS payload,
+  CASE WHEN down THEN 'unavailable' WHEN answer = '404' THEN 'not found' END AS error, NOT down OR try = 3 AS final
+FROM tries
+UNION ALL
+SELECT user_id, NULL, 1, NULL, '400', NULL, 'reference_number_invalid: the record has no reference', TRUE
+FROM events WHERE user_id % 20 = 0"""
+
+ORACLES["call_minutes"] = f"""WITH {_CALLS}
+SELECT minute, count(*) AS calls, CAST(count_if(down) AS BIGINT) AS failed FROM tries GROUP BY minute"""
+
 ORACLES["stream_flatten"] = _flatten_device_sql(ios=True).replace(
     "FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'", "FROM orders")
 

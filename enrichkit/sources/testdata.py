@@ -436,3 +436,60 @@ def geo_raw_seed(spark, sf_dir) -> DataFrame:
                     F.col("o_orderdate").alias("bq_updated_time"),
                     F.make_date(F.lit(2024), F.lit(1), F.least(F.dayofmonth("o_orderdate"), F.lit(31)))
                     .alias("partition_date"))
+
+
+def flaky_lookup(spark, sf_dir):
+    """UD-1 with a service that fails at times: events with an id divisible by
+    7 answer '503' on the first try, by 77 on the second too, by 13 on every one;
+    the others as the payload table has it. Gives a ``resolve`` for planned calls."""
+    from enrichkit.plans.enrich import lookup_join
+    payloads = device_payloads(spark, sf_dir)
+
+    def resolve(planned):
+        k = F.col("reference_id")
+        down = (k % 13 == 0) | ((k % 7 == 0) & (F.col("try") == 1)) | ((k % 77 == 0) & (F.col("try") == 2))
+        found = lookup_join(planned, payloads, "reference_id").drop("retry")
+        down = F.coalesce(down, F.lit(False))
+        return (found.withColumn("status", F.when(down, F.lit("503")).otherwise(F.col("status")))
+                .withColumn("payload", F.when(~down, F.col("payload")))
+                .withColumn("error", F.when(down, F.lit("unavailable")).otherwise(F.col("error"))))
+
+    return resolve
+
+
+def full_value(place: int, key: str) -> str:
+    """JSON text of a section's field by its place: text, number or truth; ``@`` stands
+    for the record's number."""
+    return (f'"{key} @"', "@", "true")[place % 3]
+
+
+def full_payload(sections, ios: bool, second: bool) -> str:
+    """JSON text of a payload that fills every field of every section. Of fields
+    with alternative names the first is there, or with ``second`` the last alone.
+    A section that fans out holds two elements."""
+    parts = []
+    for code, keys, many in sections:
+        fields = lambda extra: "{" + ",".join(
+            f'"{alts[-1] if second else alts[0]}":{full_value(i, alts[0] + extra)}' for i, alts in enumerate(keys)) + "}"
+        value = f"[{fields(' 1')},{fields(' 2')}]" if many else fields("")
+        parts.append(f'{{"code":"{code}","calculatedDate":"2024-01-01","value":{value}}}')
+    return ('{"referenceNumber":"#","requestedDate":"2024-01-02","requester":"full","insights":['
+            + ",".join(parts if not ios else reversed(parts)) + "]}")
+
+
+def payload_sections(mapping) -> list[tuple[str, list[tuple[str, ...]], bool]]:
+    return [(s.code, [k if isinstance(k, tuple) else (k,) for k in s.keys], s.fan_out) for s in mapping.sections]
+
+
+def full_device_raw(spark, sf_dir, mapping, device_os: str) -> DataFrame:
+    """Device RAW rows, one an order, whose payloads fill every mapped field."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    sections = payload_sections(mapping)
+    ios = device_os == "IOS"
+    text = F.when(k % 2 == 0, F.lit(full_payload(sections, ios, False))).otherwise(F.lit(full_payload(sections, ios, True)))
+    text = F.replace(F.replace(text, F.lit("@"), (k % 97).cast("string")), F.lit("#"), k.cast("string"))
+    return o.select(F.concat(F.lit("u-"), k.cast("string")).alias("uuid"), F.col("o_custkey").cast("string").alias("cuid"),
+                    k.cast("string").alias("reference_id"), F.concat(F.lit("S"), k.cast("string")).alias("series_number"),
+                    F.lit(device_os).alias("device_os"), text.alias("raw_data"), F.col("o_orderdate").alias("bq_updated_time"),
+                    F.lit(dt.date(2024, 1, 20)).alias("partition_date"))
