@@ -62,6 +62,18 @@ def q_flatten_android_full(spark, sf):
     return flatten_device(td.full_device_raw(spark, sf, ANDROID, "Android"), None, ANDROID)
 
 
+@query("flatten_parsed")
+def q_flatten_parsed(spark, sf):
+    """PL-4, FN-1..4 from a RAW zone whose payloads were parsed when they landed."""
+    from enrichkit.plans.flatten import flatten_device, parsed_raw
+    from enrichkit.plans.mappings import ANDROID
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import read_zone, write_zone
+    root = scratch_path(spark, "parsed")
+    write_zone(parsed_raw(td.device_raw(spark, sf)), f"{root}/raw")
+    return flatten_device(read_zone(spark, root, "raw"), td.flattened_target(spark, sf), ANDROID)
+
+
 @query("flatten_ios_full")
 def q_flatten_ios_full(spark, sf):
     """PL-5 with payloads that fill all 92 columns, sections in reverse order."""
@@ -142,6 +154,17 @@ def q_exclude_processed(spark, sf):
     return out.select("customer_id", "serial_number", "status")
 
 
+@query("exclude_processed_sketch")
+def q_exclude_processed_sketch(spark, sf):
+    """JN-5 with the done tables sieved by a bit sketch of the pending keys."""
+    from enrichkit.operators.joins import exclude_processed
+    a = td.applications(spark, sf)
+    done = td.table(spark, sf, "lineitem").select("l_orderkey")
+    dl = td.geo_dead_letter(spark, sf).filter(F.col("partition_date") == F.lit(dt.date(2024, 1, 5)))
+    return exclude_processed(a, [(done, {"serial_number": "l_orderkey"}), (dl, {"serial_number": "series_number"})],
+                             sketch_bits=20).select("customer_id", "serial_number", "status")
+
+
 @query("incremental")
 def q_incremental(spark, sf):
     from enrichkit.operators.joins import incremental
@@ -745,6 +768,23 @@ def q_run_all_zones(spark, sf):
     return out
 
 
+@query("compact_zone")
+def q_compact_zone(spark, sf):
+    """PL-8: a dead-letter zone with appended versions, compacted after one
+    reconcile and appended to by another one: its current rows."""
+    from enrichkit.plans.run import DEAD, RAW, reconcile_zone
+    from enrichkit.plans.versions import compact, current
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.zones import write_zone
+    root = scratch_path(spark, "compact_zone")
+    write_zone(td.geo_dead_letter(spark, sf, whole=True), f"{root}/{DEAD}")
+    write_zone(td.geo_raw_landed(spark, sf), f"{root}/{RAW}")
+    compact(spark, f"{root}/{DEAD}")
+    reconcile_zone(spark, root, dt.date(2024, 1, 15), dt.datetime(2024, 1, 31))
+    compact(spark, f"{root}/{DEAD}")
+    return current(spark, f"{root}/{DEAD}").select("uuid", "series_number", "api_status", "bq_updated_time", "partition_date")
+
+
 @query("reconcile_zone")
 def q_reconcile_zone(spark, sf):
     """PL-8 on a zone: the current version of the whole dead letter after the

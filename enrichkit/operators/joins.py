@@ -21,8 +21,27 @@ def _on(left: DataFrame, right: DataFrame, key_map: Mapping[str, str]) -> Column
     return cond
 
 
-def exclude_processed(df: DataFrame,
-                      done: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+def bit_sketch(keys: Column, rows: DataFrame, bits: int) -> DataFrame:
+    """``bucket, sketch``: which of 2**``bits`` hash values the keys have, as
+    bitmaps of 4 KB; 2**``bits`` / 8 bytes at most, whatever the number of rows."""
+    value = F.pmod(F.xxhash64(keys), F.lit(1 << bits))
+    return (rows.filter(keys.isNotNull()).select(value.alias("v"))
+            .groupBy(F.bitmap_bucket_number("v").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("sketch")))
+
+
+def sieve(rows: DataFrame, key: Column, sketch: DataFrame, bits: int) -> DataFrame:
+    """The rows whose key's bit is set: all that may match, few others. Works
+    where the rows are read, before they are shuffled."""
+    value = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    at = F.bitmap_bit_position(value)
+    byte = F.conv(F.hex(F.substring(F.col("sketch"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_ = F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1
+    return rows.join(F.broadcast(sketch), F.bitmap_bucket_number(value) == F.col("bucket")).filter(set_).select(*rows.columns)
+
+
+def exclude_processed(df: DataFrame, done: Sequence[tuple[DataFrame, Mapping[str, str]]],
+                      sketch_bits: int | None = None) -> DataFrame:
     """JN-5 / JN-6 / ST-3: NOT EXISTS against several "already done" tables.
 
     Each entry is ``(done_df, {left_col: right_col})``; filter ``done_df``
@@ -31,10 +50,24 @@ def exclude_processed(df: DataFrame,
     de-duplicated first: the partial aggregate runs before the shuffle the
     join needs anyway, so a key repeated in many done rows costs one row per
     task, not one per copy.
+
+    With ``sketch_bits`` the done tables are first sieved by a bitmap of the
+    pending keys' hashes (2 MB for 24 bits, broadcast: its size does not depend
+    on the data), so of a done table that is much larger than ``df`` only the
+    keys that may match, and a share of about pending / 2**bits of the others,
+    are shuffled. The pending keys are read once more for it. Types of a key
+    must agree on both sides.
     """
     out = df
     for right, key_map in done:
-        keys = right.select(*[F.col(rk) for rk in key_map.values()]).distinct()
+        keys = right.select(*[F.col(rk) for rk in key_map.values()])
+        if sketch_bits is not None:
+            left = F.struct(*[F.col(k) for k in key_map]) if len(key_map) > 1 else F.col(next(iter(key_map)))
+            seek = F.struct(*[F.col(k).alias(n) for n, k in key_map.items()]) if len(key_map) > 1 else F.col(keys.columns[0])
+            if [keys.schema[k].dataType for k in key_map.values()] != [df.schema[k].dataType for k in key_map]:
+                raise TypeError("a sketch needs keys of one type on both sides")
+            keys = sieve(keys, seek, bit_sketch(left, df, sketch_bits), sketch_bits)
+        keys = keys.distinct()
         out = out.join(keys, _on(out, keys, key_map), "left_anti")
     return out
 

@@ -190,6 +190,9 @@ ORACLES["flatten_android_full"] = _flatten_full_sql(ios=False)
 ORACLES["flatten_ios_full"] = _flatten_full_sql(ios=True)
 
 
+ORACLES["flatten_parsed"] = ORACLES["flatten_android"]
+
+
 def _flatten_geo_sql() -> str:
     from enrichkit.plans.flatten import GEO_PAD_COLUMNS
     rnd = ("CASE WHEN abs(try_cast({x} AS DOUBLE)) <= 180 THEN regexp_replace(CAST(CAST("
@@ -741,3 +744,6 @@ SELECT 'insights-' || CAST(lk.reference_id AS VARCHAR) AS uuid_request, 'device'
   CASE status WHEN '404' THEN 'not found' END AS status_detail,
   CASE WHEN device_os IS NOT NULL AND status = '404' THEN 'ERROR' ELSE 'Info' END AS severity, 0 AS retry
 FROM lk JOIN events ON event_id = lk.reference_id"""
+
+ORACLES["compact_zone"] = ORACLES["reconcile_zone"]
+ORACLES["exclude_processed_sketch"] = ORACLES["exclude_processed"]

@@ -32,6 +32,7 @@ from enrichkit.plans.flatten import flatten_device, flatten_geo, geo_feature_sch
 from enrichkit.plans.mappings import ANDROID, IOS
 from enrichkit.plans.opslog import batch_summary
 from enrichkit.plans.retry import latest_versions, reconcile, retry_batches, retry_list, to_candidates
+from enrichkit.plans.versions import current
 from enrichkit.session import cut_lineage
 from enrichkit.sources.zones import (api_log_rows, conform, flow_log_rows, land_json, read_zone,
                                      read_zone_or_none, write_zone)
@@ -89,7 +90,7 @@ def reconcile_zone(spark: SparkSession, root: str, day: dt.date, now: dt.datetim
     dead, raw = read_zone_or_none(spark, root, DEAD), read_zone_or_none(spark, root, RAW)
     if dead is None or raw is None:
         return 0
-    hits = cut_lineage(reconcile(latest_versions(dead), raw, day, now).filter("reconciled").select(*dead.columns))
+    hits = cut_lineage(reconcile(current(spark, f"{root}/{DEAD}"), raw, day, now).filter("reconciled").select(*dead.columns))
     n = hits.count()
     if n:
         write_zone(hits, f"{root}/{DEAD}")
