@@ -31,8 +31,8 @@ def query(name: str, oracle: str | None = None):
 
 @query("op1_merkle_fixity", warc_fixity.ORACLE_SQL)
 def q_merkle_fixity(spark, sf):
-    records = warc_fixity.warc_records(table(spark, sf, "pages"))
-    return warc_fixity.fixity_audit(records, warc_fixity.damaged(records))
+    records = warc_fixity.page_records(table(spark, sf, "pages"))
+    return warc_fixity.audit_hashes(*warc_fixity.replicas(records, warc_fixity.damage(F.col("record_id"), F.col("payload"))))
 
 
 @query("op2_packing")

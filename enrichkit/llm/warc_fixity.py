@@ -16,21 +16,51 @@ from pyspark.sql import functions as F
 from enrichkit.llm.common import empty_text, left_lookup, materialize
 
 
-def warc_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
+#: Files among which records without an id are dealt by their content.
+NULL_FILES = 1024
+
+
+def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
                  per_file: int = 1000) -> DataFrame:
-    """Response records ``file, offset, record_id, payload`` (bytes) of pages,
-    ``per_file`` ids to a file in id order. Null ids go to the file -1; a null
-    body is empty and a null address is an empty field."""
-    from pyspark.sql import Window
+    """Response records ``file, record_id, payload`` (bytes) of pages, ``per_file``
+    ids to a file. Null ids go to the files -1 to -``NULL_FILES`` by their content;
+    a null body is empty and a null address is an empty field."""
     body = F.encode(empty_text(body_col), "utf-8")
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), empty_text(url_col),
                     F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
     payload = F.concat(F.encode(head, "utf-8"), body, F.encode(F.lit("\r\n\r\n"), "utf-8"))
-    rows = pages.select(F.coalesce(F.floor(F.col(id_col) / F.lit(per_file)), F.lit(-1)).alias("file"),
+    nowhere = F.lit(-1) - F.pmod(F.xxhash64(body), F.lit(NULL_FILES))
+    return pages.select(F.coalesce(F.floor(F.col(id_col) / F.lit(per_file)), nowhere).alias("file"),
                         F.col(id_col).alias("record_id"), payload.alias("payload"))
-    ahead = Window.partitionBy("file").orderBy("record_id", F.sha2("payload", 256)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum(F.octet_length("payload").cast("long")).over(ahead), F.lit(0)))
+
+
+def _ahead(order: list) -> Column:
+    from pyspark.sql import Window
+    return F.coalesce(F.sum("length").over(Window.partitionBy("file").orderBy(*order)
+                                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset")
+
+
+def warc_records(pages: DataFrame, **options) -> DataFrame:
+    """``page_records`` with their ``offset`` in the file, in id order: what a
+    writer of the files needs. An audit needs no payloads: see ``replicas``."""
+    rows = page_records(pages, **options).withColumn("length", F.octet_length("payload").cast("long"))
+    return rows.withColumn("offset", _ahead(["record_id", F.sha2("payload", 256)])).drop("length")
+
+
+def replicas(records: DataFrame, copy: Column) -> tuple[DataFrame, DataFrame]:
+    """Record hashes of two replicas: ``records`` (``file, record_id, payload``)
+    and, for each, the bytes that another replica holds in its place (``copy``,
+    null where it lacks the record). Both are hashed where they are read; what
+    moves is a few dozen bytes a record. Records that agree in file, id and both
+    payloads are one; offsets go by id, then hash."""
+    size = lambda c: F.octet_length(c).cast("long")
+    narrow = records.select("file", "record_id", size(F.col("payload")).alias("length"), F.sha2("payload", 256).alias("hash"),
+                            size(copy).alias("r_length"), F.sha2(copy, 256).alias("r_hash")).distinct()
+    placed = materialize(narrow.select("*", _ahead(["record_id", "hash", F.col("r_hash").asc_nulls_first()])), "merkle-records")
+    left = placed.select("file", "offset", "record_id", "length", "hash")
+    right = placed.filter("r_hash IS NOT NULL").select("file", "offset", "record_id", F.col("r_length").alias("length"),
+                                                       F.col("r_hash").alias("hash"))
+    return left, right
 
 
 def record_hashes(records: DataFrame, file_col: str = "file", offset_col: str = "offset",
@@ -121,21 +151,27 @@ def audit(left: DataFrame, right: DataFrame, left_tree: DataFrame, right_tree: D
 def fixity_audit(left: DataFrame, right: DataFrame, range_bytes: int = 1 << 16, fanout: int = 16) -> DataFrame:
     """Build both trees and audit the replicas (records with ``file, offset,
     record_id, payload``)."""
-    sides = [materialize(record_hashes(x), "merkle-records") for x in (left, right)]
-    trees = [merkle_tree(x, range_bytes, fanout) for x in sides]
-    return audit(*sides, *trees, range_bytes, fanout)
+    return audit_hashes(*[materialize(record_hashes(x), "merkle-records") for x in (left, right)], range_bytes, fanout)
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with planted damage, by record id: some records lost, some cut
-    in half, some with one byte changed."""
-    i, raw = F.col("record_id"), F.col("payload")
+def audit_hashes(left: DataFrame, right: DataFrame, range_bytes: int = 1 << 16, fanout: int = 16) -> DataFrame:
+    """Build both trees of record hashes and audit the replicas."""
+    return audit(left, right, *[merkle_tree(x, range_bytes, fanout) for x in (left, right)], range_bytes, fanout)
+
+
+def damage(i: Column, raw: Column) -> Column:
+    """A record's bytes in a replica with planted damage, by record id: some
+    records lost (null), some cut in half, some with one byte changed."""
     half = F.floor(F.octet_length(raw) / 2).cast("int")
     flipped = F.concat(F.substring(raw, F.lit(1), half), F.encode(F.lit("#"), "utf-8"),
                        F.substring(raw, half + 2, F.octet_length(raw)))
     cut = F.substring(raw, F.lit(1), half)
-    return (records.filter(F.coalesce(i % 107 != 3, F.lit(True)))
-            .withColumn("payload", F.when(i % 103 == 5, cut).when(i % 101 == 7, flipped).otherwise(raw)))
+    return F.when(F.coalesce(i % 107 != 3, F.lit(True)), F.when(i % 103 == 5, cut).when(i % 101 == 7, flipped).otherwise(raw))
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """The records of a replica with planted ``damage``."""
+    return records.withColumn("payload", damage(F.col("record_id"), F.col("payload"))).filter("payload IS NOT NULL")
 
 
 ORACLE_SQL = """

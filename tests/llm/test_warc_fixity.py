@@ -47,3 +47,19 @@ def test_empty_tables(spark):
     assert wf.fixity_audit(none, none).count() == 0
     assert {r.status for r in wf.fixity_audit(some, none).collect()} == {"missing"}
     assert {r.status for r in wf.fixity_audit(none, some).collect()} == {"extra"}
+
+
+def test_hashes_alone_find_the_same_damage(spark):
+    """The audit of hashed records equals that of whole ones, its windows hold no
+    payload, and records without ids are spread over files."""
+    from pyspark.sql import functions as F
+    pages = spark.createDataFrame(make(), SCHEMA).dropDuplicates(["page_id", "html"])
+    records = wf.page_records(pages, per_file=90)
+    left, right = wf.replicas(records, wf.damage(F.col("record_id"), F.col("payload")))
+    got = {(r.record_id, r.status, r.left_sha256, r.right_sha256) for r in wf.audit_hashes(left, right).collect()}
+    whole = wf.warc_records(pages, per_file=90)
+    want = {(r.record_id, r.status, r.left_sha256, r.right_sha256) for r in wf.fixity_audit(whole, wf.damaged(whole)).collect()}
+    assert got == want and got
+    lost = spark.range(900).select(F.lit(None).cast("long").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
+    per = wf.page_records(lost).groupBy("file").count().agg(F.max("count"), F.count("*")).first()
+    assert per[0] < 20 and per[1] > 300
