@@ -684,6 +684,39 @@ def q_stream_batches(spark, sf):
     return r.unionByName(d)
 
 
+@query("stream_record_batches")
+def q_stream_record_batches(spark, sf):
+    """SM-2, SM-5 by records: candidates arrive in a message log in one large and
+    several small commits, some sent again, some without a reference; each
+    micro-batch holds a quarter of them at most, and the key index is compacted
+    on the way."""
+    from enrichkit.functions.scalars import is_failure
+    from enrichkit.session import scratch_path
+    from enrichkit.sources.outbox import append, consume, outbox_size
+    from enrichkit.streaming.pipeline import compact_key_index, enrichment_batch
+    root = scratch_path(spark, "record_batches")
+    raw, dead, log = f"{root}/raw", f"{root}/dead", f"{root}/candidates"
+    ev = td.device_events(spark, sf)
+    lost = ev.filter(F.col("cuid") % 20 == 0).withColumn("reference_id", F.lit(None).cast("bigint"))
+    append(ev.filter("reference_id % 10 < 7"), log)
+    for part in (ev.filter("reference_id % 10 = 7"), ev.filter("reference_id % 10 > 7"), lost, ev.filter("reference_id % 10 = 3")):
+        append(part, log)
+    step = outbox_size(log) // 4 + 1
+    body = enrichment_batch(td.device_payloads(spark, sf), raw, dead, "reference_id", dt.datetime(2024, 1, 31), buckets=16)
+    schema = "record long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ev.schema.fields)
+    work = lambda batch, batch_id: body(batch.drop("record"), batch_id)
+    consume(spark, log, work, f"{root}/state", step, schema, max_batches=2)
+    compact_key_index(spark, raw)
+    consume(spark, log, work, f"{root}/state", step, schema)
+    text = lambda c: F.col(c).cast("bigint").alias(c)
+    r = spark.read.parquet(raw).select(F.lit("raw").alias("zone"), text("reference_id"), text("cuid"), "device_os",
+                                       "raw_data", F.lit(None).cast("string").alias("api_status"))
+    d = spark.read.parquet(dead).filter(is_failure("api_status")).select(
+        F.lit("dead_letter").alias("zone"), text("reference_id"), text("cuid"), "device_os",
+        F.lit(None).cast("string").alias("raw_data"), "api_status")
+    return r.unionByName(d)
+
+
 @query("stream_flatten")
 def q_stream_flatten(spark, sf):
     """SM-6: RAW arrives as files in two runs; a foreachBatch query flattens

@@ -632,6 +632,8 @@ FROM lk
 UNION ALL
 SELECT 'dead_letter', NULL, cuid, device_os, NULL, '400' FROM lk WHERE cuid % 20 = 0"""
 
+ORACLES["stream_record_batches"] = ORACLES["stream_batches"]
+
 ORACLES["message_stream"] = ORACLES["messages"]
 
 # Rounds of tries under 30 calls a minute: the first holds all calls, the next

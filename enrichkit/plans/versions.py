@@ -17,8 +17,9 @@ itself. Old files and folders may be removed once no reader uses them
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -77,18 +78,37 @@ def current(spark: SparkSession, path: str, key: str = "uuid") -> DataFrame | No
 def compact(spark: SparkSession, path: str, key: str = "uuid", partition_by: str = "partition_date") -> str | None:
     """Write the zone's current rows as a snapshot and point to it; returns its
     folder, or None where nothing was appended since the last one."""
+    return fold(spark, path, lambda snapshot, fresh: _current(snapshot, fresh, key), partition_by)
+
+
+def fold(spark: SparkSession, path: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], partition_by: str,
+         settled: Column | None = None) -> str | None:
+    """The general form: the new snapshot is ``merge(old snapshot, new rows)``.
+    Only files whose rows are all ``settled`` take part (a stream's last
+    micro-batch may be written again); returns the snapshot's folder, or None."""
     at, snapshot, fresh = _state(spark, path)
-    files = [] if fresh is None else [r[0] for r in fresh.select("_metadata.file_path").distinct().collect()]
+    if fresh is None:
+        return None
+    per = fresh.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(F.coalesce(settled, F.lit(False)) if settled is not None else F.lit(True)).alias("ok"))
+    files = [r["file"] for r in per.filter("ok").select("file").collect()]
     if not files:
         return None
     folder = f"{path.rstrip('/')}_snapshots/{uuid.uuid4().hex}"
-    _current(snapshot, fresh, key).write.partitionBy(partition_by).parquet(folder)
+    new = fresh.filter(F.col("_metadata.file_path").isin(files))
+    merge(snapshot, new).write.partitionBy(partition_by).parquet(folder)
     taken = sorted({*files, *(at["files"] if at else [])})
     row = [((at["number"] if at else 0) + 1, folder, taken)]
     spark.createDataFrame(row, POINTER).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}_pointer")
     return folder
 
 
+def folded(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(snapshot, rows that are not in it) of a zone; None for what is not there."""
+    _, snapshot, fresh = _state(spark, path)
+    return snapshot, fresh
+
+
 def unused(spark: SparkSession, path: str) -> list[str]:
     """Files of the zone whose rows the current snapshot holds, and snapshots
     that newer ones replaced: what may be removed once no reader uses it."""

@@ -29,6 +29,7 @@ from pyspark.sql.utils import AnalysisException
 
 from enrichkit.operators.dedup import latest_per_key
 from enrichkit.plans.enrich import lookup_join, split_outcomes, to_dead_letter, to_raw
+from enrichkit.plans.versions import fold, folded
 from enrichkit.session import cut_lineage
 from enrichkit.sources.zones import write_zone
 
@@ -89,11 +90,35 @@ def read_minute_counts(spark: SparkSession, out: str, days: tuple[dt.date, dt.da
     of its shares; ``batches`` tells in how many micro-batches its events came
     (more than one: the first figure was corrected later). ``days`` (first, last)
     reads only those days' folders."""
-    rows = spark.read.parquet(out)
-    if days is not None:
-        rows = rows.filter(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
-    return rows.groupBy("minute").agg(*[F.sum(c).alias(c) for c in ("calls", "writes", "written_rows")],
-                                      F.count_distinct("batch_id").alias("batches"))
+    snapshot, fresh = folded(spark, out)
+    names = ["minute", "calls", "writes", "written_rows", "batches"]
+    rows = None
+    for part in (snapshot, None if fresh is None else fresh.withColumn("batches", F.lit(1).cast("bigint"))):
+        if part is not None:
+            part = part if days is None else part.filter(F.col("day").between(F.lit(days[0]), F.lit(days[1])))
+            rows = part.select(*names) if rows is None else rows.unionByName(part.select(*names))
+    if rows is None:
+        raise FileNotFoundError(out)
+    return rows.groupBy("minute").agg(*[F.sum(c).alias(c) for c in names[1:]])
+
+
+def compact_minute_counts(spark: SparkSession, out: str) -> str | None:
+    """Fold the shares of all but the last micro-batch into one row a minute (a
+    file or two a day in place of one a micro-batch). Readers see the state
+    before or behind it, the same figures either way; the last micro-batch stays
+    as it is, as its replay would write it again."""
+    _, fresh = folded(spark, out)
+    last = None if fresh is None else fresh.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+
+    def merge(snapshot, new):
+        rows = new.withColumn("batches", F.lit(1).cast("bigint")).drop("batch_id")
+        rows = rows if snapshot is None else rows.unionByName(snapshot.select(*rows.columns))
+        return rows.groupBy("minute", "day").agg(*[F.sum(c).alias(c) for c in ("calls", "writes", "written_rows", "batches")]) \
+            .repartition("day")
+
+    return fold(spark, out, merge, "day", F.col("batch_id") < last)
 
 
 def run_to_parquet(stream_df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
@@ -140,17 +165,37 @@ def landed_keys(spark: SparkSession, raw_path: str, keys: DataFrame, key: str, b
     are read (their numbers, ``buckets`` at most, are what the driver learns). A
     RAW zone without an index gets one first."""
     path = index_path(raw_path)
-    index = _existing(spark, path)
-    if index is None:
+    found = [part for part in folded(spark, path) if part is not None]
+    if not found:
         raw = _existing(spark, raw_path)
         if raw is None:
             return None
         write_key_index(raw, path, key, buckets)
-        index = spark.read.parquet(path)
+        found = [spark.read.parquet(path)]
     mine = keys.select(F.col(key).cast("string").alias("key"), key_bucket(F.col(key), buckets).alias("bucket"))
     some = [r.bucket for r in mine.select("bucket").distinct().collect() if r.bucket is not None]
-    old = index.filter(F.col("bucket").isin(some) & (F.col("batch_id") != F.lit(batch_id)))
-    return old.select("key", "bucket").join(mine.distinct(), ["key", "bucket"], "left_semi").select("key").distinct()
+    old = None
+    for part in found:
+        part = part.filter(F.col("bucket").isin(some) & (F.col("batch_id") != F.lit(batch_id))).select("key", "bucket")
+        old = part if old is None else old.unionByName(part)
+    return old.join(mine.distinct(), ["key", "bucket"], "left_semi").select("key").distinct()
+
+
+def compact_key_index(spark: SparkSession, raw_path: str) -> str | None:
+    """Fold the index entries of all but the last micro-batch into one sorted
+    file a bucket, behind a pointer: see ``versions.fold``."""
+    path = index_path(raw_path)
+    _, fresh = folded(spark, path)
+    last = None if fresh is None else fresh.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+
+    def merge(snapshot, new):
+        rows = new if snapshot is None else new.unionByName(snapshot.select(*new.columns))
+        return rows.groupBy("bucket", "key").agg(F.min("batch_id").alias("batch_id")).repartition("bucket") \
+            .sortWithinPartitions("bucket", "key")
+
+    return fold(spark, path, merge, "bucket", F.col("batch_id") < last)
 
 
 def enrichment_batch(payloads: DataFrame, raw_path: str, dead_path: str, key: str, now: dt.datetime,

@@ -161,3 +161,37 @@ def test_key_index_reads_the_buckets_of_the_batch(spark):
     assert "bucket" in plan.split("PartitionFilters")[1][:300]
     buckets = {r.bucket for r in asked.select(key_bucket(F.col("reference_id"), 16).alias("bucket")).collect()} - {None}
     assert all(f"{b}" in plan.split("PartitionFilters")[1][:300] for b in buckets) and len(buckets) <= 3
+
+
+def test_compacted_minutes_and_keys_read_alike(spark):
+    from enrichkit.plans.versions import pointer
+    from enrichkit.sources.zones import write_zone
+    from enrichkit.streaming.pipeline import (compact_key_index, compact_minute_counts, index_path, landed_keys,
+                                              read_minute_counts, run_minute_counts, write_key_index)
+    t = dt.datetime(2024, 1, 5, 23, 58)
+    files = [[(t + dt.timedelta(seconds=40 * i + j), "w") for i in range(9)] for j in range(4)]
+    root, counts = _minutes(spark, files)
+    key = lambda r: str(r)
+    want = sorted(counts.collect(), key=key)
+    assert compact_minute_counts(spark, f"{root}/out") is not None
+    assert sorted(read_minute_counts(spark, f"{root}/out").collect(), key=key) == want
+    assert compact_minute_counts(spark, f"{root}/out") is None          # the last micro-batch stays
+    last = spark.read.parquet(f"{root}/out").filter("batch_id = 3")
+    write_zone(spark.createDataFrame(last.collect(), last.schema), f"{root}/out", ["day", "batch_id"], overwrite_partitions=True)
+    assert sorted(read_minute_counts(spark, f"{root}/out").collect(), key=key) == want      # a replay of it
+    spark.createDataFrame([(t, "r")], "ts timestamp_ntz, kind string").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run_minute_counts(spark.readStream.schema("ts timestamp_ntz, kind string").parquet(f"{root}/in"), f"{root}/out",
+                      f"{root}/ck", write_when=F.col("kind") == "w")
+    compact_minute_counts(spark, f"{root}/out")
+    got = {r.minute: (r.calls, r.batches) for r in read_minute_counts(spark, f"{root}/out").collect()}
+    assert got[t] == (dict((r.minute, r.calls) for r in want)[t] + 1, 5) and pointer(spark, f"{root}/out")["number"] == 2
+
+    raw = f"{root}/raw"
+    for batch in range(3):
+        rows = spark.range(batch * 10, batch * 10 + 15).select(F.col("id").alias("k"), F.lit(batch).cast("bigint").alias("batch_id"))
+        write_key_index(rows, index_path(raw), "k", 8)
+    asked = spark.range(100).select(F.col("id").alias("k"))
+    before = {b: sorted(int(r.key) for r in landed_keys(spark, raw, asked, "k", b, 8).collect()) for b in (2, 9)}
+    compact_key_index(spark, raw)
+    after = {b: sorted(int(r.key) for r in landed_keys(spark, raw, asked, "k", b, 8).collect()) for b in (2, 9)}
+    assert before == after == {2: list(range(25)), 9: list(range(35))}
