@@ -76,13 +76,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = materialize(rows.select(
         *keys, F.octet_length("_b").cast("long").alias("n_bytes"),
         F.substring("_b", 1, probe_bytes).alias("head"),
-        F.expr(f"substring(_b, -{probe_bytes}, {probe_bytes})").alias("tail")), "dedup-base")
+        F.expr(f"substring(_b, -{probe_bytes}, {probe_bytes})").alias("tail"),
+        F.monotonically_increasing_id().alias("row")), "dedup-base")     # written once: a row keeps its number
     probe = ["n_bytes", "head", "tail"]
     # written first: a plain right side lets adaptive execution split a hot class
     shared = materialize(base.groupBy(*probe).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "dedup-shared")
     flagged = materialize(base.join(shared, probe, "left")
-                          .select(*keys, "n_bytes", F.col("n").isNotNull().alias("multi")), "dedup-flag")
-    cand = flagged.filter("multi").groupBy(*keys, "n_bytes").agg(F.count(F.lit(1)).alias("copies"))
+                          .select(*keys, "n_bytes", "row", F.col("n").isNotNull().alias("multi")), "dedup-flag")
+    cand = flagged.filter("multi").groupBy(*keys, "n_bytes").agg(F.count(F.lit(1)).alias("copies"),
+                                                                 F.min("row").alias("first_row"))
     texts = left_lookup(rows.filter(F.octet_length("_b") > 0), cand.filter("n_bytes > 0").select(*keys),
                         keys, "left_semi")
     roots = block_identity(texts, keys, "_b", block_bytes)
@@ -91,11 +93,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident = ["n_bytes", "root"]
     groups = materialize(named.groupBy(*ident).agg(F.max("doc_id").alias("keep_id"),
                                                    F.sum("copies").alias("group_size")), "dedup-groups")
-    dup = (named.join(groups, ident)
-           .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-           .select("doc_id", "keep_id", "group_size",
-                   (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
-                   "text_sha256"))
+    # of rows equal in id and text the first one read stands for the group; rows meet one
+    # written row a key, so adaptive execution can split a row repeated very often
+    of = materialize(named.join(groups, ident).select(*keys, "keep_id", "group_size", "first_row"), "dedup-of")
+    dup = left_lookup(flagged.filter("multi"), of, keys).select(
+        "doc_id", "keep_id", "group_size",
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.col("first_row"))).alias("kept"), "text_sha256")
     alone = flagged.filter("NOT multi").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")

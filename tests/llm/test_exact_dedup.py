@@ -39,3 +39,14 @@ def test_roots_name_equal_bytes_only(spark):
 
 def test_empty_table(nothing):
     assert exact_dedup(nothing).count() == 0
+
+
+def test_a_row_repeated_in_a_third_of_the_table(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    out = exact_dedup(df.repartition(6))
+    assert out.count() == 30_000 and out.filter("doc_id = 5 and text_sha256 = sha2('same', 256)").count() == 10_000
+    hot = out.filter("group_size = 10000")
+    assert hot.count() == 10_000 and hot.filter("kept").count() == 1
+    assert "sequence" not in hot._jdf.queryExecution().executedPlan().toString()
