@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrichkit.llm.common import mix64
+from enrichkit.llm.common import materialize, mix64
 
 #: Line features in column order.
 FEATURES = ("log_len", "upper", "digit", "symbol", "bar", "wide", "word_len", "same_as_last", "same_as_second",
@@ -237,11 +237,13 @@ def held_out(id_col) -> "F.Column":
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", sample: int = 3000) -> dict:
-    """Fit on at most ``sample`` labelled documents a class, none held out; each
-    stands for the usable labels of its class per sampled one.
-    Only their line features reach the driver. Rows with a null id or label,
-    and ids with both labels, are not used."""
+          label_col: str = "quality", sample: int = 3000, sample_lines: int = 500_000) -> dict:
+    """Fit on at most ``sample`` labelled documents a class, none held out, that
+    have at most ``sample_lines`` lines together (a document that would pass this
+    is left out of the sample, never cut); each stands for the usable labels of
+    its class per sampled one. Only their line features reach the driver, 48
+    bytes a line. Rows with a null id or label, and ids with both labels, are not
+    used."""
     ids = (labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("y"))
            .filter(F.col("k").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("k")))
            .groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("y1")).filter("y = y1"))
@@ -249,7 +251,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     some = (ids.filter("y = 0").orderBy(*order).limit(sample)
             .unionByName(ids.filter("y = 1").orderBy(*order).limit(sample)))
     texts = (docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("text"))
-             .join(F.broadcast(some.select("k", "y")), "k").select("y", "text"))  # at most 2 * sample ids
+             .join(F.broadcast(some.select("k", "y")), "k").select("k", "y", "text"))  # at most 2 * sample ids
+    lines = F.octet_length("text") - F.octet_length(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(""))) + 1
+    sized = materialize(texts.select("k", "y", F.xxhash64("text").alias("h"), F.coalesce(lines, F.lit(1)).cast("long").alias("lines")),
+                        "quality-sample")
+    so_far = F.sum("lines").over(Window.partitionBy("y").orderBy(F.xxhash64("k"), "k", "h")
+                                 .rowsBetween(Window.unboundedPreceding, 0))     # at most 2 * sample documents
+    fits = sized.withColumn("sum", so_far).filter(F.col("sum") <= sample_lines).select("k", F.col("h").alias("_h")).distinct()
+    texts = texts.withColumn("_h", F.xxhash64("text")).join(F.broadcast(fits), ["k", "_h"], "left_semi").select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -269,7 +278,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not got:
         return {}
     there = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
-    share = tuple(max(there.get(y, 0) / sample, 1.0) for y in (0, 1))
+    used = {y: sum(r["y"] == y for r in got) for y in (0, 1)}
+    share = tuple(max(there.get(y, 0) / max(used[y], 1), 1.0) for y in (0, 1))
     return fit(pairs, np.array([r["y"] for r in got]), share=share)
 
 

@@ -118,3 +118,18 @@ def test_one_class_rejects_nothing(spark, hard):
         assert model == {} and quality.keep_good(docs, model).count() == 60
         kept = quality.keep_good(hard, model)
         assert kept.columns == hard.columns and kept.count() == hard.count()
+
+
+def test_sample_is_bounded_in_lines(spark):
+    """Long documents that would pass the bound are left out of the sample, the
+    others fit the model; the driver never holds more lines."""
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+    rows = [(i, "\n".join(words(8) + "." if i % 2 else "|| 77 $$ 99 ==" for _ in range(4))) for i in range(400)]
+    rows += [(i, "\n" * 50_000) for i in range(400, 404)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(404)], "doc_id long, quality int")
+    model = quality.train(docs, labels, sample=3000, sample_lines=700)
+    got = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    assert all((got[i] > 0.7) == bool(i % 2) for i in range(400))
+    assert quality.train(docs, labels, sample_lines=3) == {}
