@@ -1,7 +1,11 @@
 """The training-data pipeline: quality, exact dedup, near dedup, mix, pack.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before
-kept; all but the last return the columns of ``documents``.
+kept; all but the last return the columns of ``documents``. Defined cases, for all
+stages: a null text is an empty one and stays null in what is returned, a null
+source or language is a value like any other, a null id is an id like any other
+but smaller. An empty table gives no rows. Columns besides those of ``documents``
+are ignored and dropped, whatever their names. Texts of any length are whole.
 """
 
 from __future__ import annotations
@@ -29,14 +33,18 @@ def _first_of_each(rows: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier rejects go."""
+    """Documents that the line classifier rejects go. Empty and null texts score 0
+    and go; repeated rows and copies score alike and stay or go together; rows and
+    their other columns are unchanged. Without labels of both classes nothing goes."""
     ship(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs.select(*COLUMNS), model)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
+    """Of equal texts, the row with the largest id stays; of rows that agree in
+    text and that id, the first by language and source. All empty and null texts
+    are one group. Texts of one id that differ are different documents."""
     ship(spark)
     named = exact_dedup.exact_dedup(docs)
     kept = materialize(named.filter("kept").select(F.col("text_sha256").alias("_sha"),
@@ -45,7 +53,10 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component, the row with the smallest id stays."""
+    """Of each near-duplicate component, the row with the smallest id stays (null
+    ids only where no row has one); of rows with that id the one with the smallest
+    text hash, then the first by language and source. Texts without words have
+    fingerprint zero and are one component."""
     ship(spark)
     keyed = _with_keys(docs)
     found = simhash.simhash_near_dedup(docs, shingle=3, radius=3)
@@ -60,7 +71,10 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it, up to three times, so rows
+    may repeat in what is returned. A null source is a source of its own; texts
+    without words are taken once and weigh nothing. Rows that agree in id and text
+    come as copies of one of them, in the sum of their numbers."""
     ship(spark)
     keyed = _with_keys(docs)
     mixed = mixing.mix(docs, weights=(1, 2, 3), cap=3.0,
@@ -72,7 +86,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of power-of-two lengths, no two documents in one."""
+    """Token sequences of power-of-two lengths, no two documents in one. Each row
+    is packed for itself, repeated ones too; an empty or null text is the end
+    token alone."""
     ship(spark)
     out = packing.pack(docs, payload={**packing.digest_payload(), "ids": F.col("ids")})
     return out.select("sequence_id", "offset", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids")
