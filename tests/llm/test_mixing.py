@@ -60,3 +60,31 @@ def test_word_count(spark):
 
 def test_empty_table(nothing):
     assert mix(nothing).count() == 0
+
+
+def test_rates_equal_a_plain_solution_of_the_dual(spark):
+    """The tilt of each source by plain bisection on its own sizes: rate =
+    min(cap, exp(lam * size / mean size)) with the target met exactly."""
+    import math
+    rng = __import__("random").Random(6)
+    sizes = {f"s{j}": [rng.choice([1, 3, 20, 150, 800]) * rng.randint(1, 9) for _ in range(60 * (1 + 3 * (j == 0)))]
+             for j in range(5)}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s, ns in sizes.items() for n in ns)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    rate = {(r.source, r["size"]): r.rate for r in got.select("source", "size", "rate").distinct().collect()}
+    target = dict(got.select("source", "target").distinct().collect())
+    capped = 0
+    for s, ns in sizes.items():
+        mean = sum(ns) / len(ns)
+        if target[s] >= 3 * sum(ns) * (1 - 1e-12):
+            capped += 1
+            assert all(rate[s, n] == 3.0 for n in ns)
+            continue
+        lo, hi = -1e4, 1e4
+        mass = lambda lam: sum(n * math.exp(min(lam * n / mean, math.log(3))) for n in ns)  # noqa: B023, E731
+        for _ in range(300):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if mass(mid) < target[s] else (lo, mid)
+        for n in ns:
+            assert rate[s, n] == pytest.approx(math.exp(min(lo * n / mean, math.log(3))), rel=1e-6)
+    assert capped < len(sizes)
