@@ -599,12 +599,13 @@ def q_minute_metrics(spark, sf):
     from enrichkit.streaming.pipeline import read_minute_counts, run_minute_counts
     ev = td.table(spark, sf, "events").select("event_id", "event_type", "ts")
     root = scratch_path(spark, "minute_metrics")
-    ss = _stream_session(spark)
     late, early = F.col("event_id") % 10 == 7, F.dayofmonth("ts") < 16
     for part in (ev.filter(~late & ~early), ev.filter(~late & early), ev.filter(late)):
         part.write.mode("append").parquet(f"{root}/events")
-        stream = ss.readStream.schema(ev.schema).parquet(f"{root}/events")
-        run_minute_counts(stream, f"{root}/minutes", f"{root}/checkpoint", "ts", F.col("event_type") == "purchase")
+    files = len(spark.read.schema(ev.schema).parquet(f"{root}/events").inputFiles())
+    stream = (_stream_session(spark).readStream.schema(ev.schema).option("maxFilesPerTrigger", -(-files // 3))
+              .parquet(f"{root}/events"))
+    run_minute_counts(stream, f"{root}/minutes", f"{root}/checkpoint", "ts", F.col("event_type") == "purchase")
     return read_minute_counts(spark, f"{root}/minutes").drop("batches")
 
 

@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from enrichkit.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="enrichkit-tests")
+    s = build_session(master="local[8]", shuffle_partitions=4, app_name="enrichkit-tests",
+                      extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
