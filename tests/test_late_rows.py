@@ -66,3 +66,13 @@ def test_flatten_plans_have_no_payload_exchange(spark):
     for name in ("flatten_android", "flatten_ios", "flatten_geo"):
         plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan and "Exchange range" not in plan and "Window" not in plan, name
+
+
+def test_wide_rows_are_not_ranked_where_nothing_fits_a_broadcast(spark):
+    data = spark.range(4000).select((F.col("id") % 1000).cast("string").alias("key"), F.col("id").alias("day"), F.lit(0).alias("at"),
+                                    F.col("id").cast("string").alias("uuid"), F.repeat(F.lit("x"), 100).alias("payload"))
+    seen = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    out = latest_unseen(data, "key", [("day", True), ("at", True), ("uuid", False)], seen, broadcast_bytes=0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "LeftSemi" in plan
+    assert sorted(r.uuid for r in out.collect()) == sorted(str(i) for i in range(3100, 4000))
