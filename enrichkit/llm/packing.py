@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ class WordIds(dict):
     joins characters across it, so a text's ids are its words' ids in order.
     The map is emptied when full: it bounds memory and never changes a result."""
 
-    def __init__(self, tokenizer, limit: int = 300_000):
+    def __init__(self, tokenizer, limit: int = 600_000):
         super().__init__()
         from tokenizers import pre_tokenizers
         self.tok, self.limit = tokenizer, limit
@@ -54,14 +55,15 @@ class WordIds(dict):
             if tail:
                 return self[core.lower().encode()] + self[tail.encode()]
             if core.islower():
-                mapped = self.byte_level.pre_tokenize_str(core)[0][0]
+                # the byte-level alphabet writes ASCII letters as they are
+                mapped = core if core.isascii() else self.byte_level.pre_tokenize_str(core)[0][0]
                 return _pack([t.id for t in self.model.tokenize(mapped)])
             return self[core.lower().encode()]
         return _pack(self.tok.encode(text, add_special_tokens=False).ids)
 
 
 def _pack(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _CACHE: dict[str, WordIds] = {}

@@ -56,3 +56,17 @@ def test_cut_lengths():
 
 def test_empty_table(nothing):
     assert pack(nothing).count() == 0
+
+
+def test_ascii_words_skip_the_byte_level_step_and_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    from enrichkit.llm.packing import WordIds, default_tokenizer_file
+    tok = Tokenizer.from_file(default_tokenizer_file())
+    ids, calls = WordIds(tok), []
+    byte_level = ids.byte_level
+    ids.byte_level = type("Counted", (), {"pre_tokenize_str": lambda _, w: calls.append(w) or byte_level.pre_tokenize_str(w)})()
+    for word in ("plain", "Plain,", "SHOUT!", "été", "Größe.", "it's", "x1", "日本"):
+        got = ids[word.encode()]
+        assert [int.from_bytes(got[i:i + 4], "little") for i in range(0, len(got), 4)] == tok.encode(word, add_special_tokens=False).ids
+    assert calls == ["été", "größe"]
