@@ -36,22 +36,31 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], cap: float) -> Da
         F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"),
         F.min(F.when(F.col("size") > 0, F.col("size"))).alias("min_size"))
     ranked = dense_rank_global(per, [F.col("source").asc_nulls_last()], "sid", "mix-sources")
-    turn = (F.col("sid") % len(weights)).cast("int") + 1
-    src = materialize(ranked.withColumn("weight", F.element_at(
-        F.array(*[F.lit(float(w)) for w in weights]), turn)), "mix-weights")
+    src = materialize(ranked.withColumn("turn", (F.col("sid") % len(weights)).cast("int"))
+                      .withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("turn") + 1)),
+                      "mix-weights")
     most = F.lit(float(cap)) * F.col("source_size")
     level = 0.0
     while True:
         over = F.lit(level) * F.col("weight") > most
-        total, fixed, free = src.agg(F.sum("source_size"), F.sum(F.when(over, most)),
-                                     F.sum(F.when(~over, F.col("weight")))).first()
+        # whole numbers a turn, weighed in the order of the turns: the same in every run
+        turns = src.groupBy("turn").agg(
+            F.sum("source_size").alias("size"), F.coalesce(F.sum(F.when(over, F.col("source_size"))), F.lit(0)).alias("fixed"),
+            F.count(F.when(~over, F.lit(1))).alias("free")).orderBy("turn").collect()
+        free = sum(weights[r["turn"]] * r["free"] for r in turns)
         if not free:
             break
-        new = ((total or 0) - (fixed or 0.0)) / free
+        new = (sum(r["size"] or 0 for r in turns) - cap * sum(r["fixed"] for r in turns)) / free
         if new <= level * (1 + 1e-15):
             break
         level = new
-    return src.withColumn("target", F.least(most, F.lit(level) * F.col("weight"))).drop("weight")
+    return src.withColumn("target", F.least(most, F.lit(level) * F.col("weight"))).drop("weight", "turn")
+
+
+def exact_sum(col: Column) -> Column:
+    """A sum of doubles that does not depend on their order: to 15 decimals each,
+    totals below 1e23."""
+    return F.sum(col.cast("decimal(38,15)")).cast("double")
 
 
 def solve_tilts(groups: DataFrame, src: DataFrame, cap: float, tolerance: float = 1e-9,
@@ -59,7 +68,8 @@ def solve_tilts(groups: DataFrame, src: DataFrame, cap: float, tolerance: float
     """``sid, lam``: the dual variable of every source (null: all at the cap).
 
     ``groups`` has ``sid, size, n``. One Newton step for all sources is one
-    aggregate; a step that leaves the bracket [lo, hi] is replaced by bisection."""
+    aggregate of shares of the target; a step that leaves the bracket [lo, hi] is
+    replaced by bisection. Sums are exact, so lam is the same in every run."""
     full = F.col("target") >= F.lit(float(cap)) * F.col("source_size") * (1 - 1e-12)
     state = materialize(
         src.filter("source_size > 0").filter(~full)
@@ -72,10 +82,10 @@ def solve_tilts(groups: DataFrame, src: DataFrame, cap: float, tolerance: float
         x = F.col("size") / F.col("scale")
         raw = F.exp(F.least(F.col("lam") * x, F.lit(math.log(cap))))
         free = F.col("lam") * x < math.log(cap)
-        mass = F.col("n") * F.col("size") * raw
+        mass = F.col("n") * F.col("size") * raw / F.col("target")
         sums = (groups.join(state, "sid").groupBy("sid")
-                .agg(F.sum(mass).alias("f"), F.sum(F.when(free, mass * x).otherwise(0.0)).alias("df")))
-        resid = F.col("f") - F.col("target")
+                .agg(exact_sum(mass).alias("f"), exact_sum(F.when(free, mass * x).otherwise(0.0)).alias("df")))
+        resid = F.col("f") - 1.0
         lo = F.when(resid < 0, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(resid >= 0, F.col("lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - resid / F.col("df")
@@ -85,10 +95,10 @@ def solve_tilts(groups: DataFrame, src: DataFrame, cap: float, tolerance: float
         state = materialize(
             state.join(sums, "sid").select(
                 "sid", "target", "scale",
-                F.when(F.abs(resid) <= F.lit(tolerance) * F.col("target"), F.col("lam"))
+                F.when(F.abs(resid) <= F.lit(tolerance), F.col("lam"))
                 .when(good, newton).otherwise((low + hi) / 2).alias("lam"),
                 lo.alias("lo"), hi.alias("hi"),
-                (F.abs(resid) / F.col("target")).alias("gap")), f"mix-state{step}")
+                F.abs(resid).alias("gap")), f"mix-state{step}")
         worst = state.agg(F.max("gap")).first()[0]
         if worst is None or worst <= tolerance:
             break

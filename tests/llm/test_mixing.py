@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import pytest
-from enrichkit.llm.mixing import mix, word_count
+from enrichkit.llm.mixing import mix, solve_tilts, source_targets, word_count
 from pyspark.sql import functions as F
 
 
@@ -88,3 +88,18 @@ def test_rates_equal_a_plain_solution_of_the_dual(spark):
         for n in ns:
             assert rate[s, n] == pytest.approx(math.exp(min(lo * n / mean, math.log(3))), rel=1e-6)
     assert capped < len(sizes)
+
+
+def test_tilts_and_targets_do_not_depend_on_the_order_of_rows(spark):
+    rng = __import__("random").Random(4)
+    sizes = sorted({rng.randint(1, 90_000) for _ in range(3000)})
+    groups = spark.createDataFrame([(s, n, rng.randint(1, 40)) for s in range(3) for n in sizes], "sid long, size long, n long")
+    src = groups.groupBy("sid").agg(F.sum("n").alias("n_docs"), F.sum(F.col("n") * F.col("size")).alias("source_size"),
+                                    F.min("size").alias("min_size")).withColumn("target", F.col("source_size") * (F.col("sid") + 1) / 3.7)
+    runs = [groups.orderBy(F.xxhash64("size", F.lit(seed))).repartition(parts) for seed, parts in ((1, 1), (3, 17))]
+    lams = [sorted(map(tuple, solve_tilts(g, src, 3.0).collect())) for g in runs]
+    assert len(lams[0]) == 3 and lams[0] == lams[1]
+    docs = spark.createDataFrame([(f"s{i:03d}", rng.randint(1, 999)) for i in range(400)], "source string, size long")
+    targets = [sorted(map(tuple, source_targets(d, (0.1, 0.7, 2.3), 1.1).select("source", "target").collect()))
+               for d in (docs, docs.orderBy("size").repartition(13))]
+    assert targets[0] == targets[1]
