@@ -68,6 +68,29 @@ def test_full_groups_are_split(spark):
                     for r in got} == want
 
 
+def test_hot_anchors_are_not_counted_and_joined_in_one_exchange(spark, monkeypatch):
+    """A skewed join can only be split if no aggregate by the anchor shares its exchange."""
+    seen, contents = [], anchors.contents
+    monkeypatch.setattr(anchors, "contents", lambda texts, wanted, *a: seen.append(wanted) or contents(texts, wanted, *a))
+    docs = spark.createDataFrame([(i, f"head {i} " + "a b c d e f g h " * 3 + f"tail {i}") for i in range(20)],
+                                 "doc_id long, text string")
+    assert suffix_dedup.suffix_dedup(docs, length=20, k=8).filter("n_removed > 0").count() == 20
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
+
+
+def test_passages_of_many_words_below_the_byte_length_stay(spark):
+    """Planted passages: cut where they have 400 bytes, whole where 60 short words have fewer; n_bytes
+    is the length of the text either way."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    long, short = " ".join(word(8) for _ in range(60)), " ".join(word(4) for _ in range(60))
+    texts = {i: f"{word(30)} {p} {word(50)}" for i, p in enumerate([long, long, short, short, word(500), word(900)])}
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), length=400).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed) for r in got} == {
+        i: (len(t), len(long) + 2 if i < 2 else 0) for i, t in texts.items()}
+
+
 def test_empty_tables(nothing):
     assert suffix_dedup.suffix_dedup(nothing).count() == 0
     assert substring_dedup.substring_dedup(nothing).count() == 0
